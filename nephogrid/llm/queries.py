@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm import mixing, quality, quality_rules, simhash, toxicity
+from nephogrid.llm import licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, toxicity, url_filter
 from nephogrid.llm._common import crc_mod, materialize, table
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), crc_mod(4, 2)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), held)
@@ -38,11 +46,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scans": op2_license_scans,
+    "op3_url_filters": op3_url_filters,
     "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_quality_rules": op8_quality_rules,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 ORACLES: dict[str, str] = {}

@@ -1 +1,314 @@
-def encode(docs): raise NotImplementedError
+"""SentencePiece encoding and decoding by suffix-array matching, for models of type BPE with byte fallback.
+
+The distinct words of a batch are laid end to end and their suffixes sorted; a binary search for every piece gives the range of suffixes that
+start with it, that is all its occurrences. Each occurrence is an edge; edges sorted by the position where they end are relaxed in order.
+
+A BPE model does not ask for the path of the highest score, so the relaxation keeps the path that merging would have made. Merging never
+crosses a boundary of its own result, so the result for a prefix that ends at a boundary is the result's first pieces, and pieces next to
+each other in it are what merging makes of their concatenation. Conversely a sequence in which every two neighbours have that property is
+the result. So each position keeps one edge: the one whose start is kept and whose piece agrees with the piece kept there.
+
+Words are cut where a blank follows a non-blank: no piece of more than blanks has a blank after its first character, so no merge crosses a
+cut.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BLANK = "▁"
+WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+#: Words kept from one batch to the next; four times as many agreements of pieces.
+CACHE = 700_000
+#: Texts are encoded in runs of about so many characters, which bounds the suffix array.
+RUN_CHARS = 4_000_000
+DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+class Pieces:
+    """The vocabulary of a model."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)  # read for its vocabulary only
+        n = model.get_piece_size()
+        self.text = [model.id_to_piece(i) for i in range(n)]
+        special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(n)]
+        is_byte = [model.is_byte(i) for i in range(n)]
+        self.id = {p: i for i, p in enumerate(self.text) if not special[i] and not is_byte[i]}
+        self.score = [model.get_score(i) for i in range(n)]
+        self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.text) if is_byte[i]}
+        self.unknown = model.unk_id()
+        if len(self.byte) not in (0, 256) or any(BLANK in p[1:] and p.strip(BLANK) for p in self.id):
+            raise ValueError("not a BPE model with byte fallback, or one with blanks inside pieces")
+        self.longest = max(map(len, self.id))
+        # what an id adds to a decoded text; bytes join to characters afterwards
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if is_byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(self.text)]
+        # a piece that merging its own characters does not make is never in a result
+        order = sorted((p for p in self.id if self.merge(list(p)) == [p]), key=len)
+        self.keys = _fixed(order, self.longest)
+        self.key_ids = np.array([self.id[p] for p in order])
+        self.key_lengths = np.array([len(p) for p in order])
+        self.pairs = _Agreements(self)
+
+    def merge(self, symbols: list[str]) -> list[str]:
+        """Join the adjacent two whose concatenation has the highest score, the leftmost of equals, until none is a piece."""
+        symbols = list(symbols)
+        while len(symbols) > 1:
+            best, at = None, -1
+            for i in range(len(symbols) - 1):
+                k = self.id.get(symbols[i] + symbols[i + 1])
+                if k is not None and (best is None or self.score[k] > best):
+                    best, at = self.score[k], i
+            if best is None:
+                break
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        return symbols
+
+    def agrees(self, left: int, right: int) -> bool:
+        """Whether merging the concatenation of two pieces gives these two."""
+        a, b = self.text[left], self.text[right]
+        return self.merge(list(a + b)) == [a, b]
+
+
+def _fixed(words: list[str], width: int) -> np.ndarray:
+    """Words as rows of ``width`` code points plus one, zero-padded, in a type that numpy compares as strings."""
+    out = np.zeros((len(words), width), np.uint32)
+    for i, w in enumerate(words):
+        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32)[:width] + 1
+    return out.view(f"U{width}").ravel()
+
+
+@lru_cache(maxsize=2)
+def _pieces(path: str) -> Pieces:
+    return Pieces(path)
+
+
+def suffix_array(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all suffixes in order of their first ``width`` codes, and those codes as strings; 0 ends a word."""
+    padded = np.concatenate([codes, np.zeros(width, np.uint32)])
+    views = np.lib.stride_tricks.sliding_window_view(padded, width)[: len(codes)].copy()
+    ended = np.maximum.accumulate(views == 0, axis=1)
+    views[ended] = 0  # nothing past the end of a word
+    # Sort by the codes' bytes in big-endian order: eight at a time as numbers, the last first.
+    alphabet, small = np.unique(codes, return_inverse=True)
+    ranks = np.concatenate([small.astype(np.int64), np.full(width, np.searchsorted(alphabet, 0))])
+    bits = max(1, int(len(alphabet)).bit_length())
+    step = max(1, 62 // bits)
+    small_views = np.lib.stride_tricks.sliding_window_view(ranks, width)[: len(codes)]
+    low = int(np.searchsorted(alphabet, 0))
+    columns = []
+    for a in range(0, width, step):
+        key = np.zeros(len(codes), np.int64)
+        for j in range(a, min(width, a + step)):
+            key = (key << bits) | np.where(ended[:, j], low, small_views[:, j])
+        columns.append(key)
+    order = np.lexsort(columns[::-1])
+    return order, views[order].view(f"U{width}").ravel()
+
+
+def occurrences(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, piece) of every occurrence of a piece in the words laid end to end, each followed by one end mark, in order of end."""
+    codes = np.frombuffer("\x00".join(words).encode("utf-32-le", "surrogatepass"), np.uint32) + 1
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    codes = np.concatenate([codes, np.zeros(1, np.uint32)])
+    codes[ends] = 0
+    order, sorted_suffixes = suffix_array(codes, pieces.longest)
+    low = np.searchsorted(sorted_suffixes, pieces.keys, "left")
+    # the first suffix past all that start with the piece: the piece with its last code raised by one
+    after = pieces.keys.view(np.uint32).reshape(-1, pieces.longest).copy()
+    after[np.arange(len(after)), pieces.key_lengths - 1] += 1
+    high = np.searchsorted(sorted_suffixes, after.view(f"U{pieces.longest}").ravel(), "left")
+    n = high - low
+    at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+    start = order[at]
+    end = start + np.repeat(pieces.key_lengths, n)
+    ids = np.repeat(pieces.key_ids, n)
+    by_end = np.lexsort((start, end))
+    return start[by_end], end[by_end], ids[by_end]
+
+
+class _Agreements:
+    """Which pairs of pieces merging leaves as they are, looked up for whole arrays; pairs not seen before are tried once."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.n = pieces, len(pieces.text)
+        self.keys, self.ok = np.empty(0, np.int64), np.empty(0, bool)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        asked = left * self.n + right
+        at = np.minimum(np.searchsorted(self.keys, asked), max(0, len(self.keys) - 1))
+        new = np.unique(asked[self.keys[at] != asked] if len(self.keys) else asked)
+        if len(new):
+            if len(self.keys) > 4 * CACHE:
+                self.keys, self.ok, new = np.empty(0, np.int64), np.empty(0, bool), np.unique(asked)
+            tried = [self.pieces.agrees(k // self.n, k % self.n) for k in new.tolist()]
+            keys, ok = np.concatenate([self.keys, new]), np.concatenate([self.ok, np.array(tried, bool)])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.ok = keys[order], ok[order]
+            at = np.searchsorted(self.keys, asked)
+        return self.ok[at]
+
+
+NONE, BEGIN, STRAY = -3, -2, -1
+
+
+def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
+    """Ids (int32) of each word; characters that are no piece become their bytes, or the unknown id.
+
+    All words are relaxed together, one position in the word after the other.
+    """
+    start, end, ids = occurrences(words, pieces)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    base = np.cumsum(lengths + 1) - lengths - 1
+    word_of = np.searchsorted(base, end - 1, "right") - 1
+    step = end - base[word_of]
+    order = np.argsort(step, kind="stable")
+    start, end, ids = start[order], end[order], ids[order]
+    cuts = np.searchsorted(step[order], np.arange(1, lengths.max() + 2))
+    # the piece kept at each position (between characters), and where it starts
+    kept = np.full(int(lengths.sum()) + len(words), NONE, np.int64)
+    origin = np.zeros(len(kept), np.int64)
+    kept[base] = BEGIN
+    text = "\x00".join(words)
+    stray_chars = {c for c in set(text) if c not in pieces.id}
+    stray_at = np.array(sorted(m.end() for c in stray_chars for m in re.finditer(re.escape(c), text)), np.int64) if stray_chars - {"\x00"} or "\x00" in "".join(words) else np.empty(0, np.int64)
+    stray_at = stray_at[~np.isin(stray_at, base)]  # the marks between words end where a word begins
+    stray_step = stray_at - base[np.searchsorted(base, stray_at - 1, "right") - 1] if len(stray_at) else stray_at
+    by_step = np.argsort(stray_step, kind="stable")
+    stray_at, stray_step = stray_at[by_step], stray_step[by_step]
+    stray_cuts = np.searchsorted(stray_step, np.arange(1, lengths.max() + 2))
+    for p in range(1, int(lengths.max()) + 1):
+        a, z = cuts[p - 1], cuts[p]
+        if z > a:
+            left, stop, piece = kept[start[a:z]], end[a:z], ids[a:z]
+            ok = left >= BEGIN
+            inner = np.flatnonzero(left >= 0)
+            if len(inner):
+                ok[inner] = pieces.pairs.of(left[inner], piece[inner])
+            hit = np.flatnonzero(ok)
+            kept[stop[hit]], origin[stop[hit]] = piece[hit], start[a:z][hit]
+        a, z = stray_cuts[p - 1], stray_cuts[p]
+        if z > a:
+            at = stray_at[a:z]
+            at = at[(kept[at] == NONE) & (kept[at - 1] != NONE)]
+            kept[at], origin[at] = STRAY, at - 1
+    # Walk back from the ends of all words at once; on_path marks the positions where a kept piece ends.
+    on_path = np.zeros(len(kept), bool)
+    now = (base + lengths)[lengths > 0]
+    while len(now):
+        on_path[now] = True
+        now = origin[now]
+        now = now[kept[now] != BEGIN]
+    at = np.flatnonzero(on_path)
+    flat = kept[at].astype(np.int32)
+    bounds = np.searchsorted(at, np.concatenate([base, [len(kept)]]), "right")
+    blob, out = flat.tobytes(), []
+    strays = set((np.searchsorted(base, at[flat == STRAY], "left") - 1).tolist())
+    for i, (a, z) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        if i in strays:
+            got: list[int] = []
+            for k, stop in zip(flat[a:z].tolist(), (at[a:z] - base[i]).tolist(), strict=True):
+                raw = words[i][stop - 1].encode("utf-8", "surrogatepass")
+                got += [k] if k >= 0 else [pieces.byte[x] for x in raw] if pieces.byte else [pieces.unknown]
+            out.append(np.array(got, np.int32).tobytes())
+        else:
+            out.append(blob[4 * a : 4 * z])
+    return out
+
+
+def encode_texts(texts: list[str | None], pieces: Pieces, known: dict[str, bytes]) -> list[np.ndarray]:
+    """Ids of each text; ``known`` keeps words from call to call."""
+    cut = [WORDS.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+    fresh = sorted({w for words in cut for w in words if w not in known}, key=len)  # like lengths together
+    at, long_words = 0, []
+    while at < len(fresh):  # runs of bounded length
+        size, stop = 0, at
+        while stop < len(fresh) and (stop == at or size + len(fresh[stop]) < RUN_CHARS // 4):
+            size += len(fresh[stop]) + 1
+            stop += 1
+        known.update(zip(fresh[at:stop], encode_words(fresh[at:stop], pieces), strict=True))
+        at = stop
+    long_words = [w for w in fresh if len(w) > 40]
+    out = [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in cut]
+    for w in long_words:
+        del known[w]
+    if len(known) > CACHE:
+        known.clear()
+    return out
+
+
+def decode_ids(ids: np.ndarray | list[int] | None, pieces: Pieces) -> str:
+    """The text of ids: pieces joined, blanks restored, byte pieces joined to characters, the blank that encoding puts in front taken off.
+
+    Bytes that are no characters become U+FFFD; unknown and control ids add nothing; ids outside the vocabulary raise.
+    """
+    if ids is None or not len(ids):
+        return ""
+    text = b"".join(map(pieces.bytes_of.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")
+    return text[1:] if text.startswith(" ") else text
+
+
+def _runs(texts: pd.Series) -> Iterator[tuple[int, int]]:
+    """Slices of about RUN_CHARS characters."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= RUN_CHARS:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
+
+
+def _shipped(spark: SparkSession, path: str) -> str:
+    """Send the model file to the executors; gives its name there."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    if name not in {p.rsplit("/", 1)[-1] for p in spark.sparkContext.listFiles}:
+        spark.sparkContext.addFile(path)
+    return name
+
+
+def encode(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip) for every row of (doc_id, text); ``round_trip`` tells whether decoding the ids gives the text back.
+
+    Null and empty texts have no ids and round-trip to the empty text. Texts that hold U+2581, which the model uses for the blank, come back
+    with blanks in its place. Repeated rows each come back; an empty table gives an empty result; other columns are ignored.
+    """
+    name = _shipped(docs.sparkSession, model)
+
+    @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        pieces, known = _pieces(SparkFiles.get(name)), dict[str, bytes]()
+        for b in batches:
+            ids, same = [], []
+            for a, z in _runs(b):
+                texts = b.iloc[a:z].tolist()
+                got = encode_texts(texts, pieces, known)
+                same += [decode_ids(x, pieces) == (t or "") for x, t in zip(got, texts, strict=True)]
+                ids += got
+            yield pd.DataFrame({"n_tokens": pd.Series(map(len, ids), dtype="int64"), "ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("got")).select("doc_id", "got.*")
+
+
+def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
+    """(doc_id, text) for every row of (doc_id, ids); null and empty ids give the empty text."""
+    name = _shipped(encoded.sparkSession, model)
+
+    @F.pandas_udf("string")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        pieces = _pieces(SparkFiles.get(name))
+        for b in batches:
+            yield pd.Series([decode_ids(x, pieces) for x in b], dtype=object)
+
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("ids").cast("array<int>")).alias("text"))

@@ -57,12 +57,12 @@ def fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     texts have fingerprint zero.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            fp = np.array([fingerprint_of(x, shingle_words) for x in b["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
+            yield pd.Series(np.array([fingerprint_of(x, shingle_words) for x in b], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("fp"))
 
 
 def _leaves(radius: int, field_bits: int) -> Column:
