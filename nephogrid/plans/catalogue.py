@@ -2,9 +2,262 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from nephogrid.functions import pixels as px
+from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
+from nephogrid.plans.oracles import ORACLES
+from nephogrid.sources import stand_ins as si
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Registers a query; whole numbers go out as longs."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = f(spark, sf_dir)
+        return out.select(*[F.col(c).cast("long").alias(c) if t in ("int", "smallint") else F.col(c) for c, t in out.dtypes])
+
+    QUERIES[f.__name__] = run
+    return run
+
+
+@query
+def density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.primary(spark, sf_dir).select("r", "c", px.density(F.col("bt"), F.col("phase")).alias("d"))
+
+
+@query
+def density_no_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.primary(spark, sf_dir).select("r", "c", px.density(F.col("bt")).alias("d"))
+
+
+@query
+def density_fill_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With 200 standing in for the fill value."""
+    return si.primary(spark, sf_dir).select("r", "c", px.density_with_fill(F.col("bt"), 200.0).alias("d"))
+
+
+@query
+def density_prescaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.secondary(spark, sf_dir, polar_only=False).select("r", "c", px.prescaled(F.col("s")).alias("d"))
+
+
+@query
+def gamma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.primary_density(spark, sf_dir).select("r", "c", "d")
+
+
+def _stretched(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
+    d = si.primary_density(spark, sf_dir).select("r", "c", px.threshold(F.col("d"), least).alias("d"))
+    of = d.crossJoin(F.broadcast(stats.value_range(d, "d")))  # one row
+    return of.select("r", "c", px.stretch(F.col("d"), F.col("low"), F.col("high"), F.col("n")).alias("d"))
+
+
+@query
+def threshold_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stretched(spark, sf_dir, 45)
+
+
+@query
+def threshold_stretch_35(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stretched(spark, sf_dir, 35)
+
+
+@query
+def zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = si.primary(spark, sf_dir).withColumn("d", px.density(F.col("bt"), F.col("phase")))
+    return stats.zone_stats(d, "d").select("zone", "n", F.round("mean", 6).alias("mean"), F.round("zero_percent", 6).alias("zero_percent"))
+
+
+@query
+def raster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stats.raster_stats(si.primary_density(spark, sf_dir), "d")
+    return s.select("n", "missing", "low", "high", *[F.round(c, 6).alias(c) for c in ("mean", "zero_percent", "mean_above_zero")])
+
+
+@query
+def background_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.background_floor(si.secondary(spark, sf_dir), "s")
+
+
+@query
+def background_subtract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.subtract_background(si.secondary(spark, sf_dir), "s").select("r", "c", "s")
+
+
+@query
+def histogram256(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.histogram(si.secondary(spark, sf_dir), "s")
+
+
+@query
+def cdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = stats.histogram(si.secondary(spark, sf_dir).where("s > 0"), "s")
+    return stats.cdf(h).select("k", F.round(F.col("cdf").cast("double"), 6).alias("cdf"))
+
+
+def _lut(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    main, aux = si.primary_density(spark, sf_dir), gaps.subtract_background(si.secondary(spark, sf_dir), "s")
+    return main, aux, gaps.match_table(main, aux)
+
+
+@query
+def cdf_lut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lut(spark, sf_dir)[2]
+
+
+@query
+def lut_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, aux, lut = _lut(spark, sf_dir)
+    return matching.apply_lut(aux, lut, "s").select("r", "c", "s")
+
+
+@query
+def gap_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return si.primary_density(spark, sf_dir).select("r", "c", gaps.is_gap(F.col("d"), F.col("lat")).alias("gap"))
+
+
+@query
+def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.fill(*_lut(spark, sf_dir), feather=False).select("r", "c", "d")
+
+
+@query
+def gap_fill_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.fill_gaps(si.primary_density(spark, sf_dir), si.secondary(spark, sf_dir)).select("r", "c", "d")
+
+
+@query
+def edge_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.fix_edges(si.primary_density(spark, sf_dir).select("r", "c", "d"), si.WIDTH)
+
+
+@query
+def pad_to_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows within 60 degrees, counted from the first of them, on a grid of 104 columns."""
+    d = si.primary_density(spark, sf_dir).where(F.abs("lat") <= 60)
+    first = d.agg(F.min("r").alias("first"))
+    d = d.crossJoin(F.broadcast(first)).withColumn("r", F.col("r") - F.col("first")).drop("first")
+    return layout.pad_to_global(d, 104)
+
+
+@query
+def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 64 rows of the plane as 4 x 4 tiles of 16."""
+    p = si.plane(spark, sf_dir).where("r < 64")
+    tiles = p.select(F.expr("r div 16 % 4").alias("ty"), F.expr("c div 16").alias("tx"), (F.col("r") % 16).alias("y"), (F.col("c") % 16).alias("x"), "v")
+    return layout.mosaic(tiles, 16)
+
+
+@query
+def band_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = si.secondary(spark, sf_dir, polar_only=False)
+    caps, bands = b.select("r", "c", F.col("s").alias("v")), b.select("r", "c", (255 - F.col("s")).alias("v"))
+    return layout.polar_composite({"cap_north": caps, "band_north": bands, "cap_south": caps, "band_south": bands}, si.height(spark, sf_dir))
+
+
+@query
+def mercator_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = si.table(spark, sf_dir, "embeddings").count()
+    return geometry.reproject_mercator(si.plane(spark, sf_dir), "v", 64, rows, 60.0, 85.0, 128)
+
+
+@query
+def bilinear_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = si.table(spark, sf_dir, "embeddings").count()
+    k = F.col("event_id")
+    at = si.table(spark, sf_dir, "events").select(k.alias("id"), (k * 7 % 6400 / 100.0).alias("ix"), (k * 13 % (rows * 100) / 100.0).alias("iy"))
+    return geometry.sample_bilinear(at, si.plane(spark, sf_dir), "v", 64, rows).select("id", "v")
+
+
+@query
+def cubemap_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = geometry.cubemap_targets(spark, 32, si.WIDTH, si.height(spark, sf_dir))
+    return at.select("face", "fy", "fx", F.round(F.pmod(F.round("ix", 6), F.lit(float(si.WIDTH))), 6).alias("ix"), F.round("iy", 6).alias("iy"))
+
+
+@query
+def cubemap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometry.cubemap(si.primary_density(spark, sf_dir), "d", si.WIDTH, si.height(spark, sf_dir), 32)
+
+
+@query
+def lanczos_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = si.table(spark, sf_dir, "embeddings").count()
+    return resample.lanczos(si.plane(spark, sf_dir), 64, rows, 25, 120)
+
+
+@query
+def storm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points.first_per_cell(si.points(spark, sf_dir))
+
+
+@query
+def storm_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points.or_default(si.points(spark, sf_dir).where("lat > 90"))
+
+
+@query
+def storm_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With an order that both engines can state."""
+    return si.points(spark, sf_dir).orderBy(F.col("seq") * 7919 % 10007, "seq").limit(2000)
+
+
+@query
+def storm_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three made payloads: whole, truncated, and with a field that is not known."""
+    one = lambda a, b: b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", b)
+    made = [("whole", one(34.5, -118.25) + one(1.5, 2.5)), ("cut", one(10.0, 20.0) + one(30.0, 40.0)[:-3]), ("odd", b"\x0a\x0c" + one(5.0, 6.0)[2:] + b"\x18\x01" + one(7.0, 8.0))]
+    return points.decode(spark.createDataFrame(made, "path string, content binary"))
+
+
+@query
+def latest_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = si.table(spark, sf_dir, "events")
+    now = e.agg((F.date_trunc("hour", F.max("ts")) - F.make_interval(hours=F.lit(30))).alias("now")).first()["now"]
+    slots = e.select(F.date_trunc("hour", "ts").alias("slot"), (F.col("event_type") == "purchase").alias("available"))
+    return discovery.latest_slot(slots, F.lit(now)).select(F.date_format("slot", "yyyyMMdd_HHmmss").alias("stamp"), discovery.hourly_path("archive", "composite", F.col("slot")).alias("path"))
+
+
+@query
+def latest_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = si.listing(spark, sf_dir)
+    now = li.agg((F.max("hour") + F.make_interval(hours=F.lit(5))).alias("now")).first()["now"]
+    return discovery.latest_largest(li, F.lit(now)).select(F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"), "key", "size")
+
+
+@query
+def scalar_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = si.listing(spark, sf_dir).withColumn("k", F.regexp_extract("key", r"_(?:full|blend)_(\d+)", 1).cast("long"))
+    compact = F.date_format("hour", "yyyyMMdd_HHmmss")
+    iso, none = discovery.iso_time(compact), F.lit(None).cast("string")
+    return li.select(
+        "key",
+        F.date_format(discovery.key_stamp(F.col("key")), "yyyy-MM-dd HH:mm:ss").alias("key_stamp"),
+        iso.alias("iso"),
+        discovery.compact_time(iso).alias("compact"),
+        discovery.hour_prefix("product", F.col("hour")).alias("prefix"),
+        discovery.tile_query("https://maps.example.org/api", "ir", F.col("k") % 4, F.expr("k div 4 % 4"), F.when(F.col("k") % 2 == 0, iso), none).alias("tile"),
+        discovery.box_query("https://maps.example.org/wms?map=ir", 60 + F.col("k") % 10, F.lit(85), none, none, F.lit(1024)).alias("box"),
+    )
+
+
+@query
+def grid_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [spark.range(n).select(F.lit(name).alias("axis"), F.col("id").alias("i"), F.round(px.axis(F.col("id"), a, z, n), 6).alias("value")) for name, n, a, z in (("lat", 2500, 90.0, -90.0), ("lon", 5000, -180.0, 180.0))]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = [("https://host.example.org/x//", None), ("", "Some-Owner/Site"), (None, None)]
+    m = spark.createDataFrame(given, "pages string, repository string")
+    m = m.select(F.struct(discovery.base_url(F.col("pages"), F.col("repository")).alias("baseUrl"), F.lit("20240131_120000").alias("timestamp")).alias("m"))
+    return m.select(F.to_json("m").alias("manifest"))
