@@ -66,8 +66,8 @@ def _bilinear(points: str, keys: str, source: str, w: str, h: str) -> str:
     return f"""
 q AS (SELECT *, floor(ix) AS fx0, floor(iy) AS fy0 FROM {points}),
 n4 AS (SELECT *, ((CAST(fx0 AS BIGINT) % {w}) + {w}) % {w} AS x0, ((CAST(fx0 AS BIGINT) + 1) % {w} + {w}) % {w} AS x1,
-        greatest(0, least(CAST(fy0 AS BIGINT), {h} - 1)) AS y0, greatest(0, least(CAST(fy0 AS BIGINT) + 1, {h} - 1)) AS y1, ix - fx0 AS fx, iy - fy0 AS fy FROM q),
-sm AS (SELECT {keys}, greatest(0, least(255, CAST(round_even(v00.v * (1 - fx) * (1 - fy) + v10.v * fx * (1 - fy) + v01.v * (1 - fx) * fy + v11.v * fx * fy, 0) AS BIGINT))) AS v FROM n4
+        greatest(0, least(CAST(fy0 AS BIGINT), {h} - 1)) AS y0, greatest(0, least(CAST(fy0 AS BIGINT) + 1, {h} - 1)) AS y1, ix - fx0 AS ax, iy - fy0 AS ay FROM q),
+sm AS (SELECT {keys}, greatest(0, least(255, CAST(round_even(v00.v * (1 - ax) * (1 - ay) + v10.v * ax * (1 - ay) + v01.v * (1 - ax) * ay + v11.v * ax * ay, 0) AS BIGINT))) AS v FROM n4
         JOIN {source} v00 ON v00.r = y0 AND v00.c = x0 JOIN {source} v10 ON v10.r = y0 AND v10.c = x1
         JOIN {source} v01 ON v01.r = y1 AND v01.c = x0 JOIN {source} v11 ON v11.r = y1 AND v11.c = x1)"""
 
