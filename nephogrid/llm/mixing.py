@@ -80,15 +80,16 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("source", "n_docs", "source_size", "target", "scale", "lam")
 
 
-def mix(docs: DataFrame, keep: list[str], share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+def mix(docs: DataFrame, keep: list[str], size: Column | None = None, share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """The ``keep`` columns of every row of (doc_id, text, source, ...) with size, source_size, target, rate and copies.
 
     Null and empty texts have size 0 and are not taken. Rows without a source form a source, the last. Equal rows are rounded each on its own,
-    so both may be taken. An empty table gives an empty result. ``keep`` must not hold the names added here.
+    so both may be taken. An empty table gives an empty result. Other columns are ignored, whatever their names; ``keep`` must not hold the
+    names added here. ``size`` stands in for the words of ``text`` where they are counted already.
     """
     if cap != 2.0:
         raise ValueError("rates saturate at 2")
-    docs = docs.withColumn("size", text_size(F.col("text"))) if "size" not in docs.columns else docs
+    docs = docs.select(*dict.fromkeys([*keep, "doc_id", "source"]), (text_size(F.col("text")) if size is None else size).alias("size"))
     counts = materialize(docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     goals = multipliers(counts, targets(counts, share, cap, weights))
     small = goals.count() <= 100_000
