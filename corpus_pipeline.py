@@ -28,9 +28,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest doc_id; of rows that repeat that doc_id, one.
 
-    Rows without a doc_id cannot be grouped and stay.
+    Documents are near duplicates if about 0.8 or more of their five-word shingles agree. Rows without a doc_id cannot be grouped and stay.
     """
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    groups = materialize(simhash.near_duplicates(docs, **simhash.SIMILAR), "groups")
     first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
     repeated = materialize(first.join(groups.groupBy("doc_id").count().where("count > 1"), "doc_id"), "repeated").select("doc_id")

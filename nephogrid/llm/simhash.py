@@ -3,10 +3,10 @@
 Vantage-point trees on whole 64-bit fingerprints do not prune at radius 4: distances of unrelated fingerprints from any vantage point lie at
 32 +- 4, so nearly every ball touches both sides of every split. The tree here measures each level on a bit field of its own. With ``x`` and
 ``q`` restricted to field ``f``, ``|d_f(x, v) - d_f(q, v)| <= d_f(x, q)``, and the fields are disjoint, so the differences add up against one
-radius: the children to visit are those whose distances differ from the query's by no more than what is left of it. Three trees cover
-disjoint thirds of the bits: of 4 differing bits some third holds at most one, so each third is searched at radius 1, which leaves the
-leaf of the query and the leaves one step away in one level (the boundary overlap). Every pair that meets in a leaf is verified on all
-64 bits; the result is exact.
+radius: the children to visit are those whose distances differ from the query's by no more than what is left of it. Several trees cover
+disjoint parts of the bits: of 4 differing bits some third holds at most one, and of 13 some seventh, so each part is searched at radius 1,
+which leaves the leaf of the query and the leaves one step away in one level (the boundary overlap). Every pair that meets in a leaf is
+verified on all 64 bits; the result is exact.
 """
 
 from __future__ import annotations
@@ -24,78 +24,100 @@ from nephogrid.llm._common import materialize
 #: The vantage point of all levels. Fingerprints are hash bits, so any fixed word serves.
 VANTAGE = 0x9E3779B97F4A7C15
 #: Rows of one leaf that one task takes; larger leaves are cut into blocks that meet two by two.
-LEAF_ROWS = 20_000
+LEAF_ROWS = 100_000
 
 
-def fingerprint_of(text: str | None, shingle_words: int) -> int:
-    """The 64-bit SimHash of one text, see ``fingerprints``."""
+#: Words of the wide fingerprint, each from a re-mixed copy of the shingles' hashes.
+WIDE = 4
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)].astype(">u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+
+
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """A bijection of 64-bit numbers that differs by k: xor-shift and odd multipliers."""
+    h = h ^ np.uint64((k * VANTAGE) % (1 << 64))
+    for shift, odd in ((31, 0xBF58476D1CE4E5B9), (29, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(odd)
+    return h ^ (h >> np.uint64(32))
+
+
+def fingerprint_of(text: str | None, shingle_words: int, wide: bool = False) -> tuple[int, bytes]:
+    """The 64-bit SimHash of one text and, if asked for, the wide one, see ``fingerprints``."""
     import xxhash
 
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not found:
-        return 0
+        return 0, bytes(8 * WIDE) if wide else b""
+    line, digest = b" ".join(found), xxhash.xxh64_intdigest
     if len(found) <= shingle_words:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(found), 42)]
+        hashes = np.array([digest(line, 42)], np.uint64)
     else:
-        line = b" ".join(found)
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
         starts = np.concatenate(([0], ends[:-1] + 1))[: len(found) - shingle_words + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(line[a:b], 42) for a, b in zip(starts, ends[shingle_words - 1 :].tolist(), strict=True)]
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = np.array(hashes[at : at + (1 << 16)], dtype=">u8")
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+        hashes = np.array([digest(line[a:b], 42) for a, b in zip(starts, ends[shingle_words - 1 :].tolist(), strict=True)], np.uint64)
+    return _majority(hashes), np.array([_majority(_mixed(hashes, k)) for k in range(1, WIDE + 1)], "<u8").tobytes() if wide else b""
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
-    """(doc_id, fp): each text's fingerprint as a signed long.
+def fingerprints(docs: DataFrame, shingle_words: int = 5, wide: bool = False) -> DataFrame:
+    """(doc_id, fp, wide): each text's fingerprint as a signed long, and a finer one of 64 * WIDE bits (empty unless asked for).
 
     Words are runs of non-ASCII-white-space with A-Z lower-cased; a shingle is ``shingle_words`` words joined by spaces, repeats included
     (fewer words: the whole sequence). A bit is set if it is set in more than half of the shingles' XXH64 (seed 42). Null, empty and blank
     texts have fingerprint zero.
     """
 
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("fp long, wide binary")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.Series(np.array([fingerprint_of(x, shingle_words) for x in b], dtype=np.uint64).view(np.int64))
+            got = [fingerprint_of(x, shingle_words, wide) for x in b]
+            yield pd.DataFrame({"fp": np.array([g[0] for g in got], np.uint64).view(np.int64), "wide": pd.Series([g[1] for g in got], dtype=object)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("fp"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("f")).select("doc_id", "f.*")
 
 
-def _leaves(radius: int, field_bits: int) -> Column:
+def _leaves(radius: int, parts: int, field_bits: int) -> Column:
     """The leaves a fingerprint belongs to, as struct(leaf long, home boolean): for each tree its own and those one step up in one level."""
-    if radius > 2 * 3 - 1:
-        raise ValueError("three trees searched at radius 1 are exact up to 5 differing bits")
+    if radius >= 2 * parts:
+        raise ValueError(f"{parts} trees searched at radius 1 are exact up to {2 * parts - 1} differing bits")
     x = F.expr(f"fp ^ {VANTAGE - (1 << 64)}L")
-    out = []
-    cuts = (0, 21, 42, 64)
-    for tree in range(3):
-        fields = [(a, min(field_bits, cuts[tree + 1] - a)) for a in range(cuts[tree], cuts[tree + 1], field_bits)]
+    out, base = [], 0
+    for tree in range(parts):
+        first, past = 64 * tree // parts, 64 * (tree + 1) // parts
+        fields = [(a, min(field_bits, past - a)) for a in range(first, past, field_bits)]
         steps = [(field_bits + 1) ** k for k in range(len(fields))]
         far = [F.bit_count(F.shiftrightunsigned(x, a).bitwiseAND(F.lit((1 << n) - 1).cast("long"))).cast("long") for a, n in fields]
         home = functools.reduce(lambda p, q: p + q, [d * s for d, s in zip(far, steps, strict=True)])
-        base = tree * (field_bits + 1) ** -(-22 // field_bits)  # keeps the trees' numbers apart
         out.append(F.struct((home + F.lit(base)).alias("leaf"), F.lit(True).alias("home")))
         out += [F.when(d < n, F.struct((home + F.lit(base + s)).alias("leaf"), F.lit(False).alias("home"))) for d, s, (_, n) in zip(far, steps, fields, strict=True)]
+        base += (field_bits + 1) ** len(fields)  # keeps the trees' numbers apart
     return F.filter(F.array(*out), lambda c: c.isNotNull())
 
 
-def _leaf_edges(ids: np.ndarray, fps: np.ndarray, home: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _leaf_edges(rows: pd.DataFrame, radius: int, wide_radius: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of one leaf's links, not the links themselves: home rows against all rows; of two blocks, only across them."""
+    ids, fps, side = rows["id"].to_numpy(), rows["fp"].to_numpy().view(np.uint64), rows["side"].to_numpy()
+    finer = None if wide_radius is None else np.frombuffer(b"".join(rows["wide"]), "<u8").reshape(len(ids), WIDE)
     root = np.arange(len(ids))
     one, two = [], []
-    rows = np.flatnonzero(home)
-    for at in range(0, len(rows), 128):
-        mine = rows[at : at + 128]
+    home = np.flatnonzero(rows["home"].to_numpy())
+    step = max(1, min(128, 4_000_000 // len(ids)))
+    for at in range(0, len(home), step):
+        mine = home[at : at + step]
         near = np.bitwise_count(fps[mine, None] ^ fps[None, :]) <= radius
         near &= (side[mine, None] != side[None, :]) | (side[None, :] == 2)
         near[np.arange(len(mine)), mine] = False
         for i in np.flatnonzero(near.any(axis=1)):
             p = mine[i]
             at_q = np.flatnonzero(near[i])
+            if finer is not None:
+                at_q = at_q[np.bitwise_count(finer[at_q] ^ finer[p]).sum(axis=1) <= wide_radius]
             others, first = np.unique(root[at_q], return_index=True)
             for r, q in zip(others, at_q[first], strict=True):
                 if r != root[p]:
@@ -105,9 +127,13 @@ def _leaf_edges(ids: np.ndarray, fps: np.ndarray, home: np.ndarray, side: np.nda
     return ids[one], ids[two]
 
 
-def links(reps: DataFrame, radius: int = 4, field_bits: int = 3, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """(a, b): edges that connect exactly what the links at ``radius`` or fewer differing bits connect, for distinct (id, fp) rows."""
-    spread = reps.select("id", "fp", F.explode(_leaves(radius, field_bits)).alias("at")).select("id", "fp", "at.*")
+def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """(a, b): edges that connect exactly what the links connect, for distinct (id, fp, wide) rows.
+
+    Two rows are linked if their fingerprints differ in ``radius`` bits or fewer and, with a ``wide_radius``, their wide ones in no more than
+    that.
+    """
+    spread = reps.select("id", "fp", "wide", F.explode(_leaves(radius, parts, field_bits)).alias("at")).select("id", "fp", "wide", "at.*")
     crowded = materialize(spread.groupBy("leaf").count().where(F.col("count") > leaf_rows).select("leaf", F.ceil(F.col("count") / (leaf_rows / 2)).cast("int").alias("blocks")), "crowded")
     if crowded.isEmpty():
         dealt = spread.withColumns({"one": F.lit(0), "two": F.lit(0), "side": F.lit(2)})
@@ -116,7 +142,7 @@ def links(reps: DataFrame, radius: int = 4, field_bits: int = 3, leaf_rows: int
         crowded = F.broadcast(crowded) if n <= 100_000 else crowded  # 16 bytes a row
         mine = F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")
         pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, mine).alias("one"), F.greatest(k, mine).alias("two"), F.when(k == mine, 2).when(k > mine, 0).otherwise(1).alias("side")))
-        dealt = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("id", "fp", "leaf", "home", F.explode(pairs).alias("p")).select("id", "fp", "leaf", "home", "p.*")
+        dealt = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("id", "fp", "wide", "leaf", "home", F.explode(pairs).alias("p")).select("id", "fp", "wide", "leaf", "home", "p.*")
     n_parts = max(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = ["leaf", "one", "two"]
     dealt = dealt.repartition(n_parts, *keys).sortWithinPartitions(*keys)
@@ -128,9 +154,8 @@ def links(reps: DataFrame, radius: int = 4, field_bits: int = 3, leaf_rows: int
             """Edges of the whole leaves in ``b``."""
             key = b[keys].to_numpy()
             cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(b)]))
-            ids, fps = b["id"].to_numpy(), b["fp"].to_numpy().view(np.uint64)
-            home, side = b["home"].to_numpy(), b["side"].to_numpy()
-            got = [_leaf_edges(ids[a:z], fps[a:z], home[a:z], side[a:z], radius) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
+            home = b["home"].to_numpy()
+            got = [_leaf_edges(b.iloc[a:z], radius, wide_radius) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
             return pd.DataFrame({"a": np.concatenate([g[0] for g in got] or [np.empty(0, np.int64)]), "b": np.concatenate([g[1] for g in got] or [np.empty(0, np.int64)])})
 
         for b in batches:
@@ -185,16 +210,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, field_bits: int = 3) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of (doc_id, text): rows whose fingerprints differ in ``radius`` bits or fewer are
-    linked, and ``component_id`` is the smallest doc_id that links reach.
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of (doc_id, text): rows whose fingerprints differ in ``radius`` bits or fewer (and whose
+    wide ones in ``wide_radius`` or fewer, if given) are linked, and ``component_id`` is the smallest doc_id that links reach.
 
     Null, empty and blank texts share fingerprint zero and link like any other. Repeated rows each come back. A row without doc_id gets a
     fingerprint, links nothing and has no component. An empty table gives an empty result. Other columns are ignored.
     """
-    fps = materialize(fingerprints(docs, shingle_words), "fingerprints")
-    reps = materialize(fps.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("id")), "reps")
-    roots = components(links(reps, radius, field_bits))
-    reps = reps.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component"))
-    out = fps.join(reps, "fp", "left")
+    fps = materialize(fingerprints(docs, shingle_words, wide_radius is not None), "fingerprints")
+    reps = materialize(fps.where(F.col("doc_id").isNotNull()).groupBy("fp", "wide").agg(F.min("doc_id").alias("id")), "reps")
+    roots = components(links(reps, radius, parts, field_bits, wide_radius))
+    reps = reps.join(roots, "id", "left").select("fp", "wide", F.coalesce("root", "id").alias("component"))
+    out = fps.join(reps, ["fp", "wide"], "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+
+
+#: Settings that link texts of which about 0.8 or more of the shingles agree. At that similarity 64-bit fingerprints differ in 11 bits or so,
+#: too near to what chance gives among many texts, so they only propose, and the wide fingerprint (39 of 256 bits at 0.8) decides.
+SIMILAR = {"shingle_words": 5, "radius": 13, "parts": 7, "field_bits": 1, "wide_radius": 42}

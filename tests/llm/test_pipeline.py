@@ -24,7 +24,7 @@ def test_stages_one_after_the_other(spark):
             known = [i for i in ids if i in labels]
             assert sum((i in set(after)) != bool(labels[i]["toxic"]) for i in known) >= 0.95 * len(known)
         elif name == "SimHash near-dedup":
-            groups = simhash.near_duplicates(docs)
+            groups = simhash.near_duplicates(docs, **simhash.SIMILAR)
             assert sorted(after) == sorted(r["component_id"] for r in groups.select("component_id").distinct().collect())
         elif name.startswith("mixing"):
             mixed = mixing.mix(docs, ["doc_id"]).where("copies > 0").select("doc_id", "copies").collect()

@@ -48,8 +48,8 @@ def test_texts_against_brute_force(spark):
     assert all(len(r["fingerprint"]) == 16 for r in got.values())
 
 
-@pytest.mark.parametrize(("field_bits", "leaf_rows"), [(3, 20_000), (3, 40), (2, 20_000), (1, 60)])
-def test_links_against_brute_force(spark, field_bits, leaf_rows):
+@pytest.mark.parametrize(("radius", "parts", "field_bits", "leaf_rows"), [(4, 3, 3, 20_000), (4, 3, 3, 40), (5, 3, 2, 20_000), (13, 7, 1, 20_000), (13, 7, 1, 200)])
+def test_links_against_brute_force(spark, radius, parts, field_bits, leaf_rows):
     """Random fingerprints, chains and a dense ball, whole leaves and leaves cut into blocks."""
     rng = random.Random(4)
     fps = {rng.getrandbits(64) for _ in range(120)}
@@ -60,9 +60,25 @@ def test_links_against_brute_force(spark, field_bits, leaf_rows):
     centre = rng.getrandbits(64)
     fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 4))) for _ in range(150)}
     fps = dict(enumerate(sorted(fps)))
-    reps = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in fps.items()], "id long, fp long")
-    got = dict(rows(simhash.components(simhash.links(reps, 4, field_bits, leaf_rows))))
-    assert {i: got.get(i, i) for i in fps} == brute_components(fps)
+    reps = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x, b"") for i, x in fps.items()], "id long, fp long, wide binary")
+    got = dict(rows(simhash.components(simhash.links(reps, radius, parts, field_bits, leaf_rows=leaf_rows))))
+    assert {i: got.get(i, i) for i in fps} == brute_components(fps, radius)
+
+
+def test_similar_texts_are_found_and_others_left_alone(spark):
+    rng = random.Random(6)
+    texts, groups = [], []
+    for g in range(60):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(150, 400))]
+        for k in range(3):
+            w = list(base)
+            for _ in range(k * len(w) // 100):  # up to 2 % of the words: a similarity of 0.8 and more
+                w[rng.randrange(len(w))] = f"x{rng.randrange(1000)}"
+            texts.append(" ".join(w))
+            groups.append(3 * g)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(spark, texts), **simhash.SIMILAR).collect()}
+    right = sum(got[i] == g for i, g in enumerate(groups))
+    assert right >= 0.95 * len(groups) and all(groups[got[i]] == groups[i] for i in got)
 
 
 def test_a_long_chain_settles(spark):
