@@ -117,12 +117,17 @@ class PivotIndex:
                     q, x = (np.frombuffer(r, kind).reshape(-1, dim) for r in (q_rows, rows))
                     # doubles hold these sums exactly unless components are huge
                     s = np.rint(q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64) if kind == "<i2" else q @ x.T
+                    # ids ascend within a block, so a stable order breaks ties as asked; no more than k of a block go on
                     own = qi[:, None] == xi[None, :]
-                    if len(xi) > k + 1:  # all that reach the k-th best, so ties stay
-                        least = np.partition(np.where(own, np.iinfo(np.int64).min, s), len(xi) - k, axis=1)[:, len(xi) - k]
-                        i, j = np.nonzero((s >= least[:, None]) & ~own)
+                    m = len(xi)
+                    if m > k and np.abs(s).max(initial=0) < 1 << 50:
+                        key = np.where(own, np.iinfo(np.int64).min, s * m + np.arange(m - 1, -1, -1))
+                        j = np.argpartition(key, m - k, axis=1)[:, m - k :]
                     else:
-                        i, j = np.nonzero(~own)
+                        j = np.argsort(np.where(own, 1, 0) * (np.iinfo(np.int64).max // 2) - s, axis=1, kind="stable")[:, :k]
+                    i = np.repeat(np.arange(len(qi)), j.shape[1])
+                    j = j.ravel()
+                    i, j = i[~own[i, j]], j[~own[i, j]]
                     found.append((qi[i], xi[j], s[i, j]))
                 if found:
                     q, x, s = (np.concatenate(c) for c in zip(*found, strict=True))
