@@ -92,7 +92,7 @@ def test_quality_on_made_texts_and_odd_rows(spark):
     labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(120)] + [(None, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     none = lambda c: F.lit(False)
     model = quality.fit(documents(spark, texts), labels, none, per_class=200)
-    odd = documents(spark, [texts[0], texts[1], None, "", "river### " * 20_000, texts[0]]).unionByName(documents(spark, ["x"]).withColumn("doc_id", F.lit(None).cast("long")))
+    odd = documents(spark, [texts[0], texts[1], None, "", "river### stone$$$ " * 20_000, texts[0]]).unionByName(documents(spark, ["x"]).withColumn("doc_id", F.lit(None).cast("long")))
     got = {(r["doc_id"], r["predicted"]) for r in quality.score(odd, model).collect()}
     assert {(0, 1), (1, 0), (4, 0), (5, 1)} <= got and len(got) == 7
     assert all(0 <= r["score"] <= 1 for r in quality.score(odd, model).collect())
