@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-WORDS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+WORDS = re.compile(" *[^ ]+| +")
 #: Words kept from one batch to the next; four times as many agreements of pieces.
-CACHE = 700_000
-#: Texts are encoded in runs of about so many characters, which bounds the suffix array.
-RUN_CHARS = 4_000_000
+CACHE = 600_000
+#: Texts are taken in stretches of about so many characters, and their new words in runs of so many, which bounds the suffix array.
+STRETCH_CHARS, RUN_CHARS = 2_000_000, 200_000
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -55,9 +55,12 @@ class Pieces:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if is_byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(self.text)]
         # a piece that merging its own characters does not make is never in a result
         order = sorted((p for p in self.id if self.merge(list(p)) == [p]), key=len)
-        self.keys = _fixed(order, self.longest)
+        self.none = np.uint32(0xFFFFFFFF)
+        self.points = np.full((len(order), self.longest), self.none, np.uint32)
+        for i, p in enumerate(order):
+            self.points[i, : len(p)] = np.frombuffer(p.encode("utf-32-le"), np.uint32)
         self.key_ids = np.array([self.id[p] for p in order])
-        self.key_lengths = np.array([len(p) for p in order])
+        self.lengths = np.array([len(p) for p in order])
         self.pairs = _Agreements(self)
 
     def merge(self, symbols: list[str]) -> list[str]:
@@ -80,61 +83,54 @@ class Pieces:
         return self.merge(list(a + b)) == [a, b]
 
 
-def _fixed(words: list[str], width: int) -> np.ndarray:
-    """Words as rows of ``width`` code points plus one, zero-padded, in a type that numpy compares as strings."""
-    out = np.zeros((len(words), width), np.uint32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32)[:width] + 1
-    return out.view(f"U{width}").ravel()
-
-
-@lru_cache(maxsize=2)
-def _pieces(path: str) -> Pieces:
-    return Pieces(path)
+@lru_cache(maxsize=1)
+def _pieces(path: str) -> tuple[Pieces, dict[str, bytes]]:
+    """A model's vocabulary and the words encoded so far, kept as long as the Python worker lives."""
+    return Pieces(path), {}
 
 
 def suffix_array(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all suffixes in order of their first ``width`` codes, and those codes as strings; 0 ends a word."""
-    padded = np.concatenate([codes, np.zeros(width, np.uint32)])
+    """Positions of all suffixes in order of their first ``width`` codes up to an end mark (0), and those codes as byte strings.
+
+    ``codes`` are big-endian numbers of 1, 2 or 4 bytes, so bytes sort as codes do.
+    """
+    padded = np.zeros(len(codes) + width, codes.dtype)
+    padded[: len(codes)] = codes
     views = np.lib.stride_tricks.sliding_window_view(padded, width)[: len(codes)].copy()
-    ended = np.maximum.accumulate(views == 0, axis=1)
-    views[ended] = 0  # nothing past the end of a word
-    # Sort by the codes' bytes in big-endian order: eight at a time as numbers, the last first.
-    alphabet, small = np.unique(codes, return_inverse=True)
-    ranks = np.concatenate([small.astype(np.int64), np.full(width, np.searchsorted(alphabet, 0))])
-    bits = max(1, int(len(alphabet)).bit_length())
-    step = max(1, 62 // bits)
-    small_views = np.lib.stride_tricks.sliding_window_view(ranks, width)[: len(codes)]
-    low = int(np.searchsorted(alphabet, 0))
-    columns = []
-    for a in range(0, width, step):
-        key = np.zeros(len(codes), np.int64)
-        for j in range(a, min(width, a + step)):
-            key = (key << bits) | np.where(ended[:, j], low, small_views[:, j])
-        columns.append(key)
-    order = np.lexsort(columns[::-1])
-    return order, views[order].view(f"U{width}").ravel()
+    ended = views == 0
+    np.logical_or.accumulate(ended, axis=1, out=ended)
+    views[ended] = 0
+    columns = np.ascontiguousarray(views).view(np.uint8).reshape(len(codes), -1)
+    whole = -(-columns.shape[1] // 8) * 8
+    if whole != columns.shape[1]:
+        columns = np.pad(columns, ((0, 0), (0, whole - columns.shape[1])))
+    numbers = columns.view(">u8").astype(np.uint64)  # eight bytes at a time
+    order = np.lexsort(numbers.T[::-1])
+    return order, columns[order].view(f"S{whole}").ravel()
 
 
 def occurrences(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, piece) of every occurrence of a piece in the words laid end to end, each followed by one end mark, in order of end."""
-    codes = np.frombuffer("\x00".join(words).encode("utf-32-le", "surrogatepass"), np.uint32) + 1
+    """(start, end, piece) of every occurrence of a piece in the words laid end to end, each followed by one end mark."""
+    points = np.frombuffer("\x00".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    codes = np.concatenate([codes, np.zeros(1, np.uint32)])
+    # Characters by rank from 1, in the fewest bytes that leave room for a code above the last.
+    alphabet, rank = np.unique(points, return_inverse=True)
+    size = 1 if len(alphabet) < 254 else 2 if len(alphabet) < 65_000 else 4
+    codes = np.zeros(len(points) + 1, f">u{size}")
+    codes[:-1] = rank + 1
     codes[ends] = 0
-    order, sorted_suffixes = suffix_array(codes, pieces.longest)
-    low = np.searchsorted(sorted_suffixes, pieces.keys, "left")
-    # the first suffix past all that start with the piece: the piece with its last code raised by one
-    after = pieces.keys.view(np.uint32).reshape(-1, pieces.longest).copy()
-    after[np.arange(len(after)), pieces.key_lengths - 1] += 1
-    high = np.searchsorted(sorted_suffixes, after.view(f"U{pieces.longest}").ravel(), "left")
-    n = high - low
-    at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-    start = order[at]
-    end = start + np.repeat(pieces.key_lengths, n)
-    ids = np.repeat(pieces.key_ids, n)
-    by_end = np.lexsort((start, end))
-    return start[by_end], end[by_end], ids[by_end]
+    order, suffixes = suffix_array(codes, pieces.longest)
+    # Only pieces of the text's own characters can occur.
+    own = np.isin(pieces.points, np.append(alphabet, pieces.none)).all(axis=1)
+    letters, lengths, ids = pieces.points[own], pieces.lengths[own], pieces.key_ids[own]
+    keys = np.zeros((len(letters), suffixes.dtype.itemsize // size), f">u{size}")
+    keys[:, : pieces.longest] = np.where(letters == pieces.none, 0, np.searchsorted(alphabet, np.minimum(letters, alphabet[-1])) + 1)
+    low = np.searchsorted(suffixes, keys.view(suffixes.dtype).ravel(), "left")
+    keys[np.arange(len(keys)), lengths - 1] += 1  # the first that no longer starts with the piece
+    n = np.searchsorted(suffixes, keys.view(suffixes.dtype).ravel(), "left") - low
+    at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else np.empty(0, np.int64)
+    start = order[at].astype(np.int32)
+    return start, start + np.repeat(lengths.astype(np.int32), n), np.repeat(ids.astype(np.int32), n)
 
 
 class _Agreements:
@@ -143,9 +139,20 @@ class _Agreements:
     def __init__(self, pieces: Pieces):
         self.pieces, self.n = pieces, len(pieces.text)
         self.keys, self.ok = np.empty(0, np.int64), np.empty(0, bool)
+        # a table that holds for each slot the pair asked for last
+        self.slot_key, self.slot_ok = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         asked = left * self.n + right
+        slot = (asked * 0x9E3779B1) >> 20 & ((1 << 20) - 1)
+        out = self.slot_ok[slot]
+        miss = np.flatnonzero(self.slot_key[slot] != asked)
+        if len(miss):
+            out[miss] = self._look_up(asked[miss])
+            self.slot_key[slot[miss]], self.slot_ok[slot[miss]] = asked[miss], out[miss]
+        return out
+
+    def _look_up(self, asked: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.keys, asked), max(0, len(self.keys) - 1))
         new = np.unique(asked[self.keys[at] != asked] if len(self.keys) else asked)
         if len(new):
@@ -170,9 +177,10 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
     start, end, ids = occurrences(words, pieces)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     base = np.cumsum(lengths + 1) - lengths - 1
-    word_of = np.searchsorted(base, end - 1, "right") - 1
-    step = end - base[word_of]
-    order = np.argsort(step, kind="stable")
+    # Edges in order of the position in their word where they end: small numbers, which a stable sort takes by radix.
+    within = np.arange(int(lengths.sum()) + len(words)) - np.repeat(base, lengths + 1)
+    step = within[end]
+    order = np.argsort(step.astype(np.uint16) if len(step) and step.max() < 1 << 16 else step, kind="stable")
     start, end, ids = start[order], end[order], ids[order]
     cuts = np.searchsorted(step[order], np.arange(1, lengths.max() + 2))
     # the piece kept at each position (between characters), and where it starts
@@ -194,7 +202,7 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
             ok = left >= BEGIN
             inner = np.flatnonzero(left >= 0)
             if len(inner):
-                ok[inner] = pieces.pairs.of(left[inner], piece[inner])
+                ok[inner] = pieces.pairs.of(left[inner], piece[inner].astype(np.int64))
             hit = np.flatnonzero(ok)
             kept[stop[hit]], origin[stop[hit]] = piece[hit], start[a:z][hit]
         a, z = stray_cuts[p - 1], stray_cuts[p]
@@ -226,24 +234,44 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
     return out
 
 
+def _cut(text: str | None) -> list[str]:
+    """Keys of a text's words: the word itself if one blank stands before it, else the word with all its blanks."""
+    if not text:
+        return []
+    t = text.replace(BLANK, " ")
+    if t[0] != " " and t[-1] != " " and "  " not in t:
+        return t.split(" ")
+    return [w[1:] if w[1:2] not in ("", " ") and w[0] == " " else w for w in WORDS.findall(" " + t)]
+
+
+def _spelled(key: str) -> str:
+    return key.replace(" ", BLANK) if key[0] == " " else BLANK + key
+
+
 def encode_texts(texts: list[str | None], pieces: Pieces, known: dict[str, bytes]) -> list[np.ndarray]:
     """Ids of each text; ``known`` keeps words from call to call."""
-    cut = [WORDS.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-    fresh = sorted({w for words in cut for w in words if w not in known}, key=len)  # like lengths together
-    at, long_words = 0, []
+    cut = [_cut(t) for t in texts]
+    new: set[str] = set()
+    for words in cut:
+        new.update(set(words).difference(known))
+    if len(known) + len(new) > CACHE:
+        for w in [w for w in known if len(w) > 6]:  # rare ones
+            del known[w]
+        new = {w for words in cut for w in words if w not in known}
+    fresh = sorted(new, key=len)  # like lengths together
+    at = 0
     while at < len(fresh):  # runs of bounded length
         size, stop = 0, at
-        while stop < len(fresh) and (stop == at or size + len(fresh[stop]) < RUN_CHARS // 4):
-            size += len(fresh[stop]) + 1
+        while stop < len(fresh) and (stop == at or size + len(fresh[stop]) < RUN_CHARS):
+            size += len(fresh[stop]) + 2
             stop += 1
-        known.update(zip(fresh[at:stop], encode_words(fresh[at:stop], pieces), strict=True))
+        known.update(zip(fresh[at:stop], encode_words([_spelled(w) for w in fresh[at:stop]], pieces), strict=True))
         at = stop
-    long_words = [w for w in fresh if len(w) > 40]
-    out = [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in cut]
-    for w in long_words:
+    out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
+    for w in reversed(fresh):
+        if len(w) <= 40:
+            break
         del known[w]
-    if len(known) > CACHE:
-        known.clear()
     return out
 
 
@@ -258,12 +286,12 @@ def decode_ids(ids: np.ndarray | list[int] | None, pieces: Pieces) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-def _runs(texts: pd.Series) -> Iterator[tuple[int, int]]:
-    """Slices of about RUN_CHARS characters."""
+def _stretches(texts: pd.Series) -> Iterator[tuple[int, int]]:
+    """Slices of about STRETCH_CHARS characters."""
     at, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= RUN_CHARS:
+        if size >= STRETCH_CHARS:
             yield at, i + 1
             at, size = i + 1, 0
     if at < len(texts):
@@ -288,15 +316,13 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pieces, known = _pieces(SparkFiles.get(name)), dict[str, bytes]()
+        pieces, known = _pieces(SparkFiles.get(name))
         for b in batches:
-            ids, same = [], []
-            for a, z in _runs(b):
+            for a, z in _stretches(b):
                 texts = b.iloc[a:z].tolist()
-                got = encode_texts(texts, pieces, known)
-                same += [decode_ids(x, pieces) == (t or "") for x, t in zip(got, texts, strict=True)]
-                ids += got
-            yield pd.DataFrame({"n_tokens": pd.Series(map(len, ids), dtype="int64"), "ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
+                ids = encode_texts(texts, pieces, known)
+                same = [decode_ids(x, pieces) == (t or "") for x, t in zip(ids, texts, strict=True)]
+                yield pd.DataFrame({"n_tokens": pd.Series(map(len, ids), dtype="int64"), "ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(same, dtype=bool)})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("got")).select("doc_id", "got.*")
 
@@ -307,7 +333,7 @@ def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = _pieces(SparkFiles.get(name))
+        pieces, _ = _pieces(SparkFiles.get(name))
         for b in batches:
             yield pd.Series([decode_ids(x, pieces) for x in b], dtype=object)
 
