@@ -7,11 +7,15 @@ radius: the children to visit are those whose distances differ from the query's
 disjoint parts of the bits: of 4 differing bits some third holds at most one, and of 13 some seventh, so each part is searched at radius 1,
 which leaves the leaf of the query and the leaves one step away in one level (the boundary overlap). Every pair that meets in a leaf is
 verified on all 64 bits; the result is exact.
+
+Where texts, not fingerprints, have to agree (``least``), fingerprints only propose, beside minima of the shingles' hashes that several texts
+share, and the distinct shingles of both texts decide.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,23 +52,46 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def fingerprint_of(text: str | None, shingle_words: int, wide: bool = False) -> tuple[int, bytes]:
-    """The 64-bit SimHash of one text and, if asked for, the wide one, see ``fingerprints``."""
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """XXH64 (seed 42) of a text's shingles, repeats included; none for a text without words."""
     import xxhash
 
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not found:
-        return 0, bytes(8 * WIDE) if wide else b""
+        return np.empty(0, np.uint64)
     line, digest = b" ".join(found), xxhash.xxh64_intdigest
     if len(found) <= shingle_words:
-        hashes = np.array([digest(line, 42)], np.uint64)
-    else:
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))[: len(found) - shingle_words + 1].tolist()
-        hashes = np.array([digest(line[a:b], 42) for a, b in zip(starts, ends[shingle_words - 1 :].tolist(), strict=True)], np.uint64)
+        return np.array([digest(line, 42)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(found) - shingle_words + 1].tolist()
+    return np.array([digest(line[a:b], 42) for a, b in zip(starts, ends[shingle_words - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint_of(text: str | None, shingle_words: int, wide: bool = False) -> tuple[int, bytes]:
+    """The 64-bit SimHash of one text and, if asked for, the wide one, see ``fingerprints``."""
+    hashes = shingle_hashes(text, shingle_words)
+    if not len(hashes):
+        return 0, bytes(8 * WIDE) if wide else b""
     return _majority(hashes), np.array([_majority(_mixed(hashes, k)) for k in range(1, WIDE + 1)], "<u8").tobytes() if wide else b""
 
 
+#: Keys of a text's sketch and minima in each: texts of which 0.8 of the shingles agree share no key in 7 cases of 100,000.
+KEYS, MINIMA = 24, 5
+MULTIPLIERS = _mixed(np.arange(1, KEYS * MINIMA + 1, dtype=np.uint64), 1) | np.uint64(1)
+
+
+def sketch_of(distinct: np.ndarray) -> tuple[bytes, list[int]]:
+    """A digest of the sorted distinct hashes, and keys (signed) of which two sets share each with probability Jaccard ** MINIMA."""
+    import xxhash
+
+    whole = xxhash.xxh3_128_digest(distinct.tobytes())
+    if not len(distinct):
+        return whole, []
+    low = np.min([np.multiply.outer(MULTIPLIERS, distinct[at : at + 4096]).min(axis=1) for at in range(0, len(distinct), 4096)], axis=0)
+    keys = [xxhash.xxh64_intdigest(low[k * MINIMA : (k + 1) * MINIMA].tobytes(), k) for k in range(KEYS)]
+    return whole, np.array(keys, np.uint64).view(np.int64).tolist()
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = 5, wide: bool = False) -> DataFrame:
     """(doc_id, fp, wide): each text's fingerprint as a signed long, and a finer one of 64 * WIDE bits (empty unless asked for).
 
@@ -210,21 +237,100 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None) -> DataFrame:
+def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """(doc_id, fp, whole, keys): each text's fingerprint and the sketch of its distinct shingles."""
+
+    @F.pandas_udf("fp long, whole binary, keys array<long>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = []
+            for x in b:
+                hashes = shingle_hashes(x, shingle_words)
+                got.append((_majority(hashes) if len(hashes) else 0, *sketch_of(np.unique(hashes))))
+            yield pd.DataFrame({"fp": np.array([g[0] for g in got], np.uint64).view(np.int64), "whole": pd.Series([g[1] for g in got], dtype=object), "keys": pd.Series([g[2] for g in got], dtype=object)})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("f")).select("doc_id", "f.*")
+
+
+def _judged(pairs: DataFrame, texts: DataFrame, shingle_words: int, least: float) -> DataFrame:
+    """(a, b, similar) for pairs (a, b): whether ``least`` or more of the distinct shingles of their texts (id, text) agree."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of = functools.lru_cache(64)(lambda text: np.unique(shingle_hashes(text, shingle_words)))
+        for b in batches:
+            similar = []
+            for x, y in zip(b["x"], b["y"], strict=True):
+                p, q = of(x), of(y)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                similar.append(both >= least * (len(p) + len(q) - both))
+            yield pd.DataFrame({"a": b["a"], "b": b["b"], "similar": np.array(similar, bool)})
+
+    x, y = texts.select(F.col("id").alias("a"), F.col("text").alias("x")), texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    got = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similar boolean")
+    return materialize(got.groupBy("a", "b").agg(F.max("similar").alias("similar")), "judged")
+
+
+def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
+    return rows.where(F.col(one) != F.col(two)).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+
+
+def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, least: float, proposed: DataFrame) -> DataFrame:
+    """(id, root): components of the pairs of (id, keys) of which ``least`` or more of the distinct shingles agree; nodes without a link are left out.
+
+    Judges the ``proposed`` pairs (a, b) first, then pairs that share a key: each round takes some members of every key as centres and judges
+    them against the members that are in other components still, pairs judged before excepted; a centre is then done with. The number of
+    centres grows by four, so a key of n members needs some log n rounds, and members in one component are never paired.
+    """
+    members = reps.select("id", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
+    members = materialize(members.join(shared, "key"), "members")
+    ids = members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = materialize(texts.join(ids, "id", "left_semi").distinct(), "near-texts")
+    judged = _judged(proposed, texts, shingle_words, least)
+    for turn in itertools.count():
+        roots = materialize(components(judged.where("similar").select("a", "b")), "roots")
+        placed = members.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
+        placed = materialize(placed.join(open_keys, "key"), "placed")
+        if placed.isEmpty():
+            return roots
+        order = F.xxhash64("id", "key")
+        centres = placed.groupBy("key", F.pmod(order, F.lit(4**turn)).alias("slot")).agg(F.min(F.struct(order.alias("order"), "id", "root")).alias("c"))
+        centres = materialize(centres.select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("centre_root")), "centres")
+        met = placed.join(centres, "key").where(F.col("root") != F.col("centre_root"))
+        fresh = _pairs(met, "id", "centre").join(judged, ["a", "b"], "left_anti")
+        judged = judged.union(_judged(fresh, texts, shingle_words, least))
+        done = centres.select("key", F.col("centre").alias("id"))
+        members = materialize(placed.select("key", "id").join(done, ["key", "id"], "left_anti"), "members")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None, least: float | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of (doc_id, text): rows whose fingerprints differ in ``radius`` bits or fewer (and whose
-    wide ones in ``wide_radius`` or fewer, if given) are linked, and ``component_id`` is the smallest doc_id that links reach.
+    wide ones in ``wide_radius`` or fewer, if given) are linked, and ``component_id`` is the smallest doc_id that links reach. With ``least``, rows
+    are linked if that share of all their distinct shingles is in both, whatever their fingerprints, which then only propose pairs.
 
     Null, empty and blank texts share fingerprint zero and link like any other. Repeated rows each come back. A row without doc_id gets a
     fingerprint, links nothing and has no component. An empty table gives an empty result. Other columns are ignored.
     """
-    fps = materialize(fingerprints(docs, shingle_words, wide_radius is not None), "fingerprints")
-    reps = materialize(fps.where(F.col("doc_id").isNotNull()).groupBy("fp", "wide").agg(F.min("doc_id").alias("id")), "reps")
-    roots = components(links(reps, radius, parts, field_bits, wide_radius))
-    reps = reps.join(roots, "id", "left").select("fp", "wide", F.coalesce("root", "id").alias("component"))
-    out = fps.join(reps, ["fp", "wide"], "left")
+    if least is None:
+        node = ["fp", "wide"]
+        fps = materialize(fingerprints(docs, shingle_words, wide_radius is not None), "fingerprints")
+        reps = materialize(fps.where(F.col("doc_id").isNotNull()).groupBy(*node).agg(F.min("doc_id").alias("id")), "reps")
+        roots = components(links(reps, radius, parts, field_bits, wide_radius))
+    else:
+        node = ["whole"]
+        fps = materialize(_sketches(docs, shingle_words), "sketches")
+        reps = fps.where(F.col("doc_id").isNotNull()).groupBy("whole").agg(F.min(F.struct("doc_id", "fp", "keys")).alias("m"))
+        reps = materialize(reps.select("whole", F.col("m.doc_id").alias("id"), "m.fp", "m.keys"), "reps")
+        first = materialize(reps.groupBy("fp").agg(F.min("id").alias("first")), "first")
+        near = links(first.select(F.col("first").alias("id"), "fp", F.lit(b"").alias("wide")), radius, parts, field_bits)
+        proposed = materialize(near.union(_pairs(reps.join(first, "fp"), "id", "first")).distinct(), "proposed")
+        roots = similar_components(docs, reps, shingle_words, least, proposed)
+    reps = reps.join(roots, "id", "left").select(*node, F.coalesce("root", "id").alias("component"))
+    out = fps.join(reps, node, "left")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
 
 
-#: Settings that link texts of which about 0.8 or more of the shingles agree. At that similarity 64-bit fingerprints differ in 11 bits or so,
-#: too near to what chance gives among many texts, so they only propose, and the wide fingerprint (39 of 256 bits at 0.8) decides.
-SIMILAR = {"shingle_words": 5, "radius": 13, "parts": 7, "field_bits": 1, "wide_radius": 42}
+#: Settings that link texts of which 0.8 or more of the distinct shingles agree.
+SIMILAR = {"shingle_words": 5, "least": 0.8}

@@ -93,3 +93,19 @@ def test_odd_rows(spark):
     twice = twice.withColumn("doc_id", F.when(F.col("doc_id") == 1, F.lit(7))).union(documents(spark, ["zz", "a b c"]).where("doc_id = 1").withColumn("doc_id", F.lit(5).cast("long")))
     got = simhash.near_duplicates(twice)
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in got.collect()) == [(-1, None), (-1, None), (5, 5), (7, 5), (7, 5)]
+
+
+def test_shared_shingles_decide(spark):
+    """Pairs a little over and under 0.8, and texts that differ in all but a line that fills more than half of each."""
+    rng = random.Random(8)
+    texts, similar = [], []
+    for g in range(120):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        n = 22 if g % 2 else 23  # of 200 shingles: 178 of 222 (0.802) or 177 of 223 (0.794) agree
+        texts += [" ".join(base), " ".join(base[:-n] + [f"x{rng.randrange(10**6)}" for _ in range(n)])]
+        similar.append(g % 2 == 1)
+    line = "the same line again and again " * 60
+    texts += [line + " ".join(f"v{rng.randrange(10**6)}" for _ in range(150)) for _ in range(6)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(spark, texts), **simhash.SIMILAR).collect()}
+    assert [got[2 * g + 1] == 2 * g for g in range(120)] == similar
+    assert [got[i] for i in range(240, 246)] == list(range(240, 246))
