@@ -100,12 +100,14 @@ def text_segments(text: str | None, scores: WordScores, drift: float) -> tuple[i
 
 def evidence(n: int, seg_scores: list[float], k: float, lam: float) -> float:
     """-ln of the least probability, over r, that clean text of n tokens has r segments at least as high as the r-th highest here."""
-    best = 0.0
-    for r, s in enumerate(sorted(seg_scores, reverse=True)[:64], 1):  # past 64 segments the bound below only grows
-        mean = max(k * n * math.exp(-lam * s), 1e-12)
-        if mean < r:  # ln P(Poisson(mean) >= r) is at most ln of mean^r / r! here
-            best = max(best, min(700.0, -(r * math.log(mean) - math.lgamma(r + 1)) - math.log(r)))
-    return best
+    if not seg_scores:
+        return 0.0
+    r = np.arange(1, len(seg_scores) + 1, dtype=float)
+    mean = np.maximum(k * n * np.exp(-lam * np.sort(np.asarray(seg_scores, float))[::-1]), 1e-12)
+    few = mean < r  # so P(Poisson(mean) >= r) is at most e^-mean mean^r / r! times the geometric series of mean / (r + 1)
+    r, mean, ln_factorial = r[few], mean[few], np.cumsum(np.log(r))[few]
+    bound = mean - r * np.log(mean) + ln_factorial + np.log1p(-mean / (r + 1))
+    return float(np.max(np.minimum(700.0, bound) - np.log(r), initial=0.0))
 
 
 #: Occurrences and texts, of toxic and clean texts; once without the calibration fold, once with it.

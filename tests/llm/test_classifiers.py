@@ -1,5 +1,6 @@
 """Held-out accuracy on labelled texts, the segment scan against brute force, and odd rows."""
 
+import math
 import random
 
 import pytest
@@ -108,3 +109,17 @@ def test_words_are_scored_alike_in_cache_and_out():
     at, n = quality.bag(text)
     z = float((model.gain[at] * n).sum() / n.sum()) + 0.5
     assert abs(quality.text_score(text, model, words) - 1 / (1 + 2.718281828459045**-z)) < 1e-6
+
+
+def test_evidence_of_many_short_segments():
+    """Against the tail itself, also where hundreds of segments are expected and many more are there."""
+    n, lam = 100_000, 1.0
+    for mean in (0.01, 0.9, 5.0, 30.0, 64.0, 200.0):
+        for r in (1, 5, 64, 128, 256, 512, 2000):
+            got = toxicity.evidence(n, [2.0] * r, mean / n * math.exp(2.0), lam)
+            terms = [i * math.log(mean) - mean - math.lgamma(i + 1) for i in range(r, r + 2000)]
+            tail = -max(terms) - math.log(sum(math.exp(t - max(terms)) for t in terms))
+            assert got <= max(tail, 0.0) + 1e-6
+            if r > 2 * mean:
+                assert got >= min(700.0, tail) - math.log(r) - 1.0
+    assert toxicity.evidence(n, [], 0.001, lam) == 0.0
