@@ -89,24 +89,23 @@ def coordinate(x: Column, digits: int = 4) -> Column:
     return F.bround(x.cast("double"), digits)
 
 
-#: Faces in order with the three components of their direction as signed names of u, v or 1.
+# The faces in order, and for each of x, y and z its factors of 1, u and v.
 FACES = {
-    "px": ("1", "-v", "-u"),
-    "nx": ("-1", "-v", "u"),
-    "py": ("u", "1", "v"),
-    "ny": ("u", "-1", "-v"),
-    "pz": ("u", "-v", "1"),
-    "nz": ("-u", "-v", "-1"),
+    "px": ((1, 0, 0), (0, 0, -1), (0, -1, 0)),
+    "nx": ((-1, 0, 0), (0, 0, -1), (0, 1, 0)),
+    "py": ((0, 1, 0), (1, 0, 0), (0, 0, 1)),
+    "ny": ((0, 1, 0), (-1, 0, 0), (0, 0, -1)),
+    "pz": ((0, 1, 0), (0, 0, -1), (1, 0, 0)),
+    "nz": ((0, -1, 0), (0, 0, -1), (-1, 0, 0)),
 }
 
 
 def face_direction(face: Column, u: Column, v: Column) -> Column:
     """Unit vector struct(x, y, z) of a cube face's coordinates; null for an unknown face."""
-    named = {"1": F.lit(1.0), "-1": F.lit(-1.0), "u": u, "v": v, "-u": -u, "-v": -v}
     length = F.sqrt(u * u + v * v + 1.0)
     out = None
     for name, parts in FACES.items():
-        d = F.struct(*[(named[p] / length).alias(k) for k, p in zip("xyz", parts, strict=True)])
+        d = F.struct(*[((a + b * u + c * v) / length).alias(k) for k, (a, b, c) in zip("xyz", parts, strict=True)])
         out = F.when(face == name, d) if out is None else out.when(face == name, d)
     return out
 

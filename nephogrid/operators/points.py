@@ -7,7 +7,7 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
@@ -45,9 +45,28 @@ def or_default(points: DataFrame) -> DataFrame:
     return points.select("seq", "lat", "lng").unionByName(stand_in)
 
 
-def capped(points: DataFrame, most: int = 2000, seed: int = 0) -> DataFrame:
-    """All points if there are at most ``most``; else that many, in an order that hashes ``seq`` and the seed, so reruns agree."""
-    return points.orderBy(F.xxhash64(F.col("seq"), F.lit(seed)), "seq").limit(most)
+def capped(points: DataFrame, most: int = 2000, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """All points if there are at most ``most``; else that many, in an order that hashes ``seq`` and the seed, so reruns agree.
+
+    ``order`` stands in for that hash, where the choice has to be stated otherwise.
+    """
+    return points.orderBy(F.xxhash64(F.col("seq"), F.lit(seed)) if order is None else order, "seq").limit(most)
+
+
+def to_json(points: DataFrame) -> DataFrame:
+    """One row, ``points``: a JSON array of {"lat", "lng"} in order of ``seq``. For capped points: all of them are one value."""
+    rows = F.sort_array(F.collect_list(F.struct("seq", "lat", "lng")))
+    return points.agg(F.to_json(F.transform(rows, lambda p: F.struct(p["lat"].alias("lat"), p["lng"].alias("lng")))).alias("points"))
+
+
+def storm_points(payloads: DataFrame, most: int = 2000, seed: int = 0, order: Column | None = None) -> DataFrame:
+    """(seq, lat, lng) of payloads (path, content): decoded, one point a cell, default places if there is none, at most ``most``.
+
+    Points of one payload keep their order; payloads come in order of path.
+    """
+    few = capped(first_per_cell(decode(payloads).select(F.struct("path", "seq").alias("seq"), "lat", "lng")), most, seed, order)
+    numbered = few.select((F.row_number().over(Window.orderBy("seq")) - 1).cast("long").alias("seq"), "lat", "lng")  # at most ``most`` rows
+    return or_default(numbered)
 
 
 def decode_payload(data: bytes) -> list[tuple[float, float]]:

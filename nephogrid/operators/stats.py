@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bands of absolute latitude, the lower end exclusive.
+# Bands of absolute latitude, the lower end exclusive. The labels are our own.
 ZONES = ((0, 30, "low"), (30, 45, "mid_low"), (45, 60, "mid"), (60, 70, "mid_high"), (70, 80, "high"), (80, 90, "polar"))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
 from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
+from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
 from nephogrid.sources import stand_ins as si
 
@@ -104,7 +105,7 @@ def cdf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lut(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    main, aux = si.primary_density(spark, sf_dir), gaps.subtract_background(si.secondary(spark, sf_dir), "s")
+    main, aux = si.primary_density(spark, sf_dir), gaps.subtract_background(si.secondary_on_grid(spark, sf_dir), "s")
     return main, aux, gaps.match_table(main, aux)
 
 
@@ -131,7 +132,7 @@ def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gap_fill_feather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gaps.fill_gaps(si.primary_density(spark, sf_dir), si.secondary(spark, sf_dir)).select("r", "c", "d")
+    return gaps.fill_gaps(si.primary_density(spark, sf_dir), si.secondary_on_grid(spark, sf_dir)).select("r", "c", "d")
 
 
 @query
@@ -148,25 +149,57 @@ def pad_to_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.pad_to_global(d, 104)
 
 
+def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plane cut into tiles of 16 x 16."""
+    return si.plane(spark, sf_dir).select(F.expr("r div 16").alias("ty"), F.expr("c div 16").alias("tx"), (F.col("r") % 16).alias("y"), (F.col("c") % 16).alias("x"), "v")
+
+
 @query
 def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 64 rows of the plane as 4 x 4 tiles of 16."""
-    p = si.plane(spark, sf_dir).where("r < 64")
-    tiles = p.select(F.expr("r div 16 % 4").alias("ty"), F.expr("c div 16").alias("tx"), (F.col("r") % 16).alias("y"), (F.col("c") % 16).alias("x"), "v")
-    return layout.mosaic(tiles, 16)
+    return layout.mosaic(_tiles(spark, sf_dir), 16)
+
+
+def _caps(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, int, int]]:
+    """The whole secondary raster as either cap, the southern one inverted."""
+    b, h = si.secondary(spark, sf_dir, polar_only=False), si.secondary_height(spark, sf_dir)
+    return {"cap_north": (b.select("r", "c", F.col("s").alias("v")), si.WIDTH, h), "cap_south": (b.select("r", "c", (255 - F.col("s")).alias("v")), si.WIDTH, h)}
 
 
 @query
 def band_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = si.secondary(spark, sf_dir, polar_only=False)
-    caps, bands = b.select("r", "c", F.col("s").alias("v")), b.select("r", "c", (255 - F.col("s")).alias("v"))
-    return layout.polar_composite({"cap_north": caps, "band_north": bands, "cap_south": caps, "band_south": bands}, si.height(spark, sf_dir))
+    """Whole rasters as all four bands, each resized to its rows."""
+    caps = _caps(spark, sf_dir)
+    return layout.polar_composite(caps | {"band_north": caps["cap_south"], "band_south": caps["cap_north"]}, si.WIDTH, si.height(spark, sf_dir))
+
+
+@query
+def polar_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polar auxiliary from tiles and caps."""
+    rows = si.table(spark, sf_dir, "embeddings").count()
+    return cloud_map.polar_auxiliary(_tiles(spark, sf_dir), 16, (64, rows), _caps(spark, sf_dir), si.WIDTH, si.height(spark, sf_dir))
+
+
+@query
+def source_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest slot, its raster, density and gamma, half the size."""
+    h = si.height(spark, sf_dir)
+    slots, now, path = _slots(spark, sf_dir)
+    grid, stamp = cloud_map.load_first(slots, now, lambda _: (si.primary(spark, sf_dir), si.WIDTH, h), path, cloud_map.CloudMapConfig(si.WIDTH // 2, h // 2))
+    return grid.select(F.lit(stamp).alias("stamp"), "r", "c", F.round("lat", 6).alias("lat"), "d")
+
+
+@query
+def whole_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill, threshold, stretch, edges and faces."""
+    h = si.height(spark, sf_dir)
+    return cloud_map.cloud_map(si.primary_density(spark, sf_dir), si.secondary_on_grid(spark, sf_dir), cloud_map.CloudMapConfig(si.WIDTH, h, h // 2))
 
 
 @query
 def mercator_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A band as wide as the plane is high."""
     rows = si.table(spark, sf_dir, "embeddings").count()
-    return geometry.reproject_mercator(si.plane(spark, sf_dir), "v", 64, rows, 60.0, 85.0, 128)
+    return geometry.reproject_mercator(si.plane(spark, sf_dir), "v", 64, rows, 60.0, 85.0, rows)
 
 
 @query
@@ -179,19 +212,21 @@ def bilinear_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cubemap_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = geometry.cubemap_targets(spark, 32, si.WIDTH, si.height(spark, sf_dir))
+    h = si.height(spark, sf_dir)
+    at = geometry.cubemap_targets(spark, h // 2, si.WIDTH, h)
     return at.select("face", "fy", "fx", F.round(F.pmod(F.round("ix", 6), F.lit(float(si.WIDTH))), 6).alias("ix"), F.round("iy", 6).alias("iy"))
 
 
 @query
 def cubemap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geometry.cubemap(si.primary_density(spark, sf_dir), "d", si.WIDTH, si.height(spark, sf_dir), 32)
+    h = si.height(spark, sf_dir)
+    return geometry.cubemap(si.primary_density(spark, sf_dir), "d", si.WIDTH, h, h // 2)
 
 
 @query
 def lanczos_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = si.table(spark, sf_dir, "embeddings").count()
-    return resample.lanczos(si.plane(spark, sf_dir), 64, rows, 25, 120)
+    return resample.lanczos(si.plane(spark, sf_dir), 64, rows, 25, rows // 2)
 
 
 @query
@@ -207,7 +242,14 @@ def storm_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def storm_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With an order that both engines can state."""
-    return si.points(spark, sf_dir).orderBy(F.col("seq") * 7919 % 10007, "seq").limit(2000)
+    return points.capped(si.points(spark, sf_dir), 2000, order=F.col("seq") * 7919 % 10007)
+
+
+@query
+def storm_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads decoded, one point a cell, at most 2,000, as one JSON array."""
+    order = F.col("seq.seq") * 7919 % 503
+    return points.to_json(points.storm_points(si.payloads(spark, sf_dir), 2000, order=order))
 
 
 @query
@@ -218,12 +260,28 @@ def storm_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.decode(spark.createDataFrame(made, "path string, content binary"))
 
 
-@query
-def latest_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _slots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
+    """Slots, the time from which to look back, and the path of a slot."""
     e = si.table(spark, sf_dir, "events")
     now = e.agg((F.date_trunc("hour", F.max("ts")) - F.make_interval(hours=F.lit(30))).alias("now")).first()["now"]
     slots = e.select(F.date_trunc("hour", "ts").alias("slot"), (F.col("event_type") == "purchase").alias("available"))
-    return discovery.latest_slot(slots, F.lit(now)).select(F.date_format("slot", "yyyyMMdd_HHmmss").alias("stamp"), discovery.hourly_path("archive", "composite", F.col("slot")).alias("path"))
+    return slots, F.lit(now), discovery.hourly_path("archive", "composite", F.col("slot"))
+
+
+@query
+def latest_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slots, now, path = _slots(spark, sf_dir)
+    return discovery.latest_slot(slots, now).select(F.date_format("slot", "yyyyMMdd_HHmmss").alias("stamp"), path.alias("path"))
+
+
+@query
+def second_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variable, scaling and stamp read off made headers, one for each event type and hour."""
+    e = si.table(spark, sf_dir, "events").select(F.date_trunc("hour", "ts").alias("hour"), "event_type").distinct()
+    names = F.when(F.col("event_type") == "view", F.array(F.lit("x"), F.lit("LIR"))).when(F.col("event_type") == "click", F.array(F.lit("IR"), F.lit("data"))).otherwise(F.array(F.lit("y"), F.lit("z")))
+    long_name = F.concat("event_type", F.when(F.hour("hour") % 2 == 0, " scaled 0-255").otherwise(" in kelvin"))
+    stamp = discovery.compact_time(F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return e.select("event_type", stamp.alias("stamp"), discovery.chosen_variable(names).alias("variable"), discovery.is_scaled(long_name).alias("is_scaled"))
 
 
 @query

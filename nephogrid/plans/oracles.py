@@ -12,14 +12,20 @@ dens AS (SELECT *, CASE WHEN bt IS NULL OR coalesce(phase, 0) < 1 THEN 0
 g AS (SELECT r, c, lat, CASE WHEN d0 > 0 THEN CAST(floor(255e0 * power(d0 / 255e0, 0.45e0)) AS BIGINT) ELSE 0 END AS d FROM dens)"""
 
 _B_RAW = """
+odims AS (SELECT count(*) // 100 AS oh FROM orders),
 braw AS (SELECT o_orderkey // 100 AS r, o_orderkey % 100 AS c, CAST(floor(o_totalprice) AS BIGINT) % 256 AS s,
-        90e0 - (o_orderkey // 100) * 180e0 / (h - 1) AS lat FROM orders, dims WHERE o_orderkey < h * 100)"""
-_B = (
-    _B_RAW
-    + """,
+        90e0 - (o_orderkey // 100) * 180e0 / (oh - 1) AS lat FROM orders, odims)"""
+_B_FLOOR = """,
 b AS (SELECT r, c, lat, CASE WHEN abs(lat) < 60 THEN 0 ELSE s END AS s FROM braw),
 bg AS (SELECT coalesce(CAST(floor(quantile_cont(s, 0.05) FILTER (WHERE s > 0)) AS BIGINT), 0) AS bg FROM b),
 bs AS (SELECT r, c, lat, greatest(s - bg, 0) AS s FROM b, bg)"""
+_B = _B_RAW + _B_FLOOR
+#: All orders on the primary raster's grid.
+_B_GRID = (
+    """
+bput AS (SELECT o_orderkey % (h * 100) AS k, CAST(floor(o_totalprice) AS BIGINT) % 256 AS s, h FROM orders, dims),
+braw AS (SELECT k // 100 AS r, k % 100 AS c, max(s) AS s, 90e0 - (k // 100) * 180e0 / (any_value(h) - 1) AS lat FROM bput GROUP BY k)"""
+    + _B_FLOOR
 )
 
 _LUT = """
@@ -34,8 +40,12 @@ lut AS (SELECT x.k AS src, CASE WHEN (SELECT count(*) FROM ov) > 100 THEN arg_mi
 _FILL = """
 fl AS (SELECT g.r, g.c, g.lat, g.d, g.d = 0 AND abs(g.lat) > 60 AS gap, coalesce(lut.dst, 0) AS s FROM g LEFT JOIN bs USING (r, c) LEFT JOIN lut ON lut.src = bs.s)"""
 
+_FEATHER = """
+filled AS MATERIALIZED (SELECT r, c, CASE WHEN NOT gap THEN d WHEN abs(lat) BETWEEN 60 AND 62 THEN CAST(floor(d * (1e0 - w) + s * w) AS BIGINT) ELSE s END AS d
+        FROM (SELECT *, (1e0 - cos((abs(lat) - 60e0) / 2e0 * pi())) / 2e0 AS w FROM fl))"""
+
 _C = """
-cp AS (SELECT CAST(vec_id AS BIGINT) AS r, CAST(c AS BIGINT) AS c, CAST(floor(least(greatest((CAST(embedding[c + 1] AS DOUBLE) + 0.5e0) * 255e0, 0e0), 255e0)) AS BIGINT) AS v
+cp AS MATERIALIZED (SELECT CAST(vec_id AS BIGINT) AS r, CAST(c AS BIGINT) AS c, CAST(floor(least(greatest((CAST(embedding[c + 1] AS DOUBLE) + 0.5e0) * 255e0, 0e0), 255e0)) AS BIGINT) AS v
         FROM embeddings, range(64) t(c))"""
 
 _L = """
@@ -62,36 +72,60 @@ SELECT r, c, CASE WHEN n > 1 AND high > low THEN CAST(floor(least(greatest((d -
 
 
 def _bilinear(points: str, keys: str, source: str, w: str, h: str) -> str:
-    """Samples ``source`` (r, c, v) at ``points`` (keys, ix, iy)."""
+    """Samples ``source`` (r, c, v) at ``points`` (keys, ix, iy); its rows are made lists once and joined twice."""
     return f"""
+ls AS MATERIALIZED (SELECT r, list(v ORDER BY c) AS line FROM {source} GROUP BY r),
 q AS (SELECT *, floor(ix) AS fx0, floor(iy) AS fy0 FROM {points}),
-n4 AS (SELECT *, ((CAST(fx0 AS BIGINT) % {w}) + {w}) % {w} AS x0, ((CAST(fx0 AS BIGINT) + 1) % {w} + {w}) % {w} AS x1,
+n4 AS MATERIALIZED (SELECT *, ((CAST(fx0 AS BIGINT) % {w}) + {w}) % {w} AS x0, ((CAST(fx0 AS BIGINT) + 1) % {w} + {w}) % {w} AS x1,
         greatest(0, least(CAST(fy0 AS BIGINT), {h} - 1)) AS y0, greatest(0, least(CAST(fy0 AS BIGINT) + 1, {h} - 1)) AS y1, ix - fx0 AS ax, iy - fy0 AS ay FROM q),
-sm AS (SELECT {keys}, greatest(0, least(255, CAST(round_even(v00.v * (1 - ax) * (1 - ay) + v10.v * ax * (1 - ay) + v01.v * (1 - ax) * ay + v11.v * ax * ay, 0) AS BIGINT))) AS v FROM n4
-        JOIN {source} v00 ON v00.r = y0 AND v00.c = x0 JOIN {source} v10 ON v10.r = y0 AND v10.c = x1
-        JOIN {source} v01 ON v01.r = y1 AND v01.c = x0 JOIN {source} v11 ON v11.r = y1 AND v11.c = x1)"""
+v4 AS (SELECT n4.*, a.line[x0 + 1] AS v00, a.line[x1 + 1] AS v10, b.line[x0 + 1] AS v01, b.line[x1 + 1] AS v11 FROM n4 JOIN ls a ON a.r = y0 JOIN ls b ON b.r = y1),
+sm AS (SELECT {keys}, greatest(0, least(255, CAST(round_even(v00 * (1 - ax) * (1 - ay) + v10 * ax * (1 - ay) + v01 * (1 - ax) * ay + v11 * ax * ay, 0) AS BIGINT))) AS v FROM v4)"""
 
 
-def _cube(size: int) -> str:
+def _cube() -> str:
+    """Faces of half the raster's height."""
     cases = {"px": ("1e0", "-v", "-u"), "nx": ("-1e0", "-v", "u"), "py": ("u", "1e0", "v"), "ny": ("u", "-1e0", "-v"), "pz": ("u", "-v", "1e0"), "nz": ("-u", "-v", "-1e0")}
     parts = " UNION ALL ".join(f"SELECT '{f}' AS face, fy, fx, {x} AS x, {y} AS y, {z} AS z, u, v FROM uv" for f, (x, y, z) in cases.items())
     return f"""
-uv AS (SELECT CAST(i // {size} AS BIGINT) AS fy, CAST(i % {size} AS BIGINT) AS fx, (i % {size}) * 2e0 / {size} - 1e0 AS u, (i // {size}) * 2e0 / {size} - 1e0 AS v FROM range({size * size}) t(i)),
+uv AS (SELECT CAST(i // z AS BIGINT) AS fy, CAST(i % z AS BIGINT) AS fx, (i % z) * 2e0 / z - 1e0 AS u, (i // z) * 2e0 / z - 1e0 AS v FROM (SELECT h // 2 AS z, unnest(range((h // 2) * (h // 2))) AS i FROM dims)),
 dr AS (SELECT face, fy, fx, x / l AS x, y / l AS y, z / l AS z FROM (SELECT *, sqrt(u * u + v * v + 1e0) AS l FROM ({parts}))),
 spots AS (SELECT face, fy, fx, (CASE WHEN x = 0 AND y = 0 AND face = 'nz' THEN -pi() ELSE atan2(y, x) END / (2 * pi()) + 0.5e0) * w AS x0,
         greatest(0e0, least((0.5e0 - asin(greatest(-1e0, least(1e0, z))) / pi()) * h, h - 1e0)) AS iy, w, h FROM dr, dims)"""
 
 
-def _lanczos(n_in: str, n_out: int, name: str) -> str:
+def _lanczos(n_in: str, n_out: str, name: str) -> str:
+    """Weights (o, i, w) of a resize along one axis."""
     return f"""
-{name}m AS (SELECT o, (o + 0.5e0) * ({n_in} / {n_out}e0) AS mid, greatest(1e0, {n_in} / {n_out}e0) AS sc, {n_in} AS n FROM range({n_out}) t(o)),
-{name}k AS (SELECT o, i, (i - mid + 0.5e0) / sc AS x FROM {name}m, range(4000) u(i) WHERE i >= greatest(0, CAST(floor(mid - 3 * sc + 0.5e0) AS BIGINT)) AND i < least(n, CAST(floor(mid + 3 * sc + 0.5e0) AS BIGINT))),
+{name}s AS (SELECT CAST({n_in} AS BIGINT) AS n, CAST({n_out} AS BIGINT) AS m),
+{name}m AS (SELECT o, (o + 0.5e0) * (n / CAST(m AS DOUBLE)) AS mid, greatest(1e0, n / CAST(m AS DOUBLE)) AS sc, n FROM (SELECT unnest(range(m)) AS o, n, m FROM {name}s)),
+{name}k AS (SELECT o, i, (i - mid + 0.5e0) / sc AS x FROM (SELECT *, unnest(range(greatest(0, CAST(floor(mid - 3 * sc + 0.5e0) AS BIGINT)), least(n, CAST(floor(mid + 3 * sc + 0.5e0) AS BIGINT)))) AS i FROM {name}m)),
 {name}w AS (SELECT o, i, CASE WHEN x = 0 THEN 1e0 WHEN abs(x) < 3 THEN 3e0 * sin(x * pi()) * sin(x * pi() / 3) / (x * pi() * x * pi()) ELSE 0e0 END AS w FROM {name}k),
 {name} AS (SELECT o, i, w / sum(w) OVER (PARTITION BY o) AS w FROM {name}w)"""
 
 
-def _band(name: str, src: str, first: str, rows: str) -> str:
-    return f"SELECT r + {first} AS r, c, s AS v, {name} AS o FROM {src} WHERE r < {rows}"
+def _resized(source: str, table: str, along: str, across: str, out: str) -> str:
+    """``source`` (r, c, v) resized along one axis."""
+    return f"{out} AS (SELECT {table}.o AS {along}, {across}, greatest(0, least(255, CAST(floor(round(sum(v * w), 6) + 0.5e0) AS BIGINT))) AS v FROM {source} JOIN {table} ON {table}.i = {source}.{along} GROUP BY {table}.o, {across})"
+
+
+_POLAR_ROWS = """
+rw AS (SELECT h, CAST(round_even((90e0 - 89.9e0) / 180e0 * h, 0) AS BIGINT) AS t, CAST(round_even((90e0 - 85e0) / 180e0 * h, 0) AS BIGINT) AS m, CAST(round_even((90e0 - 60e0) / 180e0 * h, 0) AS BIGINT) AS p,
+ CAST(round_even((90e0 + 89.9e0) / 180e0 * h, 0) AS BIGINT) AS st, CAST(round_even((90e0 + 85e0) / 180e0 * h, 0) AS BIGINT) AS sm, CAST(round_even((90e0 + 60e0) / 180e0 * h, 0) AS BIGINT) AS sp FROM dims)"""
+
+
+def _polar_bands(sources: dict[str, tuple[str, str]]) -> str:
+    """``pieces`` (r, c, v, o) of the four bands, given their sources (r, c, v) and those sources' heights."""
+    rows = {"cn": ("t", "m - t"), "bn": ("m", "p - m"), "cs": ("h - (st - sm)", "st - sm"), "bs4": ("sp", "sm - sp")}
+    parts, union = [], []
+    for i, (k, (first, n)) in enumerate(rows.items()):
+        source, height = sources[k]
+        parts += [_lanczos(height, f"(SELECT {n} FROM rw)", f"w{k}"), _resized(source, f"w{k}", "r", "c", f"p{k}")]
+        union.append(f"SELECT r + (SELECT {first} FROM rw) AS r, c, v, {i} AS o FROM p{k}")
+    return ",\n".join(parts) + ",\npieces AS (" + " UNION ALL ".join(union) + ")"
+
+
+_STORED = "bcap AS (SELECT r, c, s AS v FROM braw), binv AS (SELECT r, c, 255 - s AS v FROM braw)"
+_OH = "(SELECT oh FROM odims)"
 
 
 ORACLES: dict[str, str] = {
@@ -116,30 +150,53 @@ round(avg(d) FILTER (WHERE d > 0), 6) AS mean_above_zero FROM g""",
     "cdf": _with(_A, _B)
     + """, hh AS (SELECT CAST(range AS BIGINT) AS k, (SELECT count(*) FROM b WHERE s = range AND s > 0) AS n FROM range(256))
 SELECT k, round(CAST(CAST(CAST(CAST(sum(n) OVER (ORDER BY k) AS FLOAT) AS DOUBLE) / CAST(CAST(sum(n) OVER () AS FLOAT) AS DOUBLE) AS FLOAT) AS DOUBLE), 6) AS cdf FROM hh""",
-    "cdf_lut": _with(_A, _B, _LUT) + " SELECT src, dst FROM lut",
-    "lut_apply": _with(_A, _B, _LUT) + " SELECT bs.r, bs.c, lut.dst AS s FROM bs JOIN lut ON lut.src = bs.s",
+    "cdf_lut": _with(_A, _B_GRID, _LUT) + " SELECT src, dst FROM lut",
+    "lut_apply": _with(_A, _B_GRID, _LUT) + " SELECT bs.r, bs.c, lut.dst AS s FROM bs JOIN lut ON lut.src = bs.s",
     "gap_mask": _with(_A) + " SELECT r, c, d = 0 AND abs(lat) > 60 AS gap FROM g",
-    "gap_fill": _with(_A, _B, _LUT, _FILL) + " SELECT r, c, CASE WHEN gap THEN s ELSE d END AS d FROM fl",
-    "gap_fill_feather": _with(_A, _B, _LUT, _FILL)
-    + """ SELECT r, c, CASE WHEN NOT gap THEN d WHEN abs(lat) BETWEEN 60 AND 62 THEN CAST(floor(d * (1e0 - w) + s * w) AS BIGINT) ELSE s END AS d
-FROM (SELECT *, (1e0 - cos((abs(lat) - 60e0) / 2e0 * pi())) / 2e0 AS w FROM fl)""",
+    "gap_fill": _with(_A, _B_GRID, _LUT, _FILL) + " SELECT r, c, CASE WHEN gap THEN s ELSE d END AS d FROM fl",
+    "gap_fill_feather": _with(_A, _B_GRID, _LUT, _FILL, _FEATHER) + " SELECT r, c, d FROM filled",
+    "whole_map": _with(_A, _B_GRID, _LUT, _FILL, _FEATHER)
+    + """, th AS (SELECT r, c, CASE WHEN d < 45 THEN 0 ELSE d END AS d FROM filled),
+mm AS (SELECT count(*) AS n, min(d) AS low, max(d) AS high FROM th WHERE d > 0),
+sx AS MATERIALIZED (SELECT r, c, CASE WHEN n > 1 AND high > low THEN CAST(floor(least(greatest((d - low) / CAST(high - low AS DOUBLE), 0e0), 1e0) * 255) AS BIGINT) ELSE d END AS d FROM th, mm),
+src AS (SELECT x.r, x.c, y.d AS v FROM sx x JOIN sx y ON y.r = x.r AND y.c = CASE WHEN x.c < 3 THEN x.c + 3 WHEN x.c >= 97 THEN x.c - 3 ELSE x.c END),"""
+    + _cube()
+    + ", pt AS (SELECT face, fy, fx, ((x0 % w) + w) % w AS ix, iy, w, h FROM spots),"
+    + _bilinear("pt", "face, fy, fx", "src", "w", "h")
+    + " SELECT face, fy, fx, v FROM sm",
     "edge_fix": _with(_A) + " SELECT x.r, x.c, y.d FROM g x JOIN g y ON y.r = x.r AND y.c = CASE WHEN x.c < 3 THEN x.c + 3 WHEN x.c >= 97 THEN x.c - 3 ELSE x.c END",
     "pad_to_global": _with(_A)
     + """, part AS (SELECT r - (SELECT min(r) FROM g WHERE abs(lat) <= 60) AS r, c, lat, d FROM g WHERE abs(lat) <= 60),
 sh AS (SELECT max(lat) AS top, CAST(round_even((max(r) + 1) * 180e0 / (max(lat) - min(lat)), 0) AS BIGINT) AS hh FROM part),
 grid AS (SELECT i // 104 AS r, i % 104 AS c FROM (SELECT unnest(range(CAST(hh AS BIGINT) * 104)) AS i FROM sh))
 SELECT CAST(grid.r AS BIGINT) AS r, CAST(grid.c AS BIGINT) AS c, coalesce(part.d, 0) AS d FROM grid CROSS JOIN sh LEFT JOIN part ON part.r + CAST(round_even((90e0 - top) / 180e0 * hh, 0) AS BIGINT) = grid.r AND part.c = grid.c""",
-    "mosaic": _with(_C) + " SELECT (r // 16 % 4) * 16 + r % 16 AS r, (c // 16) * 16 + c % 16 AS c, v FROM cp WHERE r < 64",
-    "band_composite": _with(_A, _B_RAW)
-    + """, rw AS (SELECT h, CAST(round_even((90e0 - 89.9e0) / 180e0 * h, 0) AS BIGINT) AS t, CAST(round_even((90e0 - 85e0) / 180e0 * h, 0) AS BIGINT) AS m, CAST(round_even((90e0 - 60e0) / 180e0 * h, 0) AS BIGINT) AS p,
- CAST(round_even((90e0 + 89.9e0) / 180e0 * h, 0) AS BIGINT) AS st, CAST(round_even((90e0 + 85e0) / 180e0 * h, 0) AS BIGINT) AS sm, CAST(round_even((90e0 + 60e0) / 180e0 * h, 0) AS BIGINT) AS sp FROM dims),
-al AS (SELECT braw.r, braw.c, s, rw.* EXCLUDE (h), rw.h AS hh FROM braw, rw),
-pieces AS (SELECT r + t AS r, c, s AS v, 0 AS o FROM al WHERE r < m - t UNION ALL SELECT r + m, c, 255 - s, 1 FROM al WHERE r < p - m
- UNION ALL SELECT r + hh - (st - sm), c, s, 2 FROM al WHERE r < st - sm UNION ALL SELECT r + sp, c, 255 - s, 3 FROM al WHERE r < sm - sp)
-SELECT r, c, arg_max(v, o) AS v FROM pieces GROUP BY r, c""",
+    "mosaic": _with(_C) + " SELECT (r // 16) * 16 + r % 16 AS r, (c // 16) * 16 + c % 16 AS c, v FROM cp",
+    "band_composite": _with(_A, _B_RAW, _POLAR_ROWS, _STORED, _polar_bands({"cn": ("bcap", _OH), "bn": ("binv", _OH), "cs": ("binv", _OH), "bs4": ("bcap", _OH)})) + " SELECT r, c, arg_max(v, o) AS v FROM pieces GROUP BY r, c",
+    "polar_build": _with(_A, _B_RAW, _C, _POLAR_ROWS, _STORED)
+    + """, md AS (SELECT count(*) AS mh FROM embeddings), bh AS (SELECT greatest(1, CAST(round_even(25e0 / 180 * 100 * 0.5e0, 0) AS BIGINT)) AS bh),
+ll AS (SELECT band, CAST(i // 100 AS BIGINT) AS r, CAST(i % 100 AS BIGINT) AS c, top - (i // 100 + 0.5e0) / bh * 25e0 AS lat, -180e0 + (i % 100 + 0.5e0) / 100 * 360e0 AS lon
+        FROM (SELECT bh, unnest(range(bh * 100)) AS i FROM bh), (VALUES ('n', 85e0), ('s', -60e0)) b(band, top)),
+pt AS (SELECT band, r AS orow, c AS ocol, (lon + 180e0) / 360e0 * 64 AS ix, (1e0 - ln(tan(pi() / 4 + radians(lat) / 2)) / pi()) / 2 * mh AS iy, mh FROM ll, md),
+ins AS (SELECT * FROM pt WHERE iy >= 1 AND iy < mh - 2),"""
+    + _bilinear("ins", "band, orow, ocol", "cp", "64", "mh")
+    + """, eq AS MATERIALIZED (SELECT band, orow AS r, ocol AS c, v FROM sm UNION ALL SELECT band, orow, ocol, 0 FROM pt WHERE NOT (iy >= 1 AND iy < mh - 2)),
+eqn AS (SELECT r, c, v FROM eq WHERE band = 'n'), eqs AS (SELECT r, c, v FROM eq WHERE band = 's'),"""
+    + _polar_bands({"cn": ("bcap", _OH), "bn": ("eqn", "(SELECT bh FROM bh)"), "cs": ("binv", _OH), "bs4": ("eqs", "(SELECT bh FROM bh)")})
+    + " SELECT r, c, arg_max(v, o) AS s FROM pieces GROUP BY r, c",
+    "source_load": _with(_A, " gv AS (SELECT r, c, d AS v FROM g)", _lanczos("100", "50", "wc"), _lanczos("(SELECT h FROM dims)", "(SELECT h // 2 FROM dims)", "wr"), _resized("gv", "wc", "c", "r", "p1"), _resized("p1", "wr", "r", "c", "p2"))
+    + """ SELECT (SELECT strftime(max(slot), '%Y%m%d_%H%M%S') FROM (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS slot FROM events WHERE event_type = 'purchase'), (SELECT date_trunc('hour', CAST(max(ts) AS TIMESTAMP)) - INTERVAL 30 HOUR AS n FROM events)
+ WHERE slot BETWEEN n - INTERVAL 96 HOUR AND n) AS stamp, r, c, round(90e0 - r * 180e0 / ((SELECT h // 2 FROM dims) - 1), 6) AS lat, v AS d FROM p2""",
+    "second_source": """SELECT DISTINCT event_type, strftime(date_trunc('hour', CAST(ts AS TIMESTAMP)), '%Y%m%d_%H%M%S') AS stamp,
+CASE event_type WHEN 'view' THEN 'LIR' WHEN 'click' THEN 'data' ELSE 'y' END AS variable, hour(CAST(ts AS TIMESTAMP)) % 2 = 0 AS is_scaled FROM events""",
+    "storm_job": _with(_P)
+    + """, f AS (SELECT seq, CAST(CAST(lat AS FLOAT) AS DOUBLE) AS lat, CAST(CAST(lng AS FLOAT) AS DOUBLE) AS lng FROM p),
+u AS (SELECT seq, round_even(lat, 4) AS lat, round_even(lng, 4) AS lng FROM (SELECT *, row_number() OVER (PARTITION BY floor(lat), floor(lng) ORDER BY seq) AS n FROM f) WHERE n = 1),
+k AS (SELECT * FROM u ORDER BY seq % 500 * 7919 % 503, seq LIMIT 2000)
+SELECT '[' || string_agg('{"lat":' || lat || ',"lng":' || lng || '}', ',' ORDER BY seq) || ']' AS points FROM k""",
+    "storm_decode": """SELECT path, CAST(seq AS BIGINT) AS seq, lat, lng FROM (VALUES ('whole', 0, 34.5e0, -118.25e0), ('whole', 1, 1.5e0, 2.5e0), ('cut', 0, 10e0, 20e0), ('odd', 0, 5e0, 6e0), ('odd', 1, 7e0, 8e0)) t(path, seq, lat, lng)""",
     "mercator_reproject": _with(_C)
-    + """, md AS (SELECT count(*) AS mh FROM embeddings),
-ll AS (SELECT CAST(i // 128 AS BIGINT) AS r, CAST(i % 128 AS BIGINT) AS c, 85e0 - (i // 128 + 0.5e0) / 9 * 25e0 AS lat, -180e0 + (i % 128 + 0.5e0) / 128 * 360e0 AS lon FROM range(9 * 128) t(i)),
+    + """, md AS (SELECT count(*) AS mh, greatest(1, CAST(round_even(25e0 / 180 * count(*) * 0.5e0, 0) AS BIGINT)) AS bh FROM embeddings),
+ll AS (SELECT CAST(i // mh AS BIGINT) AS r, CAST(i % mh AS BIGINT) AS c, 85e0 - (i // mh + 0.5e0) / bh * 25e0 AS lat, -180e0 + (i % mh + 0.5e0) / mh * 360e0 AS lon FROM (SELECT mh, bh, unnest(range(bh * mh)) AS i FROM md)),
 pt AS (SELECT r AS orow, c AS ocol, (lon + 180e0) / 360e0 * 64 AS ix, (1e0 - ln(tan(pi() / 4 + radians(lat) / 2)) / pi()) / 2 * mh AS iy, mh FROM ll, md),
 ins AS (SELECT * FROM pt WHERE iy >= 1 AND iy < mh - 2),"""
     + _bilinear("ins", "orow, ocol", "cp", "64", "mh")
@@ -149,16 +206,10 @@ ins AS (SELECT * FROM pt WHERE iy >= 1 AND iy < mh - 2),"""
 pt AS (SELECT event_id AS id, (event_id * 7 % 6400) / 100e0 AS ix, (event_id * 13 % (mh * 100)) / 100e0 AS iy, mh FROM events, md),"""
     + _bilinear("pt", "id", "cp", "64", "mh")
     + " SELECT id, v FROM sm",
-    "cubemap_coords": _with(_A, _cube(32)) + " SELECT face, fy, fx, round(((round(x0, 6) % w) + w) % w, 6) AS ix, round(iy, 6) AS iy FROM spots",
-    "cubemap": _with(_A, _cube(32)) + ", pt AS (SELECT face, fy, fx, ((x0 % w) + w) % w AS ix, iy, w, h FROM spots), src AS (SELECT r, c, d AS v FROM g)," + _bilinear("pt", "face, fy, fx", "src", "w", "h") + " SELECT face, fy, fx, v FROM sm",
-    "lanczos_downsample": _with(_C)
-    + ", md AS (SELECT count(*) AS mh FROM embeddings),"
-    + _lanczos("64", 25, "wc")
-    + ",\n"
-    + _lanczos("(SELECT mh FROM md)", 120, "wr")
-    + """,
-p1 AS (SELECT r, wc.o AS c, greatest(0, least(255, CAST(floor(round(sum(v * w), 6) + 0.5e0) AS BIGINT))) AS v FROM cp JOIN wc ON wc.i = cp.c GROUP BY r, wc.o)
-SELECT wr.o AS r, c, greatest(0, least(255, CAST(floor(round(sum(v * w), 6) + 0.5e0) AS BIGINT))) AS v FROM p1 JOIN wr ON wr.i = p1.r GROUP BY wr.o, c""",
+    "cubemap_coords": _with(_A, _cube()) + " SELECT face, fy, fx, round(((round(x0, 6) % w) + w) % w, 6) AS ix, round(iy, 6) AS iy FROM spots",
+    "cubemap": _with(_A, _cube()) + ", pt AS (SELECT face, fy, fx, ((x0 % w) + w) % w AS ix, iy, w, h FROM spots), src AS (SELECT r, c, d AS v FROM g)," + _bilinear("pt", "face, fy, fx", "src", "w", "h") + " SELECT face, fy, fx, v FROM sm",
+    "lanczos_downsample": _with(_C, " md AS (SELECT count(*) AS mh FROM embeddings)", _lanczos("64", "25", "wc"), _lanczos("(SELECT mh FROM md)", "(SELECT mh // 2 FROM md)", "wr"), _resized("cp", "wc", "c", "r", "p1"), _resized("p1", "wr", "r", "c", "p2"))
+    + " SELECT r, c, v FROM p2",
     "storm_dedup": _with(_P) + " SELECT seq, round_even(lat, 4) AS lat, round_even(lng, 4) AS lng FROM (SELECT *, row_number() OVER (PARTITION BY floor(lat), floor(lng) ORDER BY seq) AS n FROM p) WHERE n = 1",
     "storm_cap": _with(_P) + " SELECT seq, lat, lng FROM p ORDER BY seq * 7919 % 10007, seq LIMIT 2000",
     "latest_slot": """WITH t AS (SELECT CAST(max(ts) AS TIMESTAMP) AS m FROM events), now AS (SELECT date_trunc('hour', m) - INTERVAL 30 HOUR AS n FROM t)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +36,24 @@ def primary_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return primary(spark, sf_dir).select("r", "c", "lat", d.alias("d"))
 
 
+def secondary_height(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "orders").count() // WIDTH
+
+
 def secondary(spark: SparkSession, sf_dir: str, polar_only: bool = True) -> DataFrame:
-    """(r, c, lat, s): orders as pixels of the same grid, zero equatorward of 60 degrees."""
+    """(r, c, lat, s): each order is a pixel of a raster of its own height; zero equatorward of 60 degrees unless all are asked for."""
+    return _placed(table(spark, sf_dir, "orders"), secondary_height(spark, sf_dir), polar_only)
+
+
+def secondary_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(r, c, lat, s): all orders on the grid of the primary raster, the largest of those that fall on one pixel; zero equatorward of 60 degrees."""
     h = height(spark, sf_dir)
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") < h * WIDTH)
-    o = o.select(F.expr(f"cast(o_orderkey div {WIDTH} as int)").alias("r"), (F.col("o_orderkey") % WIDTH).cast("int").alias("c"), (F.floor("o_totalprice").cast("long") % 256).cast("int").alias("s"))
+    o = table(spark, sf_dir, "orders").withColumn("o_orderkey", F.col("o_orderkey") % (h * WIDTH))
+    return _placed(o, h, True).groupBy("r", "c", "lat").agg(F.max("s").alias("s"))
+
+
+def _placed(orders: DataFrame, h: int, polar_only: bool) -> DataFrame:
+    o = orders.select(F.expr(f"cast(o_orderkey div {WIDTH} as int)").alias("r"), (F.col("o_orderkey") % WIDTH).cast("int").alias("c"), (F.floor("o_totalprice").cast("long") % 256).cast("int").alias("s"))
     o = o.withColumn("lat", px.latitude(F.col("r"), h))
     return o.withColumn("s", F.when(F.abs("lat") < px.POLAR, 0).otherwise(F.col("s"))) if polar_only else o
 
@@ -54,6 +70,17 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(b.alias("seq"), ((a * 37 + b * 13) % 18000 / 100.0 - 90.0).alias("lat"), ((a * 91 + b * 29) % 36000 / 100.0 - 180.0).alias("lng"))
 
 
+def payloads(spark: SparkSession, sf_dir: str, points_per_payload: int = 500) -> DataFrame:
+    """(path, content): the points, in stretches of ``seq``, in the wire format of the point source."""
+
+    def run(_: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("seq")
+        one = (b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", z) for a, z in zip(b["lat"], b["lng"], strict=True))
+        return pd.DataFrame({"path": [f"payload-{int(b['seq'].iloc[0]) // points_per_payload:012d}"], "content": [b"".join(one)]})
+
+    return points(spark, sf_dir).groupBy(F.expr(f"seq div {points_per_payload}").alias("stretch")).applyInPandas(run, "path string, content binary")
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key, size, modified, hour): orders as files of an hourly product."""
     k, day = F.col("o_orderkey"), F.col("o_orderdate")
