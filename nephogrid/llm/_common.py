@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nephogrid.storage import materialize, scratch_root
+
+__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "crc_mod", "label_sample", "let", "materialize", "scratch_root", "small_batches", "table", "words"]
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -19,25 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (in tests, where it is unset) a folder of this process."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    Cuts the lineage, so a lost executor costs a re-read and not a recomputation, and unlike ``checkpoint()`` computes ``df`` once and
-    gives the optimizer sizes. The tables stay until the owner of the folder clears it.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Arrow batches to Python hold no more than ``size`` of a column's texts: each is held several times over while it is turned into Python's."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -30,8 +30,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("size"))
-    mixed = mixing.mix(materialize(docs, "text-sizes"), ["doc_id", "source"], F.col("size"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("words"), F.xxhash64("doc_id", "text").alias("key"))
+    mixed = mixing.mix(materialize(docs, "text-sizes"), ["doc_id", "source"], F.col("words"), F.col("key"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 

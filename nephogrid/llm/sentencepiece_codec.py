@@ -24,12 +24,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nephogrid.llm._common import small_batches
+
 BLANK = "▁"
 WORDS = re.compile(" *[^ ]+| +")
-#: Words kept from one batch to the next; four times as many agreements of pieces.
-CACHE = 600_000
-#: Texts are taken in stretches of about so many characters, and their new words in runs of so many, which bounds the suffix array.
-STRETCH_CHARS, RUN_CHARS = 2_000_000, 200_000
+#: About so many bytes of words and their ids are kept from one stretch to the next, and so many agreements of pieces.
+CACHE_BYTES, CACHE_PAIRS = 24_000_000, 1_000_000
+#: Texts are taken in stretches of about so many characters, longer ones in parts, and their new words in runs of so many, which bounds the
+#: suffix array; a word longer than a run is relaxed window by window.
+STRETCH_CHARS, RUN_CHARS = 500_000, 100_000
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -83,10 +86,24 @@ class Pieces:
         return self.merge(list(a + b)) == [a, b]
 
 
+class WordIds(dict):
+    """Word -> its ids as bytes, and about how many bytes that takes."""
+
+    bytes = 0
+
+    def learn(self, words: list[str], ids: list[bytes]) -> None:
+        self.update(zip(words, ids, strict=True))
+        self.bytes += sum(map(len, ids)) + 4 * sum(map(len, words)) + 180 * len(words)
+
+    def forget(self) -> None:
+        self.clear()
+        self.bytes = 0
+
+
 @lru_cache(maxsize=1)
-def _pieces(path: str) -> tuple[Pieces, dict[str, bytes]]:
-    """A model's vocabulary and the words encoded so far, kept as long as the Python worker lives."""
-    return Pieces(path), {}
+def _pieces(path: str) -> tuple[Pieces, WordIds]:
+    """A model's vocabulary and the words encoded so far, kept as long as the Python worker lives; both are bounded."""
+    return Pieces(path), WordIds()
 
 
 def suffix_array(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +173,7 @@ class _Agreements:
         at = np.minimum(np.searchsorted(self.keys, asked), max(0, len(self.keys) - 1))
         new = np.unique(asked[self.keys[at] != asked] if len(self.keys) else asked)
         if len(new):
-            if len(self.keys) > 4 * CACHE:
+            if len(self.keys) > CACHE_PAIRS:
                 self.keys, self.ok, new = np.empty(0, np.int64), np.empty(0, bool), np.unique(asked)
             tried = [self.pieces.agrees(k // self.n, k % self.n) for k in new.tolist()]
             keys, ok = np.concatenate([self.keys, new]), np.concatenate([self.ok, np.array(tried, bool)])
@@ -234,44 +251,124 @@ def encode_words(words: list[str], pieces: Pieces) -> list[bytes]:
     return out
 
 
-def _cut(text: str | None) -> list[str]:
-    """Keys of a text's words: the word itself if one blank stands before it, else the word with all its blanks."""
-    if not text:
-        return []
-    t = text.replace(BLANK, " ")
-    if t[0] != " " and t[-1] != " " and "  " not in t:
-        return t.split(" ")
-    return [w[1:] if w[1:2] not in ("", " ") and w[0] == " " else w for w in WORDS.findall(" " + t)]
+def encode_long(word: str, pieces: Pieces) -> bytes:
+    """Ids (int32) of one word of any length, as ``encode_words`` gives them.
+
+    A position depends on those at most the longest piece before it, so windows are matched and relaxed one after the other; what is kept of
+    the whole word is eight bytes a character.
+    """
+    n, reach = len(word), pieces.longest
+    kept, origin = np.full(n + 1, NONE, np.int32), np.zeros(n + 1, np.int32)
+    kept[0] = BEGIN
+    agree: dict[tuple[int, int], bool] = {}
+    for a in range(0, n, RUN_CHARS):
+        first, z = max(0, a - reach), min(n, a + RUN_CHARS)
+        start, end, ids = occurrences([word[first:z]], pieces)
+        here = end > a - first  # an edge belongs to the window it ends in
+        start, end, ids = start[here] + first, end[here] + first, ids[here]
+        order = np.argsort(end, kind="stable")
+        cuts = np.searchsorted(end[order], np.arange(a + 1, z + 2)).tolist()
+        start, ids = start[order].tolist(), ids[order].tolist()
+        state, back = kept[first : z + 1].tolist(), origin[first : z + 1].tolist()
+        for p in range(a + 1, z + 1):
+            for e in range(cuts[p - a - 1], cuts[p - a]):
+                left, piece = state[start[e] - first], ids[e]
+                if left >= 0:
+                    if (left, piece) not in agree:
+                        if len(agree) > CACHE_PAIRS // 10:
+                            agree.clear()
+                        agree[left, piece] = pieces.agrees(left, piece)
+                    fits = agree[left, piece]
+                else:
+                    fits = left in (BEGIN, STRAY)
+                if fits:
+                    state[p - first], back[p - first] = piece, start[e]
+            if state[p - first] == NONE and word[p - 1] not in pieces.id and state[p - 1 - first] != NONE:
+                state[p - first], back[p - first] = STRAY, p - 1
+        kept[first : z + 1], origin[first : z + 1] = state, back
+    on_path, at = np.zeros(n + 1, bool), n
+    while at:
+        on_path[at] = True
+        at = int(origin[at])
+    ends = np.flatnonzero(on_path)
+    flat = kept[ends]
+    if not (flat == STRAY).any():
+        return flat.tobytes()
+    got: list[int] = []
+    for k, stop in zip(flat.tolist(), ends.tolist(), strict=True):
+        got += [k] if k >= 0 else [pieces.byte[x] for x in word[stop - 1].encode("utf-8", "surrogatepass")] if pieces.byte else [pieces.unknown]
+    return np.array(got, np.int32).tobytes()
+
+
+def _parts(text: str | None) -> Iterator[str]:
+    """A text with the blank that encoding puts in front, in parts of about STRETCH_CHARS characters, cut where a blank follows a non-blank."""
+    t = " " + text.replace(BLANK, " ") if text else ""
+    at = 0
+    while len(t) - at > STRETCH_CHARS:
+        cut = t.find(" ", at + STRETCH_CHARS)
+        while cut > 0 and t[cut - 1] == " ":
+            cut = t.find(" ", cut + 1)
+        if cut < 0:
+            break
+        yield t[at:cut]
+        at = cut
+    if at < len(t):
+        yield t[at:]
+
+
+def _cut(part: str) -> list[str]:
+    """Keys of the words of a part: the word itself if one blank stands before it, else the word with all its blanks."""
+    if part[-1] != " " and "  " not in part:
+        return part[1:].split(" ")
+    return [w[1:] if w[1:2] not in ("", " ") and w[0] == " " else w for w in WORDS.findall(part)]
 
 
 def _spelled(key: str) -> str:
     return key.replace(" ", BLANK) if key[0] == " " else BLANK + key
 
 
-def encode_texts(texts: list[str | None], pieces: Pieces, known: dict[str, bytes]) -> list[np.ndarray]:
+def encode_texts(texts: list[str | None], pieces: Pieces, known: WordIds) -> list[np.ndarray]:
     """Ids of each text; ``known`` keeps words from call to call."""
-    cut = [_cut(t) for t in texts]
+    out: list[np.ndarray] = []
+    for text in texts:
+        if len(text or "") > STRETCH_CHARS:
+            got = [_encode_parts([p], pieces, known)[0] for p in _parts(text)]
+            out.append(np.concatenate(got))
+        else:
+            out.append(None)
+    short = [i for i, x in enumerate(out) if x is None]
+    whole = [next(_parts(texts[i]), "") for i in short]
+    for i, ids in zip(short, _encode_parts(whole, pieces, known), strict=True):
+        out[i] = ids
+    return out
+
+
+def _encode_parts(parts: list[str], pieces: Pieces, known: WordIds) -> list[np.ndarray]:
+    """Ids of each part."""
+    cut = [_cut(p) if p else [] for p in parts]
+    if known.bytes > CACHE_BYTES:
+        known.forget()
     new: set[str] = set()
     for words in cut:
         new.update(set(words).difference(known))
-    if len(known) + len(new) > CACHE:
-        for w in [w for w in known if len(w) > 6]:  # rare ones
-            del known[w]
-        new = {w for words in cut for w in words if w not in known}
     fresh = sorted(new, key=len)  # like lengths together
     at = 0
     while at < len(fresh):  # runs of bounded length
+        if len(fresh[at]) > RUN_CHARS:
+            known[fresh[at]] = encode_long(_spelled(fresh[at]), pieces)
+            at += 1
+            continue
         size, stop = 0, at
         while stop < len(fresh) and (stop == at or size + len(fresh[stop]) < RUN_CHARS):
             size += len(fresh[stop]) + 2
             stop += 1
-        known.update(zip(fresh[at:stop], encode_words([_spelled(w) for w in fresh[at:stop]], pieces), strict=True))
+        known.learn(fresh[at:stop], encode_words([_spelled(w) for w in fresh[at:stop]], pieces))
         at = stop
     out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
     for w in reversed(fresh):
         if len(w) <= 40:
             break
-        del known[w]
+        del known[w]  # its bytes stay counted, which only empties the cache sooner
     return out
 
 
@@ -313,6 +410,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
     with blanks in its place. Repeated rows each come back; an empty table gives an empty result; other columns are ignored.
     """
     name = _shipped(docs.sparkSession, model)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("n_tokens long, ids array<int>, round_trip boolean")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -330,6 +428,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
 def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
     """(doc_id, text) for every row of (doc_id, ids); null and empty ids give the empty text."""
     name = _shipped(encoded.sparkSession, model)
+    small_batches(encoded.sparkSession)
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -26,13 +26,28 @@ def test_ids_are_the_library_s(model, pieces):
     rng = random.Random(1)
     texts = ODD + ["".join(rng.choice("abcdeinrst  ▁.é_=\n") for _ in range(rng.randrange(60))) for _ in range(500)]
     texts += ["".join(rng.choice(list(pieces.id)) for _ in range(rng.randrange(12))) for _ in range(500)]
-    known = {}
+    known = codec.WordIds()
     for part in (texts[:300], texts[300:], texts[:50]):
         got = codec.encode_texts(part, pieces, known)
         assert [x.tolist() for x in got] == [model.encode(t or "") for t in part]
         assert [codec.decode_ids(x, pieces) for x in got] == [model.decode(model.encode(t or "")) for t in part]
 
 
+def test_long_words_texts_and_a_full_cache_give_the_same_ids(model, pieces, monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet in ("abcdeinrst", "the ", "aA9+/=", "a▁é😀\x00", "  x", "z") for n in (90, 700, 3000)]
+    want = [model.encode(t) for t in texts]
+    monkeypatch.setattr(codec, "RUN_CHARS", 64)  # so most words are relaxed window by window
+    assert [x.tolist() for x in codec.encode_texts(texts, pieces, codec.WordIds())] == want
+    monkeypatch.setattr(codec, "STRETCH_CHARS", 50)
+    monkeypatch.setattr(codec, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(codec, "CACHE_PAIRS", 20)
+    known = codec.WordIds()
+    for _ in range(2):
+        assert [x.tolist() for x in codec.encode_texts(texts, pieces, known)] == want
+        assert known.bytes < 100_000
+
+
 def test_every_occurrence_is_found(pieces):
     words = ["▁banana", "▁an", "nan▁", "é"]
     start, end, ids = codec.occurrences(words, pieces)
