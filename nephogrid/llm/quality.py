@@ -19,13 +19,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm._common import label_sample
+from nephogrid.llm._common import label_sample, small_batches
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 #: How often the mark of a repeated word counts, next to a word's dozens of n-grams.
 REPEAT_WEIGHT = 8
-CACHE = 300_000
+CACHE = 120_000
 
 
 @dataclass(frozen=True)
@@ -49,14 +49,14 @@ REPEAT = crc32(b"\x00repeat") % BUCKETS
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text and their counts."""
+    """Buckets of a text (two bytes each, there are 32,768) and their counts by the largest of them (in half precision, for the share is what counts)."""
     found = split(text)
     total = np.zeros(BUCKETS, np.float64)
     for w, n in Counter(found).items():
         np.add.at(total, features(w), n)
     total[REPEAT] += REPEAT_WEIGHT * sum(map(eq, found, found[1:]))
     at = np.flatnonzero(total)
-    return at.astype(np.int32), total[at].astype(np.float32)
+    return at.astype(np.uint16), (total[at] / total.max(initial=1.0)).astype(np.float16)
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, prior_shift: float, dim: int = 12, epochs: int = 8, rate: float = 2.0, seed: int = 7) -> QualityModel:
@@ -70,6 +70,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, prior_shift:
             at, n = bags[i]
             lr = rate * (1 - done / steps)
             done += 1
+            n = n.astype(np.float32)
             share = n / n.sum() if len(n) else n
             mean = share @ table[at]
             logit = out @ mean + bias
@@ -90,6 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
 
     The sample's bags are made by the executors; the driver holds at most 2.4 * per_class of them and trains.
     """
+    small_batches(docs.sparkSession)
     sample, sizes, bound = label_sample(labels, "quality", held_out, per_class)
     if not sizes.get(0) or not sizes.get(1):
         return None
@@ -107,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
     if not len(y) or y.min() == y.max():
         return None
     shift = math.log(sizes[1] / sizes[0]) - math.log((y == 1).sum() / (y == 0).sum())
-    return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["n"], np.float32)) for r in rows], y, shift)
+    return train([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.float16)) for r in rows], y, shift)
 
 
 class WordGains(dict):
@@ -139,6 +141,7 @@ def text_score(text: str | None, model: QualityModel, words: WordGains) -> float
 
 def scorer(model: QualityModel | None, spark: SparkSession) -> Callable[[Column], Column]:
     """The score of a text column; 1 without a model."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)  # BUCKETS numbers
 
     @F.pandas_udf("double")

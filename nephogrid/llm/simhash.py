@@ -5,8 +5,9 @@ Vantage-point trees on whole 64-bit fingerprints do not prune at radius 4: dista
 ``q`` restricted to field ``f``, ``|d_f(x, v) - d_f(q, v)| <= d_f(x, q)``, and the fields are disjoint, so the differences add up against one
 radius: the children to visit are those whose distances differ from the query's by no more than what is left of it. Several trees cover
 disjoint parts of the bits: of 4 differing bits some third holds at most one, and of 13 some seventh, so each part is searched at radius 1,
-which leaves the leaf of the query and the leaves one step away in one level (the boundary overlap). Every pair that meets in a leaf is
-verified on all 64 bits; the result is exact.
+which leaves the leaf of the query and the leaves one step away in one level (the boundary overlap). The vantage point is one of the
+fingerprints; fields get narrower, and so trees deeper, as fingerprints grow in number, which keeps leaves of unrelated fingerprints at a few
+thousand rows at most. Every pair that meets in a leaf is verified on all 64 bits; the result is exact.
 
 Where texts, not fingerprints, have to agree (``least``), fingerprints only propose, beside minima of the shingles' hashes that several texts
 share, and the distinct shingles of both texts decide.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +25,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nephogrid.llm._common import materialize
+from nephogrid.llm._common import materialize, small_batches
 
-#: The vantage point of all levels. Fingerprints are hash bits, so any fixed word serves.
-VANTAGE = 0x9E3779B97F4A7C15
 #: Rows of one leaf that one task takes; larger leaves are cut into blocks that meet two by two.
 LEAF_ROWS = 100_000
-
-
-#: Words of the wide fingerprint, each from a re-mixed copy of the shingles' hashes.
-WIDE = 4
+#: Rows that a leaf of unrelated fingerprints may have before trees get deeper.
+TARGET_ROWS = 2_000
+#: Nodes of the stars that one task holds.
+FOREST_NODES = 200_000
+#: Rows of 8 or 16 bytes up to which a table is broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -44,9 +46,12 @@ def _majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+GOLDEN = 0x9E3779B97F4A7C15
+
+
 def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     """A bijection of 64-bit numbers that differs by k: xor-shift and odd multipliers."""
-    h = h ^ np.uint64((k * VANTAGE) % (1 << 64))
+    h = h ^ np.uint64((k * GOLDEN) % (1 << 64))
     for shift, odd in ((31, 0xBF58476D1CE4E5B9), (29, 0x94D049BB133111EB)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(odd)
     return h ^ (h >> np.uint64(32))
@@ -67,53 +72,76 @@ def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
     return np.array([digest(line[a:b], 42) for a, b in zip(starts, ends[shingle_words - 1 :].tolist(), strict=True)], np.uint64)
 
 
-def fingerprint_of(text: str | None, shingle_words: int, wide: bool = False) -> tuple[int, bytes]:
-    """The 64-bit SimHash of one text and, if asked for, the wide one, see ``fingerprints``."""
+def fingerprint_of(text: str | None, shingle_words: int) -> int:
+    """The 64-bit SimHash of one text, see ``fingerprints``."""
     hashes = shingle_hashes(text, shingle_words)
-    if not len(hashes):
-        return 0, bytes(8 * WIDE) if wide else b""
-    return _majority(hashes), np.array([_majority(_mixed(hashes, k)) for k in range(1, WIDE + 1)], "<u8").tobytes() if wide else b""
+    return _majority(hashes) if len(hashes) else 0
 
 
 #: Keys of a text's sketch and minima in each: texts of which 0.8 of the shingles agree share no key in 7 cases of 100,000.
 KEYS, MINIMA = 24, 5
 MULTIPLIERS = _mixed(np.arange(1, KEYS * MINIMA + 1, dtype=np.uint64), 1) | np.uint64(1)
+SIGNATURE = ["s0", "s1", "s2", "s3"]
 
 
-def sketch_of(distinct: np.ndarray) -> tuple[bytes, list[int]]:
-    """A digest of the sorted distinct hashes, and keys (signed) of which two sets share each with probability Jaccard ** MINIMA."""
+def sketch_of(distinct: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of a set of hashes: two bits of each of its minima under several orders, in four signed longs, and keys (signed) of which two sets share
+    each with probability Jaccard ** MINIMA."""
     import xxhash
 
-    whole = xxhash.xxh3_128_digest(distinct.tobytes())
     if not len(distinct):
-        return whole, []
+        return [0, 0, 0, 0], []
     low = np.min([np.multiply.outer(MULTIPLIERS, distinct[at : at + 4096]).min(axis=1) for at in range(0, len(distinct), 4096)], axis=0)
+    two = (_mixed(low, 2)[:, None] >> np.array([62, 63], np.uint64)).astype(np.uint8) & 1
+    bits = np.zeros(256, np.uint8)
+    bits[: two.size] = two.ravel()
     keys = [xxhash.xxh64_intdigest(low[k * MINIMA : (k + 1) * MINIMA].tobytes(), k) for k in range(KEYS)]
-    return whole, np.array(keys, np.uint64).view(np.int64).tolist()
+    return np.packbits(bits).view(">i8").tolist(), np.array(keys, np.uint64).view(np.int64).tolist()
+
 
+def plausible(n: Column, m: Column, same_bits: Column, least: float) -> Column:
+    """Whether sets of sizes n and m whose signatures agree in so many of 256 bits may have a Jaccard similarity of ``least``.
 
-def fingerprints(docs: DataFrame, shingle_words: int = 5, wide: bool = False) -> DataFrame:
-    """(doc_id, fp, wide): each text's fingerprint as a signed long, and a finer one of 64 * WIDE bits (empty unless asked for).
+    The sizes must be near enough; the bits that agree must not lie more than 5.4 standard deviations below what that similarity makes them (one pair of
+    a hundred million that has it does).
+    """
+    orders = KEYS * MINIMA
+    of_one = 4 * least + 1.5 * (1 - least) - (1 + least) ** 2  # variance of the two bits of one minimum
+    bits = orders * (1 + least) - 5.4 * math.sqrt(orders * of_one) + 256 - 2 * orders
+    return (F.least(n, m) >= least * F.greatest(n, m)) & (same_bits >= math.floor(bits))
+
+
+def fingerprints(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
+    """(doc_id, fp): each text's fingerprint as a signed long.
 
     Words are runs of non-ASCII-white-space with A-Z lower-cased; a shingle is ``shingle_words`` words joined by spaces, repeats included
     (fewer words: the whole sequence). A bit is set if it is set in more than half of the shingles' XXH64 (seed 42). Null, empty and blank
     texts have fingerprint zero.
     """
+    small_batches(docs.sparkSession)
 
-    @F.pandas_udf("fp long, wide binary")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            got = [fingerprint_of(x, shingle_words, wide) for x in b]
-            yield pd.DataFrame({"fp": np.array([g[0] for g in got], np.uint64).view(np.int64), "wide": pd.Series([g[1] for g in got], dtype=object)})
+            yield pd.Series(np.array([fingerprint_of(x, shingle_words) for x in b], np.uint64).view(np.int64))
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("fp"))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("f")).select("doc_id", "f.*")
 
+def depth(n: int, parts: int) -> int:
+    """Bits in a field (3, 2 or 1): the most that keep a leaf of n unrelated fingerprints at TARGET_ROWS or fewer."""
+    for width in (3, 2):
+        meet = sum(math.comb(width, k) ** 2 for k in range(width + 1)) / 4**width  # two fingerprints lie equally far in one field
+        if n * meet ** (64 // parts / width) <= TARGET_ROWS:
+            return width
+    return 1
 
-def _leaves(radius: int, parts: int, field_bits: int) -> Column:
+
+def _leaves(radius: int, parts: int, field_bits: int, vantage: int) -> Column:
     """The leaves a fingerprint belongs to, as struct(leaf long, home boolean): for each tree its own and those one step up in one level."""
     if radius >= 2 * parts:
         raise ValueError(f"{parts} trees searched at radius 1 are exact up to {2 * parts - 1} differing bits")
-    x = F.expr(f"fp ^ {VANTAGE - (1 << 64)}L")
+    x = F.col("fp").bitwiseXOR(F.lit(vantage).cast("long"))
     out, base = [], 0
     for tree in range(parts):
         first, past = 64 * tree // parts, 64 * (tree + 1) // parts
@@ -127,10 +155,10 @@ def _leaves(radius: int, parts: int, field_bits: int) -> Column:
     return F.filter(F.array(*out), lambda c: c.isNotNull())
 
 
-def _leaf_edges(rows: pd.DataFrame, radius: int, wide_radius: int | None) -> tuple[np.ndarray, np.ndarray]:
+def _leaf_edges(rows: pd.DataFrame, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of one leaf's links, not the links themselves: home rows against all rows; of two blocks, only across them."""
-    ids, fps, side = rows["id"].to_numpy(), rows["fp"].to_numpy().view(np.uint64), rows["side"].to_numpy()
-    finer = None if wide_radius is None else np.frombuffer(b"".join(rows["wide"]), "<u8").reshape(len(ids), WIDE)
+    ids, side = rows["fp"].to_numpy(), rows["side"].to_numpy()
+    fps = ids.view(np.uint64)
     root = np.arange(len(ids))
     one, two = [], []
     home = np.flatnonzero(rows["home"].to_numpy())
@@ -143,8 +171,6 @@ def _leaf_edges(rows: pd.DataFrame, radius: int, wide_radius: int | None) -> tup
         for i in np.flatnonzero(near.any(axis=1)):
             p = mine[i]
             at_q = np.flatnonzero(near[i])
-            if finer is not None:
-                at_q = at_q[np.bitwise_count(finer[at_q] ^ finer[p]).sum(axis=1) <= wide_radius]
             others, first = np.unique(root[at_q], return_index=True)
             for r, q in zip(others, at_q[first], strict=True):
                 if r != root[p]:
@@ -154,22 +180,24 @@ def _leaf_edges(rows: pd.DataFrame, radius: int, wide_radius: int | None) -> tup
     return ids[one], ids[two]
 
 
-def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """(a, b): edges that connect exactly what the links connect, for distinct (id, fp, wide) rows.
+def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """(a, b): edges that connect exactly what the links connect, for distinct fingerprints (fp).
 
-    Two rows are linked if their fingerprints differ in ``radius`` bits or fewer and, with a ``wide_radius``, their wide ones in no more than
-    that.
+    Two fingerprints are linked if they differ in ``radius`` bits or fewer. ``field_bits`` stands in for the depth chosen by their number.
     """
-    spread = reps.select("id", "fp", "wide", F.explode(_leaves(radius, parts, field_bits)).alias("at")).select("id", "fp", "wide", "at.*")
+    found = reps.select("fp").orderBy(F.xxhash64("fp", F.lit("vantage")), "fp").limit(1).collect()
+    vantage = found[0]["fp"] if found else 0
+    width = field_bits or depth(reps.count(), parts)
+    spread = reps.select("fp", F.explode(_leaves(radius, parts, width, vantage)).alias("at")).select("fp", "at.*")
     crowded = materialize(spread.groupBy("leaf").count().where(F.col("count") > leaf_rows).select("leaf", F.ceil(F.col("count") / (leaf_rows / 2)).cast("int").alias("blocks")), "crowded")
-    if crowded.isEmpty():
+    n = crowded.count()
+    if not n:
         dealt = spread.withColumns({"one": F.lit(0), "two": F.lit(0), "side": F.lit(2)})
     else:
-        n = crowded.count()
-        crowded = F.broadcast(crowded) if n <= 100_000 else crowded  # 16 bytes a row
+        crowded = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
         mine = F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")
         pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, mine).alias("one"), F.greatest(k, mine).alias("two"), F.when(k == mine, 2).when(k > mine, 0).otherwise(1).alias("side")))
-        dealt = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("id", "fp", "wide", "leaf", "home", F.explode(pairs).alias("p")).select("id", "fp", "wide", "leaf", "home", "p.*")
+        dealt = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("fp", "leaf", "home", F.explode(pairs).alias("p")).select("fp", "leaf", "home", "p.*")
     n_parts = max(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = ["leaf", "one", "two"]
     dealt = dealt.repartition(n_parts, *keys).sortWithinPartitions(*keys)
@@ -182,7 +210,7 @@ def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int = 3,
             key = b[keys].to_numpy()
             cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(b)]))
             home = b["home"].to_numpy()
-            got = [_leaf_edges(b.iloc[a:z], radius, wide_radius) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
+            got = [_leaf_edges(b.iloc[a:z], radius) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
             return pd.DataFrame({"a": np.concatenate([g[0] for g in got] or [np.empty(0, np.int64)]), "b": np.concatenate([g[1] for g in got] or [np.empty(0, np.int64)])})
 
         for b in batches:
@@ -202,15 +230,47 @@ def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int = 3,
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A partition's edges as stars that connect the same nodes: each node with the smallest of its component here.
+
+    Stars are passed on and forgotten whenever FOREST_NODES are held, which bounds the memory and loses no connection.
+    """
+    low: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := low.get(x, x)) != x:
+            low[x] = low.get(up, up)
+            x = up
+        return x
+
+    def stars() -> pd.DataFrame:
+        nodes = [x for x in low if root(x) != x]
+        return pd.DataFrame({"a": np.array([root(x) for x in nodes], np.int64), "b": np.array(nodes, np.int64)})
+
+    for e in batches:
+        for a, b in zip(e["a"].tolist(), e["b"].tolist(), strict=True):
+            x, y = root(a), root(b)
+            if x != y:
+                low[max(x, y)] = min(x, y)
+                low.setdefault(a, a)
+                low.setdefault(b, b)
+        if len(low) > FOREST_NODES:
+            yield stars()
+            low.clear()
+    yield stars()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, root): each node of the edges (a < b) with the smallest id of its component.
 
-    Alternates large-star and small-star steps; each step is an aggregate and a join, and each round's edges are written down. Ends when a
-    round changes nothing; raises if ``max_rounds`` do not suffice.
+    Each partition first reduces its edges to stars, without a shuffle; then large-star and small-star steps alternate, each an aggregate and a
+    join, with each round's edges written down. Ends when every node hangs on one root and no root hangs on another; raises if
+    ``max_rounds`` do not suffice.
     """
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    def settled(e: DataFrame) -> bool:
+        ends = e.select(F.col("b").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("roots")).union(e.select("a", F.lit(0), F.lit(1)))
+        return ends.groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("roots").alias("roots")).where("hangs + roots > 1").isEmpty()
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         """Large: each node's larger neighbours move to its smallest; small: its smaller neighbours and itself do."""
@@ -223,40 +283,46 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(low.select(F.col("m").alias("a"), F.col("a").alias("b")))
         return out.where(F.col("a") != F.col("b")).distinct()
 
-    now = materialize(edges.select("a", "b"), "edges")
-    seen = mark(now)
+    now = materialize(edges.select("a", "b").mapInPandas(_forest, "a long, b long"), "edges")
     for _ in range(max_rounds):
-        if not seen[0]:
-            break
-        now = materialize(star(star(now, True), False), "edges")
-        before, seen = seen, mark(now)
-        if seen == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
+        if settled(now):
+            return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
+        now = materialize(star(star(now.mapInPandas(_forest, "a long, b long"), True), False), "edges")
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def digest_of(text: Column) -> Column:
+    """Equal texts share it; null and the empty text do."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
 
 def _sketches(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """(doc_id, fp, whole, keys): each text's fingerprint and the sketch of its distinct shingles."""
+    """(doc_id, digest, fp, n, s0 ... s3, keys): each text's fingerprint and the sketch of its n distinct shingles."""
+    small_batches(docs.sparkSession)
 
-    @F.pandas_udf("fp long, whole binary, keys array<long>")
+    @F.pandas_udf("fp long, n int, s0 long, s1 long, s2 long, s3 long, keys array<long>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = []
+            fp, n, sig, keys = [], [], [], []
             for x in b:
                 hashes = shingle_hashes(x, shingle_words)
-                got.append((_majority(hashes) if len(hashes) else 0, *sketch_of(np.unique(hashes))))
-            yield pd.DataFrame({"fp": np.array([g[0] for g in got], np.uint64).view(np.int64), "whole": pd.Series([g[1] for g in got], dtype=object), "keys": pd.Series([g[2] for g in got], dtype=object)})
+                distinct = np.unique(hashes)
+                s, k = sketch_of(distinct)
+                fp.append(_majority(hashes) if len(hashes) else 0)
+                n.append(len(distinct))
+                sig.append(s)
+                keys.append(k)
+            yield pd.DataFrame({"fp": np.array(fp, np.uint64).view(np.int64), "n": np.array(n, np.int32), **dict(zip(SIGNATURE, np.array(sig, np.int64).reshape(-1, 4).T, strict=True)), "keys": pd.Series(keys, dtype=object)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of(F.col("text").cast("string")).alias("f")).select("doc_id", "f.*")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest_of(F.col("text")).alias("digest"), of(F.col("text").cast("string")).alias("f")).select("doc_id", "digest", "f.*")
 
 
 def _judged(pairs: DataFrame, texts: DataFrame, shingle_words: int, least: float) -> DataFrame:
     """(a, b, similar) for pairs (a, b): whether ``least`` or more of the distinct shingles of their texts (id, text) agree."""
+    small_batches(pairs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = functools.lru_cache(64)(lambda text: np.unique(shingle_hashes(text, shingle_words)))
+        of = functools.lru_cache(16)(lambda text: np.unique(shingle_hashes(text, shingle_words)))
         for b in batches:
             similar = []
             for x, y in zip(b["x"], b["y"], strict=True):
@@ -266,8 +332,7 @@ def _judged(pairs: DataFrame, texts: DataFrame, shingle_words: int, least: float
             yield pd.DataFrame({"a": b["a"], "b": b["b"], "similar": np.array(similar, bool)})
 
     x, y = texts.select(F.col("id").alias("a"), F.col("text").alias("x")), texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
-    got = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similar boolean")
-    return materialize(got.groupBy("a", "b").agg(F.max("similar").alias("similar")), "judged")
+    return materialize(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similar boolean"), "judged")
 
 
 def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
@@ -275,61 +340,88 @@ def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, least: float, proposed: DataFrame) -> DataFrame:
-    """(id, root): components of the pairs of (id, keys) of which ``least`` or more of the distinct shingles agree; nodes without a link are left out.
+    """(id, root): components of the pairs of ``reps`` (id, digest, n, s0 ... s3, keys) of which ``least`` or more of the distinct shingles agree;
+    nodes without a link are left out.
 
-    Judges the ``proposed`` pairs (a, b) first, then pairs that share a key: each round takes some members of every key as centres and judges
-    them against the members that are in other components still, pairs judged before excepted; a centre is then done with. The number of
-    centres grows by four, so a key of n members needs some log n rounds, and members in one component are never paired.
+    Judges the ``proposed`` pairs (a, b) and pairs that share a key. Each round takes some members of every key as centres and judges them
+    against the members that are in other components still, pairs judged before and pairs whose sketches rule it out excepted; a centre is
+    then done with. The number of centres grows sixteenfold, so a key of n members needs some log n rounds, and members in one component are
+    never paired.
     """
     members = reps.select("id", F.explode("keys").alias("key"))
     shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
     members = materialize(members.join(shared, "key"), "members")
-    ids = members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = materialize(texts.join(ids, "id", "left_semi").distinct(), "near-texts")
-    judged = _judged(proposed, texts, shingle_words, least)
+    ids = materialize(members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct(), "near-ids")
+    few = ids.count() <= BROADCAST_ROWS
+    near = materialize(reps.drop("keys").join(F.broadcast(ids) if few else ids, "id"), "near")
+    of_text = near.select("id", "digest")
+    texts = docs.where(F.col("doc_id").isNotNull()).select(digest_of(F.col("text")).alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = materialize(texts.join(F.broadcast(of_text) if few else of_text, "digest").groupBy("id").agg(F.first("text").alias("text")), "near-texts")
+    sketch = near.select("id", "n", *SIGNATURE)
+    placed, centres, roots, judged = members.join(sketch, "id"), None, None, None
     for turn in itertools.count():
-        roots = materialize(components(judged.where("similar").select("a", "b")), "roots")
-        placed = members.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-        open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-        placed = materialize(placed.join(open_keys, "key"), "placed")
-        if placed.isEmpty():
+        here = placed.join(centres.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti").drop("root") if turn else placed
+        here = here.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")) if turn else here.withColumn("root", F.col("id"))
+        open_keys = here.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
+        placed = materialize(here.join(open_keys, "key"), "placed")
+        if turn and placed.isEmpty():
             return roots
-        order = F.xxhash64("id", "key")
-        centres = placed.groupBy("key", F.pmod(order, F.lit(4**turn)).alias("slot")).agg(F.min(F.struct(order.alias("order"), "id", "root")).alias("c"))
-        centres = materialize(centres.select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("centre_root")), "centres")
-        met = placed.join(centres, "key").where(F.col("root") != F.col("centre_root"))
-        fresh = _pairs(met, "id", "centre").join(judged, ["a", "b"], "left_anti")
-        judged = judged.union(_judged(fresh, texts, shingle_words, least))
-        done = centres.select("key", F.col("centre").alias("id"))
-        members = materialize(placed.select("key", "id").join(done, ["key", "id"], "left_anti"), "members")
-
-
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, field_bits: int = 3, wide_radius: int | None = None, least: float | None = None) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of (doc_id, text): rows whose fingerprints differ in ``radius`` bits or fewer (and whose
-    wide ones in ``wide_radius`` or fewer, if given) are linked, and ``component_id`` is the smallest doc_id that links reach. With ``least``, rows
-    are linked if that share of all their distinct shingles is in both, whatever their fingerprints, which then only propose pairs.
-
-    Null, empty and blank texts share fingerprint zero and link like any other. Repeated rows each come back. A row without doc_id gets a
-    fingerprint, links nothing and has no component. An empty table gives an empty result. Other columns are ignored.
+        order = F.xxhash64("id", "key") if turn else F.col("id")
+        centres = placed.groupBy("key", F.pmod(order, F.lit(16**turn)).alias("slot")).agg(F.min(F.struct(order.alias("order"), "id", "root", "n", *SIGNATURE)).alias("c"))
+        centres = materialize(centres.select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("its_root"), F.col("c.n").alias("m"), *[F.col(f"c.{s}").alias(f"c{s}") for s in SIGNATURE]), "centres")
+        met = placed.join(centres, "key").where(F.col("root") != F.col("its_root"))
+        same_bits = sum((64 - F.bit_count(F.col(s).bitwiseXOR(F.col(f"c{s}"))) for s in SIGNATURE), F.lit(0))
+        fresh = _pairs(met.where(plausible(F.col("n"), F.col("m"), same_bits, least)), "id", "centre")
+        fresh = fresh.join(judged, ["a", "b"], "left_anti") if turn else fresh.union(proposed.select("a", "b")).distinct()
+        got = _judged(fresh, texts, shingle_words, least)
+        judged = judged.union(got) if turn else got
+        found = got.where("similar").select("a", "b")
+        roots = materialize(components(found.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b"))) if turn else found), "roots")
+
+
+def _labelled(rows: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``root`` and ``component_id``, the smallest doc_id of the component of their node; ``nodes`` are (id, key, first doc_id)."""
+    nodes = materialize(nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select(key, "root", "first"), "nodes")
+    labels = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
+    known = rows.join(nodes.join(labels, "root").select(key, "root", "component_id"), key, "left")
+    has = F.col("doc_id").isNotNull()
+    return known.withColumn("root", F.when(has, F.col("root"))).withColumn("component_id", F.when(has, F.col("component_id")))
+
+
+def grouped(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, least: float | None = None) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row of (doc_id, text), and ``digest`` (of the text) with ``least``; see ``near_duplicates``.
+
+    ``root`` tells components apart whose smallest doc_id is the same, because different texts repeat it.
     """
     if least is None:
-        node = ["fp", "wide"]
-        fps = materialize(fingerprints(docs, shingle_words, wide_radius is not None), "fingerprints")
-        reps = materialize(fps.where(F.col("doc_id").isNotNull()).groupBy(*node).agg(F.min("doc_id").alias("id")), "reps")
-        roots = components(links(reps, radius, parts, field_bits, wide_radius))
-    else:
-        node = ["whole"]
-        fps = materialize(_sketches(docs, shingle_words), "sketches")
-        reps = fps.where(F.col("doc_id").isNotNull()).groupBy("whole").agg(F.min(F.struct("doc_id", "fp", "keys")).alias("m"))
-        reps = materialize(reps.select("whole", F.col("m.doc_id").alias("id"), "m.fp", "m.keys"), "reps")
-        first = materialize(reps.groupBy("fp").agg(F.min("id").alias("first")), "first")
-        near = links(first.select(F.col("first").alias("id"), "fp", F.lit(b"").alias("wide")), radius, parts, field_bits)
-        proposed = materialize(near.union(_pairs(reps.join(first, "fp"), "id", "first")).distinct(), "proposed")
-        roots = similar_components(docs, reps, shingle_words, least, proposed)
-    reps = reps.join(roots, "id", "left").select(*node, F.coalesce("root", "id").alias("component"))
-    out = fps.join(reps, node, "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+        rows = materialize(fingerprints(docs, shingle_words), "fingerprints")
+        nodes = materialize(rows.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+        return _labelled(rows, nodes.withColumn("id", F.col("fp")), components(links(nodes, radius, parts)), "fp")
+    sketches = materialize(_sketches(docs, shingle_words), "sketches")
+    rows = sketches.where(F.col("doc_id").isNotNull())
+    reps = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("fp", "n", *SIGNATURE, "keys")).alias("m"))
+    # numbers are given once, as the table is written
+    reps = materialize(reps.select("digest", "first", "m.*").withColumn("id", F.monotonically_increasing_id()), "reps")
+    of_fp = materialize(reps.groupBy("fp").agg(F.min("id").alias("id")), "of-fp")
+    a, b = (of_fp.select(F.col("fp").alias(x), F.col("id").alias(f"id_{x}")) for x in "ab")
+    near = _pairs(links(of_fp, radius, parts).join(a, "a").join(b, "b"), "id_a", "id_b")
+    same = _pairs(reps.select("fp", "id").join(of_fp.withColumnRenamed("id", "other"), "fp"), "id", "other")
+    proposed = materialize(near.union(same).distinct(), "proposed")
+    roots = similar_components(docs, reps, shingle_words, least, proposed)
+    return _labelled(sketches.select("doc_id", "digest", "fp"), reps.select("id", "digest", "first"), roots, "digest")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int = 3, least: float | None = None) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of (doc_id, text): rows whose fingerprints differ in ``radius`` bits or fewer are linked,
+    and ``component_id`` is the smallest doc_id that links reach. With ``least``, rows are linked if that share of all their distinct shingles
+    is in both, whatever their fingerprints, which then only propose pairs.
+
+    Null, empty and blank texts share fingerprint zero and link like any other. Repeated rows each come back; a doc_id that different texts
+    repeat does not link them. A row without doc_id gets a fingerprint, links nothing and has no component. An empty table gives an empty
+    result. Other columns are ignored.
+    """
+    out = grouped(docs, shingle_words, radius, parts, least)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: Settings that link texts of which 0.8 or more of the distinct shingles agree.

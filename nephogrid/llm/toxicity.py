@@ -20,12 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm._common import label_sample, materialize
+from nephogrid.llm._common import label_sample, materialize, small_batches
 
 #: Runs of anything but ASCII controls, blanks and punctuation.
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 GRAMS = (4, 5, 6)
-CACHE = 300_000
+CACHE = 120_000
 
 
 @dataclass(frozen=True)
@@ -160,6 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
 
     None if either class is missing. The model holds at most ``max_units`` units.
     """
+    small_batches(docs.sparkSession)
     sample, sizes, bound = label_sample(labels, "toxic", held_out, max(max_toxic, max_clean))
     if not sizes.get(0) or not sizes.get(1):
         return None
@@ -216,6 +217,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -
 
 def scorer(model: ToxicityModel | None, spark: SparkSession) -> Callable[[Column], Column]:
     """struct(score, passages) of a text column; score 0 without a model."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)  # at most max_units units
 
     @F.pandas_udf("score double, passages array<struct<first: long, last: long, score: double>>")

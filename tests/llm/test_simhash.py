@@ -48,7 +48,7 @@ def test_texts_against_brute_force(spark):
     assert all(len(r["fingerprint"]) == 16 for r in got.values())
 
 
-@pytest.mark.parametrize(("radius", "parts", "field_bits", "leaf_rows"), [(4, 3, 3, 20_000), (4, 3, 3, 40), (5, 3, 2, 20_000), (13, 7, 1, 20_000), (13, 7, 1, 200)])
+@pytest.mark.parametrize(("radius", "parts", "field_bits", "leaf_rows"), [(4, 3, None, 20_000), (4, 3, 3, 40), (5, 3, 2, 20_000), (4, 3, 1, 100), (13, 7, 1, 20_000), (13, 7, 1, 200)])
 def test_links_against_brute_force(spark, radius, parts, field_bits, leaf_rows):
     """Random fingerprints, chains and a dense ball, whole leaves and leaves cut into blocks."""
     rng = random.Random(4)
@@ -60,9 +60,16 @@ def test_links_against_brute_force(spark, radius, parts, field_bits, leaf_rows):
     centre = rng.getrandbits(64)
     fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 4))) for _ in range(150)}
     fps = dict(enumerate(sorted(fps)))
-    reps = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x, b"") for i, x in fps.items()], "id long, fp long, wide binary")
+    signed = {i: x - (1 << 64) if x >> 63 else x for i, x in fps.items()}
+    reps = spark.createDataFrame([(x,) for x in signed.values()], "fp long")
     got = dict(rows(simhash.components(simhash.links(reps, radius, parts, field_bits, leaf_rows=leaf_rows))))
-    assert {i: got.get(i, i) for i in fps} == brute_components(fps, radius)
+    want: dict = {}
+    for i, c in brute_components(fps, radius).items():
+        want.setdefault(c, []).append(i)
+    found: dict = {}
+    for i, x in signed.items():
+        found.setdefault(got.get(x, x), []).append(i)
+    assert sorted(want.values()) == sorted(found.values())
 
 
 def test_similar_texts_are_found_and_others_left_alone(spark):
@@ -81,6 +88,35 @@ def test_similar_texts_are_found_and_others_left_alone(spark):
     assert right >= 0.95 * len(groups) and all(groups[got[i]] == groups[i] for i in got)
 
 
+def test_trees_deepen_and_leaves_stay_small():
+    assert [simhash.depth(n, 3) for n in (1000, 10**6, 3 * 10**7, 10**9)] == [3, 3, 2, 1]
+
+
+def test_sketches_rule_no_similar_pair_out(spark):
+    rng = random.Random(9)
+    rows_ = []
+    for _ in range(300):
+        n = rng.randrange(20, 400)
+        base = [rng.getrandbits(64) for _ in range(n)]
+        other = base[: int(n * 0.9)] + [rng.getrandbits(64) for _ in range(n - int(n * 0.9))]
+        far = base[: n // 3] + [rng.getrandbits(64) for _ in range(n - n // 3)]
+        for kind, two in (("near", other), ("far", far)):
+            a, b = (simhash.sketch_of(simhash.np.unique(simhash.np.array(x, simhash.np.uint64)))[0] for x in (base, two))
+            rows_.append((kind, len(base), len(two), sum(64 - ((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True))))
+    df = spark.createDataFrame(rows_, "kind string, n int, m int, same int").withColumn("ok", simhash.plausible(F.col("n"), F.col("m"), F.col("same"), 0.8))
+    got = {r["kind"]: r["share"] for r in df.groupBy("kind").agg(F.avg(F.col("ok").cast("int")).alias("share")).collect()}
+    assert got["near"] == 1.0 and got["far"] < 0.1
+
+
+def test_a_repeated_doc_id_does_not_link_texts(spark):
+    texts = [" ".join(f"w{i}-{j}" for j in range(80)) for i in range(3)]
+    df = documents(spark, [*texts, texts[2]]).withColumn("doc_id", F.when(F.col("doc_id") < 2, F.lit(5)).otherwise(F.col("doc_id")).cast("long"))
+    for settings in ({"shingle_words": 4}, simhash.SIMILAR):
+        got = simhash.grouped(df, **settings).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(2, 2), (3, 2), (5, 5), (5, 5)]
+        assert len({r["root"] for r in got if r["doc_id"] == 5}) == 2
+
+
 def test_a_long_chain_settles(spark):
     edges = spark.range(0, 300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert rows(simhash.components(edges)) == [(i, 0) for i in range(1, 301)] or {r for _, r in rows(simhash.components(edges))} == {0}
