@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nephogrid.llm import mixing, quality, sentencepiece_codec, simhash, toxicity
-from nephogrid.llm._common import materialize, table
+from nephogrid.llm._common import WORD, materialize, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Stages learn from every labelled row they see.
@@ -14,39 +14,58 @@ NONE_HELD = lambda doc_id: F.lit(False)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    Null, empty and blank texts have no quality and go. Rows are judged one by one: repeated rows and ids all stay or all go, a null id matters
+    only for learning. Without labels of both classes every text with a word stays. Columns other than those of documents are left behind.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"), NONE_HELD)
-    return docs.where(quality.scorer(model, spark)(F.col("text")) >= 0.3).select(*COLUMNS)
+    has_word = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    return docs.where(has_word & (quality.scorer(model, spark)(F.col("text")) >= 0.3)).select(*COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without toxic passages."""
+    """Documents without toxic passages.
+
+    Null and empty texts have no passages and stay. Rows are judged one by one, as in the quality stage; without labels of both classes all stay.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), NONE_HELD)
     return docs.where(toxicity.scorer(model, spark)(F.col("text"))["score"] < 0.3).select(*COLUMNS)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest doc_id; of rows that repeat that doc_id, one.
+    """One document of each group of texts of which 0.8 or more of the distinct five-word shingles agree.
 
-    Documents are near duplicates if about 0.8 or more of their five-word shingles agree. Rows without a doc_id cannot be grouped and stay.
+    It is the one with the smallest doc_id; where different texts repeat that id, the one of the group whose text has the smallest digest. Of
+    rows that agree in id and text the smallest in the other columns stays. Null, empty and blank texts are one group. Rows without a doc_id
+    cannot be grouped and stay. What is joined to the texts is the list of rows that go, or that are there more than once.
     """
-    groups = materialize(simhash.near_duplicates(docs, **simhash.SIMILAR), "groups")
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
-    repeated = materialize(first.join(groups.groupBy("doc_id").count().where("count > 1"), "doc_id"), "repeated").select("doc_id")
-    if not repeated.isEmpty():
-        kept = kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).union(kept.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"]))
-    return kept.union(docs.where(F.col("doc_id").isNull()).select(*COLUMNS))
+    key = ["doc_id", "digest"]
+    groups = materialize(simhash.grouped(docs, **simhash.SIMILAR).where(F.col("doc_id").isNotNull()), "groups")
+    rows = groups.groupBy("root", *key).agg(F.count(F.lit(1)).alias("n"))
+    first = groups.groupBy("root").agg(F.min(F.struct(*key)).alias("first"))
+    named = rows.join(first, "root").select(*[F.col(k).alias(f"_{k}") for k in key], (F.struct(*key) == F.col("first")).alias("_first"), "n")
+    odd = materialize(named.where("not _first or n > 1").drop("n"), "not-single")
+    odd = F.broadcast(odd) if odd.count() <= simhash.BROADCAST_ROWS else odd
+    of = docs.withColumn("_digest_of", simhash.digest_of(F.col("text")))
+    same = (of["doc_id"] == odd["_doc_id"]) & (of["_digest_of"] == odd["_digest"])
+    single = of.join(odd, same, "left_anti").select(*COLUMNS)
+    repeated = of.join(odd.where("_first"), same, "left_semi").groupBy("doc_id", "_digest_of").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return single.union(repeated.select("row.*"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: 0, 1 or 2 rows."""
+    """Each document as often as the mix takes it: 0, 1 or 2 rows.
+
+    Null, empty and blank texts are taken 0 times. Documents without a source are a source of their own. Rows that agree in id and text are
+    taken alike.
+    """
     mixed = mixing.mix(docs, COLUMNS).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
+    """Token ids of each row, repeated ones too; null and empty texts have none."""
     return sentencepiece_codec.encode(docs)
 
 
