@@ -8,6 +8,7 @@ text: the layers after the average are linear, so a word always adds the same nu
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -49,28 +50,38 @@ REPEAT = crc32(b"\x00repeat") % BUCKETS
 
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text (two bytes each, there are 32,768) and their counts by the largest of them (in half precision, for the share is what counts)."""
+    """Buckets of a text and their counts."""
     found = split(text)
     total = np.zeros(BUCKETS, np.float64)
     for w, n in Counter(found).items():
         np.add.at(total, features(w), n)
     total[REPEAT] += REPEAT_WEIGHT * sum(map(eq, found, found[1:]))
     at = np.flatnonzero(total)
-    return at.astype(np.uint16), (total[at] / total.max(initial=1.0)).astype(np.float16)
+    return at.astype(np.uint16), total[at].astype(np.float32)
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, prior_shift: float, dim: int = 12, epochs: int = 8, rate: float = 2.0, seed: int = 7) -> QualityModel:
-    """Plain stochastic gradient descent, one text at a time, with a linearly falling rate."""
+def packed(found: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """A bag, compressed for its way to the driver and its stay there."""
+    return zlib.compress(found[0].tobytes() + found[1].tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(raw)
+    n = len(raw) // 6
+    return np.frombuffer(raw, np.uint16, n), np.frombuffer(raw, np.float32, n, 2 * n)
+
+
+def train(bags: list[bytes], y: np.ndarray, prior_shift: float, dim: int = 12, epochs: int = 8, rate: float = 2.0, seed: int = 7) -> QualityModel:
+    """Plain stochastic gradient descent over packed bags, one text at a time, with a linearly falling rate."""
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim)).astype(np.float32)
     out, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * len(bags), 0
     for _ in range(epochs):
         for i in rng.permutation(len(bags)):
-            at, n = bags[i]
+            at, n = unpacked(bags[i])
             lr = rate * (1 - done / steps)
             done += 1
-            n = n.astype(np.float32)
             share = n / n.sum() if len(n) else n
             mean = share @ table[at]
             logit = out @ mean + bias
@@ -99,17 +110,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            bags = [bag(x) for x in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "at": [x[0].tobytes() for x in bags], "n": [x[1].tobytes() for x in bags]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "bag": [packed(bag(x)) for x in b["text"]]})
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
-    rows = texts.mapInPandas(run, "doc_id long, y int, at binary, n binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["at"]), bytes(r["n"])))
+    rows = texts.mapInPandas(run, "doc_id long, y int, bag binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["bag"])))
     y = np.array([r["y"] for r in rows])
     if not len(y) or y.min() == y.max():
         return None
     shift = math.log(sizes[1] / sizes[0]) - math.log((y == 1).sum() / (y == 0).sum())
-    return train([(np.frombuffer(r["at"], np.uint16), np.frombuffer(r["n"], np.float16)) for r in rows], y, shift)
+    return train([bytes(r["bag"]) for r in rows], y, shift)
 
 
 class WordGains(dict):
