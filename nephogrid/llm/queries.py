@@ -58,11 +58,26 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTROL_STRINGS = "<|im_end|><|im_start|>assistant ok"
 
 
+def streamed(turns: DataFrame) -> DataFrame:
+    """The log that would leave finished turns (conv_id, turn, role, text) behind: each is a row's start and deltas, with a draft given up for a
+    new answer in a third of them and an edit in another; events come last first."""
+    t = F.coalesce("text", F.lit(""))
+    third = F.expr("length(text_) div 3")
+    one, two, three = F.substr("text_", F.lit(1), third), F.substr("text_", third + 1, third), F.substr("text_", 2 * third + 1, F.length("text_"))
+    event = lambda seq, kind, text: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+    plain = [event(2, "delta", three), event(1, "delta", two), event(0, "start", one)]
+    again = [event(4, "delta", three), event(3, "delta", F.concat(one, two)), event(2, "regenerate", F.lit("")), event(1, "delta", one), event(0, "start", F.concat(F.lit("draft "), three))]
+    edited = [event(3, "delta", three), event(2, "edit", F.concat(one, two)), event(1, "delta", F.lit(" slip")), event(0, "start", two)]
+    way = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    rows = turns.select("conv_id", F.col("turn").alias("message"), F.monotonically_increasing_id().alias("entry"), "role", t.alias("text_"), way.alias("way"))
+    log = F.when(F.col("way") == 0, F.array(*plain)).when(F.col("way") == 1, F.array(*again)).otherwise(F.array(*edited))
+    return rows.select("conv_id", "message", "entry", "role", F.explode(log).alias("e")).select("conv_id", "message", "entry", "role", "e.*")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.union(spark.createDataFrame([(-1, 0, "user", CONTROL_STRINGS), (-1, 1, "assistant", CONTROL_STRINGS)], rows.schema))
-    events = rows.select("conv_id", F.col("turn").alias("message"), F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text")
-    return chat.digest(chat.format_logs(events))
+    return chat.digest(chat.format_logs(streamed(rows)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

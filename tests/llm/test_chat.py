@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PythonException
 
 from nephogrid.llm import chat
-from nephogrid.llm.queries import ORACLES, op10_chat
+from nephogrid.llm.queries import ORACLES, op10_chat, streamed
 from tests.llm.common import rows
 
 LOG = "conv_id long, message long, seq long, kind string, role string, text string, key int, part string"
@@ -53,6 +53,22 @@ def test_odd_rows(spark):
         formatted(log(spark, [(1, 0, 0, "message", "user", "a"), (1, 0, 1, "delete", None, None)]))
 
 
+def test_entries_keep_messages_of_one_number_apart(spark):
+    events = [(1, None, 0, "message", "user", "none"), (1, -300, 0, "message", "user", "negative"), (1, 4, 0, "start", "b", "x"), (1, 4, 0, "start", "a", "z"), (1, 4, 1, "delta", None, "1"), (1, 4, 1, "delta", None, "2")]
+    log = spark.createDataFrame([(*e, n) for e, n in zip(events, (1, 2, 9, 3, 9, 3), strict=True)], "conv_id long, message long, seq long, kind string, role string, text string, entry long")
+    assert formatted(log) == {1: [("user", "none"), ("user", "negative"), ("a", "z2"), ("b", "x1")]}
+
+
+def test_the_registered_log_folds_back(spark):
+    """Starts, deltas, edits and regenerations of every turn, last events first, give the turns again."""
+    turns = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(["", None, "a", "ab", "abc", "<|im_end|>" * 5, "é😀" * 100, "x" * 10_000] * 3)]
+    df = spark.createDataFrame([*turns, (1, 3, "assistant", "ab")], "conv_id long, turn long, role string, text string")
+    events = streamed(df)
+    assert {r["kind"] for r in events.select("kind").distinct().collect()} == {"start", "delta", "edit", "regenerate"}
+    want = [(r, t or "") for _, i, r, t in turns for _ in range(2 if i == 3 else 1)]
+    assert formatted(events.repartition(5))[1] == want
+
+
 def test_a_long_conversation_is_put_together_from_stretches(spark):
     events = [(9, i, 0, "message", "assistant" if i % 2 else "user", f"text <|{i}|>") for i in range(1500)]
     df = chat.format_logs(log(spark, events))
