@@ -5,12 +5,15 @@ p and a vector x of a cell, ``|q - x| >= max(|q - p| - d_max, d_min - |q - p|, 0
 bounded by what the cell's table entry says. A query first takes its cells in order of that bound until enough vectors are in; the
 k-th best score so far then closes every cell whose bound lies below it. The rest are searched. The result is exact.
 
-The cell table has at most pivots times rings rows, whatever the data, and is what the driver and the tasks hold. Vectors and queries meet in
-blocks: a cell's vectors are dealt over slots of bounded size, its queries over packs of bounded size.
+The cell table has at most pivots times rings rows and is what the driver and the tasks hold. Pivots grow with the root of the number of
+vectors up to a bound. Vectors and queries meet in blocks: a cell's vectors are dealt over slots of bounded size, its queries over packs of
+bounded size. How much the bounds close is up to the data: vectors whose neighbours are about as far away as all others leave nearly every
+cell open, and the search is then a blocked product of queries and vectors.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +23,24 @@ from pyspark.sql import functions as F
 
 from nephogrid.llm._common import materialize
 
-PIVOTS, RINGS = 24, 24
+#: Least and most pivots. Between them there is one for each 64 of the root's square, so that cells have some thousands of vectors.
+PIVOTS, MOST_PIVOTS, RINGS = 24, 4096, 24
 SLOT_ROWS, PACK_ROWS = 2048, 256
 
 
+#: Scaled components stop here before they become whole numbers.
+FAR = float(1 << 40)
+
+
 def quantized(embedding: Column, scale: float = 256.0) -> Column:
-    """floor(scale * x) of every component, as longs; null if the vector is null or has a null or non-finite component."""
+    """floor(scale * x) of every component, as longs within +-FAR; null if the vector is null or has a null or non-finite component."""
     v = embedding.cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when(fine, F.transform(v, lambda x: F.floor(x * scale).cast("long")))
+    return F.when(fine, F.transform(v, lambda x: F.floor(F.greatest(F.lit(-FAR), F.least(F.lit(FAR), x * scale))).cast("long")))
+
+
+def pivots_for(n: int) -> int:
+    return min(MOST_PIVOTS, max(PIVOTS, math.isqrt(n // 64)))
 
 
 def _matrix(raw: pd.Series, dim: int, kind: str) -> np.ndarray:
@@ -43,31 +55,34 @@ def _ceiling(d_qp: np.ndarray, q2: np.ndarray, cells: dict[str, np.ndarray]) ->
 
 
 class PivotIndex:
-    """The index over (vec_id, v): rows of longs, zero-extended to the longest."""
+    """The index over (num, vec_id, v): rows of longs, zero-extended to the longest; ``num`` tells rows apart."""
 
-    def __init__(self, vectors: DataFrame, pivots: int = PIVOTS, rings: int = RINGS):
+    def __init__(self, vectors: DataFrame, pivots: int | None = None, rings: int = RINGS):
         spark = vectors.sparkSession
-        shape = vectors.agg(F.max(F.size("v")).alias("dim"), F.max(F.array_max(F.transform("v", F.abs))).alias("top")).first()
+        shape = vectors.agg(F.max(F.size("v")).alias("dim"), F.max(F.array_max(F.transform("v", F.abs))).alias("top"), F.count(F.lit(1)).alias("n")).first()
         self.empty = shape["dim"] is None
         if self.empty:
             return
         self.dim = dim = max(1, shape["dim"])
         self.kind = kind = "<i2" if (shape["top"] or 0) < 2**15 else "<i8"
+        most = math.isqrt((1 << 62) // dim)  # components beyond it count as it, so that every sum fits a long
         # Pivots: a sample by hash of the id, bounded by its size; equal ones once.
-        sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").collect()
-        self.pivots = at = np.unique(np.array([[*r["v"], *[0] * (dim - len(r["v"]))] for r in sample], np.float64), axis=0)
+        sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(pivots or pivots_for(shape["n"])).select("v").collect()
+        at = np.array([[*r["v"], *[0] * (dim - len(r["v"]))] for r in sample], np.float64)
+        self.pivots = at = np.unique(np.clip(at, -most, most), axis=0)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 m = np.zeros((len(b), dim), np.int64)
                 for i, v in enumerate(b["v"]):
                     m[i, : len(v)] = v
+                m = np.clip(m, -most, most)
                 f = m.astype(np.float64)
                 d2 = np.maximum(0.0, (f**2).sum(1)[:, None] + (at**2).sum(1) - 2 * f @ at.T)
                 near = d2.argmin(1)
-                yield pd.DataFrame({"vec_id": b["vec_id"], "pivot": near, "dist": np.sqrt(d2[np.arange(len(b)), near]), "norm": (f**2).sum(1), "raw": [x.tobytes() for x in m.astype(kind)]})
+                yield pd.DataFrame({"num": b["num"], "vec_id": b["vec_id"], "pivot": near, "dist": np.sqrt(d2[np.arange(len(b)), near]), "norm": (f**2).sum(1), "raw": [x.tobytes() for x in m.astype(kind)]})
 
-        keyed = materialize(vectors.mapInPandas(run, "vec_id long, pivot int, dist double, norm double, raw binary"), "keyed")
+        keyed = materialize(vectors.mapInPandas(run, "num long, vec_id long, pivot int, dist double, norm double, raw binary"), "keyed")
         width = max(1e-9, keyed.agg(F.max("dist")).first()[0] / rings) * (1 + 1e-9)
         ring = F.floor(F.col("dist") / width).cast("int")
         table = keyed.groupBy("pivot", ring.alias("ring")).agg(F.count(F.lit(1)).alias("n"), F.min("dist").alias("d_min"), F.max("dist").alias("d_max"), F.max("norm").alias("norm")).orderBy("pivot", "ring").collect()
@@ -75,13 +90,13 @@ class PivotIndex:
         self.slots = [-(-r["n"] // SLOT_ROWS) for r in table]
         number = {(r["pivot"], r["ring"]): i for i, r in enumerate(table)}
         grid = F.array(*[F.lit(number.get((p, r), -1)) for p in range(len(at)) for r in range(rings + 1)])
-        dealt = keyed.select("vec_id", "raw", F.get(grid, F.col("pivot") * (rings + 1) + ring).alias("cell"))
-        dealt = dealt.withColumn("slot", F.pmod(F.xxhash64("vec_id"), F.get(F.array(*map(F.lit, self.slots)), F.col("cell")).cast("long")).cast("int"))
-        self.blocks = materialize(_packed(dealt, "vec_id", ["cell", "slot"]), "blocks")
+        dealt = keyed.select("num", "vec_id", "raw", F.get(grid, F.col("pivot") * (rings + 1) + ring).alias("cell"))
+        dealt = dealt.withColumn("slot", F.pmod(F.xxhash64("num"), F.get(F.array(*map(F.lit, self.slots)), F.col("cell")).cast("long")).cast("int"))
+        self.blocks = materialize(_packed(dealt, ["cell", "slot"]), "blocks")
         self.spark = spark
 
     def _visits(self, queries: DataFrame, near: bool, enough: int) -> DataFrame:
-        """(cell, query_id, raw): the cells each query has to search, first (``near``) or because of its floor."""
+        """(cell, num, vec_id, raw): the cells each query has to search, first (``near``) or because of its floor."""
         cells, at, dim, kind = self.cells, self.pivots, self.dim, self.kind
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,106 +112,115 @@ class PivotIndex:
                     np.put_along_axis(first, order, before < enough, axis=1)
                     wanted = first if near else ~first & (high >= part["least"].to_numpy(np.float64)[:, None])
                     i, c = np.nonzero(wanted)
-                    yield pd.DataFrame({"cell": c.astype(np.int32), "query_id": part["query_id"].to_numpy()[i], "raw": part["raw"].to_numpy()[i]})
+                    yield pd.DataFrame({"cell": c.astype(np.int32), **{k: part[k].to_numpy()[i] for k in ("num", "vec_id", "raw")}})
 
-        return queries.mapInPandas(run, "cell int, query_id long, raw binary")
+        return queries.mapInPandas(run, "cell int, num long, vec_id long, raw binary")
 
     def _search(self, visits: DataFrame, n_queries: int, k: int) -> DataFrame:
-        """(query_id, vec_id, score): the best k of each query in the cells it visits, or more."""
+        """(query, query_id, vec_id, score): the best k of each query row in the cells it visits, or more; ``query`` is the row's number."""
         dim, kind = self.dim, self.kind
-        packs = visits.withColumn("pack", F.pmod(F.xxhash64("query_id", F.lit("pack")), F.lit(-(-n_queries // PACK_ROWS)).cast("long")).cast("int"))
-        packs = _packed(packs, "query_id", ["cell", "pack"]).withColumnsRenamed({"ids": "q_ids", "rows": "q_rows"})
+        packs = visits.withColumn("pack", F.pmod(F.xxhash64("num", F.lit("pack")), F.lit(-(-n_queries // PACK_ROWS)).cast("long")).cast("int"))
+        packs = _packed(packs, ["cell", "pack"]).withColumnsRenamed({"nums": "q_nums", "ids": "q_ids", "rows": "q_rows"})
         packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(F.array(*map(F.lit, self.slots)), F.col("cell")) - 1)))
-        met = packs.join(self.blocks, ["cell", "slot"]).select("q_ids", "q_rows", "ids", "rows")
+        sides = ["q_nums", "q_ids", "q_rows", "nums", "ids", "rows"]
+        met = packs.join(self.blocks, ["cell", "slot"]).select(*sides)
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 found = []
-                for q_ids, q_rows, ids, rows in zip(b["q_ids"], b["q_rows"], b["ids"], b["rows"], strict=True):
-                    qi, xi = np.frombuffer(q_ids, "<i8"), np.frombuffer(ids, "<i8")
+                for q_nums, q_ids, q_rows, nums, ids, rows in zip(*[b[c] for c in sides], strict=True):
+                    qn, qi, xn, xi = (np.frombuffer(r, "<i8") for r in (q_nums, q_ids, nums, ids))
                     q, x = (np.frombuffer(r, kind).reshape(-1, dim) for r in (q_rows, rows))
                     # doubles hold these sums exactly unless components are huge
                     s = np.rint(q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64) if kind == "<i2" else q @ x.T
                     # ids ascend within a block, so a stable order breaks ties as asked; no more than k of a block go on
-                    own = qi[:, None] == xi[None, :]
+                    own = qn[:, None] == xn[None, :]
                     m = len(xi)
-                    if m > k and np.abs(s).max(initial=0) < 1 << 50:
+                    if m > k and np.abs(s).max(initial=0) < (1 << 61) // (m + 1):
                         key = np.where(own, np.iinfo(np.int64).min, s * m + np.arange(m - 1, -1, -1))
                         j = np.argpartition(key, m - k, axis=1)[:, m - k :]
                     else:
-                        j = np.argsort(np.where(own, 1, 0) * (np.iinfo(np.int64).max // 2) - s, axis=1, kind="stable")[:, :k]
+                        j = np.argsort(np.where(own, np.iinfo(np.int64).max, -s), axis=1, kind="stable")[:, :k]
                     i = np.repeat(np.arange(len(qi)), j.shape[1])
                     j = j.ravel()
                     i, j = i[~own[i, j]], j[~own[i, j]]
-                    found.append((qi[i], xi[j], s[i, j]))
+                    found.append((qn[i], qi[i], xi[j], s[i, j]))
                 if found:
-                    q, x, s = (np.concatenate(c) for c in zip(*found, strict=True))
-                    order = np.lexsort((x, -s, q))
-                    q, x, s = q[order], x[order], s[order]
-                    begins = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.empty(0, np.int64)
-                    rank = np.arange(len(q)) - np.repeat(begins, np.diff(np.concatenate([begins, [len(q)]])))
-                    yield pd.DataFrame({"query_id": q[rank < k], "vec_id": x[rank < k], "score": s[rank < k]})
+                    n, q, x, s = (np.concatenate(c) for c in zip(*found, strict=True))
+                    order = np.lexsort((x, -s, n))
+                    n, q, x, s = n[order], q[order], x[order], s[order]
+                    begins = np.flatnonzero(np.concatenate(([True], n[1:] != n[:-1]))) if len(n) else np.empty(0, np.int64)
+                    rank = np.arange(len(n)) - np.repeat(begins, np.diff(np.concatenate([begins, [len(n)]])))
+                    best = rank < k
+                    yield pd.DataFrame({"query": n[best], "query_id": q[best], "vec_id": x[best], "score": s[best]})
 
-        return met.mapInPandas(run, "query_id long, vec_id long, score long")
+        return met.mapInPandas(run, "query long, query_id long, vec_id long, score long")
 
     def top(self, is_query: Column, k: int) -> DataFrame:
         """(query_id, rank, vec_id, score) of the index's own vectors for which ``is_query`` (of vec_id) holds."""
-        rows = self.blocks.mapInPandas(_unpacked(self.dim * np.dtype(self.kind).itemsize), "vec_id long, raw binary")
-        queries = materialize(rows.where(is_query).withColumnRenamed("vec_id", "query_id"), "queries")
+        rows = self.blocks.mapInPandas(_unpacked(self.dim * np.dtype(self.kind).itemsize), "num long, vec_id long, raw binary")
+        queries = materialize(rows.where(is_query), "queries")
         n = queries.count()
-        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
         enough = max(64, 8 * (k + 1))
         first = materialize(self._search(self._visits(queries, True, enough), max(1, n), k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "first")
-        least = first.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
-        floored = queries.join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        least = first.where(F.col("rank") == k).select(F.col("query").alias("num"), F.col("score").cast("double").alias("least"))
+        floored = queries.join(least, "num", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
         rest = self._search(self._visits(floored, False, enough), max(1, n), k)
-        both = first.select("query_id", "vec_id", "score").union(rest)
+        both = first.select("query", "query_id", "vec_id", "score").union(rest)
         return both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _packed(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
-    """One row (keys, ids, rows) for each of the keys' groups, which the caller keeps small."""
-    rows = rows.select(*keys, F.col(name).alias("id"), "raw").repartition(*keys).sortWithinPartitions(*keys, "id")
+def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row (keys, nums, ids, rows) for each of the keys' groups of (num, vec_id, raw), which the caller keeps small; by vec_id within."""
+    rows = rows.select(*keys, "num", "vec_id", "raw").repartition(*keys).sortWithinPartitions(*keys, "vec_id", "num")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, raws = None, [], []
+        key, nums, ids, raws = None, [], [], []
+
+        def closed() -> tuple:
+            return (*key, np.array(nums, "<i8").tobytes(), np.array(ids, "<i8").tobytes(), b"".join(raws))
+
         for b in batches:
             out = []
-            for *k, i, r in zip(*[b[c].tolist() for c in keys], b["id"].tolist(), b["raw"], strict=True):
+            for *k, num, i, r in zip(*[b[c].tolist() for c in [*keys, "num", "vec_id"]], b["raw"], strict=True):
                 if k != key:
                     if ids:
-                        out.append((*key, np.array(ids, "<i8").tobytes(), b"".join(raws)))
-                    key, ids, raws = k, [], []
+                        out.append(closed())
+                    key, nums, ids, raws = k, [], [], []
+                nums.append(num)
                 ids.append(i)
                 raws.append(r)
             if out:
-                yield pd.DataFrame(out, columns=[*keys, "ids", "rows"])
+                yield pd.DataFrame(out, columns=[*keys, "nums", "ids", "rows"])
         if ids:
-            yield pd.DataFrame([(*key, np.array(ids, "<i8").tobytes(), b"".join(raws))], columns=[*keys, "ids", "rows"])
+            yield pd.DataFrame([closed()], columns=[*keys, "nums", "ids", "rows"])
 
-    return rows.mapInPandas(run, ", ".join(f"{c} int" for c in keys) + ", ids binary, rows binary")
+    return rows.mapInPandas(run, ", ".join(f"{c} int" for c in keys) + ", nums binary, ids binary, rows binary")
 
 
 def _unpacked(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for ids, rows in zip(b["ids"], b["rows"], strict=True):
+            for nums, ids, rows in zip(b["nums"], b["ids"], b["rows"], strict=True):
                 n = np.frombuffer(ids, "<i8")
-                yield pd.DataFrame({"vec_id": n, "raw": [rows[i * width : (i + 1) * width] for i in range(len(n))]})
+                yield pd.DataFrame({"num": np.frombuffer(nums, "<i8"), "vec_id": n, "raw": [rows[i * width : (i + 1) * width] for i in range(len(n))]})
 
     return run
 
 
-def top_k(embeddings: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int = PIVOTS, rings: int = RINGS) -> DataFrame:
+def top_k(embeddings: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int | None = None, rings: int = RINGS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vector of (vec_id, embedding) for which ``is_query`` (an expression of vec_id) holds, the k other
     vectors of the highest integer inner product, all if there are fewer; ties go to the smaller vec_id.
 
-    Components are floor(scale * x). Vectors that are null or hold a null or non-finite component, and rows without a vec_id, take no part; of
-    rows that repeat a vec_id the smallest vector counts; vectors of different lengths are compared as if zero-extended, empty ones too.
-    Components of 2^15 and more need products and sums below 2^63. An empty table gives an empty result; other columns are ignored.
+    Components are floor(scale * x). Vectors that are null or hold a null or non-finite component, and rows without a vec_id, take no part.
+    Rows that repeat a vec_id are vectors of their own, as candidates (also of each other) and as queries. Vectors of different lengths are
+    compared as if zero-extended, empty ones too. Components past sqrt(2^62 / length) count as that much, so every product fits a long. An
+    empty table gives an empty result; other columns are ignored. ``pivots`` stands in for the number that grows with the vectors.
     """
     v = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), quantized(F.col("embedding"), scale).alias("v")).where("vec_id is not null and v is not null")
-    index = PivotIndex(materialize(v.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors"), pivots, rings)
+    # rows are numbered once, as they are written
+    index = PivotIndex(materialize(v.withColumn("num", F.monotonically_increasing_id()), "vectors"), pivots, rings)
     if index.empty:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return index.top(is_query, k)

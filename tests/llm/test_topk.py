@@ -13,16 +13,16 @@ SCHEMA = "vec_id long, embedding array<float>, label int, raw string, cell int"
 
 
 def brute(vectors, is_query, k):
-    good = {}
-    for i, v in sorted(vectors, key=lambda x: (x[0] is None, x[0], x[1] or [])):
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and i not in good:
-            good[i] = [math.floor(256 * x) for x in v]
-    dim = max(map(len, good.values()), default=0)
-    m = {i: np.array([*v, *[0] * (dim - len(v))], dtype=np.int64) for i, v in good.items()}
+    """Every row is a vector of its own, whatever its id."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    dim = max((len(v) for _, v in good), default=1)
+    most = math.isqrt((1 << 62) // dim)
+    m = [(i, [max(-most, min(most, x)) for x in v] + [0] * (dim - len(v))) for i, v in good]
     out = []
-    for q in [i for i in m if is_query(i)]:
-        best = sorted((-int(m[q] @ x), i) for i, x in m.items() if i != q)[:k]
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    for at, (q, v) in enumerate(m):
+        if is_query(q):
+            best = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), i) for j, (i, x) in enumerate(m) if j != at)[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out, key=repr)
 
 
@@ -48,6 +48,12 @@ def test_odd_rows(spark):
     v = [(0, [1.0, 2.0]), (10, [0.5]), (20, []), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0]), (5, [-1.0, 0.001]), (5, [-1.0, 0.001]), (6, [300.0, -300.0])]
     got = topk.top_k(frame(spark, v), F.col("vec_id") % 10 == 0, k=5)
     assert rows(got) == brute(v, lambda i: i % 10 == 0, 5)
+    huge = [(0, [1e38, 1.0]), (10, [-1e30, 1e30]), (1, [-1e30, 0.0]), (2, [2.0**31, 1.0]), (3, [1.0, -3e38])]
+    got = topk.top_k(frame(spark, huge), F.col("vec_id") % 10 == 0, k=5)
+    assert rows(got) == brute(huge, lambda i: i % 10 == 0, 5)
+    twice = [(0, [1.0]), (1, [0.5]), (1, [2.0]), (2, [0.125]), (0, [3.0])]
+    got = topk.top_k(frame(spark, twice), F.col("vec_id") % 10 == 0, k=3)
+    assert rows(got) == brute(twice, lambda i: i % 10 == 0, 3) and (0, 1, 0, 196608) in rows(got)
     assert topk.top_k(frame(spark, v).where("false"), F.lit(True)).collect() == []
     assert topk.top_k(frame(spark, v[:1]), F.lit(True)).collect() == []
 
@@ -65,3 +71,7 @@ def test_bounds_hold():
     cells = {"pivot": np.zeros(200, int), "d_min": d, "d_max": d, "norm": (x**2).sum(1)}
     high = topk._ceiling(np.sqrt(((q - p) ** 2).sum(1))[:, None], (q**2).sum(1), cells)
     assert (high >= q @ x.T).all()
+
+
+def test_pivots_grow_with_the_vectors():
+    assert [topk.pivots_for(n) for n in (0, 2000, 10**6, 10**9, 10**12)] == [24, 24, 125, 3952, 4096]
