@@ -28,11 +28,11 @@ from nephogrid.llm._common import small_batches
 
 BLANK = "▁"
 WORDS = re.compile(" *[^ ]+| +")
-#: About so many bytes of words and their ids are kept from one stretch to the next, and so many agreements of pieces.
-CACHE_BYTES, CACHE_PAIRS = 24_000_000, 1_000_000
+#: About twice so many bytes of words and their ids are kept from one stretch to the next, and so many agreements of pieces.
+CACHE_BYTES, CACHE_PAIRS = 32_000_000, 1_000_000
 #: Texts are taken in stretches of about so many characters, longer ones in parts, and their new words in runs of so many, which bounds the
 #: suffix array; a word longer than a run is relaxed window by window.
-STRETCH_CHARS, RUN_CHARS = 500_000, 100_000
+STRETCH_CHARS, RUN_CHARS = 1_000_000, 200_000
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -86,19 +86,27 @@ class Pieces:
         return self.merge(list(a + b)) == [a, b]
 
 
-class WordIds(dict):
-    """Word -> its ids as bytes, and about how many bytes that takes."""
+class WordIds:
+    """Word -> its ids as bytes, in two generations: when the young one is full it becomes the old one, whose words come back as they are met."""
 
-    bytes = 0
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def missing(self, words: set[str]) -> set[str]:
+        """The words that have to be encoded; the others are young now."""
+        if self.bytes > CACHE_BYTES:
+            self.young, self.old, self.bytes = {}, self.young, 0
+        away = words.difference(self.young)
+        back = [w for w in away if w in self.old]
+        self.learn(back, [self.old[w] for w in back])
+        return away.difference(back)
 
     def learn(self, words: list[str], ids: list[bytes]) -> None:
-        self.update(zip(words, ids, strict=True))
+        self.young.update(zip(words, ids, strict=True))
         self.bytes += sum(map(len, ids)) + 4 * sum(map(len, words)) + 180 * len(words)
 
-    def forget(self) -> None:
-        self.clear()
-        self.bytes = 0
-
 
 @lru_cache(maxsize=1)
 def _pieces(path: str) -> tuple[Pieces, WordIds]:
@@ -346,16 +354,11 @@ def encode_texts(texts: list[str | None], pieces: Pieces, known: WordIds) -> lis
 def _encode_parts(parts: list[str], pieces: Pieces, known: WordIds) -> list[np.ndarray]:
     """Ids of each part."""
     cut = [_cut(p) if p else [] for p in parts]
-    if known.bytes > CACHE_BYTES:
-        known.forget()
-    new: set[str] = set()
-    for words in cut:
-        new.update(set(words).difference(known))
-    fresh = sorted(new, key=len)  # like lengths together
+    fresh = sorted(known.missing(set().union(*cut)), key=len)  # like lengths together
     at = 0
     while at < len(fresh):  # runs of bounded length
         if len(fresh[at]) > RUN_CHARS:
-            known[fresh[at]] = encode_long(_spelled(fresh[at]), pieces)
+            known.young[fresh[at]] = encode_long(_spelled(fresh[at]), pieces)
             at += 1
             continue
         size, stop = 0, at
@@ -364,11 +367,11 @@ def _encode_parts(parts: list[str], pieces: Pieces, known: WordIds) -> list[np.n
             stop += 1
         known.learn(fresh[at:stop], encode_words([_spelled(w) for w in fresh[at:stop]], pieces))
         at = stop
-    out = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
+    out = [np.frombuffer(b"".join(map(known.young.__getitem__, words)), np.int32) for words in cut]
     for w in reversed(fresh):
         if len(w) <= 40:
             break
-        del known[w]  # its bytes stay counted, which only empties the cache sooner
+        del known.young[w]  # its bytes stay counted, which only empties the cache sooner
     return out
 
 
