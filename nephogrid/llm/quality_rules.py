@@ -83,21 +83,33 @@ class Rule:
         f = features()
         out = F.lit(True)
         for name, at_least, t in self.tests:
-            out = out & ((f[name] >= t) if at_least else (f[name] < t))
+            value = F.round(f[name], 3)
+            out = out & ((value >= t) if at_least else (value < t))
         return out
 
     def __str__(self) -> str:
         return " and ".join(f"{n} {'>=' if up else '<'} {t:.6g}" for n, up, t in self.tests) + f" ({self.hits} right, {self.misses} wrong)"
 
 
-def learn(labelled: DataFrame, max_rules: int = 8, max_tests: int = 3, n_cuts: int = 32, precision: float = 0.9) -> list[Rule]:
-    """A decision list from rows of COUNTS, y (0: low quality) and grow (false: for pruning). Empty if either class is missing."""
+def least_share(hits: int, misses: int, z: float = 1.0) -> float:
+    """Wilson's lower bound of the share of hits."""
+    n = hits + misses
+    p = hits / n if n else 0.0
+    return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n) if n else 0.0
+
+
+def learn(labelled: DataFrame, max_rules: int = 8, max_tests: int = 3, n_cuts: int = 32, precision: float = 0.8) -> list[Rule]:
+    """A decision list from rows of COUNTS, y (0: low quality) and grow (false: for pruning). Empty if either class is missing.
+
+    A rule is emitted if the lower bound of its precision on the pruning rows is ``precision`` or more, which takes four hits without a miss.
+    Features count in steps of a thousandth, so quantiles come from counts of few values and do not depend on the order of rows.
+    """
     names = list(features())
-    table = materialize(labelled.select(F.col("y").cast("int").alias("y"), "grow", *[c.alias(k) for k, c in features().items()]), "rule-features")
+    table = materialize(labelled.select(F.col("y").cast("int").alias("y"), "grow", *[F.round(c, 3).alias(k) for k, c in features().items()]), "rule-features")
     if table.where("grow").select("y").distinct().count() < 2:
         return []
     # Cuts lie at the quantiles of either class, so a rare class gets its share of them.
-    by_class = table.where("grow").groupBy("y").agg(*[F.percentile_approx(k, [i / n_cuts for i in range(n_cuts + 1)], 10_000).alias(k) for k in names]).collect()
+    by_class = table.where("grow").groupBy("y").agg(*[F.percentile(k, [i / n_cuts for i in range(n_cuts + 1)]).alias(k) for k in names]).collect()
     cuts = {k: sorted({x for r in by_class for x in r[k]}) for k in names}
 
     def bin_of(k: str) -> Column:
@@ -145,7 +157,7 @@ def learn(labelled: DataFrame, max_rules: int = 8, max_tests: int = 3, n_cuts: i
         worth = [(row[f"c{i}0"], row[f"c{i}1"]) for i in range(len(prefixes))]
         at = max(range(len(prefixes)), key=lambda i: ((worth[i][0] - worth[i][1]) / (worth[i][0] + worth[i][1] + 1), -i))
         hits, misses = worth[at]
-        if hits < 2 or hits < precision * (hits + misses):
+        if least_share(hits, misses) < precision:
             break
         rules.append(Rule(tuple(prefixes[at]), hits, misses))
         left = left.where(~holds(prefixes[at]))
@@ -163,7 +175,7 @@ def verdict(rules: list[Rule]) -> Column:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, COUNTS..., base_failed, rule, kept) for every row of (doc_id, text); ``rule`` is the rule that rejects the text.
 
-    Learns from all labelled rows: two thirds (by hash of the id) grow rules, one third prunes them. A null text has no words and fails the
+    Learns from all labelled rows that pass the base, for the others never reach the list: two thirds (by hash of the id) grow rules, one third prunes them. A null text has no words and fails the
     base; so does an empty or short one. Without labels of both classes the list is empty and only the base judges. Repeated rows each come
     back; labels that repeat an id count once; null ids and labels are not learnt from; other columns are ignored.
     """
@@ -172,7 +184,6 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     s = materialize(s, "text-statistics")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("y"))
     grow = F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) < 2
-    rules = learn(s.join(known, "doc_id").withColumn("grow", grow))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rule = verdict(rules)
+    rule = verdict(learn(s.where(~base).join(known, "doc_id").withColumn("grow", grow)))
     return s.withColumn("base_failed", base).withColumn("rule", F.when(~F.col("base_failed"), rule)).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
