@@ -1,9 +1,11 @@
 """License scans: a trained paragraph classifier whose predictions are confirmed against templates.
 
-A paragraph (a line) is the set of its word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one, tells licence
-families from each other and from an unknown class; it is fitted on the families' phrases, whole and with words left out, and on prose that
-uses the same words otherwise. The level a prediction must reach is calibrated on phrases kept apart. A prediction stands if enough of a
-template of its family is in the paragraph. Everything on the way over the documents is a DataFrame function.
+A paragraph is a run of up to three lines with no blank one between them, so that a notice is found in one line of prose and wrapped at 70
+columns alike. It is the set of its word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one, tells licence
+families from each other and from an unknown class; it is fitted on the families' notices, whole and with words left out, and on prose and
+other licences that use the same words. The level a prediction must reach is calibrated on texts that share no notice with those. A prediction
+stands if enough of a template of its family is in the paragraph and no other family's template fits better. Of overlapping paragraphs of one
+family the better is reported. Everything on the way over the documents is a DataFrame function.
 """
 
 from __future__ import annotations
@@ -15,38 +17,97 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nephogrid.llm._common import ascii_lower, let
 
-#: Phrases by which licences name themselves, by family. The names and phrases are fixed values.
+#: Notices by which licences name themselves, by family. The names and notices are fixed values.
 TEMPLATES = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Apache License Version 2.0, January 2004",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "mit": (
         "Released under the MIT License.",
+        "The MIT License (MIT)",
         "This project is licensed under the terms of the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "SPDX-License-Identifier: MIT",
     ),
+    "gpl-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
         "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ),
+    "lgpl-2.1": (
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "lgpl-3.0": (
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        "SPDX-License-Identifier: LGPL-3.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
+    "agpl-3.0": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "bsd-2-clause": (
+        "Released under the 2-Clause BSD License.",
+        "Licensed under the Simplified BSD License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "bsd-3-clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
         "Released under the 3-Clause BSD License.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
+    "cc0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "Licensed under CC0 1.0 Universal, a public domain dedication.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "cc-by-nc-4.0": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "cc-by-sa-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
     "cc-by-4.0": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -56,7 +117,7 @@ TEMPLATES = {
         "No part of this publication may be reproduced without the prior written permission of the publisher.",
     ),
 }
-#: Prose that shares words with the phrases and names no licence.
+#: Prose that shares words with the notices and names no licence, and licences of no family here.
 OTHER = (
     "The driver had a license but the car was not permitted on the road.",
     "Version 3 of the report was released under pressure from the public.",
@@ -74,6 +135,56 @@ OTHER = (
     "Binary stars and their use in source counts.",
     "the of and in to is that it for was on are with as",
     "The license plate was under the bridge.",
+    "The software was released into the hands of its first users without warranty.",
+    "The author has waived the fee for students of law.",
+    "The Mozilla office has moved to another city.",
+    "Neither the name of the street nor the number was known.",
+    "The general public was invited to the affair by the foundation.",
+    "He published the second version of his book at his own option.",
+    "Any purpose will do with or without a plan.",
+    "The identifier of the parcel is on the back, clause 2 and clause 3 apply.",
+    "Licensed under the Apache License, Version 1.1.",
+    "Licensed under the Artistic License 2.0.",
+    "Licensed under the Eclipse Public License, version 2.0.",
+    "Licensed under the Boost Software License, Version 1.0.",
+    "Released under the zlib License.",
+    "Released under the PostgreSQL License.",
+    "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, version 1.3.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "Licensed under the Common Development and Distribution License, version 1.0.",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: NOASSERTION",
+    "The licence is valid for two years and the fee is not returned.",
+)
+#: Texts the level is calibrated on: other wordings than the above, with the family or "unknown".
+CALIBRATION = (
+    ("apache-2.0", "The code is made available under the Apache License, Version 2.0"),
+    ("mit", "MIT License"),
+    ("mit", "This package is distributed under the MIT License, see the file"),
+    ("gpl-2.0", "The driver may be used under the GNU General Public License version 2"),
+    ("gpl-3.0", "The game is released under the GNU General Public License version 3"),
+    ("lgpl-2.1", "The plugin is under the GNU Lesser General Public License version 2.1"),
+    ("lgpl-3.0", "It may be linked under the GNU Lesser General Public License version 3"),
+    ("agpl-3.0", "The server is under the GNU Affero General Public License version 3"),
+    ("mpl-2.0", "Portions fall under the Mozilla Public License version 2.0"),
+    ("isc", "It is distributed under the ISC License"),
+    ("bsd-2-clause", "Available under the 2-Clause BSD License"),
+    ("bsd-3-clause", "Available under the 3-Clause BSD License"),
+    ("cc0-1.0", "The data are under CC0 1.0 Universal"),
+    ("cc-by-nc-4.0", "The pictures are under CC BY-NC 4.0"),
+    ("cc-by-sa-4.0", "The map is under CC BY-SA 4.0"),
+    ("cc-by-4.0", "The figures are under CC BY 4.0"),
+    ("all-rights-reserved", "All rights reserved by the author"),
+    ("unknown", "Her fishing license and permit were granted by the county office."),
+    ("unknown", "The report covers general software terms and free lunches."),
+    ("unknown", "Under the bridge the public waited for the author of the book."),
+    ("unknown", "The library may be used by any person without charge."),
+    ("unknown", "Copies of the document are with the publisher in written form."),
+    ("unknown", "The bus driver's licence has been revoked for a year."),
+    ("unknown", "Distributed under the Academic Free License version 3.0"),
+    ("unknown", "Licensed under the Open Data Commons Attribution License"),
 )
 UNKNOWN = "unknown"
 
@@ -96,27 +207,29 @@ class LicenseModel:
     level: float  # least probability of a prediction
 
 
-def _training_rows() -> list[tuple[str, float, bool]]:
-    """(text, class, kept apart): each phrase whole, and with every fifth or seventh word left out, from different beginnings."""
+def _training_rows() -> list[tuple[str, float]]:
+    """(text, class): each notice whole, with every fifth or seventh word left out from different beginnings, and beside a line of prose."""
     rows = []
     for y, texts in enumerate([OTHER, *TEMPLATES.values()]):
-        for text in texts:
+        for n, text in enumerate(texts):
             w = text.split()
-            rows += [(text, float(y), False), (text.lower(), float(y), False)]
+            rows += [(text, float(y)), (text.lower(), float(y)), (f"{OTHER[n % 24]} {text}", float(y))]
             for k in (5, 7):
-                rows += [(" ".join(x for i, x in enumerate(w) if i % k != at), float(y), at % 2 == 1) for at in range(min(k, len(w)))]
-    rows += [(" ".join(t.split()[i] for t in OTHER if len(t.split()) > i), 0.0, i % 2 == 1) for i in range(8)]
+                rows += [(" ".join(x for i, x in enumerate(w) if i % k != at), float(y)) for at in range(min(k, len(w)) if y else 1)]
     return rows
 
 
 def fit(spark: SparkSession) -> LicenseModel:
-    rows = spark.createDataFrame(_training_rows(), "text string, label double, apart boolean").coalesce(1).withColumn("grams", grams(F.col("text")))
-    terms = sorted({t for text, _, apart in _training_rows() if not apart for t in phrase_grams(text)})
+    """The model of the families above. The level lies midway between the least probable right prediction and the most probable wrong one of a
+    family on the calibration texts, and between 0.5 and 0.9."""
+    names = [UNKNOWN, *TEMPLATES]
+    rows = [(t, y, False) for t, y in _training_rows()] + [(t, float(names.index(f)), True) for f, t in CALIBRATION]
+    terms = sorted({t for text, _ in _training_rows() for t in phrase_grams(text)})
+    df = spark.createDataFrame(rows, "text string, label double, apart boolean").coalesce(1).withColumn("grams", grams(F.col("text")))
     vectors = CountVectorizerModel.from_vocabulary(terms, inputCol="grams", outputCol="features", minTF=0.0).setBinary(True)
-    rows = vectors.transform(rows)
-    model = LogisticRegression(family="multinomial", maxIter=80, regParam=0.002, elasticNetParam=0.5).fit(rows.where("not apart"))
-    scored = model.transform(rows.where("apart")).select("label", "prediction", "probability").collect()
-    # The level lies midway between the least probable right prediction of a family and the most probable wrong one.
+    df = vectors.transform(df)
+    model = LogisticRegression(family="multinomial", maxIter=60, regParam=0.001, elasticNetParam=0.5).fit(df.where("not apart"))
+    scored = model.transform(df.where("apart")).select("label", "prediction", "probability").collect()
     right = [max(r["probability"]) for r in scored if r["label"] and r["label"] == r["prediction"]]
     wrong = [max(r["probability"]) for r in scored if r["prediction"] and r["label"] != r["prediction"]]
     level = min(0.9, max(0.5, (min(right, default=0.5) + max(wrong, default=0.0)) / 2))
@@ -138,30 +251,76 @@ def _screen(words: list[str]) -> str:
     return r"(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items())) + r")(?![a-z0-9])"
 
 
+#: Lines of a paragraph at most.
+WINDOW = 3
+#: What a further line has to add to the overlap.
+LINE_COSTS = 0.1
+
+
+def paragraphs(text: Column, screen: str | None) -> Column:
+    """Array of struct(first, lines, text): the runs of up to WINDOW lines without a blank one, of which the ``screen`` fits one at least."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ascii_lower(x))
+
+    def of(w: Column) -> Column:
+        told = F.transform(w, lambda x, i: F.when(F.lit(True) if screen is None else x.rlike(screen), i))
+        blank = lambda k: F.coalesce(F.trim(F.regexp_replace(F.get(w, k), r"[\x09-\x0D]", " ")) == "", F.lit(True))
+        spans = []
+        for size in range(1, WINDOW + 1):
+            for back in range(size):
+
+                def span(i: Column, size: int = size, back: int = back) -> Column:
+                    whole = F.lit(True)
+                    for k in range(size):
+                        whole = whole & ~blank(i - back + k) & (i - back + k >= 0)
+                    return F.when(whole, F.struct((i - back).cast("int").alias("first"), F.lit(size).alias("lines")))
+
+                spans.append(span)
+        at = F.filter(told, lambda i: i.isNotNull())
+        found = F.flatten(F.transform(at, lambda i: F.filter(F.array(*[f(i) for f in spans]), lambda x: x.isNotNull())))
+        return F.transform(F.array_distinct(found), lambda x: F.struct(x["first"].alias("first"), x["lines"].alias("lines"), F.array_join(F.slice(w, x["first"] + 1, x["lines"]), " ").alias("text")))
+
+    return let(lines, of)
+
+
 def scan(docs: DataFrame, model: LicenseModel | None = None, confirm: float = 0.6) -> DataFrame:
-    """(doc_id, paragraph, family, probability, overlap, text): the paragraphs of (doc_id, text) that name a licence.
+    """(doc_id, paragraph, lines, family, probability, overlap, text): the paragraphs of (doc_id, text) that name a licence, lower-cased.
 
-    ``paragraph`` counts the lines from 0; ``overlap`` is the largest share of a template's n-grams of the predicted family that the paragraph
-    holds, and must reach ``confirm``. Null and empty texts have no paragraphs; repeated rows each give theirs; an empty table gives an empty
-    result; other columns are ignored. Paragraphs without any telling word are known to be unknown and are not scored.
+    ``paragraph`` is the first line, counted from 0, and ``lines`` their number; ``overlap`` is the largest share of a template's n-grams of the
+    predicted family that the paragraph holds, which must reach ``confirm`` and that of every other family. A paragraph is given
+    if none of its family that shares a line with it is worth more (the overlap, less LINE_COSTS for each further line), or as much with fewer
+    lines or an earlier beginning. Null and empty texts have no paragraphs;
+    repeated rows each give theirs; an empty table gives an empty result; other columns are ignored. Paragraphs without any telling word are
+    known to be unknown and are not scored.
     """
     m = model or fit(docs.sparkSession)
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("paragraph", "text"))
     offsets = [math.exp(x) for x in m.logistic.interceptVector]
-    if max(offsets[1:]) / sum(offsets) < m.level:
-        lines = lines.where(ascii_lower(F.col("text")).rlike(_screen(telling_words(m))))
-    scored = m.logistic.transform(m.vectors.transform(lines.withColumn("grams", grams(F.col("text")))))
+    # without a telling word no family's logit gains on that of the unknown class
+    screen = _screen(telling_words(m)) if max(x / (offsets[0] + x) for x in offsets[1:]) < m.level else None
+    runs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")  # numbered before they are cut
+    runs = runs.select("row", "doc_id", F.explode(paragraphs(F.col("text"), screen)).alias("p")).select("row", "doc_id", "p.*")
+    scored = m.logistic.transform(m.vectors.transform(runs.withColumn("grams", grams(F.col("text")))))
     scored = scored.withColumn("probability", F.array_max(vector_to_array("probability"))).where((F.col("prediction") > 0) & (F.col("probability") >= m.level))
-    overlap = family = None
-    for y, (name, phrases) in enumerate(TEMPLATES.items(), 1):
+    shares = []
+    for phrases in TEMPLATES.values():
         own = [F.array(*[F.lit(g) for g in phrase_grams(t)]) for t in phrases]
-        shares = [F.size(F.array_intersect("grams", x)) / F.size(x) for x in own]
-        here = F.greatest(*shares) if len(shares) > 1 else shares[0]
-        is_y = F.col("prediction") == float(y)
-        overlap = F.when(is_y, here) if overlap is None else overlap.when(is_y, here)
-        family = F.when(is_y, name) if family is None else family.when(is_y, name)
-    scored = scored.withColumn("overlap", overlap).where(F.col("overlap") >= confirm)
-    return scored.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), family.alias("family"), "probability", "overlap", "text")
+        each = [F.size(F.array_intersect("grams", x)) / F.size(x) for x in own]
+        shares.append(F.greatest(*each) if len(each) > 1 else each[0])
+    y = F.col("prediction").cast("int")
+    scored = scored.select("row", "doc_id", "first", "lines", "text", "probability", y.alias("y"), F.array(*shares).alias("shares"))
+    scored = scored.withColumn("overlap", F.get("shares", F.col("y") - 1)).where((F.col("overlap") >= confirm) & (F.col("overlap") >= F.array_max("shares") - 1e-9))
+    family = F.get(F.array(*map(F.lit, TEMPLATES)), F.col("y") - 1)
+    # paragraphs that share a line begin fewer than WINDOW lines apart: some nine at most
+    worth = F.round(F.col("overlap") - LINE_COSTS * (F.col("lines") - 1), 9)
+    near = Window.partitionBy("row", "y").orderBy("first").rangeBetween(1 - WINDOW, WINDOW - 1)
+    scored = scored.withColumn("near", F.collect_list(F.struct("first", "lines", worth.alias("worth"))).over(near)).withColumn("worth", worth)
+
+    def better(x: Column) -> Column:
+        shared = (x["first"] < F.col("first") + F.col("lines")) & (F.col("first") < x["first"] + x["lines"])
+        shorter = (x["lines"] < F.col("lines")) | ((x["lines"] == F.col("lines")) & (x["first"] < F.col("first")))
+        return shared & ((x["worth"] > F.col("worth")) | ((x["worth"] == F.col("worth")) & shorter))
+
+    best = scored.where(~F.exists("near", better))
+    return best.select("doc_id", F.col("first").cast("long").alias("paragraph"), F.col("lines").cast("long").alias("lines"), family.alias("family"), "probability", "overlap", "text")
 
 
 def phrase_grams(text: str) -> list[str]:
