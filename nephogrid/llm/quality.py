@@ -92,8 +92,9 @@ def train(bags: list[bytes], y: np.ndarray, prior_shift: float, dim: int = 12, e
             out -= lr * np.outer(p, mean)
             bias -= lr * 0.1 * p
             if len(at):
-                # a row moves with its share of the text, so the step is scaled up by the number of rows that share it
-                table[at] -= np.outer(share * min(len(at), 50) * lr, back).astype(np.float32)
+                # a row moves with its share of the text, so the step is scaled up by the number of rows that share it: the effective number, so
+                # that the mean of a text of which one row is most moves no further than that of any other
+                table[at] -= np.outer(share * min(50.0, 1.0 / float(share @ share)) * lr, back).astype(np.float32)
     return QualityModel((table @ (out[1] - out[0])).astype(np.float64), float(bias[1] - bias[0]) + prior_shift)
 
 

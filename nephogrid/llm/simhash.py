@@ -10,15 +10,14 @@ fingerprints; fields get narrower, and so trees deeper, as fingerprints grow in
 thousand rows at most. Every pair that meets in a leaf is verified on all 64 bits; the result is exact.
 
 Where texts, not fingerprints, have to agree (``least``), fingerprints only propose, beside minima of the shingles' hashes that several texts
-share, and the distinct shingles of both texts decide.
+share, and the distinct shingles of both texts decide. No pair of unlike texts leaves the task that compares it.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +30,8 @@ from nephogrid.llm._common import materialize, small_batches
 LEAF_ROWS = 100_000
 #: Rows that a leaf of unrelated fingerprints may have before trees get deeper.
 TARGET_ROWS = 2_000
+#: Texts of a key that one task compares with as many others, and about how many distinct shingles they may have together.
+TEXT_ROWS, TEXT_SHINGLES = 1_000, 1_000_000
 #: Nodes of the stars that one task holds.
 FOREST_NODES = 200_000
 #: Rows of 8 or 16 bytes up to which a table is broadcast.
@@ -195,23 +196,36 @@ def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int | No
         dealt = spread.withColumns({"one": F.lit(0), "two": F.lit(0), "side": F.lit(2)})
     else:
         crowded = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
-        mine = F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, mine).alias("one"), F.greatest(k, mine).alias("two"), F.when(k == mine, 2).when(k > mine, 0).otherwise(1).alias("side")))
-        dealt = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("fp", "leaf", "home", F.explode(pairs).alias("p")).select("fp", "leaf", "home", "p.*")
-    n_parts = max(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = ["leaf", "one", "two"]
+        spread = spread.join(crowded, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        dealt = _in_blocks(spread, "leaf", F.col("home"), F.col("fp"), ["fp"])
+    found = _by_blocks(dealt, "leaf", lambda b: _leaf_edges(b, radius))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _in_blocks(rows: DataFrame, group: str, home: Column, key: Column, columns: list[str]) -> DataFrame:
+    """``columns`` of ``rows`` (group, blocks, ...), each row once for every block it meets: one, two, the blocks' numbers, and side, which tells
+    the two apart (2: a block with itself). Rows that are not ``home`` meet like others."""
+    mine = F.pmod(F.xxhash64(key, F.lit("block")), F.col("blocks").cast("long")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, mine).alias("one"), F.greatest(k, mine).alias("two"), F.when(k == mine, 2).when(k > mine, 0).otherwise(1).alias("side")))
+    return rows.withColumn("home", home).select(group, "home", *columns, F.explode(pairs).alias("p")).select(group, "home", *columns, "p.*")
+
+
+def _by_blocks(dealt: DataFrame, group: str, edges: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(a, b): what ``edges`` finds in each (group, one, two) of rows with home and side, taken one after the other."""
+    keys = [group, "one", "two"]
+    n_parts = max(int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = dealt.repartition(n_parts, *keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
         def close(b: pd.DataFrame) -> pd.DataFrame:
-            """Edges of the whole leaves in ``b``."""
+            """Edges of the whole blocks in ``b``."""
             key = b[keys].to_numpy()
             cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(b)]))
             home = b["home"].to_numpy()
-            got = [_leaf_edges(b.iloc[a:z], radius) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
-            return pd.DataFrame({"a": np.concatenate([g[0] for g in got] or [np.empty(0, np.int64)]), "b": np.concatenate([g[1] for g in got] or [np.empty(0, np.int64)])})
+            got = [edges(b.iloc[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True) if z - a > 1 and home[a:z].any()]
+            return pd.DataFrame({k: np.concatenate([g[i] for g in got] or [np.empty(0, np.int64)]) for i, k in enumerate("ab")})
 
         for b in batches:
             if not len(b):
@@ -226,8 +240,7 @@ def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int | No
         if held:
             yield close(pd.concat(held))
 
-    found = dealt.mapInPandas(run, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInPandas(run, "a long, b long")
 
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -339,17 +352,61 @@ def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
     return rows.where(F.col(one) != F.col(two)).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
 
 
-def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, least: float, proposed: DataFrame) -> DataFrame:
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share."""
+    n = len(sets)
+    out = np.zeros((n, n), np.float32)  # exact: no set here has 2^24 elements in common with another
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets) if n else np.empty(0, np.uint64), return_inverse=True, return_counts=True)
+    several = count > 1
+    number = np.cumsum(several) - 1
+    keep = several[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(several.sum()), 4096):
+        a, z = np.searchsorted(column, [first, first + 4096])
+        part = np.zeros((n, 4096), np.float32)
+        part[row[a:z], column[a:z] - first] = 1
+        out += part @ part.T
+    return out
+
+
+def _text_edges(rows: pd.DataFrame, shingle_words: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the components (root) of the rows' texts of which ``least`` of the distinct shingles agree; of two blocks, only across them."""
+    ids, roots, side = (rows[c].to_numpy() for c in ("id", "root", "side"))
+    sets = [np.unique(shingle_hashes(t, shingle_words)) for t in rows["text"]]
+    sizes = np.array([len(x) for x in sets], np.float64)
+    both = _common(sets)
+    similar = both >= least * (sizes[:, None] + sizes[None, :] - both)
+    similar &= (roots[:, None] != roots[None, :]) & ((side[:, None] != side[None, :]) | (side[None, :] == 2))
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    one, two = [], []
+    for i, j in zip(*np.nonzero(np.triu(similar, 1)), strict=True):
+        x, y = root(int(roots[i])), root(int(roots[j]))
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            one.append(ids[i])
+            two.append(ids[j])
+    return np.array(one, np.int64), np.array(two, np.int64)
+
+
+def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, least: float, proposed: DataFrame, block_rows: int = TEXT_ROWS) -> DataFrame:
     """(id, root): components of the pairs of ``reps`` (id, digest, n, s0 ... s3, keys) of which ``least`` or more of the distinct shingles agree;
     nodes without a link are left out.
 
-    Judges the ``proposed`` pairs (a, b) and pairs that share a key. Each round takes some members of every key as centres and judges them
-    against the members that are in other components still, pairs judged before and pairs whose sketches rule it out excepted; a centre is
-    then done with. The number of centres grows sixteenfold, so a key of n members needs some log n rounds, and members in one component are
-    never paired.
+    First the ``proposed`` pairs (a, b) and each key's members with its smallest are judged, those excepted whose sketches rule it out. Keys
+    whose members are in several components still (of keys with the same members one) are then compared whole, inside tasks: their members
+    are dealt over blocks of bounded size that meet two by two, and only pairs that join components come out.
     """
     members = reps.select("id", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key")
+    shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key", "low")
     members = materialize(members.join(shared, "key"), "members")
     ids = materialize(members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct(), "near-ids")
     few = ids.count() <= BROADCAST_ROWS
@@ -357,26 +414,27 @@ def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, lea
     of_text = near.select("id", "digest")
     texts = docs.where(F.col("doc_id").isNotNull()).select(digest_of(F.col("text")).alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = materialize(texts.join(F.broadcast(of_text) if few else of_text, "digest").groupBy("id").agg(F.first("text").alias("text")), "near-texts")
-    sketch = near.select("id", "n", *SIGNATURE)
-    placed, centres, roots, judged = members.join(sketch, "id"), None, None, None
-    for turn in itertools.count():
-        here = placed.join(centres.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti").drop("root") if turn else placed
-        here = here.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")) if turn else here.withColumn("root", F.col("id"))
-        open_keys = here.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-        placed = materialize(here.join(open_keys, "key"), "placed")
-        if turn and placed.isEmpty():
-            return roots
-        order = F.xxhash64("id", "key") if turn else F.col("id")
-        centres = placed.groupBy("key", F.pmod(order, F.lit(16**turn)).alias("slot")).agg(F.min(F.struct(order.alias("order"), "id", "root", "n", *SIGNATURE)).alias("c"))
-        centres = materialize(centres.select("key", F.col("c.id").alias("centre"), F.col("c.root").alias("its_root"), F.col("c.n").alias("m"), *[F.col(f"c.{s}").alias(f"c{s}") for s in SIGNATURE]), "centres")
-        met = placed.join(centres, "key").where(F.col("root") != F.col("its_root"))
-        same_bits = sum((64 - F.bit_count(F.col(s).bitwiseXOR(F.col(f"c{s}"))) for s in SIGNATURE), F.lit(0))
-        fresh = _pairs(met.where(plausible(F.col("n"), F.col("m"), same_bits, least)), "id", "centre")
-        fresh = fresh.join(judged, ["a", "b"], "left_anti") if turn else fresh.union(proposed.select("a", "b")).distinct()
-        got = _judged(fresh, texts, shingle_words, least)
-        judged = judged.union(got) if turn else got
-        found = got.where("similar").select("a", "b")
-        roots = materialize(components(found.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b"))) if turn else found), "roots")
+    # each key's members against its smallest
+    pairs = _pairs(members, "id", "low")
+    a, b = (near.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), *[F.col(c).alias(f"{c}{x}") for c in SIGNATURE]) for x in "ab")
+    same_bits = sum((64 - F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in SIGNATURE), F.lit(0))
+    pairs = pairs.join(a, "a").join(b, "b").where(plausible(F.col("na"), F.col("nb"), same_bits, least)).select("a", "b")
+    found = _judged(pairs.union(proposed.select("a", "b")).distinct(), texts, shingle_words, least).where("similar").select("a", "b")
+    roots = materialize(components(found), "roots")
+    # what is left of the keys
+    placed = members.select("id", "key").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    size = near.select("id", "n")
+    marks = [F.sum(F.xxhash64("id", F.lit(i)).cast("decimal(38,0)")).alias(f"m{i}") for i in range(2)]
+    left = placed.join(size, "id").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("count"), F.sum("n").alias("sum"), *marks).where("low != high")
+    blocks = F.ceil(F.greatest(F.col("count") / block_rows, F.col("sum") / TEXT_SHINGLES)).cast("int")
+    left = left.groupBy("count", "sum", "m0", "m1").agg(F.min("key").alias("key")).select("key", F.greatest(F.lit(1), blocks).alias("blocks"))
+    open_ = materialize(placed.join(left, "key"), "open")
+    if open_.isEmpty():
+        return roots
+    small_batches(docs.sparkSession)
+    dealt = _in_blocks(open_, "key", F.lit(True), F.col("id"), ["id", "root"]).join(texts, "id")
+    more = materialize(_by_blocks(dealt, "key", lambda b: _text_edges(b, shingle_words, least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "joined")
+    return materialize(components(more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))), "roots")
 
 
 def _labelled(rows: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:

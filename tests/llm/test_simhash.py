@@ -117,6 +117,34 @@ def test_a_repeated_doc_id_does_not_link_texts(spark):
         assert len({r["root"] for r in got if r["doc_id"] == 5}) == 2
 
 
+def test_texts_far_from_the_first_of_their_keys_are_linked_across_blocks(spark):
+    """A hub of which all are variants comes last; variants are unlike the first one, but like the hub, or like one other."""
+    rng = random.Random(12)
+    hub = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+
+    def variant(base, n):
+        w = list(base)
+        at = rng.randrange(len(w) - n)
+        w[at : at + n] = [f"x{rng.randrange(10**6)}" for _ in range(n)]
+        return w
+
+    texts = [" ".join(variant(hub, 28)) for _ in range(40)] + [" ".join(hub)] + [" ".join(variant(hub, 100)) for _ in range(10)]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            a, b = root[i], root[j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+    assert len(set(root)) == 11
+    df = documents(spark, texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df, **simhash.SIMILAR).collect()}
+    assert [got[i] for i in range(len(texts))] == root
+    reps = simhash._sketches(df, 5).withColumn("id", F.col("doc_id"))
+    none = spark.createDataFrame([], "a long, b long")
+    blocks = dict(rows(simhash.similar_components(df, reps, 5, 0.8, none, block_rows=7)))
+    assert [blocks.get(i, i) for i in range(len(texts))] == root
+
+
 def test_a_long_chain_settles(spark):
     edges = spark.range(0, 300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert rows(simhash.components(edges)) == [(i, 0) for i in range(1, 301)] or {r for _, r in rows(simhash.components(edges))} == {0}
