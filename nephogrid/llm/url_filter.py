@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from nephogrid.llm._common import ascii_lower
 
-BUCKETS = 1 << 13
-GRAMS = (3, 4)
+BUCKETS = 1 << 15
+GRAMS = (3, 4, 5)
 
 
 @dataclass(frozen=True)
@@ -39,55 +39,59 @@ RULES = (
     UrlRule("org", "/es/", True),
 )
 
-#: Labelled URLs the model learns from: 1 is a URL to block (advertising, tracking, gambling, adult, malware, link farms), 0 one to allow.
-LABELLED = (
-    ("http://ads.example.com/banner/728x90", 1),
-    ("https://ad-server.example.net/click?id=7", 1),
-    ("http://track.example.org/pixel.gif", 1),
-    ("https://ads-track.example.com/en/1", 1),
-    ("http://adtracker.example.net/redirect", 1),
-    ("https://tracking.example.com/beacon/open", 1),
-    ("http://clicks.example.org/affiliate/offer", 1),
-    ("https://popads.example.com/serve", 1),
-    ("http://cdn.adserve.example.net/sponsored/", 1),
-    ("https://casino-bonus.example.com/slots/free-spins", 1),
-    ("http://poker-casino.example.net/jackpot", 1),
-    ("https://best-betting.example.org/odds/bonus", 1),
-    ("http://xxx-videos.example.com/porn/1", 1),
-    ("https://adult-porn.example.net/cams", 1),
-    ("http://free-xxx.example.org/sex/gallery", 1),
-    ("https://malware-download.example.com/crack/keygen.exe", 1),
-    ("http://warez.example.net/torrent/cracked", 1),
-    ("https://phish-login.example.org/verify-account/password", 1),
-    ("http://cheap-pills.example.com/viagra/buy-now", 1),
-    ("https://spam-links.example.net/seo/backlinks", 1),
-    ("http://m.ads-track.example.com/de/20", 1),
-    ("https://www.ads-network.example.org/fr/30", 1),
-    ("https://blog.example.com/en/2021/a-walk-in-the-hills", 0),
-    ("http://news.example.net/world/2020/election-report", 0),
-    ("https://www.university.example.org/physics/lecture-notes", 0),
-    ("https://docs.example.com/guide/install.html", 0),
-    ("http://library.example.org/catalogue/history", 0),
-    ("https://recipes.example.net/bread/sourdough", 0),
-    ("http://museum.example.com/exhibits/paintings", 0),
-    ("https://weather.example.org/forecast/tomorrow", 0),
-    ("http://forum.example.net/thread/12774?page=2", 0),
-    ("https://shop.example.com/books/novels", 0),
-    ("http://www.health.example.org/articles/sleep", 0),
-    ("https://wiki.example.net/en/Mountain", 0),
-    ("http://science.example.com/de/biologie/zellen", 0),
-    ("https://school.example.org/es/matematicas/tareas", 0),
-    ("http://journal.example.net/fr/culture/theatre", 0),
-    ("https://m.sports.example.com/football/scores", 0),
-    ("http://garden.example.org/plants/roses.html", 0),
-    ("https://music.example.net/albums/jazz", 0),
-    ("http://travel.example.com/en/42362/", 0),
-    ("https://history.example.org/fr/25163?page=2", 0),
-    ("http://city.example.net/en/14759.html", 0),
-    ("https://cooking.example.com/es/51097/", 0),
-    ("http://thread.example.org/de/17357", 0),
-    ("https://roads.example.net/en/head/lead", 0),
-)
+#: Labelled URLs the model learns from: first those to block (advertising, tracking, gambling, adult, fraud, malware, piracy, link farms), then
+#: those to allow. Each URL stands between blanks.
+BLOCKED = """
+http://ads.medianet-one.com/banner/728x90 https://ad-server.clickstorm.net/click?id=7 http://track.pixelhub.io/pixel.gif https://ads-track.metricbox.com/en/1
+http://adtracker.roi-link.net/redirect https://tracking.mailopen.com/beacon/open http://clicks.affiliate-desk.org/affiliate/offer https://popads.trafficjet.com/serve
+http://cdn.adserve-cloud.net/sponsored/ https://banner-exchange.co/popunder/12 https://go.offerwall.biz/aff_c?offer_id=5 http://doubleads.xyz/impression
+https://casino-bonus.top/slots/free-spins http://poker-casino.bet/jackpot https://best-betting.club/odds/bonus http://slotmachine-online.info/no-deposit
+https://www.roulette-live.win/welcome-bonus http://sportsbet-tips.net/free-bets https://bingo-jackpots.com/join http://lotto-winner.biz/claim-prize
+http://xxx-videos.tube/porn/1 https://adult-porn.cam/cams http://free-xxx.org/sex/gallery https://hot-girls-dating.com/hookup
+http://milf-sex-chat.net/webcam https://nude-pics.club/erotic/2 http://escort-girls.city/book http://www.sexshop-xxx.biz/toys
+https://malware-download.ru/crack/keygen.exe http://warez-zone.to/torrent/cracked https://phish-login.com/verify-account/password http://secure-paypa1-login.com/signin
+http://appleid-verify.info/update-billing https://free-antivirus-scan.xyz/setup.exe http://serial-keys.net/activation/crack.zip https://bank-account-confirm.top/login.php
+http://cheap-pills.net/viagra/buy-now https://online-pharmacy-rx.biz/cialis http://buy-viagra-cheap.com/order https://weight-loss-miracle.info/diet-pills
+http://canadian-meds.shop/no-prescription https://steroids-store.net/buy http://replica-watches.cc/rolex http://fake-handbags.shop/cheap-louis
+https://spam-links.net/seo/backlinks http://link-farm.org/directory/add-url https://article-spinner.com/seo-content http://buy-followers.biz/instagram
+https://cheap-seo-backlinks.com/pricing http://web-directory-links.info/submit http://guestpost-market.net/buy-links http://spamblog.top/make-money-fast
+https://make-money-online.biz/get-rich http://crypto-doubler.io/invest-now https://forex-signals-pro.net/profit http://binary-options-win.com/bonus
+https://payday-loans-fast.com/apply http://credit-repair-now.biz/offer https://work-from-home-cash.info/earn http://free-iphone-winner.club/claim
+https://survey-rewards.win/gift-card http://prize-giveaway.online/winner https://click-here-now.xyz/offer https://download-mp3-free.cc/crack
+http://torrent-movies.to/pirate/1080p https://watch-free-stream.cc/popup http://keygen-cracks.net/serial https://hacked-accounts.biz/netflix
+http://ads.example.com/banner/1 https://ads-serve.example.net/click http://track-pixel.example.org/open https://www.adtracker.example.com/redirect
+http://casino-games.example.org/slots https://poker-bets.example.com/bonus http://adult-cams.example.net/live https://m.xxx-tube.example.org/videos
+http://www.cheap-meds.example.net/viagra https://pills-online.example.com/buy http://spam-links.example.com/seo https://link-farm.example.org/add-url
+http://free-betting.example.net/odds https://porn-videos.example.org/2 http://warez-cracks.example.com/keygen https://m.casino-bonus.example.net/join
+http://m.ads-network.com/de/20 https://www.adtech-banner.org/fr/30 http://promo-ads.net/es/9 https://win-cash-casino.online/en/5
+"""
+ALLOWED = """
+https://blog.hillwalkers.com/en/2021/a-walk-in-the-hills http://news.northshore.net/world/2020/election-report https://www.university-hall.edu/physics/lecture-notes https://docs.buildtool.dev/guide/install.html
+http://library.oldtown.org/catalogue/history https://recipes.kitchenbook.net/bread/sourdough http://museum.riverside.com/exhibits/paintings https://weather.coastline.org/forecast/tomorrow
+http://forum.woodworkers.net/thread/12774 https://shop.novelhouse.com/books/novels http://www.health-service.gov/articles/sleep https://wiki.mountaineers.org/en/Mountain
+http://science.academy.eu/de/biologie/zellen https://school.madrid.es/matematicas/tareas http://journal.culture.fr/theatre/2019 https://m.sportsdaily.com/football/scores
+http://garden.rosegrowers.org/plants/roses.html https://music.jazzclub.net/albums/jazz http://travel.islands.com/guides/ferry https://history.archive.org/letters/1891
+http://city.council.gov.uk/planning/roads https://cooking.grandmother.it/ricette/pasta https://www.nytimes.com/2021/05/04/science/bees.html https://www.theguardian.com/environment/2020/rivers
+https://arxiv.org/abs/1706.03762 https://docs.python.org/3/library/json.html https://github.com/apache/spark/pulls https://stackoverflow.com/questions/11227809
+https://www.nature.com/articles/s41586-020 https://www.nasa.gov/missions/artemis https://www.nhs.uk/conditions/asthma https://plato.stanford.edu/entries/kant
+https://www.gutenberg.org/ebooks/1342 https://de.wiktionary.org/wiki/Wasser https://fr.wikisource.org/wiki/Candide https://www.lemonde.fr/culture/article/2020
+https://www.spiegel.de/wissenschaft/natur https://elpais.com/cultura/2021/libros.html https://www.reuters.com/world/europe https://apnews.com/article/floods-rescue
+https://www.w3.org/TR/html52/ https://developer.mozilla.org/en-US/docs/Web/HTML https://www.rfc-editor.org/rfc/rfc9110 https://www.kernel.org/doc/html/latest
+https://www.gov.uk/guidance/passport https://europa.eu/youth/node/12 https://www.un.org/en/about-us https://www.who.int/news-room/fact-sheets
+https://www.allrecipes.com/recipe/20144/banana-bread https://www.imdb.com/title/tt0068646 https://www.goodreads.com/book/show/1885 https://www.ikea.com/gb/en/cat/sofas
+https://support.microsoft.com/en-us/windows https://www.mozilla.org/en-US/firefox https://www.debian.org/releases/stable https://pypi.org/project/numpy
+https://news.ycombinator.com/item?id=8863 https://medium.com/@writer/on-writing-well-12 https://lists.gnu.org/archive/html/emacs https://www.jstor.org/stable/2709
+https://www.khanacademy.org/math/algebra https://ocw.mit.edu/courses/linear-algebra https://www.coursera.org/learn/statistics https://www.loc.gov/collections/maps
+https://www.example.com/about http://example.org/team/people https://blog.example.net/2020/spring https://docs.example.com/install
+http://news.example.org/local/bridge https://m.example.net/opening-hours http://shop.example.com/chairs https://wiki.example.org/Granite
+http://blog.stationers.example.net/april https://tablecloth.example.net/linen http://throne.example.com/reviews/4 https://www.notable.example.com/essays
+http://blog.station.example.com/line https://thistle.example.com/seite/8 http://tions.example.net/chart https://m.thread.example.org/wool
+http://thornwell.example.com/visit https://m.thatcher.example.net/kontakt http://www.other.example.org/articles/8 https://blog.northing.example.com/jardin
+http://thirteen.example.net/page?p=3 https://theresa.example.org/fotos http://blog.thanet.example.com/index.html https://southend.example.net/map
+http://qelmar.info/notes/12 https://tovanir.org/about https://m.ruskelo.net/fr/accueil http://blog.wintari.com/de/seite/4
+https://www.belqua.org/es/pagina/77 http://sorindal.net/en/post/3.html https://hanolet.com/en/archive/5/ http://www.mirtova.org/en/page?p=2
+"""
+LABELLED = tuple((u, y) for y, urls in ((1, BLOCKED), (0, ALLOWED)) for u in urls.split())
 
 
 def host_of(url: Column) -> Column:
