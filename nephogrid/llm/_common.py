@@ -41,10 +41,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def label_sample(labels: DataFrame, label: str, held_out: Callable[[Column], Column], per_class: int) -> tuple[DataFrame, dict[int, int], int]:
-    """A hash sample of about ``per_class`` labelled rows of each class outside ``held_out``: (doc_id, y), the class sizes, and a bound on its rows.
+def label_sample(labels: DataFrame, label: str, held_out: Callable[[Column], Column], per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """A hash sample of about ``per_class`` labelled rows of each class outside ``held_out``: (doc_id, y), and the class sizes.
 
-    The bound is what a fit is allowed to see; it is known before the sample is broadcast. Null ids and labels take no part, labels other
+    It is counted before it is broadcast; more than a fifth above what was asked for raises. Null ids and labels take no part, labels other
     than 0 and 1 neither; of rows that repeat a doc_id the larger label counts.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -53,8 +53,10 @@ def label_sample(labels: DataFrame, label: str, held_out: Callable[[Column], Col
     share = [min(1.0, per_class / max(1, sizes.get(y, 0))) for y in (0, 1)]
     # A uniform number in [0, 1) that only depends on the id.
     u = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    taken = known.where(u < F.when(F.col("y") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
-    return taken, sizes, int(2 * per_class * 1.2 + 100)
+    taken = materialize(known.where(u < F.when(F.col("y") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))), "label-sample")
+    if (n := taken.count()) > int(2 * per_class * 1.2 + 100):
+        raise ValueError(f"a sample of {n} rows is too large to broadcast")
+    return taken, sizes
 
 
 def crc_mod(n: int, remainder: int) -> Callable[[Column], Column]:

@@ -37,7 +37,7 @@ def text_size(text: Column) -> Column:
 def _ranked(per: DataFrame) -> DataFrame:
     """``per`` with ``turn``, its rows' numbers from 0 by source (code point, null last), without bringing all sources into one task."""
     by_source = F.col("source").asc_nulls_last()
-    dealt = materialize(per.repartitionByRange(by_source).withColumn("part", F.spark_partition_id()), "mix-sources")
+    dealt = materialize(per.repartitionByRange(by_source).withColumn("part", F.spark_partition_id()), "mix-sources", slim=True)
     parts = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row for each partition
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
     here = F.row_number().over(Window.partitionBy("part").orderBy(by_source)) - 1
@@ -55,7 +55,7 @@ def targets(counts: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tu
         raise ValueError("the sources cannot give that much")
     per = counts.groupBy("source").agg(F.sum("n").alias("n_docs"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(F.lit(0))).alias("n_sized"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
     w = F.get(F.array(*[F.lit(float(x)) for x in weights]), F.pmod(F.col("turn"), F.lit(len(weights))).cast("int"))
-    per = materialize(_ranked(per).withColumn("w", w).withColumn("full", cap * F.col("source_size")).withColumn("ratio", F.col("full") / F.col("w")), "mix-shares")
+    per = materialize(_ranked(per).withColumn("w", w).withColumn("full", cap * F.col("source_size")).withColumn("ratio", F.col("full") / F.col("w")), "mix-shares", slim=True)
     goal = share * (per.agg(F.sum("source_size")).first()[0] or 0)
     low, high, filled, open_w = -1.0, math.inf, 0.0, 0.0  # at ``low`` the words do not suffice for the goal, at ``high`` they do
     while True:
@@ -94,7 +94,7 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
     part = F.col("target") / F.col("source_size")
     free = F.col("target") < 2.0 * F.col("source_size") * (1 - 1e-9)
     state = goals.withColumns({"scale": scale, "lam": F.when(free, F.ln(part / (2.0 - part))), "lo": F.lit(-1e5), "hi": F.lit(1e5), "done": ~free})
-    state = materialize(state, "mix-state")
+    state = materialize(state, "mix-state", slim=True)
     names, small = state.columns[1:], state.count() <= MANY_SOURCES
     for _ in range(MAX_ROUNDS):
         if state.where("not done").isEmpty():
@@ -112,7 +112,7 @@ def multipliers(counts: DataFrame, goals: DataFrame) -> DataFrame:
             near = F.col("done") | (F.abs(over) <= F.greatest(F.lit(0.5), F.col("target") * 1e-7))
             moved = {"lam": F.when(near, F.col("lam")).otherwise(inside), "lo": F.when(near, F.col("lo")).otherwise(lo), "hi": F.when(near, F.col("hi")).otherwise(hi), "done": near}
             state = sums.select("source", *[moved.get(c, F.col(c)).alias(c) for c in names])
-        state = materialize(state, "mix-state")
+        state = materialize(state, "mix-state", slim=True)
     raise RuntimeError(f"the multipliers did not settle in {STEPS * MAX_ROUNDS} steps")
 
 
@@ -136,8 +136,8 @@ def mix(docs: DataFrame, keep: list[str], size: Column | None = None, key: Colum
     drawn = F.pmod(F.xxhash64(key, F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
     # names that no kept column can have
     sized = docs.select(*keep, F.col("source").alias("mix.source"), size.cast("long").alias("mix.size"), drawn.alias("mix.u"))
-    slim = materialize(sized.select(F.col("`mix.source`").alias("source"), F.col("`mix.size`").alias("size"), F.col("`mix.u`").alias("u")), "mix-sizes")
-    counts = materialize(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    slim = materialize(sized.select(F.col("`mix.source`").alias("source"), F.col("`mix.size`").alias("size"), F.col("`mix.u`").alias("u")), "mix-sizes", slim=True)
+    counts = materialize(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts", slim=True)
     goals = multipliers(counts, targets(counts, share, cap, weights))
     small = goals.count() <= MANY_SOURCES
 
@@ -151,7 +151,7 @@ def mix(docs: DataFrame, keep: list[str], size: Column | None = None, key: Colum
     sums = rated.groupBy("source").agg(F.first("target").alias("t"), F.array(*[F.sum(F.col("size") * copies(F.col("size"), F.col("rate"), F.col("u"), F.lit(o))) for o in tried]).alias("sums"))
     misses = F.transform("sums", lambda x, i: F.struct(F.abs(x - F.col("t")).alias("miss"), i.alias("i")))
     best = sums.select(F.col("source").alias("its"), (F.array_min(misses)["i"] / OFFSETS).alias("offset"))
-    goals = materialize(goals.join(_near(best, small), F.col("source").eqNullSafe(F.col("its"))).drop("its"), "mix-goals")
+    goals = materialize(goals.join(_near(best, small), F.col("source").eqNullSafe(F.col("its"))).drop("its"), "mix-goals", slim=True)
     goals = goals.select(F.struct("*").alias("mix.goal"), F.col("source").alias("mix.of"))
     mixed = sized.join(_near(goals, small), F.col("`mix.source`").eqNullSafe(F.col("`mix.of`")), "left")
     g = F.col("`mix.goal`")

@@ -104,10 +104,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
     The sample's bags are made by the executors; the driver holds at most 2.4 * per_class of them and trains.
     """
     small_batches(docs.sparkSession)
-    sample, sizes, bound = label_sample(labels, "quality", held_out, per_class)
+    sample, sizes = label_sample(labels, "quality", held_out, per_class)
     if not sizes.get(0) or not sizes.get(1):
         return None
-    assert bound < 100_000, "the sample is broadcast"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

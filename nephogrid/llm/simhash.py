@@ -190,7 +190,7 @@ def links(reps: DataFrame, radius: int = 4, parts: int = 3, field_bits: int | No
     vantage = found[0]["fp"] if found else 0
     width = field_bits or depth(reps.count(), parts)
     spread = reps.select("fp", F.explode(_leaves(radius, parts, width, vantage)).alias("at")).select("fp", "at.*")
-    crowded = materialize(spread.groupBy("leaf").count().where(F.col("count") > leaf_rows).select("leaf", F.ceil(F.col("count") / (leaf_rows / 2)).cast("int").alias("blocks")), "crowded")
+    crowded = materialize(spread.groupBy("leaf").count().where(F.col("count") > leaf_rows).select("leaf", F.ceil(F.col("count") / (leaf_rows / 2)).cast("int").alias("blocks")), "crowded", slim=True)
     n = crowded.count()
     if not n:
         dealt = spread.withColumns({"one": F.lit(0), "two": F.lit(0), "side": F.lit(2)})
@@ -296,11 +296,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(low.select(F.col("m").alias("a"), F.col("a").alias("b")))
         return out.where(F.col("a") != F.col("b")).distinct()
 
-    now = materialize(edges.select("a", "b").mapInPandas(_forest, "a long, b long"), "edges")
+    now = materialize(edges.select("a", "b").mapInPandas(_forest, "a long, b long"), "edges", slim=True)
     for _ in range(max_rounds):
         if settled(now):
             return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
-        now = materialize(star(star(now.mapInPandas(_forest, "a long, b long"), True), False), "edges")
+        now = materialize(star(star(now.mapInPandas(_forest, "a long, b long"), True), False), "edges", slim=True)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
@@ -345,7 +345,7 @@ def _judged(pairs: DataFrame, texts: DataFrame, shingle_words: int, least: float
             yield pd.DataFrame({"a": b["a"], "b": b["b"], "similar": np.array(similar, bool)})
 
     x, y = texts.select(F.col("id").alias("a"), F.col("text").alias("x")), texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
-    return materialize(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similar boolean"), "judged")
+    return materialize(pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInPandas(run, "a long, b long, similar boolean"), "judged", slim=True)
 
 
 def _pairs(rows: DataFrame, one: str, two: str) -> DataFrame:
@@ -407,8 +407,8 @@ def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, lea
     """
     members = reps.select("id", F.explode("keys").alias("key"))
     shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("key", "low")
-    members = materialize(members.join(shared, "key"), "members")
-    ids = materialize(members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct(), "near-ids")
+    members = materialize(members.join(shared, "key"), "members", slim=True)
+    ids = materialize(members.select("id").union(proposed.select("a")).union(proposed.select("b")).distinct(), "near-ids", slim=True)
     few = ids.count() <= BROADCAST_ROWS
     near = materialize(reps.drop("keys").join(F.broadcast(ids) if few else ids, "id"), "near")
     of_text = near.select("id", "digest")
@@ -420,7 +420,7 @@ def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, lea
     same_bits = sum((64 - F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in SIGNATURE), F.lit(0))
     pairs = pairs.join(a, "a").join(b, "b").where(plausible(F.col("na"), F.col("nb"), same_bits, least)).select("a", "b")
     found = _judged(pairs.union(proposed.select("a", "b")).distinct(), texts, shingle_words, least).where("similar").select("a", "b")
-    roots = materialize(components(found), "roots")
+    roots = materialize(components(found), "roots", slim=True)
     # what is left of the keys
     placed = members.select("id", "key").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     size = near.select("id", "n")
@@ -428,18 +428,18 @@ def similar_components(docs: DataFrame, reps: DataFrame, shingle_words: int, lea
     left = placed.join(size, "id").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("count"), F.sum("n").alias("sum"), *marks).where("low != high")
     blocks = F.ceil(F.greatest(F.col("count") / block_rows, F.col("sum") / TEXT_SHINGLES)).cast("int")
     left = left.groupBy("count", "sum", "m0", "m1").agg(F.min("key").alias("key")).select("key", F.greatest(F.lit(1), blocks).alias("blocks"))
-    open_ = materialize(placed.join(left, "key"), "open")
+    open_ = materialize(placed.join(left, "key"), "open", slim=True)
     if open_.isEmpty():
         return roots
     small_batches(docs.sparkSession)
     dealt = _in_blocks(open_, "key", F.lit(True), F.col("id"), ["id", "root"]).join(texts, "id")
-    more = materialize(_by_blocks(dealt, "key", lambda b: _text_edges(b, shingle_words, least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "joined")
-    return materialize(components(more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))), "roots")
+    more = materialize(_by_blocks(dealt, "key", lambda b: _text_edges(b, shingle_words, least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "joined", slim=True)
+    return materialize(components(more.union(roots.select(F.col("root").alias("a"), F.col("id").alias("b")))), "roots", slim=True)
 
 
 def _labelled(rows: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
     """``rows`` with ``root`` and ``component_id``, the smallest doc_id of the component of their node; ``nodes`` are (id, key, first doc_id)."""
-    nodes = materialize(nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select(key, "root", "first"), "nodes")
+    nodes = materialize(nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select(key, "root", "first"), "nodes", slim=True)
     labels = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
     known = rows.join(nodes.join(labels, "root").select(key, "root", "component_id"), key, "left")
     has = F.col("doc_id").isNotNull()
@@ -453,18 +453,18 @@ def grouped(docs: DataFrame, shingle_words: int = 5, radius: int = 4, parts: int
     """
     if least is None:
         rows = materialize(fingerprints(docs, shingle_words), "fingerprints")
-        nodes = materialize(rows.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+        nodes = materialize(rows.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes", slim=True)
         return _labelled(rows, nodes.withColumn("id", F.col("fp")), components(links(nodes, radius, parts)), "fp")
     sketches = materialize(_sketches(docs, shingle_words), "sketches")
     rows = sketches.where(F.col("doc_id").isNotNull())
     reps = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min(F.struct("fp", "n", *SIGNATURE, "keys")).alias("m"))
     # numbers are given once, as the table is written
     reps = materialize(reps.select("digest", "first", "m.*").withColumn("id", F.monotonically_increasing_id()), "reps")
-    of_fp = materialize(reps.groupBy("fp").agg(F.min("id").alias("id")), "of-fp")
+    of_fp = materialize(reps.groupBy("fp").agg(F.min("id").alias("id")), "of-fp", slim=True)
     a, b = (of_fp.select(F.col("fp").alias(x), F.col("id").alias(f"id_{x}")) for x in "ab")
     near = _pairs(links(of_fp, radius, parts).join(a, "a").join(b, "b"), "id_a", "id_b")
     same = _pairs(reps.select("fp", "id").join(of_fp.withColumnRenamed("id", "other"), "fp"), "id", "other")
-    proposed = materialize(near.union(same).distinct(), "proposed")
+    proposed = materialize(near.union(same).distinct(), "proposed", slim=True)
     roots = similar_components(docs, reps, shingle_words, least, proposed)
     return _labelled(sketches.select("doc_id", "digest", "fp"), reps.select("id", "digest", "first"), roots, "digest")
 

@@ -155,18 +155,17 @@ def _weight(part: str, total: Row, prior: float, least: float, surprise: float)
     return F.when((t > 0) & (odds >= least) & (ratio >= surprise**2), odds)
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column], max_toxic: int = 4000, max_clean: int = 12000, max_units: int = 60_000, prior: float = 0.1, least: float = 2.0, surprise: float = 5.0, drift: float = 0.25) -> ToxicityModel | None:
+def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column], max_toxic: int = 4000, max_clean: int = 12000, prior: float = 0.1, least: float = 2.0, surprise: float = 5.0, drift: float = 0.25) -> ToxicityModel | None:
     """Learn from labelled rows outside ``held_out``: at most about ``max_toxic`` and ``max_clean`` texts, equal texts once.
 
-    None if either class is missing. The model holds at most ``max_units`` units.
+    None if either class is missing. The model holds every unit that passes; all are units of the sample, which bounds them.
     """
     small_batches(docs.sparkSession)
-    sample, sizes, bound = label_sample(labels, "toxic", held_out, max(max_toxic, max_clean))
+    sample, sizes = label_sample(labels, "toxic", held_out, max(max_toxic, max_clean))
     if not sizes.get(0) or not sizes.get(1):
         return None
     if max_toxic < sizes[1]:
         sample = sample.where((F.col("y") == 0) | (F.pmod(F.xxhash64(F.col("doc_id"), F.lit("toxic")), F.lit(1 << 30)) < int(max_toxic / min(sizes[1], max_clean) * (1 << 30))))
-    assert bound < 100_000, "the sample is broadcast"
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
     texts = texts.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
     texts = texts.groupBy("digest").agg(F.max("y").alias("y"), F.first("text").alias("text"))
@@ -177,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
     if not all(total[c] for c in COUNTS):
         return None
     both = counted.select("unit", *[_weight(p, total, prior, least, surprise).alias(p) for p in ("fit", "all")]).where(F.coalesce("fit", "all").isNotNull())
-    rows = both.orderBy(F.greatest("fit", "all").desc(), "unit").limit(max_units).collect()
+    rows = both.collect()
     first, whole = ({r["unit"]: r[p] for r in rows if r[p] is not None} for p in ("fit", "all"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,13 +185,18 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
             found = [text_segments(x, scores, drift) for x in b["text"]]
             yield pd.DataFrame({"y": b["y"], "n": [f[0] for f in found], "s": [[x[2] for x in f[1]] for f in found]})
 
-    seen = texts.where(~F.col("fold")).select("text", "y").mapInPandas(run, "y int, n long, s array<double>").collect()
-    clean = [x for r in seen if not r["y"] for x in r["s"]]
-    n_clean = max(1, sum(r["n"] for r in seen if not r["y"]))
-    lam = 1 / float(np.mean(clean)) if clean else 1.0
-    k = max(1, len(clean)) / n_clean
-    x = np.array([evidence(r["n"], list(r["s"]), k, lam) for r in seen])
-    y = np.array([r["y"] for r in seen], float)
+    seen = materialize(texts.where(~F.col("fold")).select("text", "y").mapInPandas(run, "y int, n long, s array<double>"), "toxic-segments")
+    add = lambda acc, x: acc + x
+    clean = seen.where("y = 0").agg(F.sum("n").alias("n"), F.sum(F.size("s")).alias("segments"), F.sum(F.round(F.aggregate("s", F.lit(0.0), add) * 1e6).cast("long")).alias("total")).first()
+    lam = clean["segments"] / (clean["total"] / 1e6) if clean["segments"] else 1.0  # a sum of whole numbers, so reruns agree
+    k = max(1, clean["segments"] or 0) / max(1, clean["n"] or 0)
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"y": b["y"], "x": [evidence(n, list(s), k, lam) for n, s in zip(b["n"], b["s"], strict=True)]})
+
+    judged = sorted((r["y"], r["x"]) for r in seen.mapInPandas(weigh, "y int, x double").collect())  # two numbers for each text of the sample
+    x, y = np.array([r[1] for r in judged]), np.array([r[0] for r in judged], float)
     share = {c: float((y == c).mean()) for c in (0, 1)} if len(y) else {}
     if not share.get(0) or not share.get(1):
         return ToxicityModel(whole, drift, k, lam, 1.0, -3.0)
@@ -218,7 +222,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -
 def scorer(model: ToxicityModel | None, spark: SparkSession) -> Callable[[Column], Column]:
     """struct(score, passages) of a text column; score 0 without a model."""
     small_batches(spark)
-    sent = spark.sparkContext.broadcast(model)  # at most max_units units
+    sent = spark.sparkContext.broadcast(model)  # units of a bounded sample
 
     @F.pandas_udf("score double, passages array<struct<first: long, last: long, score: double>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

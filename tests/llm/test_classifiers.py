@@ -123,3 +123,57 @@ def test_evidence_of_many_short_segments():
             if r > 2 * mean:
                 assert got >= min(700.0, tail) - math.log(r) - 1.0
     assert toxicity.evidence(n, [], 0.001, lam) == 0.0
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    """Every score again from the model's numbers: best units by search, segments by definition, Poisson tails by summing."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = toxicity.fit(docs, labels, crc_mod(4, 2))
+    short = docs.where("length(text) < 500")
+    texts = {r["doc_id"]: r["text"] for r in short.select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r for r in toxicity.score(short, model).collect()}
+    assert len(texts) > 50 and any(r["predicted"] for r in got.values())
+    for i, text in texts.items():
+        scores = []
+        for word in toxicity.TOKEN.findall(text.lower()):
+            w = f"<{word}>"
+            grams = [w, *(w[a:z] for a in range(len(w)) for z in range(a + 1, len(w) + 1) if z - a in toxicity.GRAMS)]
+            own = [model.weights[g] for g in grams if g in model.weights]
+            scores.append(max(own) if own else -model.drift)
+        heights = sorted((sum(scores[a : z + 1]) for a, z in brute_segments(scores)), reverse=True)
+        best = 0.0
+        for r, h in enumerate(heights, 1):
+            mean = max(1e-12, model.tail_k * len(scores) * math.exp(-model.tail_lambda * h))
+            if mean < r:
+                tail = mean**r * math.exp(-mean) / math.factorial(r) / (1 - mean / (r + 1))
+                best = max(best, min(700.0, -math.log(tail) if tail > 0 else 700.0) - math.log(r))
+        want = 1 / (1 + math.exp(-min(30.0, model.slope * math.sqrt(best) + model.offset)))
+        assert abs(got[i]["score"] - want) < 1e-6, (i, got[i]["score"], want)
+        assert got[i]["predicted"] == int(want >= 0.3) or abs(want - 0.3) < 1e-6
+
+
+def test_quality_scores_against_brute_force(spark):
+    """Every score again from the model's numbers, text by text, n-gram by n-gram."""
+    from zlib import crc32
+
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = quality.fit(docs, labels, crc_mod(5, 0))
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    for r in quality.score(docs, model).collect():
+        total, n, before = 0.0, 0, None
+        for w in texts[r["doc_id"]].translate(dict.fromkeys(range(9, 14), " ")).split(" "):
+            if not w:
+                continue
+            at = [crc32(b"=" + f"<{w}>".encode()), *(crc32(f"<{w}>"[i : i + k].encode()) for k in quality.GRAMS for i in range(len(w) + 3 - k))]
+            at += [crc32(b"\x00repeat")] * (quality.REPEAT_WEIGHT if w == before else 0)
+            total, n, before = total + sum(model.gain[a % quality.BUCKETS] for a in at), n + len(at), w
+        want = 1 / (1 + math.exp(-max(-30.0, min(30.0, model.offset + (total / n if n else 0.0)))))
+        assert abs(r["score"] - want) < 1e-9
+
+
+def test_training_stays_finite(spark):
+    """Texts of one word over and over, of one word, and of none among others."""
+    texts = ["spam " * 3000, "a", "", "spam " * 10, "x y z " * 400] * 20 + [" ".join(f"word{i}{j}" for j in range(40)) for i in range(100)]
+    labels = spark.createDataFrame([(i, int(i >= 100), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = quality.fit(documents(spark, texts), labels, lambda doc_id: F.lit(False))
+    assert quality.np.isfinite(model.gain).all() and math.isfinite(model.offset)
