@@ -43,8 +43,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     key = ["doc_id", "digest"]
     groups = materialize(simhash.grouped(docs, **simhash.SIMILAR).where(F.col("doc_id").isNotNull()), "groups", slim=True)
     rows = groups.groupBy("root", *key).agg(F.count(F.lit(1)).alias("n"))
-    first = groups.groupBy("root").agg(F.min(F.struct(*key)).alias("first"))
-    named = rows.join(first, "root").select(*[F.col(k).alias(f"_{k}") for k in key], (F.struct(*key) == F.col("first")).alias("_first"), "n")
+    first = groups.groupBy("root").agg(F.min(F.struct(*key)).alias("first")).select("root", "first.*", F.lit(True).alias("is_first"))
+    named = rows.join(first, ["root", *key], "left")  # by the whole row, so a large group is dealt out
+    named = named.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("is_first").isNotNull().alias("_first"), "n")
     odd = materialize(named.where("not _first or n > 1").drop("n"), "not-single", slim=True)
     odd = F.broadcast(odd) if odd.count() <= simhash.BROADCAST_ROWS else odd
     of = docs.withColumn("_digest_of", simhash.digest_of(F.col("text")))
