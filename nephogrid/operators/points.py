@@ -103,6 +103,11 @@ def decode_payload(data: bytes) -> list[tuple[float, float]]:
     return out
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of landed payload files, one row each."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
 def decode(payloads: DataFrame) -> DataFrame:
     """(path, seq, lat, lng) of payloads (path, content), as ``binaryFile`` reads them; seq counts within a payload."""
 

@@ -43,7 +43,7 @@ def test_payload_files(spark, tmp_path):
     one = lambda a, b: b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", b)
     (tmp_path / "a.pb").write_bytes(one(1.25, 2.5) + one(1.5, 2.75) + one(3, 4))
     (tmp_path / "empty.pb").write_bytes(b"")
-    got = points.decode(spark.read.format("binaryFile").load(str(tmp_path)))
+    got = points.decode(points.read_payloads(spark, str(tmp_path)))
     assert sorted((r["lat"], r["lng"]) for r in points.first_per_cell(got).collect()) == [(1.25, 2.5), (3.0, 4.0)]
 
 
