@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nephogrid.storage import materialize, scratch_root
 
-__all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "crc_mod", "label_sample", "let", "materialize", "scratch_root", "small_batches", "table", "words"]
+__all__ = ["LOWER", "Remembered", "UPPER", "WORD", "ascii_lower", "crc_mod", "label_sample", "let", "materialize", "scratch_root", "small_batches", "table", "words"]
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +36,32 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+_ABSENT = object()
+
+
+class Remembered(dict):
+    """Word -> ``made(word)``, kept in two generations of at most ``most`` words: when the young one is full it becomes the old one, whose words
+    come back as they are met. Long words are not kept."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def made(self, word: str):
+        raise NotImplementedError
+
+    def __missing__(self, word: str):
+        out = self.old.get(word, _ABSENT)
+        if out is _ABSENT:
+            out = self.made(word)
+        if len(word) <= 40:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[word] = out
+        return out
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

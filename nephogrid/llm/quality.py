@@ -20,13 +20,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm._common import label_sample, small_batches
+from nephogrid.llm._common import Remembered, label_sample, small_batches
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
 #: How often the mark of a repeated word counts, next to a word's dozens of n-grams.
 REPEAT_WEIGHT = 8
-CACHE = 120_000
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,14 @@ def split(text: str | None) -> list[str]:
 def features(word: str) -> list[int]:
     """Buckets of the padded word and its character n-grams."""
     w = f"<{word}>"
-    return [crc32(b"=" + w.encode()) % BUCKETS, *(crc32(w[i : i + n].encode()) % BUCKETS for n in GRAMS for i in range(len(w) - n + 1))]
+    e = w.encode()
+    out = [crc32(b"=" + e) % BUCKETS]
+    for n in GRAMS:
+        if len(e) == len(w):  # ASCII: characters are bytes
+            out += [crc32(e[i : i + n]) % BUCKETS for i in range(len(w) - n + 1)]
+        else:
+            out += [crc32(w[i : i + n].encode()) % BUCKETS for i in range(len(w) - n + 1)]
+    return out
 
 
 REPEAT = crc32(b"\x00repeat") % BUCKETS
@@ -122,22 +129,17 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Callable[[Column], Column]
     return train([bytes(r["bag"]) for r in rows], y, shift)
 
 
-class WordGains(dict):
-    """Word -> (what it adds, number of features). Bounded: it starts anew when full, and long words are not kept."""
+class WordGains(Remembered):
+    """Word -> (what it adds, number of features)."""
 
     def __init__(self, gain: np.ndarray):
-        super().__init__()
+        super().__init__(CACHE)
         self.gain = gain.tolist()
 
-    def __missing__(self, word: str) -> tuple[float, int]:
+    def made(self, word: str) -> tuple[float, int]:
         at = features(word)
         gain = self.gain
-        out = (sum([gain[i] for i in at]), len(at))
-        if len(word) <= 40:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = out
-        return out
+        return sum([gain[i] for i in at]), len(at)
 
 
 def text_score(text: str | None, model: QualityModel, words: WordGains) -> float:

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from nephogrid.llm._common import small_batches
 
 BLANK = "▁"
+#: Number of code points.
+POINTS = 0x110000
 WORDS = re.compile(" *[^ ]+| +")
 #: About twice so many bytes of words and their ids are kept from one stretch to the next, and so many agreements of pieces.
 CACHE_BYTES, CACHE_PAIRS = 32_000_000, 1_000_000
@@ -58,10 +60,10 @@ class Pieces:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if is_byte[i] else b"" if special[i] else p.replace(BLANK, " ").encode("utf-8") for i, p in enumerate(self.text)]
         # a piece that merging its own characters does not make is never in a result
         order = sorted((p for p in self.id if self.merge(list(p)) == [p]), key=len)
-        self.none = np.uint32(0xFFFFFFFF)
-        self.points = np.full((len(order), self.longest), self.none, np.uint32)
+        self.points = np.full((len(order), self.longest), POINTS, np.int32)  # POINTS: past the piece's end
         for i, p in enumerate(order):
             self.points[i, : len(p)] = np.frombuffer(p.encode("utf-32-le"), np.uint32)
+        self.ended = self.points == POINTS
         self.key_ids = np.array([self.id[p] for p in order])
         self.lengths = np.array([len(p) for p in order])
         self.pairs = _Agreements(self)
@@ -139,17 +141,21 @@ def occurrences(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarra
     points = np.frombuffer("\x00".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     # Characters by rank from 1, in the fewest bytes that leave room for a code above the last.
-    alphabet, rank = np.unique(points, return_inverse=True)
-    size = 1 if len(alphabet) < 254 else 2 if len(alphabet) < 65_000 else 4
+    rank = np.zeros(POINTS + 1, np.int32)
+    rank[points] = 1
+    n_chars = int(rank.sum())
+    rank[rank > 0] = np.arange(1, n_chars + 1)
+    size = 1 if n_chars < 254 else 2 if n_chars < 65_000 else 4
     codes = np.zeros(len(points) + 1, f">u{size}")
-    codes[:-1] = rank + 1
+    codes[:-1] = rank[points]
     codes[ends] = 0
     order, suffixes = suffix_array(codes, pieces.longest)
     # Only pieces of the text's own characters can occur.
-    own = np.isin(pieces.points, np.append(alphabet, pieces.none)).all(axis=1)
-    letters, lengths, ids = pieces.points[own], pieces.lengths[own], pieces.key_ids[own]
-    keys = np.zeros((len(letters), suffixes.dtype.itemsize // size), f">u{size}")
-    keys[:, : pieces.longest] = np.where(letters == pieces.none, 0, np.searchsorted(alphabet, np.minimum(letters, alphabet[-1])) + 1)
+    letters = rank[pieces.points]
+    own = ((letters > 0) | pieces.ended).all(axis=1)
+    lengths, ids = pieces.lengths[own], pieces.key_ids[own]
+    keys = np.zeros((len(lengths), suffixes.dtype.itemsize // size), f">u{size}")
+    keys[:, : pieces.longest] = letters[own]
     low = np.searchsorted(suffixes, keys.view(suffixes.dtype).ravel(), "left")
     keys[np.arange(len(keys)), lengths - 1] += 1  # the first that no longer starts with the piece
     n = np.searchsorted(suffixes, keys.view(suffixes.dtype).ravel(), "left") - low

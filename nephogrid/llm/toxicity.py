@@ -20,12 +20,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm._common import label_sample, materialize, small_batches
+from nephogrid.llm._common import Remembered, label_sample, materialize, small_batches
 
 #: Runs of anything but ASCII controls, blanks and punctuation.
 TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 GRAMS = (4, 5, 6)
-CACHE = 120_000
+CACHE = 150_000
 
 
 @dataclass(frozen=True)
@@ -48,21 +48,16 @@ def units(word: str) -> set[str]:
     return {w, *(w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1))}
 
 
-class WordScores(dict):
-    """Word -> its best unit's weight, or None. Bounded: it starts anew when full, and long words are not kept."""
+class WordScores(Remembered):
+    """Word -> its best unit's weight, or None."""
 
     def __init__(self, weights: dict[str, float]):
-        super().__init__()
+        super().__init__(CACHE)
         self.weights = weights
 
-    def __missing__(self, word: str) -> float | None:
+    def made(self, word: str) -> float | None:
         found = [self.weights[u] for u in units(word) if u in self.weights]
-        out = max(found) if found else None
-        if len(word) <= 40:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = out
-        return out
+        return max(found) if found else None
 
 
 def segments(at: list[int], gain: list[float], drift: float) -> list[tuple[int, int, float]]:
