@@ -1,7 +1,7 @@
 """License scans: a trained paragraph classifier whose predictions are confirmed against templates.
 
-A paragraph is a run of up to three lines with no blank one between them, so that a notice is found in one line of prose and wrapped at 70
-columns alike. It is the set of its word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one, tells licence
+A paragraph is a line, or a run of up to three short lines with no blank one between them, so that a notice is found in one line of prose and
+wrapped at 70 columns alike. It is the set of its word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one, tells licence
 families from each other and from an unknown class; it is fitted on the families' notices, whole and with words left out, and on prose and
 other licences that use the same words. The level a prediction must reach is calibrated on texts that share no notice with those. A prediction
 stands if enough of a template of its family is in the paragraph and no other family's template fits better. Of overlapping paragraphs of one
@@ -236,11 +236,30 @@ def fit(spark: SparkSession) -> LicenseModel:
     return LicenseModel(vectors, model, level)
 
 
+#: Words of every text, in the order in which the screen tries to do without them.
+COMMON = (
+    "the of and to in a is it for as or not at are be with from by any all no may can you this that its into your use used under one made part two public work general road village "
+    "free new either without project program law library person code file files copy source author fee terms written possible purpose"
+).split()
+
+
 def telling_words(model: LicenseModel) -> list[str]:
-    """Words one of which a paragraph must hold to be predicted a family: of each term that favours some family over the unknown class, the
-    longest word. Without any such term a paragraph's logits favour the unknown class at least as much as the offsets do."""
-    w = model.logistic.coefficientMatrix.toArray()
-    return sorted({max(t.split(" "), key=len) for j, t in enumerate(model.vectors.vocabulary) if w[1:, j].max() > w[0, j]})
+    """Words one of which a paragraph must hold to be predicted a family: the rarest word of each term that favours some family over the unknown
+    class, less those COMMON words that cannot lift any family to the level even if all of their terms are there (a term counts once)."""
+    w, b = model.logistic.coefficientMatrix.toArray(), model.logistic.interceptVector.toArray()
+    gains: dict[str, list[float]] = {}
+    for j, t in enumerate(model.vectors.vocabulary):
+        more = [max(0.0, x) for x in w[1:, j] - w[0, j]]
+        if any(more):
+            word = max(t.split(" "), key=lambda x: (x not in COMMON, len(x)))
+            gains[word] = [x + y for x, y in zip(gains.get(word, [0.0] * len(more)), more, strict=True)]
+    left = [math.log(model.level / (1 - model.level)) - x - 1e-6 for x in b[1:] - b[0]]
+    for word in COMMON:
+        own = gains.get(word)
+        if own and all(x < y for x, y in zip(own, left, strict=True)):
+            left = [y - x for x, y in zip(own, left, strict=True)]
+            del gains[word]
+    return sorted(gains)
 
 
 def _screen(words: list[str]) -> str:
@@ -253,12 +272,15 @@ def _screen(words: list[str]) -> str:
 
 #: Lines of a paragraph at most.
 WINDOW = 3
+#: Characters of a line that may go on in the next one: wrapped text; a longer line is a paragraph of its own.
+WRAP = 160
 #: What a further line has to add to the overlap.
 LINE_COSTS = 0.1
 
 
 def paragraphs(text: Column, screen: str | None) -> Column:
-    """Array of struct(first, lines, text): the runs of up to WINDOW lines without a blank one, of which the ``screen`` fits one at least."""
+    """Array of struct(first, lines, text): every line that is not blank, and the runs of up to WINDOW lines of at most WRAP characters without a
+    blank one; of either those of which the ``screen`` fits one line at least."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ascii_lower(x))
 
     def of(w: Column) -> Column:
@@ -272,6 +294,8 @@ def paragraphs(text: Column, screen: str | None) -> Column:
                     whole = F.lit(True)
                     for k in range(size):
                         whole = whole & ~blank(i - back + k) & (i - back + k >= 0)
+                        if size > 1:
+                            whole = whole & (F.length(F.get(w, i - back + k)) <= WRAP)
                     return F.when(whole, F.struct((i - back).cast("int").alias("first"), F.lit(size).alias("lines")))
 
                 spans.append(span)
