@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nephogrid.storage import materialize, scratch_root
 
-__all__ = ["LOWER", "Remembered", "UPPER", "WORD", "ascii_lower", "crc_mod", "label_sample", "let", "materialize", "scratch_root", "small_batches", "table", "words"]
+__all__ = ["LOWER", "Remembered", "UPPER", "WORD", "ascii_lower", "crc_mod", "label_sample", "let", "materialize", "scratch_root", "small_batches", "table", "with_group", "words"]
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,6 +85,21 @@ def label_sample(labels: DataFrame, label: str, held_out: Callable[[Column], Col
     return taken, sizes
 
 
+#: Groups that can each hold more than this part of all rows.
+HEAVY_GROUPS = 100_000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows``, each with the columns of its group of ``groups`` (one for each ``key``, with ``n``, the number of its rows).
+
+    ``total`` is the number of all rows or more. Groups of over a HEAVY_GROUPS-th of it can be HEAVY_GROUPS at most, so they are broadcast and their rows
+    stay where they are; the others meet their rows by a shuffle in which no key holds more than that part. Rows without a group are left out.
+    """
+    heavy = F.col("n") * HEAVY_GROUPS > total
+    few, rest = F.broadcast(groups.where(heavy)), groups.where(~heavy)
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(rest, key))
+
+
 def crc_mod(n: int, remainder: int) -> Callable[[Column], Column]:
     """Whether crc32 of the id as text leaves this remainder; false for a null id."""
     return lambda doc_id: F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n)) == remainder, F.lit(False))

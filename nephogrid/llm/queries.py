@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm import chat, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
+from nephogrid.llm import chat, exact_dedup, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
 from nephogrid.llm._common import crc_mod, materialize, table
 
 
@@ -80,6 +80,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_logs(streamed(rows)))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_license_scans": op2_license_scans,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_chat": op10_chat,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 _ESCAPED = r"replace(replace(coalesce({0}, ''), '\', '\\'), '<|', '<\|')"
 
@@ -109,4 +114,7 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
     CAST(sum({len("<|im_start|>") + 1 + len("<|im_end|>") + 1} + length({_ESCAPED.format("text")}) + length(replace({_ESCAPED.format("role")}, chr(10), '\\n'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
+    "op11_exact_dedup": r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256 FROM d WINDOW w AS (PARTITION BY text_sha256)""",
 }
