@@ -89,15 +89,16 @@ def label_sample(labels: DataFrame, label: str, held_out: Callable[[Column], Col
 HEAVY_GROUPS = 100_000
 
 
-def with_group(rows: DataFrame, groups: DataFrame, key: str, total: int) -> DataFrame:
+def with_group(rows: DataFrame, groups: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
     """``rows``, each with the columns of its group of ``groups`` (one for each ``key``, with ``n``, the number of its rows).
 
     ``total`` is the number of all rows or more. Groups of over a HEAVY_GROUPS-th of it can be HEAVY_GROUPS at most, so they are broadcast and their rows
-    stay where they are; the others meet their rows by a shuffle in which no key holds more than that part. Rows without a group are left out.
+    stay where they are; the others meet their rows by a shuffle in which no key holds more than that part. Rows without a group are left out,
+    or stay if ``how`` is left.
     """
     heavy = F.col("n") * HEAVY_GROUPS > total
     few, rest = F.broadcast(groups.where(heavy)), groups.where(~heavy)
-    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(rest, key))
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(rest, key, how))
 
 
 def crc_mod(n: int, remainder: int) -> Callable[[Column], Column]:

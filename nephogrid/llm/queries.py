@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm import chat, exact_dedup, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
+from nephogrid.llm import chat, conversation_repair, exact_dedup, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
 from nephogrid.llm._common import crc_mod, materialize, table
 
 
@@ -84,6 +84,19 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows with the faults that a hash of their place gives them; dropped ones are marked as not present."""
+    place = F.concat(*[F.coalesce(c, F.lit(" ")) for c in (F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))])
+    t = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), F.pmod(F.crc32(place.cast("binary")), F.lit(20)).alias("way"))
+    way = F.col("way")
+    text = F.when(way == 1, "").when(way == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return t.select("conv_id", "turn", F.when(way == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (way != 0).alias("present"), F.explode(F.sequence(F.lit(1), F.when(way == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.digest(conversation_repair.repair(damaged(table(spark, sf_dir, "conversations")), F.col("present")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_license_scans": op2_license_scans,
@@ -96,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_chat": op10_chat,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 _ESCAPED = r"replace(replace(coalesce({0}, ''), '\', '\\'), '<|', '<\|')"
 
@@ -117,4 +131,32 @@ FROM c GROUP BY conv_id""",
     "op11_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256 FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda x, n: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS crc FROM range(256) t(i)),
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+hit AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(place)), lambda i: CAST(ascii(place[i + 1]) AS BIGINT))),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) % 20 AS way FROM raw, crc),
+d AS (SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role, CASE WHEN way = 1 THEN '' WHEN way = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN way = 0 THEN [] WHEN way = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hit),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM d),
+f AS (SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+    WHEN regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN '-' ELSE 't' END AS fault, left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) || left(role, 1) AS pair FROM p),
+news(state, price, audit, mid, lines) AS (VALUES (0, 0, '', 0, ''), (0, 3, 'I', 2, E'user:\n'), (0, 6, 'II', 3, E'user:\nassistant:\n'), (1, 0, '', 1, ''), (1, 3, 'I', 2, E'user:\n'), (1, 6, 'II', 3, E'user:\nassistant:\n'),
+    (2, 0, '', 2, ''), (2, 3, 'I', 3, E'assistant:\n'), (2, 6, 'II', 2, E'assistant:\nuser:\n'), (3, 0, '', 3, ''), (3, 3, 'I', 2, E'user:\n'), (3, 6, 'II', 3, E'user:\nassistant:\n')),
+edits(mid, edit, initial, price, state, role) AS (VALUES (0, 'D', '', 4, 0, ''), (1, 'D', '', 4, 1, ''), (2, 'D', '', 4, 2, ''), (3, 'D', '', 4, 3, ''), (0, 'R', '', 3, 2, 'user'), (1, 'R', '', 3, 2, 'user'),
+    (2, 'R', '', 3, 3, 'assistant'), (3, 'R', '', 3, 2, 'user'), (0, 'K', 's', 0, 1, ''), (0, 'K', 'u', 0, 2, ''), (1, 'K', 'u', 0, 2, ''), (3, 'K', 'u', 0, 2, ''), (2, 'K', 'a', 0, 3, '')),
+r AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, '00000000' AS way, '' AS lines FROM f
+    UNION ALL SELECT conv_id, pos, state, min(way), arg_min(lines, way) FROM (
+        SELECT r.conv_id, f.pos, e.state, lpad(CAST(CAST(left(r.way, 8) AS BIGINT) + n.price + e.price + CASE WHEN e.edit <> 'D' AND f.fault = 't' THEN 3 ELSE 0 END AS VARCHAR), 8, '0') || substr(r.way, 9) || n.audit || e.edit AS way,
+            r.lines || n.lines || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10) ELSE e.role || ':' || f.text || chr(10) END AS lines
+        FROM r JOIN f ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = r.pos + 1 JOIN news n ON n.state = r.state JOIN edits e ON e.mid = n.mid AND (e.edit = 'D' OR f.fault IN ('-', 't')) AND e.initial IN ('', f.initial)) GROUP BY conv_id, pos, state),
+w AS (SELECT r.conv_id, min(lpad(CAST(CAST(left(r.way, 8) AS BIGINT) + n.price AS VARCHAR), 8, '0') || substr(r.way, 9) || n.audit) AS way,
+        arg_min(r.lines || n.lines, lpad(CAST(CAST(left(r.way, 8) AS BIGINT) + n.price AS VARCHAR), 8, '0') || substr(r.way, 9) || n.audit) AS lines
+    FROM r JOIN (SELECT conv_id, max(pos) AS pos FROM f GROUP BY conv_id) z ON r.conv_id IS NOT DISTINCT FROM z.conv_id AND r.pos = z.pos
+    JOIN news n ON n.state = r.state AND (r.state IN (0, 3) AND n.price = 0 OR r.state = 1 AND n.price = 6 OR r.state = 2 AND n.price = 3) GROUP BY r.conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+    coalesce(CAST(left(way, 8) AS BIGINT), 0) AS cost, coalesce(substr(way, 9), '') AS audit, sha256(coalesce(left(lines, greatest(length(lines) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN w ON c.conv_id IS NOT DISTINCT FROM w.conv_id""",
 }
