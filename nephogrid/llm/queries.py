@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nephogrid.llm import chat, conversation_repair, exact_dedup, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
-from nephogrid.llm._common import crc_mod, materialize, table
+from nephogrid.llm import chat, conversation_repair, exact_dedup, lexical, licenses, mixing, quality, quality_rules, sentencepiece_codec, simhash, topk, toxicity, url_filter
+from nephogrid.llm._common import LOWER, UPPER, crc_mod, materialize, table
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.digest(conversation_repair.repair(damaged(table(spark, sf_dir, "conversations")), F.col("present")))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_license_scans": op2_license_scans,
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_lexical_search": op13_lexical_search,
 }
 _ESCAPED = r"replace(replace(coalesce({0}, ''), '\', '\\'), '<|', '<\|')"
 
@@ -159,4 +164,13 @@ g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn),
 SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
     coalesce(CAST(left(way, 8) AS BIGINT), 0) AS cost, coalesce(substr(way, 9), '') AS audit, sha256(coalesce(left(lines, greatest(length(lines) - 1, 0)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN w ON c.conv_id IS NOT DISTINCT FROM w.conv_id""",
+    "op13_lexical_search": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{lexical.TERM}') AS terms FROM documents),
+n AS (SELECT doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM n),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{lexical.TERM}')) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM n) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score FROM q JOIN tf USING (term) JOIN w USING (term), total GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
 }
