@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +11,7 @@ from nephogrid.functions import pixels as px
 from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
 from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
+from nephogrid.sources import png
 from nephogrid.sources import stand_ins as si
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,6 +165,23 @@ def _caps(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, int, i
     return {"cap_north": (b.select("r", "c", F.col("s").alias("v")), si.WIDTH, h), "cap_south": (b.select("r", "c", (255 - F.col("s")).alias("v")), si.WIDTH, h)}
 
 
+@query
+def png_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of 16 x 16 written as grey images, read back and put together."""
+    tiles = png.images(_tiles(spark, sf_dir), ["ty", "tx"], 16, 16, row="y", column="x", rows=6)
+    lines = png.scanlines(tiles.withColumnRenamed("image", "content"), ["ty", "tx"])
+    return layout.mosaic(png.pixels(lines, ["ty", "tx"]), 16)
+
+
+@query
+def png_luminance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole plane as one colour image for each 50 rows; luminance of what is read back."""
+    colour = si.plane(spark, sf_dir).select(F.expr("r div 50").alias("part"), (F.col("r") % 50).alias("r"), "c", F.col("v").alias("red"), (255 - F.col("v")).alias("green"), (F.col("v") * 7 % 256).alias("blue"))
+    whole = png.images(colour, ["part"], 64, 50, values=("red", "green", "blue"), rows=16)
+    lines = png.scanlines(whole.withColumnRenamed("image", "content"), ["part"])
+    return png.pixels(lines, ["part"]).select((F.col("part") * 50 + F.col("y")).alias("r"), F.col("x").alias("c"), "v")
+
+
 @query
 def band_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole rasters as all four bands, each resized to its rows."""
@@ -254,10 +271,9 @@ def storm_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def storm_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three made payloads: whole, truncated, and with a field that is not known."""
-    one = lambda a, b: b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", b)
-    made = [("whole", one(34.5, -118.25) + one(1.5, 2.5)), ("cut", one(10.0, 20.0) + one(30.0, 40.0)[:-3]), ("odd", b"\x0a\x0c" + one(5.0, 6.0)[2:] + b"\x18\x01" + one(7.0, 8.0))]
-    return points.decode(spark.createDataFrame(made, "path string, content binary"))
+    """Payloads of three points, each whole and cut after every byte."""
+    cut = si.payloads(spark, sf_dir, 3).withColumn("n", F.explode(F.sequence(F.lit(0), F.length("content"))))
+    return points.decode(cut.select(F.concat("path", F.lit("/"), F.lpad(F.col("n").cast("string"), 2, "0")).alias("path"), F.substr("content", F.lit(1), F.col("n")).alias("content")))
 
 
 def _slots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
@@ -309,13 +325,17 @@ def scalar_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def grid_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [spark.range(n).select(F.lit(name).alias("axis"), F.col("id").alias("i"), F.round(px.axis(F.col("id"), a, z, n), 6).alias("value")) for name, n, a, z in (("lat", 2500, 90.0, -90.0), ("lon", 5000, -180.0, 180.0))]
+    """Latitudes of the primary raster's rows, and longitudes of as many columns as the secondary one has rows."""
+    sizes = (("lat", si.height(spark, sf_dir), 90.0, -90.0), ("lon", si.secondary_height(spark, sf_dir), -180.0, 180.0))
+    parts = [spark.range(n).select(F.lit(name).alias("axis"), F.col("id").alias("i"), F.round(px.axis(F.col("id"), a, z, n), 6).alias("value")) for name, n, a, z in sizes]
     return parts[0].unionByName(parts[1])
 
 
 @query
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = [("https://host.example.org/x//", None), ("", "Some-Owner/Site"), (None, None)]
-    m = spark.createDataFrame(given, "pages string, repository string")
-    m = m.select(F.struct(discovery.base_url(F.col("pages"), F.col("repository")).alias("baseUrl"), F.lit("20240131_120000").alias("timestamp")).alias("m"))
-    return m.select(F.to_json("m").alias("manifest"))
+    """One manifest an order: from a given base, from a repository's name, or from neither."""
+    k = F.col("o_orderkey")
+    pages = F.when(k % 3 == 0, F.concat(F.lit("https://host"), k.cast("string"), F.lit(".example.org/x"), F.repeat(F.lit("/"), (k % 4).cast("int"))))
+    repository = F.when(k % 3 == 1, F.concat(F.lit("Owner-"), F.col("o_custkey").cast("string"), F.lit("/Site"), k.cast("string"))).when(k % 2 == 0, "")
+    m = F.struct(discovery.base_url(pages, repository).alias("baseUrl"), F.date_format("o_orderdate", "yyyyMMdd_HHmmss").alias("timestamp"))
+    return si.table(spark, sf_dir, "orders").select(k.alias("k"), F.to_json(m).alias("manifest"))

@@ -193,7 +193,8 @@ CASE event_type WHEN 'view' THEN 'LIR' WHEN 'click' THEN 'data' ELSE 'y' END AS
 u AS (SELECT seq, round_even(lat, 4) AS lat, round_even(lng, 4) AS lng FROM (SELECT *, row_number() OVER (PARTITION BY floor(lat), floor(lng) ORDER BY seq) AS n FROM f) WHERE n = 1),
 k AS (SELECT * FROM u ORDER BY seq % 500 * 7919 % 503, seq LIMIT 2000)
 SELECT '[' || string_agg('{"lat":' || lat || ',"lng":' || lng || '}', ',' ORDER BY seq) || ']' AS points FROM k""",
-    "storm_decode": """SELECT path, CAST(seq AS BIGINT) AS seq, lat, lng FROM (VALUES ('whole', 0, 34.5e0, -118.25e0), ('whole', 1, 1.5e0, 2.5e0), ('cut', 0, 10e0, 20e0), ('odd', 0, 5e0, 6e0), ('odd', 1, 7e0, 8e0)) t(path, seq, lat, lng)""",
+    "storm_decode": _with(_P) + """ SELECT format('payload-{:012d}/{:02d}', seq // 3, n) AS path, CAST(seq % 3 AS BIGINT) AS seq, CAST(CAST(lat AS FLOAT) AS DOUBLE) AS lat, CAST(CAST(lng AS FLOAT) AS DOUBLE) AS lng
+FROM (SELECT *, count(*) OVER (PARTITION BY seq // 3) AS m FROM p), range(37) t(n) WHERE n <= 12 * m AND seq % 3 < n // 12""",
     "mercator_reproject": _with(_C)
     + """, md AS (SELECT count(*) AS mh, greatest(1, CAST(round_even(25e0 / 180 * count(*) * 0.5e0, 0) AS BIGINT)) AS bh FROM embeddings),
 ll AS (SELECT CAST(i // mh AS BIGINT) AS r, CAST(i % mh AS BIGINT) AS c, 85e0 - (i // mh + 0.5e0) / bh * 25e0 AS lat, -180e0 + (i % mh + 0.5e0) / mh * 360e0 AS lon FROM (SELECT mh, bh, unnest(range(bh * mh)) AS i FROM md)),
@@ -225,8 +226,13 @@ ORDER BY hour DESC, size DESC, key LIMIT 1""",
 strftime(hour, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(hour, '%Y%m%d_%H%M%S') AS compact, 'product/' || strftime(hour, '%Y/%m/%d/%H') || '/' AS prefix,
 'https://maps.example.org/api?products=ir&z=2&x=' || (k % 4) || '&y=' || (k // 4 % 4) || '&width=256&height=256' || CASE WHEN k % 2 = 0 THEN '&time=' || strftime(hour, '%Y-%m-%dT%H:%M:%SZ') ELSE '' END AS tile,
 'https://maps.example.org/wms?map=ir&BBOX=-180,' || (60 + k % 10) || ',180,85&WIDTH=1024&HEIGHT=' || greatest(1, CAST(round_even(1024 * (85 - (60 + k % 10)) / 360e0, 0) AS BIGINT)) AS box FROM li""",
-    "grid_axes": "SELECT 'lat' AS axis, CAST(i AS BIGINT) AS i, round(90e0 + i * -180e0 / 2499, 6) AS value FROM range(2500) t(i) UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / 4999, 6) FROM range(5000) t(i)",
-    "manifest": """SELECT '{"baseUrl":"' || u || '","timestamp":"20240131_120000"}' AS manifest FROM (VALUES ('https://host.example.org/x/tiles/'), ('https://some-owner.github.io/Site/tiles/'), ('https://owner.github.io/tiles-site/tiles/')) t(u)""",
+    "grid_axes": """SELECT 'lat' AS axis, CAST(i AS BIGINT) AS i, round(90e0 + i * -180e0 / (n - 1), 6) AS value FROM (SELECT count(*) // 100 AS n FROM events), range(n) t(i)
+UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / (n - 1), 6) FROM (SELECT count(*) // 100 AS n FROM orders), range(n) t(i)""",
+    "manifest": """SELECT k, '{"baseUrl":"' || CASE k % 3 WHEN 0 THEN 'https://host' || k || '.example.org/x/tiles/' WHEN 1 THEN 'https://owner-' || c || '.github.io/Site' || k || '/tiles/' ELSE 'https://owner.github.io/tiles-site/tiles/' END
+    || '","timestamp":"' || day || '_000000"}' AS manifest FROM (SELECT o_orderkey AS k, o_custkey AS c, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d') AS day FROM orders)""",
+    "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
+    "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))
+SELECT r, c, coalesce((v * 19595 + (255 - v) * 38470 + v * 7 % 256 * 7471 + 32768) >> 16, 0) AS v FROM px LEFT JOIN cp USING (r, c)""",
 }
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from nephogrid.operators import layout, points
 from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map, density_grid, density_grid_of_scaled, load_first, load_second
-from nephogrid.sources import rasters, stand_ins
+from nephogrid.sources import png, rasters, stand_ins
 from nephogrid.streaming import ingest
+from tests.test_png import written
 
 
 def test_landed_rows_are_pruned(spark, tmp_path):
@@ -24,13 +25,19 @@ def test_landed_rows_are_pruned(spark, tmp_path):
 
 
 def test_tiles_and_mosaic(spark, tmp_path):
+    tile = lambda ty, tx: written([[(ty * 100 + tx * 10 + k,) for k in (2 * y, 2 * y + 1)] for y in range(2)], 8, 0)
     for ty in range(2):
         for tx in range(2):
-            (tmp_path / f"tile_{ty}_{tx}.pgm").write_bytes(b"P5\n# made\n2 2\n255\n" + bytes([ty * 100 + tx * 10 + k for k in range(4)]))
+            (tmp_path / f"tile_{ty}_{tx}.png").write_bytes(tile(ty, tx))
     at = lambda k: lambda p: F.regexp_extract(p, r"tile_(\d+)_(\d+)", k)
     tiles = rasters.read_tiles(spark, str(tmp_path), at(1), at(2))
     got = {(r["r"], r["c"]): r["v"] for r in layout.mosaic(tiles, 2).collect()}
     assert len(got) == 16 and got[0, 0] == 0 and got[3, 3] == 113 and got[2, 1] == 101
+    files = spark.createDataFrame([(0, tile(0, 0)), (1, tile(0, 1)[:40]), (2, None)], "ty int, content binary")
+    assert [r["ty"] for r in rasters.sound_tiles(files, ["ty"]).collect()] == [0]
+    (tmp_path / "tile_0_1.png").write_bytes(tile(0, 1)[:40])
+    with pytest.raises(Exception, match="tile 0 1: truncated"):
+        tiles.collect()
 
 
 def test_tiles_without_time_stand_in(spark):
@@ -56,7 +63,7 @@ def test_whole_map_and_sinks(spark, small, tmp_path):
     rasters.save_faces(faces, str(tmp_path / "faces"))
     assert spark.read.parquet(str(tmp_path / "faces")).groupBy("face").count().where("count = 64").count() == 6
     images = rasters.face_images(faces, 8).collect()
-    assert len(images) == 6 and all(len(rasters.decode_pgm(bytes(i["image"]))) == 8 for i in images)
+    assert len(images) == 6 and all(png.decode(bytes(i["image"]))[0].shape == (8, 8) for i in images)
     rasters.publish(grid, str(tmp_path / "out"), "20240131_120000")
     assert spark.read.parquet(str(tmp_path / "out" / "latest")).count() == 1000
     rasters.save_manifest(spark.createDataFrame([('{"a":1}',)], "manifest string"), str(tmp_path / "manifest"))
@@ -125,8 +132,8 @@ def test_netcdf_grids(spark, tmp_path, monkeypatch):
 
 def test_strips_of_a_raster(spark):
     df = spark.range(50).select((F.col("id") / 10).cast("int").alias("r"), (F.col("id") % 10).cast("int").alias("c"), F.when(F.col("id") != 7, F.col("id")).alias("d"))
-    got = {r["strip"]: rasters.decode_pgm(bytes(r["image"])) for r in rasters.strips(df, 10, 2).collect()}
-    assert [row for k in sorted(got) for row in got[k]] == [[0 if 10 * r + c == 7 else 10 * r + c for c in range(10)] for r in range(5)]
+    got = {r["strip"]: png.decode(bytes(r["image"]))[0].tolist() for r in rasters.strips(df, 10, 2).collect()}
+    assert [row for k in sorted(got) for row in got[k]] == [[0 if 10 * r + c == 7 or r == 5 else 10 * r + c for c in range(10)] for r in range(6)]
 
 
 def test_load_first_needs_a_slot(spark):
