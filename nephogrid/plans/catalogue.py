@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,9 @@ from nephogrid.functions import pixels as px
 from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
 from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
-from nephogrid.sources import png
+from nephogrid.sources import png, published, rasters
 from nephogrid.sources import stand_ins as si
+from nephogrid.storage import materialize, scratch_root
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 __all__ = ["ORACLES", "QUERIES"]
@@ -212,6 +214,36 @@ def whole_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cloud_map.cloud_map(si.primary_density(spark, sf_dir), si.secondary_on_grid(spark, sf_dir), cloud_map.CloudMapConfig(si.WIDTH, h, h // 2))
 
 
+@query
+def map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: newest slot, gaps filled from landed images, faces published, and read back from what ``latest`` means."""
+    h, rows, caps = si.height(spark, sf_dir), si.table(spark, sf_dir, "embeddings").count(), _caps(spark, sf_dir)
+    tiles = png.images(_tiles(spark, sf_dir), ["ty", "tx"], 16, 16, row="y", column="x").withColumnRenamed("image", "content")
+    _, w, cap_rows = caps["cap_north"]
+    both = caps["cap_north"][0].withColumn("cap", F.lit("cap_north")).unionByName(caps["cap_south"][0].withColumn("cap", F.lit("cap_south")))
+    landed = png.images(both, ["cap"], w, cap_rows).withColumnRenamed("image", "content")
+    polar = cloud_map.PolarInputs(materialize(tiles, "landed-tiles"), 16, (64, rows), materialize(landed, "landed-caps"), {k: (w, cap_rows) for k in caps})
+    slots, now, path = _slots(spark, sf_dir)
+    root = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/published-{uuid.uuid4().hex}"
+    stamp = cloud_map.run_job(slots, now, lambda _: (si.primary(spark, sf_dir), si.WIDTH, h), path, polar, root, cloud_map.CloudMapConfig(si.WIDTH, h, h // 2), repository="Some-Owner/Site")
+    said = published.latest(spark, root).first()
+    faces = cloud_map.published_faces(spark, root)
+    return faces.select("face", "fy", "fx", "v", F.lit(stamp).alias("stamp"), F.lit(said["manifest"]["baseUrl"]).alias("base_url"), F.lit(len(said["files"])).alias("files"))
+
+
+@query
+def published_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The density raster published as strips of 16 rows, twice under one alias, and read back: each strip's place and sum."""
+    grid = si.primary_density(spark, sf_dir)
+    root = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/published-{uuid.uuid4().hex}"
+    for stamp, value in (("first", F.lit(255)), ("second", F.col("d"))):
+        strips = rasters.strips(grid.withColumn("d", value), si.WIDTH, 16).select(F.format_string("strip-%06d.png", "strip").alias("name"), F.col("image").alias("content"))
+        published.publish(strips, root, stamp)
+    got = published.read_latest(spark, root)
+    v = png.pixels(png.scanlines(got, ["name"]), ["name"])
+    return v.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"), F.sum(F.col("v") * (F.col("y") * 100 + F.col("x"))).alias("moment"))
+
+
 @query
 def mercator_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A band as wide as the plane is high."""

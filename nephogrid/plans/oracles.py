@@ -128,6 +128,16 @@ _STORED = "bcap AS (SELECT r, c, s AS v FROM braw), binv AS (SELECT r, c, 255 -
 _OH = "(SELECT oh FROM odims)"
 
 
+_FACES_OF_FILLED = (
+    """, th AS (SELECT r, c, CASE WHEN d < 45 THEN 0 ELSE d END AS d FROM filled),
+mm AS (SELECT count(*) AS n, min(d) AS low, max(d) AS high FROM th WHERE d > 0),
+sx AS MATERIALIZED (SELECT r, c, CASE WHEN n > 1 AND high > low THEN CAST(floor(least(greatest((d - low) / CAST(high - low AS DOUBLE), 0e0), 1e0) * 255) AS BIGINT) ELSE d END AS d FROM th, mm),
+src AS (SELECT x.r, x.c, y.d AS v FROM sx x JOIN sx y ON y.r = x.r AND y.c = CASE WHEN x.c < 3 THEN x.c + 3 WHEN x.c >= 97 THEN x.c - 3 ELSE x.c END),"""
+    + _cube()
+    + ", pt AS (SELECT face, fy, fx, ((x0 % w) + w) % w AS ix, iy, w, h FROM spots),"
+    + _bilinear("pt", "face, fy, fx", "src", "w", "h")
+)
+
 ORACLES: dict[str, str] = {
     "density": _with(_A) + " SELECT r, c, d0 AS d FROM dens",
     "density_no_phase": _with(_A) + " SELECT r, c, CASE WHEN bt IS NULL THEN 0 ELSE CAST(floor(least(greatest((285e0 - bt) / 85e0, 0e0), 1e0) * 255) AS BIGINT) END AS d FROM a",
@@ -156,13 +166,7 @@ SELECT k, round(CAST(CAST(CAST(CAST(sum(n) OVER (ORDER BY k) AS FLOAT) AS DOUBLE
     "gap_fill": _with(_A, _B_GRID, _LUT, _FILL) + " SELECT r, c, CASE WHEN gap THEN s ELSE d END AS d FROM fl",
     "gap_fill_feather": _with(_A, _B_GRID, _LUT, _FILL, _FEATHER) + " SELECT r, c, d FROM filled",
     "whole_map": _with(_A, _B_GRID, _LUT, _FILL, _FEATHER)
-    + """, th AS (SELECT r, c, CASE WHEN d < 45 THEN 0 ELSE d END AS d FROM filled),
-mm AS (SELECT count(*) AS n, min(d) AS low, max(d) AS high FROM th WHERE d > 0),
-sx AS MATERIALIZED (SELECT r, c, CASE WHEN n > 1 AND high > low THEN CAST(floor(least(greatest((d - low) / CAST(high - low AS DOUBLE), 0e0), 1e0) * 255) AS BIGINT) ELSE d END AS d FROM th, mm),
-src AS (SELECT x.r, x.c, y.d AS v FROM sx x JOIN sx y ON y.r = x.r AND y.c = CASE WHEN x.c < 3 THEN x.c + 3 WHEN x.c >= 97 THEN x.c - 3 ELSE x.c END),"""
-    + _cube()
-    + ", pt AS (SELECT face, fy, fx, ((x0 % w) + w) % w AS ix, iy, w, h FROM spots),"
-    + _bilinear("pt", "face, fy, fx", "src", "w", "h")
+    + _FACES_OF_FILLED
     + " SELECT face, fy, fx, v FROM sm",
     "edge_fix": _with(_A) + " SELECT x.r, x.c, y.d FROM g x JOIN g y ON y.r = x.r AND y.c = CASE WHEN x.c < 3 THEN x.c + 3 WHEN x.c >= 97 THEN x.c - 3 ELSE x.c END",
     "pad_to_global": _with(_A)
@@ -230,6 +234,7 @@ strftime(hour, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(hour, '%Y%m%d_%H%M%S') AS
 UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / (n - 1), 6) FROM (SELECT count(*) // 100 AS n FROM orders), range(n) t(i)""",
     "manifest": """SELECT k, '{"baseUrl":"' || CASE k % 3 WHEN 0 THEN 'https://host' || k || '.example.org/x/tiles/' WHEN 1 THEN 'https://owner-' || c || '.github.io/Site' || k || '/tiles/' ELSE 'https://owner.github.io/tiles-site/tiles/' END
     || '","timestamp":"' || day || '_000000"}' AS manifest FROM (SELECT o_orderkey AS k, o_custkey AS c, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d') AS day FROM orders)""",
+    "published_strips": _with(_A) + """ SELECT format('strip-{:06d}.png', r // 16) AS name, 1600 AS n, CAST(sum(d) AS BIGINT) AS total, CAST(sum(d * (r % 16 * 100 + c)) AS BIGINT) AS moment FROM g GROUP BY r // 16""",
     "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
     "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))
 SELECT r, c, coalesce((v * 19595 + (255 - v) * 38470 + v * 7 % 256 * 7471 + 32768) >> 16, 0) AS v FROM px LEFT JOIN cp USING (r, c)""",
@@ -244,3 +249,10 @@ def _places() -> str:
 
 
 ORACLES["storm_fallback"] = _places()
+
+# The whole job is the polar auxiliary in place of the secondary raster.
+ORACLES["map_job"] = (
+    _with(_A, f" pb AS ({ORACLES['polar_build']})", " bg AS (SELECT coalesce(CAST(floor(quantile_cont(s, 0.05) FILTER (WHERE s > 0)) AS BIGINT), 0) AS bg FROM pb), bs AS (SELECT r, c, greatest(s - bg, 0) AS s FROM pb, bg)", _LUT, _FILL, _FEATHER)
+    + _FACES_OF_FILLED
+    + " SELECT face, fy, fx, v, (SELECT stamp FROM (" + ORACLES["latest_slot"] + ")) AS stamp, 'https://some-owner.github.io/Site/tiles/' AS base_url, 6 AS files FROM sm"
+)

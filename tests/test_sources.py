@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from nephogrid.functions import pixels as px
 from nephogrid.operators import layout, points
-from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map, density_grid, density_grid_of_scaled, load_first, load_second
-from nephogrid.sources import png, rasters, stand_ins
+from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map, density_grid, density_grid_of_scaled, load_first, load_second, publish_faces, published_faces
+from nephogrid.sources import png, published, rasters, stand_ins
 from nephogrid.streaming import ingest
 from tests.test_png import written
 
@@ -60,14 +61,12 @@ def test_whole_map_and_sinks(spark, small, tmp_path):
     grid = density_grid(main, 100, 10, config)
     faces = cloud_map(grid, stand_ins.secondary_on_grid(spark, small).select("r", "c", "s"), config)
     assert faces.count() == 6 * 64
-    rasters.save_faces(faces, str(tmp_path / "faces"))
-    assert spark.read.parquet(str(tmp_path / "faces")).groupBy("face").count().where("count = 64").count() == 6
-    images = rasters.face_images(faces, 8).collect()
-    assert len(images) == 6 and all(png.decode(bytes(i["image"]))[0].shape == (8, 8) for i in images)
-    rasters.publish(grid, str(tmp_path / "out"), "20240131_120000")
-    assert spark.read.parquet(str(tmp_path / "out" / "latest")).count() == 1000
-    rasters.save_manifest(spark.createDataFrame([('{"a":1}',)], "manifest string"), str(tmp_path / "manifest"))
-    assert [r["value"] for r in spark.read.text(str(tmp_path / "manifest")).collect()] == ['{"a":1}']
+    root = str(tmp_path / "out")
+    publish_faces(faces, root, "20240131_120000", 8, pages="https://host.example.org//")
+    assert sorted(tuple(r) for r in published_faces(spark, root).collect()) == sorted(tuple(r) for r in faces.collect())
+    said = published.latest(spark, root).first()
+    assert said["stamp"] == "20240131_120000" and said["manifest"] == {"baseUrl": "https://host.example.org/tiles/", "timestamp": "20240131_120000"}
+    assert [f["name"] for f in said["files"]] == [f"tiles/{k}.png" for k in sorted(px.FACES)]
 
 
 def test_second_source(spark):
