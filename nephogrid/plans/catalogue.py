@@ -12,7 +12,7 @@ from nephogrid.functions import pixels as px
 from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
 from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
-from nephogrid.sources import png, published, rasters
+from nephogrid.sources import gridded, png, published, rasters
 from nephogrid.sources import stand_ins as si
 from nephogrid.storage import materialize, scratch_root
 
@@ -214,6 +214,10 @@ def whole_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cloud_map.cloud_map(si.primary_density(spark, sf_dir), si.secondary_on_grid(spark, sf_dir), cloud_map.CloudMapConfig(si.WIDTH, h, h // 2))
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/files-{uuid.uuid4().hex}"
+
+
 @query
 def map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: newest slot, gaps filled from landed images, faces published, and read back from what ``latest`` means."""
@@ -224,18 +228,41 @@ def map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = png.images(both, ["cap"], w, cap_rows).withColumnRenamed("image", "content")
     polar = cloud_map.PolarInputs(materialize(tiles, "landed-tiles"), 16, (64, rows), materialize(landed, "landed-caps"), {k: (w, cap_rows) for k in caps})
     slots, now, path = _slots(spark, sf_dir)
-    root = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/published-{uuid.uuid4().hex}"
+    root = _scratch_folder(spark)
     stamp = cloud_map.run_job(slots, now, lambda _: (si.primary(spark, sf_dir), si.WIDTH, h), path, polar, root, cloud_map.CloudMapConfig(si.WIDTH, h, h // 2), repository="Some-Owner/Site")
     said = published.latest(spark, root).first()
     faces = cloud_map.published_faces(spark, root)
     return faces.select("face", "fy", "fx", "v", F.lit(stamp).alias("stamp"), F.lit(said["manifest"]["baseUrl"]).alias("base_url"), F.lit(len(said["files"])).alias("files"))
 
 
+@query
+def gridded_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plane as a gridded file of 32 x 16 chunks; rows from 64 on and columns 10 to 39 of what is read from it, with a coordinate of its own."""
+    rows, path = si.table(spark, sf_dir, "embeddings").count(), f"{_scratch_folder(spark)}/plane.nc"
+    lat = [90.0 - 180.0 * i / rows for i in range(rows)]
+    si.grid_file(si.plane(spark, sf_dir), path, ["v"], {"lat": lat}, rows, 64, 32, 16, {})
+    spark.dataSource.register(gridded.GriddedFile)
+    got = spark.read.format("netcdf_grid").schema("r int, c int, lat double, v double").load(path).where("r >= 64 and c >= 10 and c < 40")
+    return got.select("r", "c", F.round("lat", 6).alias("lat"), F.col("v").cast("long").alias("v"))
+
+
+@query
+def second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second source from its gridded file: the rows within 60 degrees as counts of one layer, padded to the globe."""
+    h, path = si.height(spark, sf_dir), f"{_scratch_folder(spark)}/second.nc"
+    lat = [90.0 - r * 180.0 / (h - 1) for r in range(h)]
+    first, lat = next(r for r in range(h) if abs(lat[r]) <= 60), [x for x in lat if abs(x) <= 60]
+    counts = si.primary(spark, sf_dir).where(F.col("r").between(first, first + len(lat) - 1)).select((F.col("r") - first).alias("r"), "c", F.col("bt").alias("LIR"))
+    si.grid_file(counts, path, ["LIR"], {"lat": lat}, len(lat), si.WIDTH, 16, 50, {"LIR": {"long_name": "counts in kelvin"}, "": {"time_coverage_start": "2024-01-31T12:00:00Z"}})
+    grid, stamp = cloud_map.load_second(spark, path, 200.0, 104)
+    return grid.select("r", "c", "d", F.lit(stamp).alias("stamp"))
+
+
 @query
 def published_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The density raster published as strips of 16 rows, twice under one alias, and read back: each strip's place and sum."""
     grid = si.primary_density(spark, sf_dir)
-    root = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/published-{uuid.uuid4().hex}"
+    root = _scratch_folder(spark)
     for stamp, value in (("first", F.lit(255)), ("second", F.col("d"))):
         strips = rasters.strips(grid.withColumn("d", value), si.WIDTH, 16).select(F.format_string("strip-%06d.png", "strip").alias("name"), F.col("image").alias("content"))
         published.publish(strips, root, stamp)

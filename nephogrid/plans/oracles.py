@@ -234,6 +234,7 @@ strftime(hour, '%Y-%m-%dT%H:%M:%SZ') AS iso, strftime(hour, '%Y%m%d_%H%M%S') AS
 UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / (n - 1), 6) FROM (SELECT count(*) // 100 AS n FROM orders), range(n) t(i)""",
     "manifest": """SELECT k, '{"baseUrl":"' || CASE k % 3 WHEN 0 THEN 'https://host' || k || '.example.org/x/tiles/' WHEN 1 THEN 'https://owner-' || c || '.github.io/Site' || k || '/tiles/' ELSE 'https://owner.github.io/tiles-site/tiles/' END
     || '","timestamp":"' || day || '_000000"}' AS manifest FROM (SELECT o_orderkey AS k, o_custkey AS c, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d') AS day FROM orders)""",
+    "gridded_window": _with(_C) + " SELECT r, c, round(90e0 - 180e0 * r / (SELECT count(*) FROM embeddings), 6) AS lat, v FROM cp WHERE r >= 64 AND c >= 10 AND c < 40",
     "published_strips": _with(_A) + """ SELECT format('strip-{:06d}.png', r // 16) AS name, 1600 AS n, CAST(sum(d) AS BIGINT) AS total, CAST(sum(d * (r % 16 * 100 + c)) AS BIGINT) AS moment FROM g GROUP BY r // 16""",
     "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
     "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))
@@ -256,3 +257,8 @@ ORACLES["map_job"] = (
     + _FACES_OF_FILLED
     + " SELECT face, fy, fx, v, (SELECT stamp FROM (" + ORACLES["latest_slot"] + ")) AS stamp, 'https://some-owner.github.io/Site/tiles/' AS base_url, 6 AS files FROM sm"
 )
+ORACLES["second_load"] = (
+    ORACLES["pad_to_global"]
+    .replace(" lat, d FROM g", " lat, CASE WHEN bt IS NULL OR bt <= 201e0 THEN 0 ELSE CAST(floor(least(greatest((285e0 - bt) / 85e0, 0e0), 1e0) * 255) AS BIGINT) END AS d FROM a")
+    .replace("coalesce(part.d, 0) AS d FROM", "coalesce(part.d, 0) AS d, '20240131_120000' AS stamp FROM")
+)

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import struct
+import zlib
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
+from nephogrid.sources.gridded import NOWHERE
+from nephogrid.storage import file_system, materialize
 
 WIDTH = 100
 
@@ -90,3 +95,120 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.when(k % 7 == 0, ".tmp").otherwise(".nc")
     key = F.concat(F.lit("product/"), F.date_format(hour, "yyyy/MM/dd/HH"), F.lit("/file"), kind, k.cast("string"), stamp, end)
     return table(spark, sf_dir, "orders").select(key.alias("key"), F.floor("o_totalprice").cast("long").alias("size"), (hour + F.make_interval(mins=F.lit(7))).alias("modified"), hour.alias("hour"))
+
+
+def _message(kind: int, body: bytes) -> bytes:
+    body += bytes(-len(body) % 8)
+    return struct.pack("<HHB3x", kind, len(body), 0) + body
+
+
+def _header(*messages: bytes) -> bytes:
+    """An object header of the older kind."""
+    return struct.pack("<BxHIi4x", 1, len(messages), 1, sum(map(len, messages))) + b"".join(messages)
+
+
+def _float_type(size: int) -> bytes:
+    mantissa, exponent, bias = (52, 11, 1023) if size == 8 else (23, 8, 127)
+    return struct.pack("<BBBBIHHBBBBI", 0x11, 0x20, 8 * size - 1, 0, size, 0, 8 * size, mantissa, exponent, 0, mantissa, bias)
+
+
+def _text_attribute(name: str, value: str) -> bytes:
+    padded = lambda b: b + bytes(-len(b) % 8)
+    name_, kind, space = name.encode() + b"\0", struct.pack("<BBBBI", 0x13, 0, 0, 0, len(value)), struct.pack("<BB6x", 1, 0)
+    return _message(0xC, struct.pack("<BxHHH", 1, len(name_), len(kind), len(space)) + padded(name_) + padded(kind) + padded(space) + value.encode())
+
+
+def chunk_table(leaves: list[tuple[int, int, tuple[int, ...]]], at: int, rank: int, fan: int = 64) -> tuple[bytes, int]:
+    """The B-tree of chunks (place, size, origin) written at ``at``, and where its root is."""
+    key = lambda size, origin: struct.pack("<II", size, 0) + struct.pack(f"<{rank + 1}Q", *origin, 0)
+    nodes, level, out = [(place, size, origin) for place, size, origin in leaves], 0, b""
+    end = key(0, [1 << 40] * rank)
+    while True:
+        above = []
+        for i in range(0, len(nodes), fan):
+            group = nodes[i : i + fan]
+            after = key(nodes[i + fan][1], nodes[i + fan][2]) if i + fan < len(nodes) else end
+            above.append((at + len(out), group[0][1], group[0][2]))
+            out += struct.pack("<4sBBHQQ", b"TREE", 1, level, len(group), NOWHERE, NOWHERE) + b"".join(key(s, o) + struct.pack("<Q", p) for p, s, o in group) + after
+        if len(above) == 1:
+            return out, above[0][0]
+        nodes, level = above, level + 1
+
+
+def grid_file(raster: DataFrame, path: str, names: list[str], coordinates: dict[str, list[float]], height: int, width: int, rows: int, columns: int, attributes: dict[str, dict[str, str]]) -> None:
+    """Write a gridded file: variables ``names`` of (r, c, names...) in shuffled and deflated chunks of ``rows`` x ``columns`` doubles, coordinates whole.
+
+    Chunks are packed in tasks; nulls are NaN, and chunks without a pixel are not stored. The file is one stream, so one task writes it, chunk
+    after chunk; the driver has the chunks' sizes only.
+    """
+
+    def pack(b: pd.DataFrame) -> pd.DataFrame:
+        y, x = int(b["y"].iloc[0]), int(b["x"].iloc[0])
+        at = (b["r"] - y * rows) * columns + b["c"] - x * columns
+        out = []
+        for n in names:
+            plane = np.full(rows * columns, np.nan)
+            plane[at.to_numpy()] = b[n].astype("float64").to_numpy()
+            out.append(zlib.compress(plane.view(np.uint8).reshape(-1, 8).T.tobytes()))
+        return pd.DataFrame({"variable": range(len(names)), "y": y, "x": x, "packed": out})
+
+    px_ = raster.select(F.expr(f"r div {rows}").cast("int").alias("y"), F.expr(f"c div {columns}").cast("int").alias("x"), "r", "c", *names)
+    packed = materialize(px_.groupBy("y", "x").applyInPandas(pack, "variable int, y int, x int, packed binary"), "chunks").orderBy("variable", "y", "x")
+    sizes = packed.select("variable", "y", "x", F.length("packed").alias("n")).collect()
+    space = lambda *n: _message(0x1, struct.pack(f"<BBB5x{len(n)}Q", 1, len(n), 0, *n))
+    kind, filters = _message(0x3, _float_type(8)), _message(0xB, struct.pack("<BB6xHHHHI4xHHHHI4x", 1, 2, 2, 0, 0, 1, 8, 1, 0, 0, 1, 6))
+    text = lambda n: [_text_attribute(k, v) for k, v in attributes.get(n, {}).items()]
+    every = sorted([*names, *coordinates])
+    heap = b"\0" * 8
+    places = {}
+    for n in every:
+        places[n], heap = len(heap), heap + n.encode() + b"\0" + bytes(-(len(n) + 1) % 8)
+
+    def metadata(at: dict[str, int], root: int, trees: dict[str, int], data: dict[str, int]) -> dict[str, bytes]:
+        """All parts before the chunks; their sizes do not depend on the places."""
+        parts = {"super": b"\x89HDF\r\n\x1a\n" + struct.pack("<8BHHIQQQQQQII16x", 0, 0, 0, 0, 0, 8, 8, 0, 4, 16, 0, 0, NOWHERE, at.get("end", 0), NOWHERE, 0, at.get("root", 0), 0, 0)}
+        parts["root"] = _header(_message(0x11, struct.pack("<QQ", at.get("tree", 0), at.get("heap", 0))), *text(""))
+        parts["tree"] = struct.pack("<4sBBHQQQQQ", b"TREE", 0, 0, 1, NOWHERE, NOWHERE, 0, at.get("symbols", 0), places[every[-1]])
+        parts["symbols"] = struct.pack("<4sBxH", b"SNOD", 1, len(every)) + b"".join(struct.pack("<QQII16x", places[n], at.get(n, 0), 0, 0) for n in every)
+        parts["heap"] = struct.pack("<4sB3xQQQ", b"HEAP", 0, len(heap), NOWHERE, at.get("names", 0))
+        parts["names"] = heap
+        for n in names:
+            parts[n] = _header(space(1, height, width), kind, filters, _message(0x8, struct.pack("<BBBQIIII", 3, 2, 4, trees.get(n, 0), 1, rows, columns, 8)), *text(n))
+        for n, values in coordinates.items():
+            parts[n] = _header(space(len(values)), kind, _message(0x8, struct.pack("<BBQQ", 3, 1, data.get(n, 0), 8 * len(values))), *text(n))
+        return parts
+
+    def laid(parts: dict[str, bytes], begin: int = 0) -> tuple[dict[str, int], int]:
+        at = {}
+        for n, b in parts.items():
+            at[n], begin = begin, begin + len(b)
+        return at, begin
+
+    at, end = laid(metadata({}, 0, {}, {}))
+    values = {n: np.array(v, "<f8").tobytes() for n, v in coordinates.items()}
+    data, end = laid(values, end)
+    room, trees, tables = {}, {}, {}
+    for i, n in enumerate(names):  # the tables' sizes are known, their places come before the chunks'
+        room[n] = len(chunk_table([(0, 0, (0, 0, 0))] * max(1, sum(s["variable"] == i for s in sizes)), 0, 3)[0])
+    where, first = laid({n: bytes(k) for n, k in room.items()}, end)
+    for i, n in enumerate(names):
+        leaves = []
+        for s in sizes:
+            if s["variable"] == i:
+                leaves.append((first, s["n"], (0, s["y"] * rows, s["x"] * columns)))
+                first += s["n"]
+        tables[n], trees[n] = chunk_table(leaves, where[n], 3) if leaves else (bytes(room[n]), NOWHERE)
+    at["end"] = first
+    head = b"".join([*metadata(at, 0, trees, data).values(), *values.values(), *tables.values()])
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, place = file_system(path)
+        store.create_dir(place.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(place) as f:
+            f.write(head)
+            for b in batches:
+                for p in b["packed"]:
+                    f.write(bytes(p))
+        yield pd.DataFrame({"done": [1]})
+
+    packed.coalesce(1).sortWithinPartitions("variable", "y", "x").select("packed").mapInPandas(write, "done int").collect()

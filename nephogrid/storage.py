@@ -35,3 +35,12 @@ def materialize(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
     path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(path: str):
+    """The file system of a path or URI, as Python sees it in tasks, and the path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)

@@ -1,0 +1,179 @@
+"""Gridded files, read as they are: made here byte by byte in the older form, and with newer headers."""
+
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from nephogrid.plans.cloud_map import load_second
+from nephogrid.sources import gridded, stand_ins
+from nephogrid.sources.gridded import NOWHERE, Chunk, File
+
+
+def reader(spark, path, schema, **options):
+    spark.dataSource.register(gridded.GriddedFile)
+    return spark.read.format("netcdf_grid").schema(schema).options(**options).load(str(path))
+
+
+@pytest.fixture(scope="module")
+def made(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("grids") / "made.nc")
+    df = spark.range(50 * 70).select(F.expr("int(id div 70)").alias("r"), F.expr("int(id % 70)").alias("c"), F.when(F.col("id") != 75, F.col("id")).alias("LIR"), (F.col("id") * 2).alias("other"))
+    stand_ins.grid_file(df.where("r not between 16 and 23 or c < 64"), path, ["LIR", "other"], {"lat": list(np.linspace(60, -60, 50)), "lon": list(range(70))}, 50, 70, 8, 16, {"LIR": {"long_name": "scaled 0-255"}, "": {"time_coverage_start": "2024-01-31T12:00:00Z"}})
+    return path
+
+
+def test_chunks_coordinates_and_missing_pixels(spark, made):
+    got = {(r["r"], r["c"]): r for r in reader(spark, made, "r int, c int, lat double, lon double, LIR double, other double", **{"scale.other": "0.5", "offset.other": "1", "fill.LIR": "140"}).collect()}
+    lat = np.linspace(60, -60, 50)
+    assert len(got) == 50 * 70
+    for (r, c), x in got.items():
+        k = r * 70 + c
+        stored = not (16 <= r < 24 and c >= 64)
+        assert x["lat"] == lat[r] and x["lon"] == c
+        assert x["LIR"] == (k if stored and k not in (75, 140) else None) and x["other"] == (k + 1 if stored else None)
+
+
+def test_pushed_ranges_drop_chunks(spark, made):
+    df = reader(spark, made, "r int, c int, LIR double")
+    assert df.rdd.getNumPartitions() == 7 * 5
+    some = df.where("r >= 10 and r < 20 and c > 30 and c <= 40 and LIR > 0")
+    assert some.rdd.getNumPartitions() == 2 * 2
+    assert sorted((r["r"], r["c"]) for r in some.collect()) == [(r, c) for r in range(10, 20) for c in range(31, 41)]
+    assert df.where("r = 49 and c = 69").rdd.getNumPartitions() == 1 and df.where("r > 60").count() == 0 == df.where("r = 3 and r = 4").count()
+
+
+def test_branches_outside_are_not_read(tmp_path):
+    """A table of three levels: a window reads a few of its nodes."""
+    origins = [(0, y * 4, x * 4) for y in range(100) for x in range(100)]
+    table, root = stand_ins.chunk_table([(i, 1, o) for i, o in enumerate(origins)], 0, 3, fan=16)
+    (tmp_path / "table").write_bytes(table)
+
+    class Table(File):
+        def __init__(self):
+            self.stream, self.nodes = open(tmp_path / "table", "rb"), 0
+
+        def read(self, at, size):
+            self.nodes += size == 4
+            self.stream.seek(at)
+            return self.stream.read(size)
+
+    f = Table()
+    v = gridded.Variable("<f8", (400, 400), (4, 4), [], root, False)
+    v2 = gridded.Variable("<f8", (1, 400, 400), (1, 4, 4), [], root, False)
+    found = f.chunks(v2, [0, 17, 33], [1, 30, 50])
+    assert sorted(c.origin for c in found) == [o for o in origins if o[1] < 30 and o[1] + 4 > 17 and o[2] < 50 and o[2] + 4 > 33]
+    table, root = stand_ins.chunk_table([(i, 1, o[1:]) for i, o in enumerate(origins)], 0, 2, fan=16)
+    (tmp_path / "table").write_bytes(table)
+    f, v.index = Table(), root
+    assert len(f.chunks(v, [16, 0], [20, 400])) == 100 and f.nodes < 20
+
+
+def test_header_and_second_source(spark, made):
+    row = gridded.grid_info(spark, made).first()
+    assert (row["names"], row["long_names"], row["stamp"], row["height"], row["width"]) == (["LIR", "other"], ["scaled 0-255", ""], "2024-01-31T12:00:00Z", 50, 70)
+    grid, stamp = load_second(spark, made, 0.0, 80)
+    assert stamp == "20240131_120000" and grid.count() == 75 * 80
+    with pytest.raises(Exception, match="no variables named"):
+        reader(spark, made, "r int, c int, absent double").count()
+    with pytest.raises(Exception, match="needs a variable"):
+        reader(spark, made, "r int, c int, lat double").count()
+
+
+def newer_file(path, n_names):
+    """A file with newer headers whose names and attributes are kept apart, in heaps with a list of names each, as many names need."""
+    out = bytearray(b"\x89HDF\r\n\x1a\n" + bytes(40))
+
+    def put(data):
+        at = len(out)
+        out.extend(data)
+        return at
+
+    message = lambda kind, body: struct.pack("<BHB", kind, len(body), 0) + body
+
+    def header(*messages):
+        body = b"".join(messages)
+        return put(b"OHDR" + bytes([2, 1]) + struct.pack("<H", len(body)) + body + bytes(4))
+
+    def heap_of(objects, record_kind, deep):
+        """Objects in a heap of one block, or of blocks of 512 bytes below a root."""
+        blocks, ids, at = [bytearray(b"FHDB" + bytes(11))], [], 15
+        for o in objects:
+            if deep and len(blocks[-1]) + len(o) > 512:
+                blocks[-1] += bytes(512 - len(blocks[-1]))
+                blocks.append(bytearray(b"FHDB" + bytes(11)))
+            at = 512 * (len(blocks) - 1) + len(blocks[-1])
+            ids.append(bytes([0]) + struct.pack("<HH", at, len(o)) + bytes(2 if record_kind == 5 else 3))
+            blocks[-1] += o
+        assert len(blocks) <= 4
+        places = [put(bytes(b)) for b in blocks]
+        root, rows = (places[0], 0) if not deep else (put(b"FHIB" + bytes(11) + struct.pack("<4Q", *places, *[NOWHERE] * (4 - len(places)))), 2)
+        head = struct.pack("<4sBHHBI12Q", b"FRHP", 0, 7, 0, 0, 4096, 0, NOWHERE, 0, NOWHERE, 0, 0, 0, 0, 0, 0, 0, 0)
+        heap = put(head + struct.pack("<HQQHHQH", 2, 512 if deep else 4096, 65536, 16, 1, root, rows) + bytes(4))
+        size = 11 if record_kind == 5 else 17
+        records = [(bytes(4) + i if record_kind == 5 else i + bytes(9)) for i in ids]
+        node = lambda mark, rs, more=b"": put((mark + bytes([0, record_kind]) + b"".join(rs) + more).ljust(512, b"\0"))
+        if len(records) < 30:
+            root, used, depth = node(b"BTLF", records), len(records), 0
+        else:
+            half = len(records) // 2
+            leaves = [(node(b"BTLF", records[:half]), half), (node(b"BTLF", records[half + 1 :]), len(records) - half - 1)]
+            root, used, depth = node(b"BTIN", [records[half]], b"".join(struct.pack("<QB", *x) for x in leaves)), 1, 1
+        return heap, put(b"BTHD" + bytes([0, record_kind]) + struct.pack("<IHHBBQHQ", 512, size, depth, 100, 40, root, used, len(records)) + bytes(4))
+
+    values = np.arange(12, dtype=">i2").reshape(3, 4)
+    kind, space = struct.pack("<BBBBIHH", 0x10, 0x09, 0, 0, 2, 0, 16), struct.pack("<BBBB2Q", 2, 2, 0, 1, 3, 4)
+    data = put(values.tobytes())
+    contiguous = header(message(1, space), message(3, kind), message(8, struct.pack("<BBQQ", 3, 1, data, 24)))
+    # chunks of 2 x 3 with a checksum behind, deflated; the second column of chunks has it left out by its mask
+    leaves, pieces = [], []
+    for y in (0, 2):
+        for x in (0, 3):
+            block = np.zeros((2, 3), ">i2")
+            part = values[y : y + 2, x : x + 3]
+            block[: part.shape[0], : part.shape[1]] = part
+            packed = zlib.compress(block.tobytes())
+            pieces.append((put(packed + b"sums" if not x else packed), len(packed) + 4 * (not x), 2 * (x > 0), (y, x)))
+    tree = struct.pack("<4sBBHQQ", b"TREE", 1, 0, 4, NOWHERE, NOWHERE) + b"".join(struct.pack("<IIQQQQ", n, mask, *o, 0, at) for at, n, mask, o in pieces) + struct.pack("<IIQQQ", 0, 0, 4, 0, 0)
+    tree = put(tree)
+    attributes = []
+    for name, value in (("scale_factor", 0.5), ("_FillValue", 5)):
+        k, v = (struct.pack("<BBBBIHHBBBBI", 0x11, 0x20, 63, 0, 8, 0, 64, 52, 11, 0, 52, 1023), struct.pack("<d", value)) if name[0] == "s" else (kind, struct.pack(">h", value))
+        text = name.encode() + b"\0"
+        attributes.append(struct.pack("<BBHHHB", 3, 0, len(text), len(k), 4, 0) + text + k + struct.pack("<BBBB", 2, 0, 0, 0) + v)
+    heap, names = heap_of(attributes, 8, False)
+    more = put(b"OCHK" + message(0x15, struct.pack("<BBQQ", 0, 0, heap, names)) + bytes(4))
+    pipeline = struct.pack("<BBHHHIHHH", 2, 2, 1, 0, 1, 6, 3, 0, 0)
+    chunked = header(message(1, space), message(3, kind), message(0xB, pipeline), message(8, struct.pack("<BBBQIII", 3, 2, 3, tree, 2, 3, 2)), message(0x10, struct.pack("<QQ", more, len(message(0x15, bytes(18))) + 8)))
+    link = lambda name, at: bytes([1, 0, len(name)]) + name.encode() + struct.pack("<Q", at)
+    links = {"whole": contiguous, "cut": chunked} | {f"name{i:03d}": contiguous for i in range(n_names)}
+    heap, names = heap_of([link(*x) for x in links.items()], 5, n_names > 20)
+    said = struct.pack("<BBHHHB", 3, 0, 20, 8, 4, 0) + b"time_coverage_start\0" + struct.pack("<BBBBI", 0x13, 0, 0, 0, 4) + struct.pack("<BBBB", 2, 0, 0, 0) + b"noon"
+    root = header(message(2, struct.pack("<BBQQ", 0, 0, heap, names)), message(0xC, said), message(6, link("alias", contiguous)))
+    out[8:48] = struct.pack("<BBBBQQQQ4x", 2, 8, 8, 0, 0, NOWHERE, len(out), root)
+    path.write_bytes(bytes(out))
+    return values
+
+
+@pytest.mark.parametrize("n_names", [0, 60])
+def test_newer_headers_heaps_and_filters(spark, tmp_path, n_names):
+    values = newer_file(tmp_path / "new.nc", n_names)
+    with File(str(tmp_path / "new.nc")) as f:
+        assert set(f.links(f.root)) == {"whole", "cut", "alias", *(f"name{i:03d}" for i in range(n_names))}
+        assert f.attributes(f.root) == {"time_coverage_start": "noon"}
+    got = reader(spark, tmp_path / "new.nc", "r int, c int, cut double, whole double")
+    assert {(r["r"], r["c"]): (r["cut"], r["whole"]) for r in got.collect()} == {(r, c): (None if values[r, c] == 5 else values[r, c] / 2, float(values[r, c])) for r in range(3) for c in range(4)}
+
+
+def test_files_that_are_no_grid(tmp_path):
+    (tmp_path / "x").write_bytes(b"CDF\x01" + bytes(200))
+    with pytest.raises(ValueError, match="not an HDF5 file"):
+        File(str(tmp_path / "x"))
+    with pytest.raises(FileNotFoundError):
+        File(str(tmp_path / "absent"))
+    v = gridded.Variable("<f8", (2, 2), (2, 2), [(99, 0)], 0, False)
+    (tmp_path / "y").write_bytes(b"\x89HDF\r\n\x1a\n" + bytes([2, 8, 8]) + bytes(200))
+    with File(str(tmp_path / "y")) as f, pytest.raises(ValueError, match="filter 99"):
+        f.block(v, [Chunk(0, 8, 0, (0, 0))], [0, 0], [2, 2])

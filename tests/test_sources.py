@@ -4,13 +4,12 @@ import json
 import struct
 from datetime import datetime, timedelta
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
 from nephogrid.operators import layout, points
-from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map, density_grid, density_grid_of_scaled, load_first, load_second, publish_faces, published_faces
+from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map, density_grid, density_grid_of_scaled, load_first, publish_faces, published_faces
 from nephogrid.sources import png, published, rasters, stand_ins
 from nephogrid.streaming import ingest
 from tests.test_png import written
@@ -77,58 +76,6 @@ def test_second_source(spark):
         density_grid_of_scaled(src, 0.0, False, 2)
 
 
-FAKE_H5PY = '''
-"""Stands in for the NetCDF library: a file is an npz of arrays, with attributes in JSON."""
-import json
-import numpy as np
-
-
-class Variable:
-    def __init__(self, array, attrs):
-        self.array, self.attrs, self.shape = array, attrs, array.shape
-
-    def __getitem__(self, at):
-        return self.array[at]
-
-
-class File(dict):
-    def __init__(self, path, mode):
-        found = dict(np.load(path.removeprefix("file:") + ".npz"))
-        attrs = json.loads(str(found.pop("attrs")))
-        super().__init__({k: Variable(v, attrs.get(k, {})) for k, v in found.items()})
-        self.attrs = attrs.get("", {})
-
-    def __enter__(self):
-        return self
-
-    def __exit__(self, *_):
-        pass
-'''
-
-
-def test_netcdf_grids(spark, tmp_path, monkeypatch):
-    """Stretches, coordinates, scale, fill value, pushed row filters, and the second source read off its header."""
-    (tmp_path / "h5py.py").write_text(FAKE_H5PY)
-    spark.sparkContext.addPyFile(str(tmp_path / "h5py.py"))
-    monkeypatch.syspath_prepend(str(tmp_path))
-    lat = np.linspace(60, -60, 10)
-    counts = np.arange(70, dtype=np.float32).reshape(1, 10, 7)
-    counts[0, 2, 3], counts[0, 9, 6] = np.nan, 0
-    np.savez(tmp_path / "grid.nc.npz", lat=lat, lon=np.arange(7.0), other=counts * 0, LIR=counts, attrs=json.dumps({"LIR": {"long_name": "scaled 0-255"}, "": {"time_coverage_start": "2024-01-31T12:00:00Z"}}))
-    spark.dataSource.register(rasters.NetcdfGrid)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    df = spark.read.format("netcdf_grid").schema("r int, c int, lat double, lon double, LIR double").options(rowsPerPartition="4", **{"scale.LIR": "2", "fill.LIR": "0"}).load(str(tmp_path / "grid.nc"))
-    got = {(r["r"], r["c"]): r for r in df.collect()}
-    assert len(got) == 70 and got[2, 3]["LIR"] is None and got[9, 6]["LIR"] is None and got[0, 0]["LIR"] is None and got[1, 1]["LIR"] == 16.0
-    assert all(r["lat"] == lat[r["r"]] and r["lon"] == r["c"] for r in got.values())
-    some = df.where("r >= 3 and r < 6 and c = 2")
-    assert sorted(r["r"] for r in some.collect()) == [3, 4, 5]
-    assert df.where("r > 4 and r <= 5").rdd.getNumPartitions() == 1
-    padded, stamp = load_second(spark, str(tmp_path / "grid.nc"), 0.0, 8)
-    assert stamp == "20240131_120000" and padded.count() == 15 * 8
-    assert {(r["r"], r["c"]): r["d"] for r in padded.collect()}[2 + 5, 4] == 39
-
-
 def test_strips_of_a_raster(spark):
     df = spark.range(50).select((F.col("id") / 10).cast("int").alias("r"), (F.col("id") % 10).cast("int").alias("c"), F.when(F.col("id") != 7, F.col("id")).alias("d"))
     got = {r["strip"]: png.decode(bytes(r["image"]))[0].tolist() for r in rasters.strips(df, 10, 2).collect()}
