@@ -1,11 +1,11 @@
-"""License scans: a trained paragraph classifier whose predictions are confirmed against templates.
-
-A paragraph is a line, or a run of up to three short lines with no blank one between them, so that a notice is found in one line of prose and
-wrapped at 70 columns alike. It is the set of its word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one, tells licence
-families from each other and from an unknown class; it is fitted on the families' notices, whole and with words left out, and on prose and
-other licences that use the same words. The level a prediction must reach is calibrated on texts that share no notice with those. A prediction
-stands if enough of a template of its family is in the paragraph and no other family's template fits better. Of overlapping paragraphs of one
-family the better is reported. Everything on the way over the documents is a DataFrame function.
+"""License scans: a trained passage classifier whose predictions are confirmed against templates.
+
+A text is its sequence of words, so a notice reads the same in one line of prose and wrapped at any width. Passages of a few sizes, which overlap so
+that every notice lies whole in one of them, are sets of word uni- and bigrams. Multinomial logistic regression with an L1 share, so a sparse one,
+tells licence families from each other and from an unknown class; it is fitted on the families' notices, whole and with words left out, and on prose
+and other licences that use the same words. The level a prediction must reach is calibrated on texts that share no notice with those. A prediction
+stands if enough of a template of its family is in the passage, no other family's template fits better, and the family's version is named.
+Everything on the way over the documents is a DataFrame function; n-grams one of which any such passage must hold leave few passages to score.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -46,14 +47,14 @@ TEMPLATES = {
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
         "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
         "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "lgpl-2.1": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
-        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License version 2.1",
         "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
         "SPDX-License-Identifier: LGPL-2.1-only",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
@@ -117,6 +118,29 @@ TEMPLATES = {
         "No part of this publication may be reproduced without the prior written permission of the publisher.",
     ),
 }
+#: What tells a family from its neighbours: of these one must be in a passage that names it. Fixed values.
+VERSIONS = {
+    "apache-2.0": ("version 2.0", "version 2", "license 2.0", "apache-2.0", "v2.0", "v 2.0"),
+    "gpl-2.0": ("version 2", "version 2.0", "license 2", "gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later", "v2"),
+    "gpl-3.0": ("version 3", "version 3.0", "license 3", "gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later", "v3"),
+    "lgpl-2.1": ("version 2.1", "license 2.1", "lgpl-2.1", "lgpl-2.1-only", "lgpl-2.1-or-later", "v2.1"),
+    "lgpl-3.0": ("version 3", "version 3.0", "license 3", "lgpl-3.0", "lgpl-3.0-only", "lgpl-3.0-or-later", "v3"),
+    "agpl-3.0": ("version 3", "version 3.0", "license 3", "agpl-3.0", "agpl-3.0-only", "agpl-3.0-or-later", "v3"),
+    "mpl-2.0": ("version 2.0", "version 2", "v 2.0", "v2.0", "license 2.0", "mpl-2.0"),
+    "cc-by-nc-4.0": ("by-nc 4.0", "attribution-noncommercial 4.0", "cc-by-nc-4.0"),
+    "cc-by-sa-4.0": ("by-sa 4.0", "attribution-sharealike 4.0", "cc-by-sa-4.0"),
+    "cc-by-4.0": ("by 4.0", "attribution 4.0", "cc-by-4.0"),
+}
+#: And one of these: names that would otherwise be part of each other.
+NAMES = {
+    "gpl-2.0": ("gnu general", "gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later"),
+    "gpl-3.0": ("gnu general", "gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later"),
+    "lgpl-2.1": ("lesser general", "lgpl-2.1", "lgpl-2.1-only", "lgpl-2.1-or-later"),
+    "lgpl-3.0": ("lesser general", "lgpl-3.0", "lgpl-3.0-only", "lgpl-3.0-or-later"),
+    "agpl-3.0": ("affero general", "agpl-3.0", "agpl-3.0-only", "agpl-3.0-or-later"),
+}
+#: Around a BSD notice: the clause that makes it the licence of four clauses, the second clause, and the third.
+FOUR_CLAUSES, SECOND_CLAUSE, THIRD_CLAUSE = "advertising materials", "the documentation", "neither the"
 #: Prose that shares words with the notices and names no licence, and licences of no family here.
 OTHER = (
     "The driver had a license but the car was not permitted on the road.",
@@ -189,9 +213,13 @@ CALIBRATION = (
 UNKNOWN = "unknown"
 
 
+#: Runs of letters and digits, with dots and hyphens inside.
+WORDS = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
+
+
 def grams(text: Column) -> Column:
     """Distinct word uni- and bigrams; words are runs of letters, digits, dots and hyphens inside them, A-Z lower-cased."""
-    found = F.regexp_extract_all(ascii_lower(text), F.lit(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"), F.lit(0))
+    found = F.regexp_extract_all(ascii_lower(text), F.lit(WORDS), F.lit(0))
 
     def both(w: Column) -> Column:
         pairs = F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i))))
@@ -236,92 +264,77 @@ def fit(spark: SparkSession) -> LicenseModel:
     return LicenseModel(vectors, model, level)
 
 
-#: Words of every text, in the order in which the screen tries to do without them.
+#: Words of every text, which the screen does without where it can.
 COMMON = (
     "the of and to in a is it for as or not at are be with from by any all no may can you this that its into your use used under one made part two public work general road village "
     "free new either without project program law library person code file files copy source author fee terms written possible purpose"
 ).split()
 
 
-def telling_words(model: LicenseModel) -> list[str]:
-    """Words one of which a paragraph must hold to be predicted a family: the rarest word of each term that favours some family over the unknown
-    class, less those COMMON words that cannot lift any family to the level even if all of their terms are there (a term counts once)."""
-    w, b = model.logistic.coefficientMatrix.toArray(), model.logistic.interceptVector.toArray()
-    gains: dict[str, list[float]] = {}
-    for j, t in enumerate(model.vectors.vocabulary):
-        more = [max(0.0, x) for x in w[1:, j] - w[0, j]]
-        if any(more):
-            word = max(t.split(" "), key=lambda x: (x not in COMMON, len(x)))
-            gains[word] = [x + y for x, y in zip(gains.get(word, [0.0] * len(more)), more, strict=True)]
-    left = [math.log(model.level / (1 - model.level)) - x - 1e-6 for x in b[1:] - b[0]]
-    for word in COMMON:
-        own = gains.get(word)
-        if own and all(x < y for x, y in zip(own, left, strict=True)):
-            left = [y - x for x, y in zip(own, left, strict=True)]
-            del gains[word]
-    return sorted(gains)
-
-
-def _screen(words: list[str]) -> str:
-    """A pattern that finds any of the words, with words of the same first letter together."""
-    by_first: dict[str, list[str]] = {}
-    for x in words:
-        by_first.setdefault(x[0], []).append(re.escape(x[1:]))
-    return r"(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items())) + r")(?![a-z0-9])"
-
-
-#: Lines of a paragraph at most.
-WINDOW = 3
-#: Characters of a line that may go on in the next one: wrapped text; a longer line is a paragraph of its own.
-WRAP = 160
-#: What a further line has to add to the overlap.
-LINE_COSTS = 0.1
-
-
-def paragraphs(text: Column, screen: str | None) -> Column:
-    """Array of struct(first, lines, text): every line that is not blank, and the runs of up to WINDOW lines of at most WRAP characters without a
-    blank one; of either those of which the ``screen`` fits one line at least."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ascii_lower(x))
-
-    def of(w: Column) -> Column:
-        told = F.transform(w, lambda x, i: F.when(F.lit(True) if screen is None else x.rlike(screen), i))
-        blank = lambda k: F.coalesce(F.trim(F.regexp_replace(F.get(w, k), r"[\x09-\x0D]", " ")) == "", F.lit(True))
-        spans = []
-        for size in range(1, WINDOW + 1):
-            for back in range(size):
-
-                def span(i: Column, size: int = size, back: int = back) -> Column:
-                    whole = F.lit(True)
-                    for k in range(size):
-                        whole = whole & ~blank(i - back + k) & (i - back + k >= 0)
-                        if size > 1:
-                            whole = whole & (F.length(F.get(w, i - back + k)) <= WRAP)
-                    return F.when(whole, F.struct((i - back).cast("int").alias("first"), F.lit(size).alias("lines")))
-
-                spans.append(span)
-        at = F.filter(told, lambda i: i.isNotNull())
-        found = F.flatten(F.transform(at, lambda i: F.filter(F.array(*[f(i) for f in spans]), lambda x: x.isNotNull())))
-        return F.transform(F.array_distinct(found), lambda x: F.struct(x["first"].alias("first"), x["lines"].alias("lines"), F.array_join(F.slice(w, x["first"] + 1, x["lines"]), " ").alias("text")))
-
-    return let(lines, of)
-
-
-def scan(docs: DataFrame, model: LicenseModel | None = None, confirm: float = 0.6) -> DataFrame:
-    """(doc_id, paragraph, lines, family, probability, overlap, text): the paragraphs of (doc_id, text) that name a licence, lower-cased.
-
-    ``paragraph`` is the first line, counted from 0, and ``lines`` their number; ``overlap`` is the largest share of a template's n-grams of the
-    predicted family that the paragraph holds, which must reach ``confirm`` and that of every other family. A paragraph is given
-    if none of its family that shares a line with it is worth more (the overlap, less LINE_COSTS for each further line), or as much with fewer
-    lines or an earlier beginning. Null and empty texts have no paragraphs;
-    repeated rows each give theirs; an empty table gives an empty result; other columns are ignored. Paragraphs without any telling word are
-    known to be unknown and are not scored.
+def anchors(phrase: str, confirm: float) -> list[str]:
+    """So many n-grams of a phrase that whatever holds the ``confirm``-th part of all of them holds one of these; those least like prose are taken."""
+    own = phrase_grams(phrase)
+    plain = lambda g: sum(w in COMMON for w in g.split(" ")) / len(g.split(" "))
+    by_worth = sorted(own, key=lambda g: (" " not in g, plain(g), -len(g)))
+    return by_worth[: len(own) - math.ceil(confirm * len(own) - 1e-9) + 1]
+
+
+#: Words of a passage; of each size passages begin at every fourth of it, so three fourths are whole in one of them wherever they stand.
+SIZES = (6, 12, 24, 48)
+#: Words on either side in which clauses are looked for.
+CONTEXT = 200
+#: What the next size has to add to the overlap.
+SIZE_COSTS = 0.03
+
+
+def words_of(text: Column) -> Column:
+    """Array of struct(w, line): the words of a text, A-Z lower-cased, with their lines from 0."""
+    lines = F.split(ascii_lower(F.coalesce(text, F.lit(""))), "\n")
+    return F.flatten(F.transform(lines, lambda x, i: F.transform(F.regexp_extract_all(x, F.lit(WORDS), F.lit(0)), lambda w: F.struct(w.alias("w"), i.alias("line")))))
+
+
+def passages(at: Column) -> Column:
+    """Array of struct(start, size): all passages, in words, that hold a word of ``at`` (an array of places)."""
+
+    def around(i: Column) -> Column:
+        every = []
+        for size in SIZES:
+            step = size // 4
+            every += [F.struct(((F.floor(i / step) - back) * step).cast("int").alias("start"), F.lit(size).alias("size")) for back in range(-(-size // step))]
+        return F.filter(F.array(*every), lambda p: p["start"] >= 0)
+
+    return F.array_distinct(F.flatten(F.transform(at, around)))
+
+
+def _bigram(w: Column, i: Column) -> Column:
+    return F.concat_ws(" ", F.get(w, i)["w"], F.get(w, i + 1)["w"])
+
+
+def scan(docs: DataFrame, model: LicenseModel | None = None, confirm: float = 0.6, screen: bool = True) -> DataFrame:
+    """(doc_id, paragraph, lines, family, probability, overlap, text): the passages of (doc_id, text) that name a licence, lower-cased words.
+
+    A text is its words, however it is wrapped, and passages of 6, 12, 24 and 48 of them are judged. ``overlap`` is the largest share of a template's
+    n-grams of the predicted family that the passage holds, which must reach ``confirm`` and that of every other family; the passage must say the
+    family's name and version where those tell it from others. The four-clause BSD licence is no family; the third clause tells the other two apart, where the second is
+    there. From its first to its last n-gram that is typical of the family is its notice; a passage is given if none of its family whose notice
+    meets its own is worth more (the overlap, less SIZE_COSTS for each size up), or as much with a shorter notice, a shorter passage or an earlier one.
+    ``paragraph`` is the line, from 0, where the notice begins, ``lines`` the number of its lines.
+
+    Null and empty texts have no passages; repeated rows each give theirs; an empty table gives an empty result; other columns are ignored. Passages
+    without any of the templates' ``anchors`` cannot reach ``confirm``, so ``screen`` leaves them out before the model sees them and changes nothing.
     """
-    m = model or fit(docs.sparkSession)
-    offsets = [math.exp(x) for x in m.logistic.interceptVector]
-    # without a telling word no family's logit gains on that of the unknown class
-    screen = _screen(telling_words(m)) if max(x / (offsets[0] + x) for x in offsets[1:]) < m.level else None
-    runs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")  # numbered before they are cut
-    runs = runs.select("row", "doc_id", F.explode(paragraphs(F.col("text"), screen)).alias("p")).select("row", "doc_id", "p.*")
+    m, names = model or fit(docs.sparkSession), list(TEMPLATES)
+    typical = {f: sorted({a for t in ts for a in anchors(t, confirm)}) for f, ts in TEMPLATES.items()}
+    telling = sorted({a for own in typical.values() for a in own})
+    runs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))  # numbered before they are cut
+    places = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1))
+    told = lambda w: lambda i: (F.get(w, i)["w"].isin(*telling) | _bigram(w, i).isin(*telling)) if screen else F.lit(True)
+    runs = runs.withColumn("at", F.filter(places, told(F.col("words")))).where(F.size("at") > 0)
+    runs = runs.select("row", "doc_id", "words", F.explode(passages(F.col("at"))).alias("p"))
+    cut = lambda start, size: F.transform(F.slice("words", F.greatest(start, F.lit(0)) + 1, size), lambda x: x["w"])
+    start, size = F.col("p.start"), F.col("p.size")
+    clauses = let(F.array_join(cut(start - CONTEXT, size + 2 * CONTEXT), " "), lambda t: F.struct(*[t.contains(c).alias(n) for n, c in (("four", FOUR_CLAUSES), ("second", SECOND_CLAUSE), ("third", THIRD_CLAUSE))]))
+    runs = runs.select("row", "doc_id", start.alias("start"), size.alias("size"), F.slice("words", start + 1, size).alias("words"), clauses.alias("clauses")).withColumn("text", F.array_join(F.transform("words", lambda x: x["w"]), " "))
     scored = m.logistic.transform(m.vectors.transform(runs.withColumn("grams", grams(F.col("text")))))
     scored = scored.withColumn("probability", F.array_max(vector_to_array("probability"))).where((F.col("prediction") > 0) & (F.col("probability") >= m.level))
     shares = []
@@ -330,24 +343,35 @@ def scan(docs: DataFrame, model: LicenseModel | None = None, confirm: float = 0.
         each = [F.size(F.array_intersect("grams", x)) / F.size(x) for x in own]
         shares.append(F.greatest(*each) if len(each) > 1 else each[0])
     y = F.col("prediction").cast("int")
-    scored = scored.select("row", "doc_id", "first", "lines", "text", "probability", y.alias("y"), F.array(*shares).alias("shares"))
+    scored = scored.select("row", "doc_id", "start", "size", "words", "text", "grams", "clauses", "probability", y.alias("y"), F.array(*shares).alias("shares"))
     scored = scored.withColumn("overlap", F.get("shares", F.col("y") - 1)).where((F.col("overlap") >= confirm) & (F.col("overlap") >= F.array_max("shares") - 1e-9))
-    family = F.get(F.array(*map(F.lit, TEMPLATES)), F.col("y") - 1)
-    # paragraphs that share a line begin fewer than WINDOW lines apart: some nine at most
-    worth = F.round(F.col("overlap") - LINE_COSTS * (F.col("lines") - 1), 9)
-    near = Window.partitionBy("row", "y").orderBy("first").rangeBetween(1 - WINDOW, WINDOW - 1)
-    scored = scored.withColumn("near", F.collect_list(F.struct("first", "lines", worth.alias("worth"))).over(near)).withColumn("worth", worth)
+    any_of = lambda grams_: F.arrays_overlap("grams", F.array(*map(F.lit, grams_)))
+    family, sound = F.get(F.array(*map(F.lit, names)), F.col("y") - 1), F.lit(True)
+    for f, asked in [*VERSIONS.items(), *NAMES.items()]:
+        sound = sound & ((F.col("family") != f) | any_of(asked))
+    sound = sound & ~(F.col("family").startswith("bsd-") & F.col("clauses.four"))
+    two = (family == "bsd-3-clause") & F.col("clauses.second") & ~F.col("clauses.third")
+    scored = scored.withColumn("family", family).where(sound).withColumn("family", F.when(two, "bsd-2-clause").otherwise(family))
+    told = lambda i: reduce(lambda a, b: a | b, [(F.col("y") == k) & (F.get("words", i)["w"].isin(*typical[f]) | _bigram(F.col("words"), i).isin(*typical[f])) for k, f in enumerate(names, 1)])
+    scored = scored.withColumn("own", F.filter(F.sequence(F.lit(0), F.size("words") - 1), told))
+    low, high = F.get("own", F.lit(0)), F.least(F.element_at("own", -1) + 1, F.size("words") - 1)
+    line = lambda i: F.get("words", i)["line"].cast("long")
+    worth = F.round(F.col("overlap") - SIZE_COSTS * F.log2(F.col("size") / SIZES[0]), 9)
+    scored = scored.select("row", "doc_id", "start", "size", "text", "family", "probability", "overlap", worth.alias("worth"), (F.col("start") + low).alias("low"), (F.col("start") + high).alias("high"), line(low).alias("paragraph"), (line(high) - line(low) + 1).alias("lines"))
+    # passages that share a word begin fewer than the largest size apart: some hundred at most
+    near = Window.partitionBy("row", "family").orderBy("start").rangeBetween(1 - SIZES[-1], SIZES[-1] - 1)
+    scored = scored.withColumn("near", F.collect_list(F.struct("start", "size", "worth", "low", "high")).over(near))
 
     def better(x: Column) -> Column:
-        shared = (x["first"] < F.col("first") + F.col("lines")) & (F.col("first") < x["first"] + x["lines"])
-        shorter = (x["lines"] < F.col("lines")) | ((x["lines"] == F.col("lines")) & (x["first"] < F.col("first")))
-        return shared & ((x["worth"] > F.col("worth")) | ((x["worth"] == F.col("worth")) & shorter))
+        shared = (x["low"] <= F.col("high")) & (F.col("low") <= x["high"])
+        first = lambda low, high, size, start: F.struct((high - low).alias("length"), size.alias("size"), start.alias("start"))
+        tighter = first(x["low"], x["high"], x["size"], x["start"]) < first(F.col("low"), F.col("high"), F.col("size"), F.col("start"))
+        return shared & ((x["worth"] > F.col("worth")) | ((x["worth"] == F.col("worth")) & tighter))
 
-    best = scored.where(~F.exists("near", better))
-    return best.select("doc_id", F.col("first").cast("long").alias("paragraph"), F.col("lines").cast("long").alias("lines"), family.alias("family"), "probability", "overlap", "text")
+    return scored.where(~F.exists("near", better)).select("doc_id", "paragraph", "lines", "family", "probability", "overlap", "text")
 
 
 def phrase_grams(text: str) -> list[str]:
     """``grams`` of one of the fixed phrases."""
-    w = re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", text.lower())
+    w = re.findall(WORDS, text.lower())
     return list(dict.fromkeys([*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))]))

@@ -1,12 +1,14 @@
 """License scans and URL filters."""
 
 import re
+import textwrap
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from nephogrid.llm import licenses, url_filter
-from nephogrid.llm._common import table
+from nephogrid.llm._common import LOWER, UPPER, table
 from nephogrid.llm.queries import op2_license_scans, op3_url_filters
 from tests.llm.common import documents, rows
 
@@ -38,13 +40,79 @@ def test_families_and_prose(spark, model):
 
 
 def test_the_screen_loses_nothing(spark, model):
-    """Without it the same paragraphs are found."""
+    """Without it the same passages are found."""
     words = sorted({w for t in model.vectors.vocabulary for w in t.split(" ")})
-    texts = [" ".join(words[(i * k + k) % len(words)] for k in range(2 + i % 9)) for i in range(400)] + [p for f in licenses.TEMPLATES.values() for p in f]
-    df = documents(spark, texts).select("doc_id", "text").withColumn("grams", licenses.grams(F.col("text")))
-    hit = model.logistic.transform(model.vectors.transform(df)).where("prediction > 0").where(F.array_max(licenses.vector_to_array("probability")) >= model.level)
-    screened = df.where(F.lower("text").rlike(licenses._screen(licenses.telling_words(model))))
-    assert {r["doc_id"] for r in hit.collect()} <= {r["doc_id"] for r in screened.collect()}
+    texts = [" ".join(words[(i * k + k) % len(words)] for k in range(2 + i % 9)) for i in range(200)] + [p for f in licenses.TEMPLATES.values() for p in f]
+    texts += [f"{a} {b}" for a, b in zip(licenses.OTHER, [p[-1] for p in licenses.TEMPLATES.values()], strict=False)]
+    texts += [" ".join(t.split()[k % 3 :: 1][: 3 + k % 9]) for k, t in enumerate(texts[200:])]
+    df = documents(spark, texts)
+    assert rows(licenses.scan(df, model)) == rows(licenses.scan(df, model, screen=False))
+
+
+def brute_passages(text, model):
+    """Every passage of every size, scored in plain Python: the families that are confirmed, with their best overlap."""
+    w, b = model.logistic.coefficientMatrix.toArray(), model.logistic.interceptVector.toArray()
+    place = {t: i for i, t in enumerate(model.vectors.vocabulary)}
+    words = re.findall(licenses.WORDS, text.translate(str.maketrans(UPPER, LOWER)))
+    out, names = {}, list(licenses.TEMPLATES)
+    for size in licenses.SIZES:
+        for start in range(0, len(words), size // 4):
+            own = set(licenses.phrase_grams(" ".join(words[start : start + size])))
+            z = b + w[:, sorted(place[g] for g in own if g in place)].sum(axis=1)
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            y = int(p.argmax())
+            shares = [max(len(own & set(g)) / len(g) for g in map(licenses.phrase_grams, ts)) for ts in licenses.TEMPLATES.values()]
+            family = names[y - 1]
+            named = all(family not in asked or own & set(asked[family]) for asked in (licenses.VERSIONS, licenses.NAMES))
+            if y and named and p[y] >= model.level and shares[y - 1] >= max(0.6, max(shares) - 1e-9):
+                out[family] = max(out.get(family, 0), shares[y - 1])
+    return out
+
+
+def test_families_and_overlaps_against_every_passage(spark, model):
+    """What is reported is what some passage is, with the best overlap of its family less what a larger size costs."""
+    texts = [t for _, t in HELD_OUT] + [t for _, t in NOTICES] + [f"{a}\n{b}" for a, b in zip(licenses.OTHER[::2], licenses.OTHER[1::2], strict=True)]
+    got: dict = {}
+    for r in licenses.scan(documents(spark, texts), model).collect():
+        got.setdefault(r["doc_id"], {}).setdefault(r["family"], []).append(r["overlap"])
+    apart = {"bsd-2-clause", "bsd-3-clause"}  # clauses around a notice tell them apart
+    for i, t in enumerate(texts):
+        want = brute_passages(t, model)
+        for family, overlaps in got.get(i, {}).items():
+            best = want.get(family, max(want.get(f, 0) for f in apart) if family in apart else 0)
+            assert best - 4 * licenses.SIZE_COSTS <= max(overlaps) <= best + 1e-9, (t, family)
+        assert set(want) - apart == set(got.get(i, {})) - apart, t
+
+
+#: Whole notices, with the families they name.
+NOTICES = (
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("lgpl-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software."),
+    ("bsd-3-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED AS IS."),
+    (None, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce the above copyright notice in the documentation. 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization. 4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software."),
+    (None, "Licensed under the Apache License, Version 1.0 (the License); you may not use this file except in compliance with the License."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("cc-by-4.0", "The collection of letters that was given to the archive by the family in the spring of the year after the war, with all maps and drawings that belong to it and the index of names that was made by hand in the following years by the two librarians of the town. This work is licensed under a Creative Commons Attribution 4.0 International License."),
+)
+
+
+@pytest.mark.parametrize("width", [None, 30, 40, 50, 60, 70, 78, 200])
+def test_notices_at_any_width(spark, model, width):
+    """On one line, wrapped, marked as comments, and in the middle of a long line: each its own family and no other."""
+    texts = [t if width is None else "\n".join(textwrap.wrap(t, width)) for _, t in NOTICES]
+    texts += ["\n".join(f" * {x}" for x in t.split("\n")) for t in texts] + [("word " * 500 + t.replace("\n", " ") + " more" * 500) for t in texts]
+    got: dict = {}
+    for r in licenses.scan(documents(spark, texts), model).collect():
+        got.setdefault(r["doc_id"], set()).add(r["family"])
+    for i, t in enumerate(texts):
+        want = NOTICES[i % len(NOTICES)][0]
+        assert got.get(i, set()) == ({want} if want else set()), (want, t[-300:])
 
 
 #: Wordings of neither the training nor the calibration texts.
