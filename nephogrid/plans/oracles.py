@@ -94,18 +94,18 @@ spots AS (SELECT face, fy, fx, (CASE WHEN x = 0 AND y = 0 AND face = 'nz' THEN -
 
 
 def _lanczos(n_in: str, n_out: str, name: str) -> str:
-    """Weights (o, i, w) of a resize along one axis."""
+    """Weights (o, i, w) of a resize along one axis, in 2^-22ths."""
     return f"""
 {name}s AS (SELECT CAST({n_in} AS BIGINT) AS n, CAST({n_out} AS BIGINT) AS m),
 {name}m AS (SELECT o, (o + 0.5e0) * (n / CAST(m AS DOUBLE)) AS mid, greatest(1e0, n / CAST(m AS DOUBLE)) AS sc, n FROM (SELECT unnest(range(m)) AS o, n, m FROM {name}s)),
 {name}k AS (SELECT o, i, (i - mid + 0.5e0) / sc AS x FROM (SELECT *, unnest(range(greatest(0, CAST(floor(mid - 3 * sc + 0.5e0) AS BIGINT)), least(n, CAST(floor(mid + 3 * sc + 0.5e0) AS BIGINT)))) AS i FROM {name}m)),
 {name}w AS (SELECT o, i, CASE WHEN x = 0 THEN 1e0 WHEN abs(x) < 3 THEN 3e0 * sin(x * pi()) * sin(x * pi() / 3) / (x * pi() * x * pi()) ELSE 0e0 END AS w FROM {name}k),
-{name} AS (SELECT o, i, w / sum(w) OVER (PARTITION BY o) AS w FROM {name}w)"""
+{name} AS (SELECT o, i, CASE WHEN w < 0 THEN -CAST(floor(0.5e0 - w) AS BIGINT) ELSE CAST(floor(w + 0.5e0) AS BIGINT) END AS w FROM (SELECT o, i, w / sum(w) OVER (PARTITION BY o) * 4194304 AS w FROM {name}w))"""
 
 
 def _resized(source: str, table: str, along: str, across: str, out: str) -> str:
     """``source`` (r, c, v) resized along one axis."""
-    return f"{out} AS (SELECT {table}.o AS {along}, {across}, greatest(0, least(255, CAST(floor(round(sum(v * w), 6) + 0.5e0) AS BIGINT))) AS v FROM {source} JOIN {table} ON {table}.i = {source}.{along} GROUP BY {table}.o, {across})"
+    return f"{out} AS (SELECT {table}.o AS {along}, {across}, least(255, greatest(0, CAST(sum(v * w) AS BIGINT) + 2097152) // 4194304) AS v FROM {source} JOIN {table} ON {table}.i = {source}.{along} GROUP BY {table}.o, {across})"
 
 
 _POLAR_ROWS = """

@@ -137,6 +137,40 @@ def test_lanczos_keeps_constants_and_size(spark):
     assert resample.lanczos(df, 11, 13, 11, 13).count() == 143
 
 
+def test_lanczos_in_whole_numbers(spark, monkeypatch):
+    """Against sums of one pixel after the other, for odd sizes, larger and smaller, over several stretches."""
+    monkeypatch.setattr(resample, "STRETCH", 4)
+    rng = np.random.default_rng(3)
+
+    def resized(plane, n_out):
+        n_in, out = len(plane), []
+        for o in range(n_out):
+            mid, wide = (o + 0.5) * n_in / n_out, max(1.0, n_in / n_out)
+            at = range(max(0, math.floor(mid - 3 * wide + 0.5)), min(n_in, math.floor(mid + 3 * wide + 0.5)))
+            x = [(i - mid + 0.5) / wide for i in at]
+            w = [1.0 if t == 0 else 3 * math.sin(math.pi * t) * math.sin(math.pi * t / 3) / (math.pi * t) ** 2 if abs(t) < 3 else 0.0 for t in x]
+            whole = [math.trunc(v / math.fsum(w) * 2**22 + math.copysign(0.5, v)) for v in w]
+            out.append([max(0, min(255, (2**21 + sum(k * plane[i][c] for k, i in zip(whole, at, strict=True))) >> 22)) for c in range(len(plane[0]))])
+        return out
+
+    for height, width, out_height, out_width in ((23, 17, 9, 5), (7, 9, 20, 31), (30, 6, 30, 4), (5, 8, 13, 8), (1, 1, 3, 2)):
+        plane = rng.integers(0, 256, (height, width)).tolist()
+        df = spark.createDataFrame([(r, c, plane[r][c] if (r, c) != (0, 0) else None) for r in range(height) for c in range(width) if (r, c) != (2, 3)] + [(-1, 0, 9), (0, width, 9)], "r int, c int, v int").repartition(3)
+        plane[0][0] = 0
+        if height > 2 and width > 3:
+            plane[2][3] = 0
+        rows_ = [list(x) for x in zip(*resized([list(x) for x in zip(*plane, strict=True)], out_width), strict=True)] if out_width != width else plane
+        want = resized(rows_, out_height) if out_height != height else rows_
+        got = {(x["r"], x["c"]): x["v"] for x in resample.lanczos(df, width, height, out_width, out_height).collect()}
+        assert got == {(r, c): want[r][c] for r in range(out_height) for c in range(out_width)}
+    assert resample.lanczos(df.where("false"), 1, 1, 3, 2).count() == 0
+
+
+def test_the_pass_along_rows_has_no_shuffle(spark):
+    lines = spark.createDataFrame([(0, [0, 1], [1, 2])], "r int, cs array<int>, vs array<int>")
+    assert "Exchange" not in resample._along_rows(lines, 2, 1)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_per_cell(spark):
     rows = [(3, 10.9, 20.1), (1, 10.1, 20.9), (2, -0.5, -0.5), (4, 0.5, 0.5), (5, None, 1.0), (6, float("nan"), 1.0), (7, 34.03125, 1.03125)]
     got = sorted(tuple(r) for r in points.first_per_cell(spark.createDataFrame(rows, "seq long, lat double, lng double")).collect())
