@@ -30,10 +30,26 @@ def raster_stats(raster: DataFrame, value: str) -> DataFrame:
     return raster.agg(F.count(F.lit(1)).alias("n"), F.count_if(v.isNull()).alias("missing"), F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), (F.count_if(v == 0) * 100.0 / F.greatest(F.count(v), F.lit(1))).alias("zero_percent"), F.avg(F.when(v > 0, v)).alias("mean_above_zero"))
 
 
+def range_measures(value: Column) -> dict[str, Column]:
+    """n, low and high of the values above zero, as aggregates."""
+    v = F.when(value > 0, value)
+    return {"n": F.count(v), "low": F.min(v), "high": F.max(v)}
+
+
 def value_range(raster: DataFrame, value: str) -> DataFrame:
     """One row: n, low and high of the values above zero."""
-    v = F.when(F.col(value) > 0, F.col(value))
-    return raster.agg(F.count(v).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"))
+    return raster.agg(*[m.alias(k) for k, m in range_measures(F.col(value)).items()])
+
+
+def background_measure(value: Column, share: float = 0.05) -> Column:
+    """``background_floor`` as an aggregate: the percentile (linear rule, truncated) of the counts above zero, null if there are none. It holds a
+    number for each count that occurs, 255 at most."""
+    return F.floor(F.percentile(F.when(value > 0, value), share)).cast("int")
+
+
+def raster_measures(value: Column) -> dict[str, Column]:
+    """What is worth knowing about a density grid: n, missing, zeros, low, high and mean."""
+    return {"pixels": F.count(F.lit(1)), "missing": F.count_if(value.isNull()), "zeros": F.count_if(value == 0), "least": F.min(value), "most": F.max(value), "mean": F.avg(value)}
 
 
 def background_floor(raster: DataFrame, value: str, share: float = 0.05) -> DataFrame:
@@ -56,10 +72,13 @@ def histogram(raster: DataFrame, value: str) -> DataFrame:
     return raster.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def cdf(hist: DataFrame) -> DataFrame:
-    """(k, cdf) for all 256 counts, in single precision as the match needs; all zeros for an empty histogram."""
+def cdf(hist: DataFrame, counts: int = 256) -> DataFrame:
+    """(k, cdf) for all counts from 0 to ``counts`` - 1, in single precision as the match needs; all zeros for an empty histogram.
+
+    The running sum is one window over the counts, which the caller bounds.
+    """
     spark = hist.sparkSession
-    full = spark.range(256).select(F.col("id").cast("int").alias("k")).join(F.broadcast(hist), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n"))
+    full = spark.range(counts).select(F.col("id").cast("int").alias("k")).join(F.broadcast(hist.where(F.col("k").between(0, counts - 1))), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n"))
     up_to = F.sum("n").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)).cast("float")
     total = F.sum("n").over(Window.partitionBy()).cast("float")
     return full.select("k", F.coalesce(F.try_divide(up_to, total), F.lit(0.0)).cast("float").alias("cdf"))

@@ -116,6 +116,14 @@ def cdf_lut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lut(spark, sf_dir)[2]
 
 
+@query
+def match_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest match of two curves of 65,536 counts: order totals to line prices."""
+    count = lambda t, c: si.table(spark, sf_dir, t).select((F.floor(c) % 65536).alias("v"))
+    source, target = (stats.cdf(stats.histogram(count(*x), "v"), 1 << 16) for x in (("orders", "o_totalprice"), ("lineitem", "l_extendedprice")))
+    return matching.nearest_by_merge(source, target)
+
+
 @query
 def lut_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, aux, lut = _lut(spark, sf_dir)

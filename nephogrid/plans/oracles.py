@@ -235,6 +235,14 @@ UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / (n - 1), 6
     "manifest": """SELECT k, '{"baseUrl":"' || CASE k % 3 WHEN 0 THEN 'https://host' || k || '.example.org/x/tiles/' WHEN 1 THEN 'https://owner-' || c || '.github.io/Site' || k || '/tiles/' ELSE 'https://owner.github.io/tiles-site/tiles/' END
     || '","timestamp":"' || day || '_000000"}' AS manifest FROM (SELECT o_orderkey AS k, o_custkey AS c, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m%d') AS day FROM orders)""",
     "gridded_window": _with(_C) + " SELECT r, c, round(90e0 - 180e0 * r / (SELECT count(*) FROM embeddings), 6) AS lat, v FROM cp WHERE r >= 64 AND c >= 10 AND c < 40",
+    "match_wide": "WITH ks AS (SELECT CAST(range AS BIGINT) AS k FROM range(65536)), "
+    + ", ".join(
+        f"h{t[0]} AS (SELECT CAST(floor({c}) AS BIGINT) % 65536 AS k, count(*) AS n FROM {t} GROUP BY 1), c{t[0]} AS (SELECT k, CAST(CAST(CAST(sum(coalesce(n, 0)) OVER (ORDER BY k) AS FLOAT) AS DOUBLE) / CAST(CAST(sum(coalesce(n, 0)) OVER () AS FLOAT) AS DOUBLE) AS FLOAT) AS cdf FROM ks LEFT JOIN h{t[0]} USING (k))"
+        for t, c in (("orders", "o_totalprice"), ("lineitem", "l_extendedprice"))
+    )
+    + """, lv AS (SELECT cdf, min(k) AS dst FROM cl GROUP BY cdf), b AS (SELECT co.k AS src, co.cdf, lv.cdf AS low, lv.dst AS below FROM co ASOF LEFT JOIN lv ON co.cdf >= lv.cdf),
+m AS (SELECT b.*, lv.cdf AS high, lv.dst AS above FROM b ASOF LEFT JOIN lv ON b.cdf <= lv.cdf)
+SELECT src, CASE WHEN below IS NULL THEN above WHEN above IS NULL OR abs(CAST(low AS DOUBLE) - CAST(cdf AS DOUBLE)) <= abs(CAST(high AS DOUBLE) - CAST(cdf AS DOUBLE)) THEN below ELSE above END AS dst FROM m""",
     "published_strips": _with(_A) + """ SELECT format('strip-{:06d}.png', r // 16) AS name, 1600 AS n, CAST(sum(d) AS BIGINT) AS total, CAST(sum(d * (r % 16 * 100 + c)) AS BIGINT) AS moment FROM g GROUP BY r // 16""",
     "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
     "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,6 +37,13 @@ def materialize(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``materialize``, and aggregates of ``df`` taken while it is written, so they cost no scan of their own. They pass the driver: one value each."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = materialize(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name)
+    return out, dict(seen.get)
+
+
 def file_system(path: str):
     """The file system of a path or URI, as Python sees it in tasks, and the path in it."""
     from pyarrow import fs

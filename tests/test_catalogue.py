@@ -5,7 +5,7 @@ import pytest
 
 from nephogrid.plans.catalogue import ORACLES, QUERIES
 
-TABLES = ("events", "orders", "embeddings")
+TABLES = ("events", "orders", "embeddings", "lineitem")
 
 
 @pytest.fixture(scope="module")

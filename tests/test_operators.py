@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
 from nephogrid.operators import gaps, geometry, layout, matching, points, resample, stats
+from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map
+from nephogrid.sources import stand_ins
 
 
 def values(df, column):
@@ -171,6 +173,30 @@ def test_the_pass_along_rows_has_no_shuffle(spark):
     assert "Exchange" not in resample._along_rows(lines, 2, 1)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("sweeps", [1, 7, 64])
+def test_merging_finds_what_comparing_all_finds(spark, monkeypatch, sweeps):
+    monkeypatch.setattr(matching, "SWEEPS", sweeps)
+    rng = np.random.default_rng(sweeps)
+    for n, m in ((40, 40), (3, 60), (60, 1)):
+        a, b = (np.sort(rng.choice(np.linspace(0, 1, 30), k)).astype(np.float32) for k in (n, m))
+        curve = lambda x: spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "k int, cdf float").repartition(3)
+        got = {r["src"]: r["dst"] for r in matching.nearest_by_merge(curve(a), curve(b)).collect()}
+        assert got == {i: int(np.abs(b.astype(float) - float(v)).argmin()) for i, v in enumerate(a)}
+    assert matching.nearest_by_merge(curve(a), curve([])).count() == 0 == matching.nearest_by_merge(curve([]), curve(b)).count()
+
+
+def test_what_is_observed_while_writing(spark, small):
+    grid = stand_ins.primary_density(spark, small)
+    aux = stand_ins.secondary_on_grid(spark, small)
+    said: dict = {}
+    cloud_map(grid, aux.select("r", "c", "s"), CloudMapConfig(100, 10, 4), said)
+    assert said["auxiliary"]["floor"] == stats.background_floor(aux, "s").first()["bg"]
+    want = stats.raster_stats(grid, "d").first()
+    assert (said["density"]["pixels"], said["density"]["least"], said["density"]["most"]) == (want["n"], want["low"], want["high"]) and abs(said["density"]["mean"] - want["mean"]) < 1e-9
+    assert said["density"]["gaps"] == grid.where(gaps.is_gap(F.col("d"), F.col("lat"))).count() > said["filled"]["zeros"] - said["density"]["zeros"]
+    assert said["filled"]["low"] >= 45 and said["filled"]["n"] > 0
+
+
 def test_first_per_cell(spark):
     rows = [(3, 10.9, 20.1), (1, 10.1, 20.9), (2, -0.5, -0.5), (4, 0.5, 0.5), (5, None, 1.0), (6, float("nan"), 1.0), (7, 34.03125, 1.03125)]
     got = sorted(tuple(r) for r in points.first_per_cell(spark.createDataFrame(rows, "seq long, lat double, lng double")).collect())
