@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from nephogrid.functions import pixels as px
 from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
 from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
-from nephogrid.sources import gridded, png, published, rasters
+from nephogrid.sources import gridded, listing, png, published, rasters
 from nephogrid.sources import stand_ins as si
 from nephogrid.storage import materialize, scratch_root
 
@@ -374,6 +375,32 @@ def latest_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.latest_largest(li, F.lit(now)).select(F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"), "key", "size")
 
 
+def _landed_listing(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of files, one for each hour and type of the events: as many bytes as events, named by turns in ways that match and do not."""
+    e = si.table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts").alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("size"))
+    end = F.when(F.col("event_type") == "error", ".tmp").otherwise(".nc")
+    key = F.concat(F.date_format("hour", "yyyy/MM/dd/HH"), F.lit("/"), "event_type", F.when(F.col("event_type") == "view", "_full_").otherwise("_blend_"), F.date_format("hour", "'s'yyyyMMddHHmmss"), end)
+    root = _scratch_folder(spark)
+    si.land_listing(e.select(key.alias("key"), "size"), root)
+    return root
+
+
+@query
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of three days before the last event's, by a listing that opens no other day's folders."""
+    top = si.table(spark, sf_dir, "events").agg(F.date_trunc("day", F.max("ts")).alias("t")).first()["t"]
+    files = listing.listed(spark, _landed_listing(spark, sf_dir))
+    return files.where(F.col("hour").between(F.lit(top - timedelta(days=3)), F.lit(top - timedelta(hours=1)))).select("key", "size", F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"))
+
+
+@query
+def newest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest matching file of the newest hour that has one, five hours after the last event."""
+    now = si.table(spark, sf_dir, "events").agg((F.max("ts") + F.make_interval(hours=F.lit(5))).alias("t")).first()["t"]
+    got = listing.newest(spark, _landed_listing(spark, sf_dir), now)
+    return got.select(F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"), "key", "size")
+
+
 @query
 def scalar_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = si.listing(spark, sf_dir).withColumn("k", F.regexp_extract("key", r"_(?:full|blend)_(\d+)", 1).cast("long"))

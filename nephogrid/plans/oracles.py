@@ -243,6 +243,12 @@ UNION ALL SELECT 'lon', CAST(i AS BIGINT), round(-180e0 + i * 360e0 / (n - 1), 6
     + """, lv AS (SELECT cdf, min(k) AS dst FROM cl GROUP BY cdf), b AS (SELECT co.k AS src, co.cdf, lv.cdf AS low, lv.dst AS below FROM co ASOF LEFT JOIN lv ON co.cdf >= lv.cdf),
 m AS (SELECT b.*, lv.cdf AS high, lv.dst AS above FROM b ASOF LEFT JOIN lv ON b.cdf <= lv.cdf)
 SELECT src, CASE WHEN below IS NULL THEN above WHEN above IS NULL OR abs(CAST(low AS DOUBLE) - CAST(cdf AS DOUBLE)) <= abs(CAST(high AS DOUBLE) - CAST(cdf AS DOUBLE)) THEN below ELSE above END AS dst FROM m""",
+    "listed_files": """WITH e AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS hour, event_type, count(*) AS size FROM events GROUP BY 1, 2), t AS (SELECT date_trunc('day', CAST(max(ts) AS TIMESTAMP)) AS top FROM events)
+SELECT strftime(hour, '%Y/%m/%d/%H') || '/' || event_type || CASE event_type WHEN 'view' THEN '_full_' ELSE '_blend_' END || strftime(hour, 's%Y%m%d%H%M%S') || CASE event_type WHEN 'error' THEN '.tmp' ELSE '.nc' END AS key, size,
+    strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour FROM e, t WHERE hour BETWEEN top - INTERVAL 3 DAY AND top - INTERVAL 1 HOUR""",
+    "newest_file": """WITH e AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS hour, event_type, count(*) AS size FROM events GROUP BY 1, 2), t AS (SELECT CAST(max(ts) AS TIMESTAMP) + INTERVAL 5 HOUR AS now FROM events)
+SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(hour, '%Y/%m/%d/%H') || '/' || event_type || '_blend_' || strftime(hour, 's%Y%m%d%H%M%S') || '.nc' AS key, size
+FROM e, t WHERE event_type NOT IN ('view', 'error') AND hour BETWEEN date_trunc('day', now) - INTERVAL 14 DAY AND greatest(date_trunc('day', now), date_trunc('hour', now) - INTERVAL 3 HOUR) ORDER BY e.hour DESC, size DESC, key LIMIT 1""",
     "published_strips": _with(_A) + """ SELECT format('strip-{:06d}.png', r // 16) AS name, 1600 AS n, CAST(sum(d) AS BIGINT) AS total, CAST(sum(d * (r % 16 * 100 + c)) AS BIGINT) AS moment FROM g GROUP BY r // 16""",
     "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
     "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))

@@ -212,3 +212,18 @@ def grid_file(raster: DataFrame, path: str, names: list[str], coordinates: dict[
         yield pd.DataFrame({"done": [1]})
 
     packed.coalesce(1).sortWithinPartitions("variable", "y", "x").select("packed").mapInPandas(write, "done int").collect()
+
+
+def land_listing(files: DataFrame, root: str) -> None:
+    """Write a file of ``size`` bytes for each of (key, size) below ``root``, in tasks."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, top = file_system(root)
+        for b in batches:
+            for key, size in zip(b["key"], b["size"], strict=True):
+                store.create_dir(f"{top}/{key}".rpartition("/")[0], recursive=True)
+                with store.open_output_stream(f"{top}/{key}") as f:
+                    f.write(bytes(int(size)))
+            yield pd.DataFrame({"n": [len(b)]})
+
+    files.select("key", "size").mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
