@@ -250,8 +250,7 @@ def gridded_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = si.table(spark, sf_dir, "embeddings").count(), f"{_scratch_folder(spark)}/plane.nc"
     lat = [90.0 - 180.0 * i / rows for i in range(rows)]
     si.grid_file(si.plane(spark, sf_dir), path, ["v"], {"lat": lat}, rows, 64, 32, 16, {})
-    spark.dataSource.register(gridded.GriddedFile)
-    got = spark.read.format("netcdf_grid").schema("r int, c int, lat double, v double").load(path).where("r >= 64 and c >= 10 and c < 40")
+    got = gridded.read_grid(spark, path, "r int, c int, lat double, v double").where("r >= 64 and c >= 10 and c < 40")
     return got.select("r", "c", F.round("lat", 6).alias("lat"), F.col("v").cast("long").alias("v"))
 
 
@@ -389,8 +388,8 @@ def _landed_listing(spark: SparkSession, sf_dir: str) -> str:
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of three days before the last event's, by a listing that opens no other day's folders."""
     top = si.table(spark, sf_dir, "events").agg(F.date_trunc("day", F.max("ts")).alias("t")).first()["t"]
-    files = listing.listed(spark, _landed_listing(spark, sf_dir))
-    return files.where(F.col("hour").between(F.lit(top - timedelta(days=3)), F.lit(top - timedelta(hours=1)))).select("key", "size", F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"))
+    files = listing.listed(spark, _landed_listing(spark, sf_dir), top - timedelta(days=3), top - timedelta(hours=1))
+    return files.select("key", "size", F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("hour"))
 
 
 @query

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from nephogrid.storage import file_system
+from nephogrid.storage import file_system, pushed
 
 # Kinds of header messages, and filters by number.
 SPACE, LINKS, TYPE, LINK, LAYOUT, FILTERS, ATTRIBUTE, MORE, TABLE, ATTRIBUTES = 0x1, 0x2, 0x3, 0x6, 0x8, 0xB, 0xC, 0x10, 0x11, 0x15
@@ -352,20 +352,6 @@ class GridReader(DataSourceReader):
         if any(self.variables[n].shape[-2:] != self.shape or max(self.variables[n].shape[:-2], default=1) > 1 for n in grids):
             raise ValueError("the grids differ in shape, or have more than one layer")
 
-    def pushFilters(self, filters):
-        for f in filters:
-            kind, name = type(f).__name__, (getattr(f, "attribute", None) or [None])[0]
-            if name not in self.bounds or kind not in ("GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual", "EqualTo"):
-                yield f
-                continue
-            low, high = self.bounds[name]
-            if kind.startswith("Greater") or kind == "EqualTo":
-                low = max(low, f.value + (kind == "GreaterThan"))
-            if kind.startswith("Less") or kind == "EqualTo":
-                past = f.value + (kind != "LessThan")
-                high = past if high is None else min(high, past)
-            self.bounds[name] = [low, high]
-
     def partitions(self):
         (height, width), v = self.shape, self.variables[self.first]
         low, left = self.bounds["r"][0], self.bounds["c"][0]
@@ -414,6 +400,22 @@ class GridReader(DataSourceReader):
             yield pa.RecordBatch.from_pydict({"r": pa.array(r), "c": pa.array(np.tile(np.arange(p.left, p.right, dtype=np.int32), z - a)), **rows})
 
 
+class PushedGridReader(GridReader):
+    def pushFilters(self, filters):
+        for f in filters:
+            kind, name = type(f).__name__, (getattr(f, "attribute", None) or [None])[0]
+            if name not in self.bounds or kind not in ("GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual", "EqualTo"):
+                yield f
+                continue
+            low, high = self.bounds[name]
+            if kind.startswith("Greater") or kind == "EqualTo":
+                low = max(low, f.value + (kind == "GreaterThan"))
+            if kind.startswith("Less") or kind == "EqualTo":
+                past = f.value + (kind != "LessThan")
+                high = past if high is None else min(high, past)
+            self.bounds[name] = [low, high]
+
+
 class GriddedFile(DataSource):
     """``spark.read.format("netcdf_grid").schema("r int, c int, bt double").option("scale.bt", "0.01").load(path)``.
 
@@ -431,7 +433,13 @@ class GriddedFile(DataSource):
         raise ValueError("name the variables in a schema: r int, c int and a double for each")
 
     def reader(self, schema):
-        return GridReader(schema, self.options)
+        return (PushedGridReader if self.options.get("pushed", "true") == "true" else GridReader)(schema, self.options)
+
+
+def read_grid(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
+    """The variables that a schema (r int, c int, and a double for each) names, with the options of ``GriddedFile``."""
+    spark.dataSource.register(GriddedFile)
+    return spark.read.format("netcdf_grid").schema(schema).options(pushed=pushed(spark), **options).load(path)
 
 
 def grid_info(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Listing of landed files as a Spark source: names, sizes and times, no contents.
 
 Files lie below ``root/YYYY/MM/DD/HH/``. Bounds on ``hour`` that Spark pushes down choose the folders: years, months and days outside them are not even listed,
-and what is left is one partition an hour, listed in a task.
+and what is left is listed in tasks, a day's hours in one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from nephogrid.operators import discovery
-from nephogrid.storage import file_system
+from nephogrid.storage import file_system, pushed
 
 SCHEMA = "key string, size long, modified timestamp, hour timestamp"
 HOUR = timedelta(hours=1)
@@ -23,8 +23,7 @@ HOUR = timedelta(hours=1)
 
 @dataclass
 class HourPart(InputPartition):
-    folder: str
-    hour: datetime
+    folders: list[tuple[str, datetime]]
 
 
 def _utc(t: datetime) -> datetime:
@@ -61,10 +60,25 @@ def hour_folders(store, root: str, low: datetime | None, high: datetime | None)
 
 class ListingReader(DataSourceReader):
     def __init__(self, options):
-        self.root = options["path"].rstrip("/")
-        self.low: datetime | None = None
-        self.high: datetime | None = None
+        self.root, self.at_once = options["path"].rstrip("/"), int(options.get("hoursPerPartition", "24"))
+        self.low, self.high = (_utc(datetime.fromisoformat(options[k])) if k in options else None for k in ("from", "to"))
 
+    def partitions(self):
+        store, root = file_system(self.root)
+        found = hour_folders(store, root, self.low, self.high)
+        return [HourPart(found[i : i + self.at_once]) for i in range(0, len(found), self.at_once)] or [HourPart([])]
+
+    def read(self, partition):
+        from pyarrow import fs
+
+        store, root = file_system(self.root)
+        for folder, hour in partition.folders:
+            for i in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+                if i.type == fs.FileType.File:
+                    yield i.path.removeprefix(root).lstrip("/"), i.size, i.mtime, hour
+
+
+class PushedListingReader(ListingReader):
     def pushFilters(self, filters):
         """Bounds of ``hour`` choose folders; Spark applies them again, and all other filters."""
         for f in filters:
@@ -76,20 +90,6 @@ class ListingReader(DataSourceReader):
                     self.high = value if self.high is None else min(self.high, value)
             yield f
 
-    def partitions(self):
-        store, root = file_system(self.root)
-        return [HourPart(*x) for x in hour_folders(store, root, self.low, self.high)] or [HourPart("", datetime.now(UTC))]
-
-    def read(self, partition):
-        from pyarrow import fs
-
-        if not partition.folder:
-            return
-        store, root = file_system(self.root)
-        for i in store.get_file_info(fs.FileSelector(partition.folder, allow_not_found=True)):
-            if i.type == fs.FileType.File:
-                yield i.path.removeprefix(root).lstrip("/"), i.size, i.mtime, partition.hour
-
 
 class Listing(DataSource):
     """``spark.read.format("hour_listing").load(root)``: (key, size, modified, hour), keys below the root. Register with ``spark.dataSource.register``."""
@@ -102,13 +102,17 @@ class Listing(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return ListingReader(self.options)
+        return (PushedListingReader if self.options.get("pushed", "true") == "true" else ListingReader)(self.options)
 
 
-def listed(spark: SparkSession, root: str) -> DataFrame:
-    """(key, size, modified, hour) of the files below ``root/YYYY/MM/DD/HH/``. Roots and hours that are not there have none."""
+def listed(spark: SparkSession, root: str, low: datetime | None = None, high: datetime | None = None, hours_per_partition: int = 24) -> DataFrame:
+    """(key, size, modified, hour) of the files below ``root/YYYY/MM/DD/HH/``, of the hours from ``low`` to ``high`` if given; filters on ``hour`` do the
+    same where the session pushes filters to Python sources. Roots and hours that are not there have none."""
     spark.dataSource.register(Listing)
-    return spark.read.format("hour_listing").load(root)
+    out = spark.read.format("hour_listing").option("pushed", pushed(spark)).option("hoursPerPartition", str(hours_per_partition))
+    for k, t in (("from", low), ("to", high)):
+        out = out if t is None else out.option(k, _utc(t).isoformat())
+    return out.load(root)
 
 
 def newest(spark: SparkSession, root: str, now: datetime, days_back: int = 14, lag_hours: int = 3, suffix: str = ".nc", part: str = "_blend_", hours_at_once: int = 24) -> DataFrame:
@@ -117,9 +121,8 @@ def newest(spark: SparkSession, root: str, now: datetime, days_back: int = 14, l
     now = _utc(now)
     top = max(now.replace(hour=0, minute=0, second=0, microsecond=0), now.replace(minute=0, second=0, microsecond=0) - lag_hours * HOUR)
     low = now.replace(hour=0, minute=0, second=0, microsecond=0) - timedelta(days=days_back)
-    files = listed(spark, root)
     for high, first in _windows(top, low, hours_at_once):
-        some = files.where(F.col("hour").between(F.lit(first), F.lit(high)))
+        some = listed(spark, root, first, high)
         found = discovery.latest_largest(some, F.lit(now), days_back, lag_hours, suffix, part).collect()
         if found:
             return spark.createDataFrame(found, "stamp timestamp, key string, size long")

@@ -51,3 +51,8 @@ def file_system(path: str):
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+
+
+def pushed(spark: SparkSession) -> str:
+    """The option that tells this library's sources whether Spark pushes filters to Python sources in this session; it refuses readers that take them if not."""
+    return spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")

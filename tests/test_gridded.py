@@ -13,8 +13,7 @@ from nephogrid.sources.gridded import NOWHERE, Chunk, File
 
 
 def reader(spark, path, schema, **options):
-    spark.dataSource.register(gridded.GriddedFile)
-    return spark.read.format("netcdf_grid").schema(schema).options(**options).load(str(path))
+    return gridded.read_grid(spark, str(path), schema, **options)
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +44,17 @@ def test_pushed_ranges_drop_chunks(spark, made):
     assert df.where("r = 49 and c = 69").rdd.getNumPartitions() == 1 and df.where("r > 60").count() == 0 == df.where("r = 3 and r = 4").count()
 
 
+def test_without_push_down(spark, made):
+    """A session that pushes no filters to Python sources reads all chunks."""
+    df = spark.read.format("netcdf_grid").schema("r int, c int, LIR double").option("pushed", "false").load(made).where("r = 49 and c = 69")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    try:
+        assert df.rdd.getNumPartitions() == 35 and df.count() == 1
+        assert reader(spark, made, "r int, c int, LIR double").where("r < 2").count() == 140
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
+
 def test_branches_outside_are_not_read(tmp_path):
     """A table of three levels: a window reads a few of its nodes."""
     origins = [(0, y * 4, x * 4) for y in range(100) for x in range(100)]

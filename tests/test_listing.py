@@ -24,7 +24,9 @@ def hours(df):
 
 
 def test_whole_listing_and_bounds(spark, root):
-    df = listing.listed(spark, str(root))
+    df = listing.listed(spark, str(root), hours_per_partition=1)
+    assert listing.listed(spark, str(root)).rdd.getNumPartitions() == 1 and hours(listing.listed(spark, str(root))) == hours(df)
+    assert listing.listed(spark, str(root), datetime(2024, 1, 31), hours_per_partition=1).rdd.getNumPartitions() == 2
     assert [k for k, _ in hours(df)] == ["2023/12/31/00/older_blend_.nc", "2024/01/30/23/old_blend_.nc", "2024/01/31/11/x_blend_s20240131113000.nc", "2024/01/31/11/y_blend_.nc", "2024/01/31/12/z_blend_.tmp", "2024/01/31/12/z_full_.nc"]
     assert df.rdd.getNumPartitions() == 4
     at = lambda *x: F.lit(datetime(*x, tzinfo=UTC))
