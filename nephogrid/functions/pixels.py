@@ -64,12 +64,6 @@ def axis(i: Column, first: float, last: float, n: Column | int) -> Column:
     return first + i * (last - first) / (n - 1)
 
 
-def row_for_latitude(lat: Column | float, height: Column | int) -> Column:
-    """Edge-based row of a latitude, half to even."""
-    lat = F.lit(lat) if isinstance(lat, float) else lat
-    return F.rint((90.0 - lat) / 180.0 * height).cast("int")
-
-
 def feather_weight(abs_lat: Column, begin: float = POLAR, width: float = FEATHER) -> Column:
     """Cosine ramp from 0 at ``begin`` to 1 at ``begin + width``."""
     return (1.0 - F.cos((abs_lat - begin) / width * math.pi)) / 2.0
@@ -103,11 +97,10 @@ FACES = {
 def face_direction(face: Column, u: Column, v: Column) -> Column:
     """Unit vector struct(x, y, z) of a cube face's coordinates; null for an unknown face."""
     length = F.sqrt(u * u + v * v + 1.0)
-    out = None
-    for name, parts in FACES.items():
-        d = F.struct(*[((a + b * u + c * v) / length).alias(k) for k, (a, b, c) in zip("xyz", parts, strict=True)])
-        out = F.when(face == name, d) if out is None else out.when(face == name, d)
-    return out
+    # a table of six rows of nine factors: a choice between six sums would be written out for every use, in methods too long to be compiled
+    table = F.create_map(*[x for name, parts in FACES.items() for x in (F.lit(name), F.array(*[F.lit(float(f)) for part in parts for f in part]))])
+    of = F.try_element_at(table, face)
+    return F.when(of.isNotNull(), F.struct(*[((F.get(of, F.lit(3 * i)) + F.get(of, F.lit(3 * i + 1)) * u + F.get(of, F.lit(3 * i + 2)) * v) / length).alias(k) for i, k in enumerate("xyz")]))
 
 
 def source_pixel(d: Column, face: Column, width: Column | int, height: Column | int, offset: float = 0.0) -> Column:

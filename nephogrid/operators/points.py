@@ -9,8 +9,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import BinaryType, DoubleType, LongType, NullType, StringType, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from nephogrid.functions import pixels as px
+from nephogrid.storage import materialize
 
 # Latitude and longitude of the places that stand in when no source yields points.
 DEFAULT_PLACES = (
@@ -64,13 +68,14 @@ def storm_points(payloads: DataFrame, most: int = 2000, seed: int = 0, order: Co
 
     Points of one payload keep their order; payloads come in order of path.
     """
-    few = capped(first_per_cell(decode(payloads).select(F.struct("path", "seq").alias("seq"), "lat", "lng")), most, seed, order)
+    few = materialize(capped(first_per_cell(decode(payloads).select(F.struct("path", "seq").alias("seq"), "lat", "lng")), most, seed, order), "points", slim=True)  # read twice below
     numbered = few.select((F.row_number().over(Window.orderBy("seq")) - 1).cast("long").alias("seq"), "lat", "lng")  # at most ``most`` rows
     return or_default(numbered)
 
 
-def decode_payload(data: bytes) -> list[tuple[float, float]]:
-    """Latitude and longitude of the locations in one message: repeated field 1, of which fields 1 and 2 are single floats.
+def decode_message(data: bytes) -> tuple[list[tuple[float, float]], str]:
+    """Latitude and longitude of the locations in one message (repeated field 1, of which fields 1 and 2 are single floats), and why it ended:
+    end, truncated, or foreign field.
 
     Keeps what came before a truncation or a foreign top-level field; skips the rest of a location at a field it does not know; drops locations
     without both coordinates and those that are not finite.
@@ -81,7 +86,7 @@ def decode_payload(data: bytes) -> list[tuple[float, float]]:
         at, size, shift, more = at + 1, 0, 0, True
         while more:
             if at >= len(data) or shift > 63:
-                return out
+                return out, "truncated"
             size |= (data[at] & 0x7F) << shift
             more = data[at] >= 0x80
             shift, at = shift + 7, at + 1
@@ -98,9 +103,14 @@ def decode_payload(data: bytes) -> list[tuple[float, float]]:
         if len(found) == 2 and all(map(math.isfinite, found.values())):
             out.append((found[1], found[2]))
         if end > len(data):
-            return out
+            return out, "truncated"
         at = end
-    return out
+    return out, "end" if at >= len(data) else "foreign field"
+
+
+def decode_payload(data: bytes) -> list[tuple[float, float]]:
+    """The points of ``decode_message``."""
+    return decode_message(data)[0]
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -118,3 +128,27 @@ def decode(payloads: DataFrame) -> DataFrame:
 
     return payloads.select("path", "content").mapInPandas(run, "path string, seq long, lat double, lng double")
 
+
+@udtf
+class DecodePoints:
+    """Table function of one payload: a row (seq, lat, lng, why) for each point, and a last one that says only why decoding ended.
+
+    ``payloads.lateralJoin(DecodePoints(F.col("content").outer()))``, or in SQL as ``FROM payloads, LATERAL decode_points(content)`` where it is registered.
+    """
+
+    @staticmethod
+    def analyze(content: AnalyzeArgument) -> AnalyzeResult:
+        if content.dataType not in (BinaryType(), NullType()):
+            raise ValueError("payloads are binary")
+        return AnalyzeResult(StructType().add("seq", LongType()).add("lat", DoubleType()).add("lng", DoubleType()).add("why", StringType()))
+
+    def eval(self, content):
+        found, why = decode_message(bytes(content or b""))
+        for seq, (lat, lng) in enumerate(found):
+            yield seq, lat, lng, None
+        yield None, None, None, why
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``decode_points`` known to SQL."""
+    spark.udtf.register("decode_points", DecodePoints)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
-from nephogrid.operators import discovery, gaps, geometry, layout, matching, points, resample, stats
+from nephogrid.operators import discovery, gaps, geometry, intervals, layout, matching, points, resample, stats
 from nephogrid.plans import cloud_map
 from nephogrid.plans.oracles import ORACLES
 from nephogrid.sources import gridded, listing, png, published, rasters
@@ -80,6 +80,15 @@ def zone_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.zone_stats(d, "d").select("zone", "n", F.round("mean", 6).alias("mean"), F.round("zero_percent", 6).alias("zero_percent"))
 
 
+@query
+def band_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics for overlapping bands of latitude, one a supplier."""
+    k = F.col("s_suppkey")
+    bands = si.table(spark, sf_dir, "supplier").select(k.alias("zone"), (k * 7 % 83).alias("low"), (k * 7 % 83 + k % 16).alias("high"))
+    s = intervals.band_stats(si.primary_density(spark, sf_dir), "d", bands)
+    return s.select("zone", "n", F.round("mean", 6).alias("mean"), F.round("zero_percent", 6).alias("zero_percent"))
+
+
 @query
 def raster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stats.raster_stats(si.primary_density(spark, sf_dir), "d")
@@ -343,6 +352,15 @@ def storm_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.decode(cut.select(F.concat("path", F.lit("/"), F.lpad(F.col("n").cast("string"), 2, "0")).alias("path"), F.substr("content", F.lit(1), F.col("n")).alias("content")))
 
 
+@query
+def storm_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of three points, cut after every byte and with a foreign field behind, through the table function: how many points, and why it ended."""
+    cut = si.payloads(spark, sf_dir, 3).withColumn("n", F.explode(F.sequence(F.lit(-1), F.length("content"))))
+    cut = cut.select("path", "n", F.when(F.col("n") < 0, F.concat("content", F.lit(b"\x12\x00"))).otherwise(F.substr("content", F.lit(1), F.col("n"))).alias("content"))
+    got = cut.lateralJoin(points.DecodePoints(F.col("content").outer()))
+    return got.groupBy("path", "n").agg(F.count("seq").alias("points"), F.max("why").alias("why"))
+
+
 def _slots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column, Column]:
     """Slots, the time from which to look back, and the path of a slot."""
     e = si.table(spark, sf_dir, "events")

@@ -249,6 +249,10 @@ SELECT strftime(hour, '%Y/%m/%d/%H') || '/' || event_type || CASE event_type WHE
     "newest_file": """WITH e AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS hour, event_type, count(*) AS size FROM events GROUP BY 1, 2), t AS (SELECT CAST(max(ts) AS TIMESTAMP) + INTERVAL 5 HOUR AS now FROM events)
 SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(hour, '%Y/%m/%d/%H') || '/' || event_type || '_blend_' || strftime(hour, 's%Y%m%d%H%M%S') || '.nc' AS key, size
 FROM e, t WHERE event_type NOT IN ('view', 'error') AND hour BETWEEN date_trunc('day', now) - INTERVAL 14 DAY AND greatest(date_trunc('day', now), date_trunc('hour', now) - INTERVAL 3 HOUR) ORDER BY e.hour DESC, size DESC, key LIMIT 1""",
+    "band_stats": _with(_A) + """, b AS (SELECT s_suppkey AS zone, s_suppkey * 7 % 83 AS low, s_suppkey * 7 % 83 + s_suppkey % 16 AS high FROM supplier)
+SELECT zone, count(*) AS n, round(avg(d), 6) AS mean, round(count(*) FILTER (d = 0) * 100e0 / count(*), 6) AS zero_percent FROM g JOIN b ON abs(lat) > low AND abs(lat) <= high GROUP BY zone""",
+    "storm_cuts": _with(_P) + """, m AS (SELECT seq // 3 AS k, count(*) AS m FROM p GROUP BY 1)
+SELECT format('payload-{:012d}', k) AS path, n, CASE WHEN n < 0 THEN m ELSE n // 12 END AS points, CASE WHEN n < 0 THEN 'foreign field' WHEN n % 12 = 0 THEN 'end' ELSE 'truncated' END AS why FROM m, range(-1, 37) t(n) WHERE n <= 12 * m""",
     "published_strips": _with(_A) + """ SELECT format('strip-{:06d}.png', r // 16) AS name, 1600 AS n, CAST(sum(d) AS BIGINT) AS total, CAST(sum(d * (r % 16 * 100 + c)) AS BIGINT) AS moment FROM g GROUP BY r // 16""",
     "png_tiles": _with(_C) + ", n AS (SELECT (count(*) + 15) // 16 * 16 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c)) SELECT r, c, coalesce(v, 0) AS v FROM px LEFT JOIN cp USING (r, c)",
     "png_luminance": _with(_C) + """, n AS (SELECT (count(*) + 49) // 50 * 50 AS h FROM embeddings), px AS (SELECT r, c FROM n, range(h) a(r), range(64) b(c))

@@ -5,7 +5,7 @@ import pytest
 
 from nephogrid.plans.catalogue import ORACLES, QUERIES
 
-TABLES = ("events", "orders", "embeddings", "lineitem")
+TABLES = ("events", "orders", "embeddings", "lineitem", "supplier")
 
 
 @pytest.fixture(scope="module")

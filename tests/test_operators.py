@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from nephogrid.functions import pixels as px
-from nephogrid.operators import gaps, geometry, layout, matching, points, resample, stats
+from nephogrid.operators import gaps, geometry, intervals, layout, matching, points, resample, stats
 from nephogrid.plans.cloud_map import CloudMapConfig, cloud_map
 from nephogrid.sources import stand_ins
 
@@ -197,6 +197,32 @@ def test_what_is_observed_while_writing(spark, small):
     assert said["filled"]["low"] >= 45 and said["filled"]["n"] > 0
 
 
+def test_bands_that_come_as_data(spark):
+    rng = np.random.default_rng(2)
+    points_ = [(i, float(v)) for i, v in enumerate(rng.uniform(-5, 95, 200).round(1))] + [(900, None), (901, float("nan")), (902, float("inf")), (903, 10.0), (904, 20.0)]
+    bands = [(k, float(a), float(a + w)) for k, (a, w) in enumerate(zip(rng.integers(-10, 90, 40), rng.integers(0, 30, 40), strict=True))] + [(70, 10.0, 20.0), (70, 10.0, 20.0), (71, None, 5.0), (72, 5.0, float("inf")), (73, 30.0, 10.0)]
+    rows_, table = spark.createDataFrame(points_, "i int, x double"), spark.createDataFrame(bands, "zone int, low double, high double")
+    want = sorted((i, z) for i, x in points_ if x is not None and abs(x) < 1e9 for z, a, b in bands if a is not None and abs(b) < 1e9 and a < x <= b)
+    for width in (3.0, 10.0, 1000.0):
+        joined = intervals.interval_join(rows_, F.col("x"), table, width)
+        assert sorted((r["i"], r["zone"]) for r in joined.collect()) == want
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    grid = spark.createDataFrame([(0.0, 5), (10.0, 0), (-10.0, 7), (20.0, None), (15.0, 0)], "lat double, d int")
+    got = {r["zone"]: (r["n"], r["mean"], r["zero_percent"]) for r in intervals.band_stats(grid, "d", spark.createDataFrame([("a", 0, 10), ("b", 9, 90), ("none", 50, 60)], "zone string, low int, high int")).collect()}
+    assert got == {"a": (2, 3.5, 50.0), "b": (3, 7 / 3, 200 / 3)}
+
+
+def test_the_decoder_as_a_table_function(spark):
+    one = b"\x0a\x0a\x0d" + struct.pack("<f", 1) + b"\x15" + struct.pack("<f", 2)
+    points.register(spark)
+    spark.createDataFrame([("a", one * 2), ("b", one[:-1]), ("c", one + b"\x12"), ("d", None), ("e", b"")], "name string, content binary").createOrReplaceTempView("payloads")
+    got = sorted((tuple(r) for r in spark.sql("select name, seq, lat, lng, why from payloads, lateral decode_points(content)").collect()), key=repr)
+    assert got == sorted([("a", 0, 1.0, 2.0, None), ("a", 1, 1.0, 2.0, None), ("a", None, None, None, "end"), ("b", None, None, None, "truncated"), ("c", 0, 1.0, 2.0, None), ("c", None, None, None, "foreign field"), ("d", None, None, None, "end"), ("e", None, None, None, "end")], key=repr)
+    with pytest.raises(Exception, match="payloads are binary"):
+        spark.sql("select * from decode_points(1)").collect()
+
+
 def test_first_per_cell(spark):
     rows = [(3, 10.9, 20.1), (1, 10.1, 20.9), (2, -0.5, -0.5), (4, 0.5, 0.5), (5, None, 1.0), (6, float("nan"), 1.0), (7, 34.03125, 1.03125)]
     got = sorted(tuple(r) for r in points.first_per_cell(spark.createDataFrame(rows, "seq long, lat double, lng double")).collect())
