@@ -101,3 +101,21 @@ def test_streamed_points(spark, tmp_path):
     q = ingest.drain(ingest.first_per_cell(ingest.point_stream(spark, str(tmp_path / "in"))), str(tmp_path / "out"), str(tmp_path / "state"))
     q.awaitTermination(120)
     assert sorted(r["lat"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [10.0, 11.0, 12.0]
+
+
+def test_a_seen_cell_yields_nothing_ever_again(spark, tmp_path):
+    """A second file, a year late and after a restart; within a file the smallest sequence number counts."""
+    t, out = datetime(2024, 1, 1), str(tmp_path / "out")
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, ingest.POINTS).repartition(3).write.parquet(str(tmp_path / "in" / name))
+        stream = ingest.point_stream(spark, str(tmp_path / "in" / "*"))
+        ingest.drain(ingest.first_ever_per_cell(stream), out, str(tmp_path / "state")).awaitTermination(180)
+        return sorted((r["seq"], r["lat"]) for r in spark.read.parquet(out).collect())
+
+    first = arrive("a", [(5, 10.5, 20.5, t), (3, 10.25, 20.5, t), (4, 11.5, 20.5, t), (9, None, 1.0, t), (10, float("nan"), 1.0, t)])
+    assert first == [(3, 10.25), (4, 11.5)]
+    late = arrive("b", [(1, 10.75, 20.5, t - timedelta(days=365)), (20, 11.75, 20.5, t + timedelta(days=365)), (21, -10.03125, 20.5, t)])
+    assert late == [(3, 10.25), (4, 11.5), (21, -10.0312)]
+    batch = spark.createDataFrame([(3, 10.25, 20.5), (5, 10.5, 20.5), (4, 11.5, 20.5), (20, 11.75, 20.5), (21, -10.03125, 20.5)], "seq long, lat double, lng double")
+    assert sorted((r["seq"], r["lat"]) for r in points.first_per_cell(batch).collect()) == late
