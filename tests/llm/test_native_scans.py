@@ -204,6 +204,32 @@ def test_model_and_whole_table(spark):
     assert len(free) > 100 and sum((r["verdict"] == "block") == bool(marks.search(r["host"])) for r in free) >= 0.97 * len(free)
 
 
+def test_the_score_against_plain_sums(spark):
+    """Hashed n-grams, weights and the logistic function, in plain Python from the model's coefficients."""
+    model = url_filter.fit(spark)
+    w, b = model.coefficients.toArray(), model.intercept
+    urls = [*URLS[:-1], *[u for us in UNSEEN.values() for u in us.split()]]
+
+    def ngrams(url):
+        host, path, _, _ = brute(url)
+        return {f"{mark}:{s[i : i + n]}" for mark, s in (("h", f"^{host}$"), ("p", f"^{path}$")) for n in url_filter.GRAMS for i in range(len(s) - n + 1)}
+
+    every = sorted({g for u in urls for g in ngrams(u)})
+    hashed = url_filter.HashingTF(**url_filter._TF)
+    place = {g: hashed.indexOf(g) for g in every}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for r in url_filter.judge(pages, model=model).collect():
+        z = b + sum(w[i] for i in {place[g] for g in ngrams(urls[r["page_id"]])})
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9, urls[r["page_id"]]
+
+
+def test_the_labels_are_not_the_test_table(spark):
+    hosts = {u.split("/")[2] for u, _ in url_filter.LABELLED}
+    assert not [h for h in hosts if "example." in h]
+    seen = {r["host"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select(url_filter.host_of(F.col("url")).alias("host")).distinct().collect()}
+    assert not hosts & seen
+
+
 #: Sites and words of sites the model has not seen.
 UNSEEN = {
     1: """http://adnetwork-click.com/banner/3 https://tracker.mobileads.net/pixel http://megaslots-casino.com/jackpot/9 https://poker-bonus.net/free-spins https://livesexcams.com/webcam http://pornhouse.net/videos
