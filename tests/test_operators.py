@@ -127,6 +127,30 @@ def test_bilinear_against_numpy(spark):
         assert r["v"] == want
 
 
+def test_tiles_have_their_neighbours_border(spark):
+    """Sizes that do and do not divide by the side; every neighbour of every pixel is in the pixel's own tile."""
+    rng = np.random.default_rng(6)
+    for height, width, side in ((7, 9, 4), (8, 8, 4), (5, 3, 4), (1, 1, 2), (4, 10, 1)):
+        grid = rng.integers(0, 256, (height, width))
+        raster = spark.createDataFrame([(r, c, int(grid[r, c])) for r in range(height) for c in range(width)], "r int, c int, v int").repartition(3)
+        got = {r["tile"]: r["block"] for r in geometry.tiles(raster, "v", width, height, side).collect()}
+        n = -(-width // side)
+        assert len(got) == n * -(-height // side)
+        for tile, block in got.items():
+            y, x = tile // n * side, tile % n * side
+            rows_, columns = min(side + 1, height - y), min(side, width - x) + 1
+            assert block == [int(grid[y + i, (x + k) % width]) for i in range(rows_) for k in range(columns)]
+        pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform([-width, -2], [2 * width, height + 2], (100, 2)))] + [(500, None, 1.0), (501, 1.0, None)]
+        for r in geometry.sample_bilinear(spark.createDataFrame(pts, "tile int, ix double, iy double"), raster, "v", width, height, side).collect():
+            if r["ix"] is None or r["iy"] is None:
+                assert r["v"] is None
+                continue
+            x, y = math.floor(r["ix"]), math.floor(r["iy"])
+            fx, fy = r["ix"] - x, r["iy"] - y
+            g = lambda a, b: grid[min(max(a, 0), height - 1), b % width]
+            assert r["v"] == round(g(y, x) * (1 - fx) * (1 - fy) + g(y, x + 1) * fx * (1 - fy) + g(y + 1, x) * (1 - fx) * fy + g(y + 1, x + 1) * fx * fy)
+
+
 def test_south_pole_pixel_has_a_longitude(spark):
     at = geometry.cubemap_targets(spark, 4, 100, 50).where("face = 'nz' and fx = 2 and fy = 2").first()
     assert at["ix"] == 0.0 and at["iy"] == 49.0
