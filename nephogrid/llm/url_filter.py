@@ -72,6 +72,8 @@ https://tracker.marinsm.com/en/rd/120 https://www.casino.org/fr/bonus https://ww
 https://www.betfair.com/es/apuestas https://www.paddypower.com/en/bet https://www.williamhill.es/es/casino https://www.leovegas.com/de/casino
 https://www.tracktrack.it/en/rd https://www.pornhub.com/fr/video https://www.redtube.com/de/2210 https://www.bet-at-home.com/de/sport https://www.ladbrokes.be/fr/sports
 https://adclick.g.doubleclick.net/en/aclk https://www.bannersnack.com/es/banner https://cheapseo.co/en/spam-links https://www.spamzilla.io/en/domains
+https://track.hubspot.com/__ptq.gif https://tracking.g2crowd.com/attribution https://ads.linkedin.com/collect/1 https://ads.yahoo.com/pixel
+https://ads.stickyadstv.com/auto-user-sync https://ads.betweendigital.com/match
 """
 ALLOWED = """
 http://news.northshore.net/world/2020/election-report https://www.university-hall.edu/physics/lecture-notes https://docs.buildtool.dev/guide/install.html
@@ -104,7 +106,9 @@ https://www.sqlite.org/lang.html https://www.rust-lang.org/learn https://go.dev/
 https://www.nobelprize.org/prizes/physics https://www.fao.org/fisheries https://www.imf.org/en/publications https://www.oecd.org/education https://www.chess.com/lessons
 https://www.letterboxd.com/film/casablanca https://www.discogs.com/release/249504 https://www.lego.com/en-gb/themes https://www.patagonia.com/stories
 https://www.zara.com/fr/magasins http://blog.martins-boatyard.co.uk/2018/launch http://www.stpauls-parish.org/choir https://www.millfield-primary.sch.uk/newsletter
-http://m.lakeside-dental.com/opening-hours https://www.volunteer-fire-company.org/roster http://blog.harriets-quilts.com/patterns
+http://m.lakeside-dental.com/opening-hours https://www.volunteer-fire-company.org/roster http://blog.harriets-quilts.com/patterns https://blog.python.org/2021/10
+https://blog.mozilla.org/en/products https://blog.cloudflare.com/fr-fr/dns https://blog.ted.com/ideas https://blog.archive.org/2020/maps https://blog.oup.com/2019/words
+https://blog.wikimedia.de/2018/freiwillige https://blog.nationalarchives.gov.uk/letters
 """
 LABELLED = tuple((u, y) for y, urls in ((1, BLOCKED), (0, ALLOWED)) for u in urls.split())
 
