@@ -79,6 +79,8 @@ def cdf(hist: DataFrame, counts: int = 256) -> DataFrame:
     """
     spark = hist.sparkSession
     full = spark.range(counts).select(F.col("id").cast("int").alias("k")).join(F.broadcast(hist.where(F.col("k").between(0, counts - 1))), "k", "left").select("k", F.coalesce("n", F.lit(0)).alias("n"))
-    up_to = F.sum("n").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)).cast("float")
-    total = F.sum("n").over(Window.partitionBy()).cast("float")
+    # counts are not negative; without abs Spark makes the two casts (to float here, to double in the division) one, and totals beyond 2^24 stay unrounded
+    single = lambda n: F.abs(n.cast("float"))
+    up_to = single(F.sum("n").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    total = single(F.sum("n").over(Window.partitionBy()))
     return full.select("k", F.coalesce(F.try_divide(up_to, total), F.lit(0.0)).cast("float").alias("cdf"))

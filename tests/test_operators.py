@@ -197,6 +197,14 @@ def test_the_pass_along_rows_has_no_shuffle(spark):
     assert "Exchange" not in resample._along_rows(lines, 2, 1)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cdf_rounds_sums_to_single_precision(spark):
+    """Beyond 2^24 neighbouring whole numbers are one float."""
+    counts = [3, (1 << 24) + 1, 5, 1 << 25]
+    got = [r["cdf"] for r in stats.cdf(spark.createDataFrame(list(enumerate(counts)), "k int, n long"), 4).orderBy("k").collect()]
+    sums = np.cumsum(counts).astype(np.float32).astype(float)
+    assert got == list((sums / sums[-1]).astype(np.float32))
+
+
 @pytest.mark.parametrize("sweeps", [1, 7, 64])
 def test_merging_finds_what_comparing_all_finds(spark, monkeypatch, sweeps):
     monkeypatch.setattr(matching, "SWEEPS", sweeps)
