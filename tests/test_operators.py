@@ -151,6 +151,47 @@ def test_tiles_have_their_neighbours_border(spark):
             assert r["v"] == round(g(y, x) * (1 - fx) * (1 - fy) + g(y, x + 1) * fx * (1 - fy) + g(y + 1, x) * (1 - fx) * fy + g(y + 1, x + 1) * fx * fy)
 
 
+def _face_direction(face, u, v):
+    x, y, z = {"px": (1.0, -v, -u), "nx": (-1.0, -v, u), "py": (u, 1.0, v), "ny": (u, -1.0, -v), "pz": (u, -v, 1.0), "nz": (-u, -v, -1.0)}[face]
+    n = math.sqrt(u * u + v * v + 1.0)
+    return x / n, y / n, z / n
+
+
+@pytest.mark.parametrize(("size", "w", "h"), [(41, 100, 83), (600, 100, 7), (1, 5, 3)])
+def test_faces_to_the_last_bit(spark, size, w, h):
+    """Every pixel once, angles as the C library has them, x wrapped as the SQL wraps it; sampled values by the same numbers."""
+    want = {}
+    for face in px.FACES:
+        for k in range(0, size * size, 1 if size < 100 else 97):
+            fy, fx = divmod(k, size)
+            x, y, z = _face_direction(face, fx * 2.0 / size - 1.0, fy * 2.0 / size - 1.0)
+            lon = -math.pi if x == 0 and y == 0 and face == "nz" else math.atan2(y, x)
+            ix = ((lon / (2 * math.pi) + 0.5) * w % w + w) % w
+            want[face, fy, fx] = ix, max(0.0, min((0.5 - math.asin(max(-1.0, min(1.0, z))) / math.pi) * h, h - 1.0))
+    got = [tuple(r) for r in geometry.cubemap_targets(spark, size, w, h).collect()]
+    assert len(got) == len({g[:3] for g in got}) == 6 * size * size
+    got = {g[:3]: g[3:] for g in got}
+    assert all(got[k] == p for k, p in want.items())
+    grid = np.random.default_rng(size).integers(0, 256, (h, w))
+    raster = spark.createDataFrame([(r, c, int(grid[r, c])) for r in range(h) for c in range(w)], "r int, c int, d int").repartition(3)
+    faces = {(r["face"], r["fy"], r["fx"]): r["v"] for r in geometry.cubemap(raster, "d", w, h, size).collect()}
+    assert len(faces) == 6 * size * size
+    for k, (ix, iy) in want.items():
+        x, y = math.floor(ix), math.floor(iy)
+        fx, fy, x, z, below = ix - x, iy - y, x % w, (x + 1) % w, min(y + 1, h - 1)
+        assert faces[k] == round(grid[y, x] * (1 - fx) * (1 - fy) + grid[y, z] * fx * (1 - fy) + grid[below, x] * (1 - fx) * fy + grid[below, z] * fx * fy)
+
+
+def test_faces_and_bands_shuffle_no_target_pixel(spark):
+    """What is shuffled are source rows: the plans join a table of blocks, and pixels are made after the last exchange."""
+    raster = spark.range(5000).selectExpr("int(id div 100) r", "int(id % 100) c", "int(id % 256) d")
+    for out in (geometry.cubemap(raster, "d", 100, 50, 700), geometry.reproject_mercator(raster, "d", 100, 50, 60.0, 85.0, 900)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan.splitlines()[0] and "RepartitionByExpression" in plan.splitlines()[1] + plan.splitlines()[2]
+    holes = geometry.cubemap(raster.where("r != 20"), "d", 100, 50, 60)
+    assert 0 < holes.where("v is null").count() < holes.count() == 6 * 60 * 60
+
+
 def test_south_pole_pixel_has_a_longitude(spark):
     at = geometry.cubemap_targets(spark, 4, 100, 50).where("face = 'nz' and fx = 2 and fy = 2").first()
     assert at["ix"] == 0.0 and at["iy"] == 49.0
