@@ -8,8 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BinaryType
 
 from nephogrid.functions import pixels as px
 from nephogrid.sources.gridded import NOWHERE
@@ -75,15 +78,21 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(b.alias("seq"), ((a * 37 + b * 13) % 18000 / 100.0 - 90.0).alias("lat"), ((a * 91 + b * 29) % 36000 / 100.0 - 180.0).alias("lng"))
 
 
-def payloads(spark: SparkSession, sf_dir: str, points_per_payload: int = 500) -> DataFrame:
-    """(path, content): the points, in stretches of ``seq``, in the wire format of the point source."""
+@arrow_udf(BinaryType())
+def _location(lat: pa.Array, lng: pa.Array) -> pa.Array:
+    """A location of the wire format: 12 bytes."""
+    out = np.empty((len(lat), 12), np.uint8)
+    out[:, :3], out[:, 7] = (0x0A, 0x0A, 0x0D), 0x15
+    for at, x in ((3, lat), (8, lng)):
+        out[:, at : at + 4] = x.to_numpy(zero_copy_only=False).astype("<f4").view(np.uint8).reshape(-1, 4)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(12), len(lat), [None, pa.py_buffer(out)]).cast(pa.binary())
 
-    def run(_: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        b = b.sort_values("seq")
-        one = (b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", z) for a, z in zip(b["lat"], b["lng"], strict=True))
-        return pd.DataFrame({"path": [f"payload-{int(b['seq'].iloc[0]) // points_per_payload:012d}"], "content": [b"".join(one)]})
 
-    return points(spark, sf_dir).groupBy(F.expr(f"seq div {points_per_payload}").alias("stretch")).applyInPandas(run, "path string, content binary")
+def payloads(spark: SparkSession, sf_dir: str, points_per_payload: int = 500) -> DataFrame:
+    """(path, content): the points, in stretches of ``seq``, in the wire format of the point source. Groups are put together by Spark, not one by one in Python."""
+    one = points(spark, sf_dir).select(F.expr(f"seq div {points_per_payload}").alias("stretch"), F.struct("seq", F.hex(_location("lat", "lng")).alias("hex")).alias("x"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["hex"]), "")
+    return one.groupBy("stretch").agg(F.unhex(whole).alias("content")).select(F.format_string("payload-%012d", "stretch").alias("path"), "content")
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:

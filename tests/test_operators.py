@@ -329,3 +329,25 @@ def test_decoder_cases():
     assert points.decode_payload(one(1, 2) + b"\x12\x00" + one(3, 4)) == [(1, 2)]
     assert points.decode_payload(one(1, 2) + one(3, 4)[:-1]) == [(1, 2)]
     assert points.decode_payload(one(float("nan"), 2)) == []
+
+
+def test_payloads_decoded_together_are_as_decoded_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    one = lambda a, b: b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", b)
+    turned = lambda a, b: b"\x0a\x0a\x15" + struct.pack("<f", a) + b"\x0d" + struct.pack("<f", b)
+    kinds = [one(1, 2), one(-3, 4), one(math.nan, 1), one(5, math.inf), turned(6, 7), b"\x0a\x0b" + one(8, 9)[2:] + b"\x18", b"\x0a\x00", b"\x12\x00", b"\x0a\x8a\x00" + one(1, 3)[2:]]
+    texts = [b"".join(kinds[k] for k in rng.integers(0, len(kinds), rng.integers(0, 6)))[: rng.integers(1, 70)] for _ in range(300)] + [None, b"", one(2, 2) * 400]
+    want = sorted((f"p{i:03d}", k, *p) for i, t in enumerate(texts) for k, p in enumerate(points.decode_payload(t or b"")))
+    df = spark.createDataFrame([(f"p{i:03d}", t) for i, t in enumerate(texts)], "path string, content binary")
+    assert sorted(tuple(r) for r in points.decode(df).collect()) == want
+
+
+def test_stand_in_payloads_are_put_together_by_spark(spark, small):
+    made = stand_ins.payloads(spark, small, 3)
+    assert "FlatMapGroups" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["path"]: bytes(r["content"]) for r in made.collect()}
+    at = sorted(tuple(r) for r in stand_ins.points(spark, small).collect())
+    assert len(got) == 334
+    for k, content in got.items():
+        i = int(k.removeprefix("payload-")) * 3
+        assert content == b"".join(b"\x0a\x0a\x0d" + struct.pack("<f", a) + b"\x15" + struct.pack("<f", z) for _, a, z in at[i : i + 3])
