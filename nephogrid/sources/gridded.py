@@ -1,4 +1,4 @@
-"""Gridded files (HDF5, and so NetCDF-4) as a Spark source whose partitions are the file's chunks.
+"""Gridded files (HDF5, and so NetCDF-4) as a Spark source whose partitions are the file's chunks, or stretches of them in large files.
 
 The driver reads the header and the chunk table, a B-tree, of the variables that are asked for; ranges of rows and columns that Spark pushes down drop
 chunks there. A task gets the places of its chunks and reads nothing else of the file.
@@ -317,8 +317,12 @@ class File:
         return out, there
 
 
+#: Partitions of a grid; beyond this number chunks that follow each other share one.
+MOST_PARTS = 512
+
+
 @dataclass
-class GridPart(InputPartition):
+class GridPart:
     """Rows [low, high) and columns [left, right), and for each variable the chunks it has there."""
 
     low: int
@@ -328,6 +332,11 @@ class GridPart(InputPartition):
     chunks: dict[str, list[Chunk]]
 
 
+@dataclass
+class GridParts(InputPartition):
+    parts: list[GridPart]
+
+
 class GridReader(DataSourceReader):
     def __init__(self, schema, options):
         self.path = options["path"]
@@ -359,15 +368,25 @@ class GridReader(DataSourceReader):
         rows, columns = (self.step, width) if v.contiguous else v.chunk[-2:]
         parts = [GridPart(max(low, y), min(high, y + rows), max(left, x), min(right, x + columns), {}) for y in range(low - low % rows, high, rows) for x in range(left - left % columns, right, columns)]
         parts = [p for p in parts if p.low < p.high and p.left < p.right]
+        by_place = {(p.low // rows, p.left // columns): p for p in parts}
+        lines, across = sorted({y for y, _ in by_place}), sorted({x for _, x in by_place})
         with File(self.path) as f:
             for n, own in self.variables.items():
                 if own.contiguous or not parts:
                     continue
-                found = f.chunks(own, *self._box(own, low, high, left, right))
                 for p in parts:
-                    a, z = self._box(own, p.low, p.high, p.left, p.right)
-                    p.chunks[n] = [c for c in found if all(o < h and o + w > b for o, w, b, h in zip(c.origin, own.chunk, a, z, strict=True))] if len(found) * len(parts) <= 1 << 22 else f.chunks(own, a, z)
-        return parts or [GridPart(0, 0, 0, 0, {})]
+                    p.chunks[n] = []
+                # the table is read once, and a chunk goes to the parts it meets
+                for c in f.chunks(own, *self._box(own, low, high, left, right)):
+                    meets = lambda i, step, there: range(max(there[0], c.origin[i] // step), min(there[-1], (c.origin[i] + own.chunk[i] - 1) // step) + 1)  # noqa: B023, E731
+                    by_row = len(own.shape) > 1 or own.shape[0] == self.shape[0]
+                    ys = meets(-2 if len(own.shape) > 1 else 0, rows, lines) if by_row else lines
+                    xs = meets(-1, columns, across) if len(own.shape) > 1 or not by_row else across
+                    for y in ys:
+                        for x in xs:
+                            by_place[y, x].chunks[n].append(c)
+        each = -(-len(parts) // MOST_PARTS)
+        return [GridParts(parts[i : i + each]) for i in range(0, len(parts), each)] if parts else [GridParts([])]
 
     def _box(self, v: Variable, low: int, high: int, left: int, right: int) -> tuple[list[int], list[int]]:
         if len(v.shape) == 1:
@@ -378,20 +397,22 @@ class GridReader(DataSourceReader):
     def read(self, partition):
         import pyarrow as pa
 
-        p, columns = partition, {}
-        n_rows, n_columns = p.high - p.low, p.right - p.left
-        if not n_rows:
-            return
         with File(self.path) as f:
-            for n, v in self.variables.items():
-                raw, there = f.block(v, p.chunks.get(n, []), *self._box(v, p.low, p.high, p.left, p.right))
-                if len(v.shape) == 1:
-                    by_row = v.shape[0] == self.shape[0]
-                    raw, there = (np.broadcast_to(x[:, None] if by_row else x[None, :], (n_rows, n_columns)) for x in (raw, there))
-                raw, there = raw.reshape(n_rows, n_columns), there.reshape(n_rows, n_columns)
-                value = raw.astype(np.float64) * self.scale[n] + self.offset[n]
-                missing = np.isnan(value) | ~there if self.fill[n] is None else np.isnan(value) | ~there | (raw == self.fill[n])
-                columns[n] = (value, missing)
+            for p in partition.parts:
+                yield from self._batches(pa, f, p)
+
+    def _batches(self, pa, f: File, p: GridPart):
+        columns = {}
+        n_rows, n_columns = p.high - p.low, p.right - p.left
+        for n, v in self.variables.items():
+            raw, there = f.block(v, p.chunks.get(n, []), *self._box(v, p.low, p.high, p.left, p.right))
+            if len(v.shape) == 1:
+                by_row = v.shape[0] == self.shape[0]
+                raw, there = (np.broadcast_to(x[:, None] if by_row else x[None, :], (n_rows, n_columns)) for x in (raw, there))
+            raw, there = raw.reshape(n_rows, n_columns), there.reshape(n_rows, n_columns)
+            value = raw.astype(np.float64) * self.scale[n] + self.offset[n]
+            missing = np.isnan(value) | ~there if self.fill[n] is None else np.isnan(value) | ~there | (raw == self.fill[n])
+            columns[n] = (value, missing)
         step = max(1, (1 << 16) // max(1, n_columns))
         for a in range(0, n_rows, step):
             z = min(n_rows, a + step)

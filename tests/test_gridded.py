@@ -187,3 +187,17 @@ def test_files_that_are_no_grid(tmp_path):
     (tmp_path / "y").write_bytes(b"\x89HDF\r\n\x1a\n" + bytes([2, 8, 8]) + bytes(200))
     with File(str(tmp_path / "y")) as f, pytest.raises(ValueError, match="filter 99"):
         f.block(v, [Chunk(0, 8, 0, (0, 0))], [0, 0], [2, 2])
+
+
+def test_many_chunks_share_partitions_and_the_table_is_read_once(spark, tmp_path, monkeypatch):
+    """With 900 chunks; each goes to its own part, whatever the number."""
+    path = str(tmp_path / "fine.nc")
+    df = spark.range(3600).select(F.expr("int(id div 60)").alias("r"), F.expr("int(id % 60)").alias("c"), F.col("id").alias("LIR"))
+    stand_ins.grid_file(df.where("r > 3 or c > 1"), path, ["LIR"], {"lat": list(np.linspace(60, -60, 60))}, 60, 60, 2, 2, {})
+    found = reader(spark, path, "r int, c int, lat double, LIR double")
+    assert found.rdd.getNumPartitions() == 450
+    assert all(r["LIR"] == (r["r"] * 60 + r["c"] if r["r"] > 3 or r["c"] > 1 else None) for r in found.collect()) and found.count() == 3600
+    calls, chunks = [], File.chunks
+    monkeypatch.setattr(File, "chunks", lambda self, *a: calls.append(1) or chunks(self, *a))
+    parts = [p for q in gridded.GridReader(found.schema, {"path": path}).partitions() for p in q.parts]
+    assert len(calls) == 1 and len(parts) == 900 and sum(len(p.chunks["LIR"]) for p in parts) == 898
