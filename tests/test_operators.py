@@ -1,6 +1,7 @@
 """Boundaries, properties and plans of the raster and point operators."""
 
 import math
+import re
 import struct
 
 import numpy as np
@@ -198,6 +199,31 @@ def test_coordinates_that_agree_lie_together(spark, tmp_path):
     assert sum(p.stat().st_size for p in (tmp_path / "at").glob("*.parquet")) < 3.5 * 6 * 1000 * 1000
 
 
+def _units(out):
+    return int(re.search(r"Range \(0, (\d+)", out._jdf.queryExecution().optimizedPlan().toString())[1])
+
+
+@pytest.mark.parametrize("size", [30_000, 180_000])
+def test_source_rows_of_faces_are_shuffled_a_bounded_number_of_times(spark, size):
+    """Units that get source rows do not grow with the faces (20,886 and 743,424 blocks of 512 x 512 did); large sources make them smaller."""
+    raster = spark.range(5000).selectExpr("int(id div 100) r", "int(id % 100) c", "int(id % 256) d")
+    assert _units(geometry.cubemap(raster, "d", 100, 2 * size, size)) <= 6 * 16 * 16
+    assert _units(geometry.cubemap(raster, "d", 64 * size, 2 * size, size)) > 6 * 16 * 16
+
+
+def test_units_of_several_blocks_are_whole(spark):
+    """Squares of blocks, and stretches of them, give every pixel once and the values that one block gives."""
+    raster = spark.range(7000).selectExpr("int(id div 100) r", "int(id % 100) c", "cast(abs(hash(id)) % 256 as int) d")
+    before, geometry.SIDE = geometry.SIDE, 4
+    try:
+        faces, band = geometry.cubemap(raster, "d", 100, 70, 100).collect(), geometry.reproject_mercator(raster, "d", 100, 70, 60.0, 85.0, 500).collect()
+        geometry.SIDE = 1 << 14
+        assert sorted(map(tuple, faces)) == sorted(map(tuple, geometry.cubemap(raster, "d", 100, 70, 100).collect())) and len({(r["face"], r["fy"], r["fx"]) for r in faces}) == 6 * 100 * 100
+        assert sorted(map(tuple, band)) == sorted(map(tuple, geometry.reproject_mercator(raster, "d", 100, 70, 60.0, 85.0, 500).collect()))
+    finally:
+        geometry.SIDE = before
+
+
 def test_south_pole_pixel_has_a_longitude(spark):
     at = geometry.cubemap_targets(spark, 4, 100, 50).where("face = 'nz' and fx = 2 and fy = 2").first()
     assert at["ix"] == 0.0 and at["iy"] == 49.0
