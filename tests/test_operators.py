@@ -211,6 +211,11 @@ def test_source_rows_of_faces_are_shuffled_a_bounded_number_of_times(spark, size
     assert _units(geometry.cubemap(raster, "d", 64 * size, 2 * size, size)) > 6 * 16 * 16
 
 
+def test_source_rows_of_a_whole_map_are_shuffled_a_bounded_number_of_times(spark):
+    density = spark.range(5000).selectExpr("int(id div 100) r", "int(id % 100) c", "90d - id div 100 as lat", "int(id % 256) d")
+    assert _units(cloud_map(density, None, CloudMapConfig(100, 360_000, 180_000))) <= 6 * 16 * 16
+
+
 def test_units_of_several_blocks_are_whole(spark):
     """Squares of blocks, and stretches of them, give every pixel once and the values that one block gives."""
     raster = spark.range(7000).selectExpr("int(id div 100) r", "int(id % 100) c", "cast(abs(hash(id)) % 256 as int) d")
