@@ -229,6 +229,14 @@ def test_units_of_several_blocks_are_whole(spark):
         geometry.SIDE = before
 
 
+def test_files_of_a_band_are_small(spark, tmp_path):
+    """Under a byte a row (2.3 where blocks were long rows), and source rows are shuffled for a bounded number of units (125,001 blocks for 600,000 columns)."""
+    raster = spark.range(640_000).selectExpr("int(id div 64) r", "int(id % 64) c", "cast(abs(hash(id)) % 256 as int) d")
+    geometry.reproject_mercator(raster, "d", 64, 10_000, 60.0, 85.0, 10_000).write.parquet(f"{tmp_path}/band")
+    assert sum(p.stat().st_size for p in (tmp_path / "band").glob("*.parquet")) < 694 * 10_000
+    assert _units(geometry.reproject_mercator(raster, "d", 64, 600_000, 60.0, 85.0, 600_000)) <= 1200
+
+
 def test_south_pole_pixel_has_a_longitude(spark):
     at = geometry.cubemap_targets(spark, 4, 100, 50).where("face = 'nz' and fx = 2 and fy = 2").first()
     assert at["ix"] == 0.0 and at["iy"] == 49.0
